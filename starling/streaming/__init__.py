@@ -1,0 +1 @@
+"""Empty on purpose: every load of this workload is a batch."""
