@@ -132,7 +132,7 @@ def _split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def regression_grid(df: DataFrame, grid: Sequence[SgdConfig]) -> DataFrame:
     """One row of settings and metrics per run, best RMSE first."""
     spark = df.sparkSession
-    data = stage(df)
+    data = stage(df, ROW_ID)
     used = [c for c in data.columns if any(c in g.features for g in grid)]
     for g in grid:
         tree.check_no_leak(g.features, PRICE)
@@ -174,7 +174,7 @@ def best(results: DataFrame, metric: str, descending: bool = False) -> DataFrame
 
 def optimum_coefficients(df: DataFrame, config: SgdConfig) -> DataFrame:
     """Coefficients of the penalised optimum over the training rows."""
-    data = stage(df)
+    data = stage(df, ROW_ID)
     inputs = data.select(*config.features)
     train, _ = _split(data)
     ready = features.fit_preprocessing(train, numeric_columns(inputs), other_columns(inputs))
@@ -194,7 +194,7 @@ def tree_grid(df: DataFrame, grid: Sequence[TreeConfig], label: str = "garage")
     for g in grid:
         tree.check_no_leak(g.features, label)
     raw = df.select(ROW_ID, *used, target.alias("target")).filter("target IS NOT NULL")
-    train, test = _split(stage(raw))
+    train, test = _split(stage(raw, ROW_ID))
     categories = other_columns(train.select(*used))
     levels = features.fit_levels(train, categories)
     columns = [c for f in used for c in ([f"{f}={v}" for v in levels[f]] if f in levels else [f])]
@@ -247,7 +247,7 @@ def cluster_inputs(df: DataFrame, used: Sequence[str]) -> tuple[DataFrame, dict[
     columns_of = {f: [f"{f}={v}" for v in levels[f][1:]] if f in levels else [f] for f in used}
     columns = [c for f in used for c in columns_of[f]]
     plain = encoded.select(ROW_ID, *[F.col(f"`{c}`") for c in columns])
-    return stage(features.scale(plain, features.fit_scaler(plain, columns)).select(ROW_ID, *columns)), columns_of
+    return stage(features.scale(plain, features.fit_scaler(plain, columns)).select(ROW_ID, *columns), ROW_ID), columns_of
 
 
 def _columns(config: KMeansConfig, columns_of: dict[str, list[str]]) -> list[str]:

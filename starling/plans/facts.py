@@ -39,7 +39,7 @@ def sales_branch(t: Tables, source_id: int, status: str, product_type: str) -> D
         "klant_bk", "monteur_bk", "filiaal_bk",
         business_key(F.lit(product_type), "l_partkey").alias("product_bk"),
         day_key("o_orderdate").alias("datum_key"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 4).alias("verkoopprijs"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("verkoopprijs"),
         F.col("l_quantity").cast("long").alias("aantal"),
     )
 

@@ -286,13 +286,13 @@ def measures(t: Tables) -> DataFrame:
 @query
 def measures_purchase(t: Tables) -> DataFrame:
     bought = fact_ops.purchase_measures(facts.fact_purchase(t))
-    return bought.groupBy("periode_key").agg(F.round(F.sum("inkoopwaarde"), 1).alias("inkoopwaarde"))
+    return bought.groupBy("periode_key").agg(F.round(F.sum("inkoopwaarde"), 2).alias("inkoopwaarde"))
 
 
 @query
 def measures_maintenance(t: Tables) -> DataFrame:
     visits = fact_ops.maintenance_measures(facts.fact_maintenance(t))
-    return visits.select("onderhoudnr", F.round("duur", 6).alias("duur"), F.round("kosten", 4).alias("kosten"))
+    return visits.select("onderhoudnr", F.round("duur", 6).alias("duur"), F.round("kosten", 6).alias("kosten"))
 
 
 # quality
@@ -301,7 +301,8 @@ def measures_maintenance(t: Tables) -> DataFrame:
 @query
 def missing_keys(t: Tables) -> DataFrame:
     show = ["onderhoudnr", "product_bk", "monteur_bk", "filiaal_bk"]
-    return quality.missing_keys(facts.maintenance_with_keys(t), facts.MAINTENANCE_KEYS, show)
+    missing = quality.missing_keys(facts.maintenance_with_keys(t), facts.MAINTENANCE_KEYS, show)
+    return missing.select(*show, *[F.col(k).cast("double").alias(k) for k in facts.MAINTENANCE_KEYS])
 
 
 @query
@@ -351,7 +352,7 @@ def staff_changes(t: Tables) -> DataFrame:
         "staff", C.full_name("position_en", "last_name").alias("full_name"),
         C.replace_value("position_en", "MACHINERY", "General Manager").alias("position"),
         (C.to_number("extension") + 1).alias("extension"),
-        C.map_values("position_en", {"BUILDING": 1, "FURNITURE": 0}).cast("int").alias("flag"),
+        C.map_values("position_en", {"BUILDING": 1, "FURNITURE": 0}).cast("double").alias("flag"),
     )
 
 
@@ -375,9 +376,9 @@ def date_parts(t: Tables) -> DataFrame:
         F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     ).otherwise("onbekend")
     day = t.orders.select("o_orderkey", raw.alias("datum")).select("o_orderkey", D.parse_day("datum").alias("dag"))
-    part = lambda c: c.cast("int")
+    part = lambda c: c.cast("double")
     return day.select(
-        "o_orderkey", D.day_key("dag").alias("datum_key"), part(F.year("dag")).alias("jaar"),
+        "o_orderkey", part(D.day_key("dag")).alias("datum_key"), part(F.year("dag")).alias("jaar"),
         part(F.quarter("dag")).alias("kwartaal"), part(F.month("dag")).alias("maand"),
         part(F.weekofyear("dag")).alias("week"), part(F.dayofmonth("dag")).alias("dagnr"),
     )

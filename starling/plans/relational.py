@@ -179,13 +179,15 @@ def e23(t: Tables) -> DataFrame:
 
 @question
 def e24(t: Tables) -> DataFrame:
+    # decimal sums do not depend on the order of addition
+    price = F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))
     sold = t.lineitem.groupBy("l_partkey").agg(
-        F.sum("l_quantity").alias("quantity"), F.sum("l_extendedprice").alias("price"), F.count("*").alias("n")
+        F.sum("l_quantity").alias("quantity"), price.alias("price"), F.count("*").alias("n")
     )
     economy = t.part.filter("p_type = 'ECONOMY'").join(sold, F.col("p_partkey") == F.col("l_partkey"))
     per_name = economy.groupBy("p_name").agg(
         F.sum("quantity").alias("total_quantity"),
-        F.round(F.sum("price") / F.sum("n"), 4).alias("average_price"),
+        (F.sum("price").cast("double") / F.sum("n")).alias("average_price"),
     )
     return per_name.orderBy("total_quantity", "p_name")
 

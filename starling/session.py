@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starling.sources import files
+
 # Values every session needs for right results or for skewed data; sizes of
 # shuffles and scans are left to the cluster's own defaults.
 SESSION_CONF = {
@@ -50,13 +54,37 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame) -> DataFrame:
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def stage(df: DataFrame, spread: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives the
-    optimizer true file sizes for what follows.
+    optimizer true file sizes for what follows. ``spread`` names a column to
+    hash small tables by, so that heavy work on few rows uses all cores.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
+    staged = _written(df)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and estimated_bytes(staged) < cores * 16 * 2**20:
+        staged = _written(staged.repartition(cores, spread))
+    return staged
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Staging for work that ends inside the block; its folder is removed afterwards."""
+    folder = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    try:
+        yield lambda df: _written(df, folder)
+    finally:
+        files.delete(spark, folder)
+
+
+def _written(df: DataFrame, folder: str | None = None) -> DataFrame:
+    path = f"{folder or shared_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
