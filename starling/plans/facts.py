@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starling.functions.columns import business_key
@@ -10,47 +10,57 @@ from starling.functions.dates import day_key
 from starling.operators.dims import period_dim
 from starling.operators.facts import integer_keys, lookup, reject_missing
 from starling.operators.scd import current
-from starling.operators.staging import union_branches
 from starling.plans.tables import LINE_ID, Tables
 
 GRAIN = ["source_id", *LINE_ID]
 SALES_KEYS = ["klant_key", "monteur_key", "product_key", "filiaal_key", "datum_key"]
 PURCHASE_KEYS = ["product_key", "periode_key", "lev_key"]
 MAINTENANCE_KEYS = ["product_key", "monteur_key", "filiaal_key"]
-# fixed values: line status told apart by system, product type of each system
-SOURCES = ((1, "O", "fiets"), (2, "F", "accessoire"))
 
 
-def sales_branch(t: Tables, source_id: int, status: str, product_type: str) -> DataFrame:
-    """Sales of one system with the attributes its business keys are built from."""
-    lines = t.lineitem.filter(F.col("l_linestatus") == status)
-    heads = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    klant = t.customer.select("c_custkey", business_key("c_name", t.birth_date()).alias("klant_bk"))
-    monteur = t.monteur().select("monteurnr", F.col("business_key").alias("monteur_bk"), F.col("woonplaats"))
-    filiaal = t.filiaal().select(F.col("adres"), F.col("business_key").alias("filiaal_bk"))
-    joined = (
-        lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(klant, F.col("o_custkey") == F.col("c_custkey"))
-        .join(monteur, F.col("l_suppkey") == F.col("monteurnr"))
-        .join(filiaal, F.col("woonplaats") == F.col("adres"))
+def _lines(t: Tables, *columns: Column) -> DataFrame:
+    """Lines of both systems. They share one table, so the system is a column and not a second scan."""
+    first = F.col("l_linestatus") == "O"
+    return t.lineitem.select(
+        F.when(first, 1).otherwise(2).cast("long").alias("source_id"), *LINE_ID,
+        business_key(F.when(first, "fiets").otherwise("accessoire"), "l_partkey").alias("product_bk"),
+        F.col("l_quantity").cast("long").alias("aantal"), *columns,
     )
-    return joined.select(
-        F.lit(source_id).alias("source_id"), *LINE_ID,
-        "klant_bk", "monteur_bk", "filiaal_bk",
-        business_key(F.lit(product_type), "l_partkey").alias("product_bk"),
-        day_key("o_orderdate").alias("datum_key"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("verkoopprijs"),
-        F.col("l_quantity").cast("long").alias("aantal"),
+
+
+def _people(t: Tables) -> DataFrame:
+    """Workers with the keys of themselves and their branch.
+
+    Keys are looked up on these rows and not on the facts, which then need one
+    join in place of two per dimension.
+    """
+    monteur = t.monteur().select(
+        F.col("monteurnr"), "uurloon", "woonplaats", F.col("business_key").alias("monteur_bk")
     )
+    filiaal = t.filiaal().select("adres", F.col("business_key").alias("filiaal_bk"))
+    working = monteur.join(filiaal, F.col("woonplaats") == F.col("adres")).drop("woonplaats", "adres")
+    found = lookup(working, current(t.dim_monteur()), "monteur_bk", "monteur_key")
+    return lookup(found, t.dim_filiaal(), "filiaal_bk", "filiaal_key")
+
+
+def _buyers(t: Tables) -> DataFrame:
+    klant = t.customer.select(
+        F.col("c_custkey").alias("o_custkey"), business_key("c_name", t.birth_date()).alias("klant_bk")
+    )
+    return lookup(klant, t.dim_klant(), "klant_bk", "klant_key")
 
 
 def sales_with_keys(t: Tables) -> DataFrame:
     """All sales with looked-up keys, missing ones still NULL."""
-    sales = union_branches([sales_branch(t, *s) for s in SOURCES])
-    found = lookup(sales, t.dim_klant(), "klant_bk", "klant_key")
-    found = lookup(found, t.dim_product(), "product_bk", "product_key")
-    found = lookup(found, current(t.dim_monteur()), "monteur_bk", "monteur_key")
-    return lookup(found, t.dim_filiaal(), "filiaal_bk", "filiaal_key")
+    lines = _lines(t, (F.col("l_extendedprice") / F.col("l_quantity")).alias("verkoopprijs"))
+    heads = t.orders.select("o_orderkey", "o_custkey", day_key("o_orderdate").alias("datum_key"))
+    # customers meet the orders first: fewer rows move than with the lines
+    bought = heads.join(_buyers(t), "o_custkey").drop("o_custkey")
+    joined = (
+        lines.join(bought, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+        .join(_people(t).drop("uurloon"), F.col("l_suppkey") == F.col("monteurnr")).drop("monteurnr")
+    )
+    return lookup(joined, t.dim_product(), "product_bk", "product_key")
 
 
 def fact_sales(t: Tables, required: list[str] = SALES_KEYS) -> DataFrame:
@@ -58,22 +68,6 @@ def fact_sales(t: Tables, required: list[str] = SALES_KEYS) -> DataFrame:
     return integer_keys(kept, ["source_id", *SALES_KEYS]).select(*GRAIN, *SALES_KEYS, "verkoopprijs", "aantal")
 
 
-def purchase_branch(t: Tables, source_id: int, status: str, product_type: str) -> DataFrame:
-    lines = t.lineitem.filter(F.col("l_linestatus") == status)
-    joined = lines.join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(
-        t.supplier, F.col("l_suppkey") == F.col("s_suppkey")
-    )
-    return joined.select(
-        F.lit(source_id).alias("source_id"), *LINE_ID,
-        F.month("l_shipdate").cast("long").alias("inkoopmaand"),
-        F.year("l_shipdate").cast("long").alias("inkoopjaar"),
-        business_key(F.lit(product_type), "p_partkey").alias("product_bk"),
-        business_key("s_name", "s_nationkey").alias("lev_bk"),
-        F.col("l_quantity").cast("long").alias("aantal"),
-        F.col("p_retailprice").alias("inkoopprijs"),
-    )
-
-
 def periods(t: Tables) -> DataFrame:
     """Stored periods and the new ones."""
     seen = t.lineitem.select(
@@ -83,11 +77,18 @@ def periods(t: Tables) -> DataFrame:
 
 
 def purchases_with_keys(t: Tables) -> DataFrame:
-    bought = union_branches([purchase_branch(t, *s) for s in SOURCES])
-    found = lookup(bought, t.dim_product(), "product_bk", "product_key")
+    lines = _lines(
+        t, F.month("l_shipdate").cast("long").alias("inkoopmaand"), F.year("l_shipdate").cast("long").alias("inkoopjaar")
+    )
+    goods = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").alias("inkoopprijs"))
+    makers = t.supplier.select(
+        F.col("s_suppkey").alias("l_suppkey"), business_key("s_name", "s_nationkey").alias("lev_bk")
+    )
+    makers = lookup(makers, t.dim_leverancier(), "lev_bk", "lev_key")
+    bought = lines.join(goods, "l_partkey").join(makers, "l_suppkey")
     pair = ["inkoopmaand", "inkoopjaar"]
-    found = lookup(found, periods(t), pair, "periode_key", dim_key=pair, null_safe=True)
-    return lookup(found, t.dim_leverancier(), "lev_bk", "lev_key")
+    found = lookup(bought, periods(t), pair, "periode_key", dim_key=pair, null_safe=True)
+    return lookup(found, t.dim_product(), "product_bk", "product_key")
 
 
 def fact_purchase(t: Tables) -> DataFrame:
@@ -99,26 +100,16 @@ def fact_purchase(t: Tables) -> DataFrame:
 
 def maintenance_with_keys(t: Tables) -> DataFrame:
     """Events as workshop visits; the wage is copied at load time."""
-    monteur = t.monteur().select(
-        "monteurnr", "uurloon", "woonplaats", F.col("business_key").alias("monteur_bk")
-    )
-    filiaal = t.filiaal().select(F.col("adres"), F.col("business_key").alias("filiaal_bk"))
     end = F.col("ts") + F.make_dt_interval(secs=F.floor("value"))
-    visits = (
-        t.events.join(monteur, F.col("user_id") == F.col("monteurnr"))
-        .join(filiaal, F.col("woonplaats") == F.col("adres"))
-        .select(
-            F.col("event_id").alias("onderhoudnr"),
-            F.date_format("ts", "yyyy-MM-dd").alias("datum"),
-            F.date_format("ts", "HH:mm:ss").alias("starttijd"),
-            F.date_format(end, "HH:mm:ss").alias("eindtijd"),
-            "uurloon", "monteur_bk", "filiaal_bk",
-            business_key(F.lit("fiets"), "user_id").alias("product_bk"),
-        )
+    visits = t.events.select(
+        F.col("event_id").alias("onderhoudnr"),
+        F.col("user_id").alias("monteurnr"),
+        F.date_format("ts", "yyyy-MM-dd").alias("datum"),
+        F.date_format("ts", "HH:mm:ss").alias("starttijd"),
+        F.date_format(end, "HH:mm:ss").alias("eindtijd"),
+        business_key(F.lit("fiets"), "user_id").alias("product_bk"),
     )
-    found = lookup(visits, t.dim_product(), "product_bk", "product_key")
-    found = lookup(found, current(t.dim_monteur()), "monteur_bk", "monteur_key")
-    return lookup(found, t.dim_filiaal(), "filiaal_bk", "filiaal_key")
+    return lookup(visits.join(_people(t), "monteurnr"), t.dim_product(), "product_bk", "product_key")
 
 
 def fact_maintenance(t: Tables) -> DataFrame:

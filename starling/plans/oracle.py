@@ -205,6 +205,13 @@ ORACLES: dict[str, str] = {
     "table_counts": " UNION ALL ".join(
         f"SELECT '{n}' AS tabel, count(*) AS aantal FROM {n}" for n in ("customer", "lineitem", "orders", "part", "supplier")
     ),
+    "column_types": " UNION ALL ".join(
+        f"SELECT {i} AS positie, '{c}' AS kolom, '{k}' AS type, count({c}) AS gevuld FROM orders"
+        for i, (c, k) in enumerate((
+            ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+            ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"),
+        ))
+    ),
     "stage_first_wins": f"WITH {KLANT} SELECT * FROM consolidated",
     "stage_union_conform": """SELECT s_suppkey AS leveranciernr, s_name AS naam,
           'Street ' || CAST(s_nationkey AS VARCHAR) AS adres, 'City ' || CAST(s_nationkey AS VARCHAR) AS woonplaats, 1 AS tak

@@ -52,7 +52,7 @@ def table_counts(t: Tables) -> DataFrame:
 
 @query
 def column_types(t: Tables) -> DataFrame:
-    return files.columns_of(t.lineitem)
+    return files.columns_of(t.orders)
 
 
 # staging

@@ -217,18 +217,33 @@ class WarehouseLoad:
 
     # fact steps
 
+    def _look_up(self, rows: DataFrame, *dims: str) -> DataFrame:
+        for name in dims:
+            dim = self.star.read(name)
+            dim = scd.current(dim) if DIMENSIONS[name].kind == 2 else dim
+            short = "lev" if name == "Leverancier" else name.lower()
+            rows = lookup(rows, dim, f"{short}_bk", DIMENSIONS[name].sk)
+        return rows
+
     def _people(self, system: str) -> DataFrame:
-        """Workers of a system with the business keys of themselves and their branch."""
+        """Workers of a system with the surrogate keys of themselves and their branch.
+
+        Like :meth:`_buyers`, keys are looked up on the few source rows of the
+        dimension, so that the facts join once per dimension and not twice.
+        """
         workers = self._staged(f"{system}_Monteur").select(
             F.col("monteurnr").alias("monteur"), "filiaal", "uurloon",
             self._key("Monteur", system, "monteurnr", "naam", "woonplaats").alias("monteur_bk"),
         )
-        if not self.natural:
-            return workers.withColumn("filiaal_bk", self._key("Filiaal", system, "filiaal"))
-        branches = self._staged(f"{system}_Filiaal").select(
-            F.col("filiaalnr").alias("filiaal"), self._key("Filiaal", system, "filiaalnr", "adres").alias("filiaal_bk")
-        )
-        return workers.join(branches, "filiaal")
+        if self.natural:
+            branches = self._staged(f"{system}_Filiaal").select(
+                F.col("filiaalnr").alias("filiaal"),
+                self._key("Filiaal", system, "filiaalnr", "adres").alias("filiaal_bk"),
+            )
+            workers = workers.join(branches, "filiaal")
+        else:
+            workers = workers.withColumn("filiaal_bk", self._key("Filiaal", system, "filiaal"))
+        return self._look_up(workers, "Monteur", "Filiaal").drop("filiaal")
 
     def _sales(self, system: str, number: int) -> DataFrame:
         kind = "accessoire" if is_accessory(system) else "fiets"
@@ -240,19 +255,11 @@ class WarehouseLoad:
         if self.natural:
             customers = self._staged(f"{system}_Klant").select(
                 F.col("klantnr").alias("klant"), business_key("naam", "geboortedatum").alias("klant_bk"))
-            sold = sold.join(customers, "klant")
+            sold = sold.join(self._look_up(customers, "Klant"), "klant")
         else:
-            sold = sold.withColumn("klant_bk", self._key("Klant", system, "klant"))
+            sold = self._look_up(sold.withColumn("klant_bk", self._key("Klant", system, "klant")), "Klant")
         return sold.join(self._people(system).drop("uurloon"), "monteur")
 
-    def _look_up(self, fact: DataFrame, *dims: str) -> DataFrame:
-        for name in dims:
-            dim = self.star.read(name)
-            dim = scd.current(dim) if DIMENSIONS[name].kind == 2 else dim
-            short = "lev" if name == "Leverancier" else name.lower()
-            fact = lookup(fact, dim, f"{short}_bk", DIMENSIONS[name].sk)
-        return fact
-
     def _insert(self, table: str, sk: str, grain: list[str], found: DataFrame, required: list[str], stage: Stage) -> None:
         """Reject rows with missing keys, keep new grains, number them, append."""
         wanted = [c for c in self.star.schemas[table].names if c != sk]
@@ -275,7 +282,7 @@ class WarehouseLoad:
 
     def verkoop(self, stage: Stage) -> None:
         sold = union_branches([self._sales(*s) for s in KLANT_SYSTEMS])
-        found = self._look_up(sold, "Klant", "Product", "Monteur", "Filiaal")
+        found = self._look_up(sold, "Product")
         required = ["klant_key", "product_key", "filiaal_key", "datum_key"]
         if self.natural:
             required.append("monteur_key")
@@ -285,7 +292,7 @@ class WarehouseLoad:
         visits = self._staged("Onderhoud").withColumn(
             "product_bk", self._key("Product", "Onderhoud", "fiets", F.lit("fiets"), "fiets")
         ).join(self._people("Onderhoud"), "monteur")
-        found = self._look_up(visits, "Product", "Monteur", "Filiaal")
+        found = self._look_up(visits, "Product")
         self._insert("Onderhoud", "onderhoud_key", ["onderhoudnr"], found, ["product_key", "monteur_key", "filiaal_key"], stage)
 
     def _purchases(self, system: str, number: int) -> DataFrame:
@@ -296,18 +303,19 @@ class WarehouseLoad:
         if self.natural:
             makers = self._maker(system).select(
                 F.col("leveranciernr").alias("maker"), business_key("naam", "adres").alias("lev_bk"))
-            bought = bought.join(makers, "maker")
+            bought = bought.join(self._look_up(makers, "Leverancier"), "maker")
         else:
-            bought = bought.withColumn("lev_bk", self._key("Leverancier", system, "maker"))
+            named = bought.withColumn("lev_bk", self._key("Leverancier", system, "maker"))
+            bought = self._look_up(named, "Leverancier")
         return bought.select(
             F.lit(number).cast("long").alias("source_id"), "inkoopnr", "inkoopmaand", "inkoopjaar", "aantal",
-            "inkoopprijs", "lev_bk", self._key("Product", system, kind, F.lit(kind), kind).alias("product_bk"),
+            "inkoopprijs", "lev_key", self._key("Product", system, kind, F.lit(kind), kind).alias("product_bk"),
         )
 
     def inkoop(self, stage: Stage) -> None:
         bought = union_branches([self._purchases(*s) for s in PURCHASE_SYSTEMS[self.keys]])
         pair = ["inkoopmaand", "inkoopjaar"]
-        found = self._look_up(bought, "Product", "Leverancier")
+        found = self._look_up(bought, "Product")
         found = lookup(found, self.star.read("InkoopPeriode"), pair, "periode_key", dim_key=pair, null_safe=True)
         self._insert("Inkoop", "inkoop_key", ["source_id", "inkoopnr"], found, ["product_key", "periode_key", "lev_key"], stage)
 

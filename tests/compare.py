@@ -26,6 +26,8 @@ def canonical(frame: pd.DataFrame) -> list[tuple[str, ...]]:
     def text(value: object) -> str:
         if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
             return "NULL"
+        if value is pd.NA:
+            return "NULL"
         if hasattr(value, "item"):
             value = value.item()
         if isinstance(value, pd.Timestamp):

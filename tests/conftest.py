@@ -14,7 +14,7 @@ def spark():
 
     session = get_session(
         app="tests", master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
