@@ -121,10 +121,11 @@ def descend(g: Gram, columns: Sequence[str], config: SgdConfig) -> np.ndarray:
 def fit_optimum(df: DataFrame, columns: Sequence[str], target: str, alpha: float, share: float) -> LinearRegressionModel:
     """The penalised least squares optimum by Spark ML, ``share`` being the L1 part of ``alpha``.
 
-    Spark divides the ridge part by the deviation of the target, so the strength
-    is scaled back to mean ``alpha`` on the raw target. Features come scaled.
+    The normal-equation solver divides the ridge part by the population deviation
+    of the target, so the strength is scaled back to mean ``alpha`` on the raw
+    target. Features come scaled.
     """
-    sigma = df.agg(F.stddev_samp(target)).first()[0]
+    sigma = df.agg(F.stddev_pop(target)).first()[0]
     strength = alpha * share + alpha * (1 - share) * sigma
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
     data = assembler.transform(df).select("features", F.col(target).alias("label"))
@@ -132,6 +133,7 @@ def fit_optimum(df: DataFrame, columns: Sequence[str], target: str, alpha: float
         regParam=strength,
         elasticNetParam=alpha * share / strength if strength else 0.0,
         standardization=False,
+        solver="normal",
         maxIter=500,
         tol=1e-10,
     ).fit(data)
