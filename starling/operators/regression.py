@@ -92,8 +92,21 @@ def descend(g: Gram, columns: Sequence[str], config: SgdConfig) -> np.ndarray:
     ridge = np.full(len(xy), config.alpha * (1 - r))
     lasso = np.full(len(xy), config.alpha * r)
     ridge[0] = lasso[0] = 0.0
-    bound = 1.0 / np.linalg.eigvalsh(xx + np.diag(ridge)).max()
+    curve = xx + np.diag(ridge)
+    values, axes = np.linalg.eigh(curve)
+    bound = 1.0 / values.max()
     steps = int(max(1, min(g.rows, _STEPS)))
+    # the smooth optimum along each axis; flat axes stay where they start
+    flat = values <= 1e-12 * values.max()
+    goal = axes @ (np.where(flat, 0.0, axes.T @ xy) / np.where(flat, 1.0, values))
+
+    def epoch_of_steps(w: np.ndarray, size: float) -> np.ndarray:
+        if not lasso.any():  # all steps at once: each axis shrinks towards its optimum
+            return goal + axes @ ((1 - size * values) ** steps * (axes.T @ (w - goal)))
+        for _ in range(steps):
+            w = w - size * (curve @ w - xy)
+            w = np.sign(w) * np.maximum(np.abs(w) - size * lasso, 0.0)
+        return w
 
     def loss(w: np.ndarray) -> float:
         fit = 0.5 * (yy - 2 * w @ xy + w @ xx @ w)
@@ -104,10 +117,7 @@ def descend(g: Gram, columns: Sequence[str], config: SgdConfig) -> np.ndarray:
     for epoch in range(config.max_iter):
         if config.learning_rate == "invscaling":
             eta = config.eta0 / (1 + epoch * g.rows) ** _POWER
-        size = min(eta * g.rows / steps, bound)
-        for _ in range(steps):
-            w = w - size * (xx @ w - xy + ridge * w)
-            w = np.sign(w) * np.maximum(np.abs(w) - size * lasso, 0.0)
+        w = epoch_of_steps(w, min(eta * g.rows / steps, bound))
         now = loss(w)
         stale = stale + 1 if now > best - config.tol else 0
         best = min(best, now)

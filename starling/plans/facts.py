@@ -11,6 +11,7 @@ from starling.operators.dims import period_dim
 from starling.operators.facts import integer_keys, lookup, reject_missing
 from starling.operators.scd import current
 from starling.plans.tables import LINE_ID, Tables
+from starling.session import BROADCAST_BYTES, broadcast_if_small
 
 GRAIN = ["source_id", *LINE_ID]
 SALES_KEYS = ["klant_key", "monteur_key", "product_key", "filiaal_key", "datum_key"]
@@ -40,14 +41,19 @@ def _people(t: Tables) -> DataFrame:
     filiaal = t.filiaal().select("adres", F.col("business_key").alias("filiaal_bk"))
     working = monteur.join(filiaal, F.col("woonplaats") == F.col("adres")).drop("woonplaats", "adres")
     found = lookup(working, current(t.dim_monteur()), "monteur_bk", "monteur_key")
-    return lookup(found, t.dim_filiaal(), "filiaal_bk", "filiaal_key")
+    return broadcast_if_small(lookup(found, t.dim_filiaal(), "filiaal_bk", "filiaal_key"), t.supplier)
 
 
 def _buyers(t: Tables) -> DataFrame:
     klant = t.customer.select(
         F.col("c_custkey").alias("o_custkey"), business_key("c_name", t.birth_date()).alias("klant_bk")
     )
-    return lookup(klant, t.dim_klant(), "klant_bk", "klant_key")
+    return broadcast_if_small(lookup(klant, t.dim_klant(), "klant_bk", "klant_key").drop("klant_bk"), t.customer)
+
+
+def _products(t: Tables) -> DataFrame:
+    """The product dimension, two rows per part."""
+    return broadcast_if_small(t.dim_product(), t.part.select("p_partkey"), BROADCAST_BYTES // 2)
 
 
 def sales_with_keys(t: Tables) -> DataFrame:
@@ -56,11 +62,12 @@ def sales_with_keys(t: Tables) -> DataFrame:
     heads = t.orders.select("o_orderkey", "o_custkey", day_key("o_orderdate").alias("datum_key"))
     # customers meet the orders first: fewer rows move than with the lines
     bought = heads.join(_buyers(t), "o_custkey").drop("o_custkey")
+    bought = broadcast_if_small(bought, t.orders)
     joined = (
         lines.join(bought, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
         .join(_people(t).drop("uurloon"), F.col("l_suppkey") == F.col("monteurnr")).drop("monteurnr")
     )
-    return lookup(joined, t.dim_product(), "product_bk", "product_key")
+    return lookup(joined, _products(t), "product_bk", "product_key")
 
 
 def fact_sales(t: Tables, required: list[str] = SALES_KEYS) -> DataFrame:
@@ -84,11 +91,11 @@ def purchases_with_keys(t: Tables) -> DataFrame:
     makers = t.supplier.select(
         F.col("s_suppkey").alias("l_suppkey"), business_key("s_name", "s_nationkey").alias("lev_bk")
     )
-    makers = lookup(makers, t.dim_leverancier(), "lev_bk", "lev_key")
+    makers = broadcast_if_small(lookup(makers, t.dim_leverancier(), "lev_bk", "lev_key").drop("lev_bk"), t.supplier)
     bought = lines.join(goods, "l_partkey").join(makers, "l_suppkey")
     pair = ["inkoopmaand", "inkoopjaar"]
     found = lookup(bought, periods(t), pair, "periode_key", dim_key=pair, null_safe=True)
-    return lookup(found, t.dim_product(), "product_bk", "product_key")
+    return lookup(found, _products(t), "product_bk", "product_key")
 
 
 def fact_purchase(t: Tables) -> DataFrame:
@@ -109,7 +116,7 @@ def maintenance_with_keys(t: Tables) -> DataFrame:
         F.date_format(end, "HH:mm:ss").alias("eindtijd"),
         business_key(F.lit("fiets"), "user_id").alias("product_bk"),
     )
-    return lookup(visits.join(_people(t), "monteurnr"), t.dim_product(), "product_bk", "product_key")
+    return lookup(visits.join(_people(t), "monteurnr"), _products(t), "product_bk", "product_key")
 
 
 def fact_maintenance(t: Tables) -> DataFrame:

@@ -36,11 +36,14 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = prepare(spark)
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_table(self.spark, self.folder, name)
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, self.folder, name)
+        return self._read[name]
 
     # staging
 

@@ -24,7 +24,7 @@ from starling.operators.facts import integer_keys, lookup, new_rows, reject_miss
 from starling.operators.keys import dense_keys, first_per_key, max_key
 from starling.operators.quality import run_step
 from starling.operators.staging import conform, union_branches
-from starling.session import scratch
+from starling.session import broadcast_if_small, scratch
 from starling.sources.runlog import WAREHOUSE_COLUMNS, RunLog
 from starling.sources.store import Store
 
@@ -243,7 +243,8 @@ class WarehouseLoad:
             workers = workers.join(branches, "filiaal")
         else:
             workers = workers.withColumn("filiaal_bk", self._key("Filiaal", system, "filiaal"))
-        return self._look_up(workers, "Monteur", "Filiaal").drop("filiaal")
+        keyed = self._look_up(workers, "Monteur", "Filiaal").drop("filiaal", "monteur_bk", "filiaal_bk")
+        return broadcast_if_small(keyed, self._staged(f"{system}_Monteur"))
 
     def _sales(self, system: str, number: int) -> DataFrame:
         kind = "accessoire" if is_accessory(system) else "fiets"
@@ -255,7 +256,8 @@ class WarehouseLoad:
         if self.natural:
             customers = self._staged(f"{system}_Klant").select(
                 F.col("klantnr").alias("klant"), business_key("naam", "geboortedatum").alias("klant_bk"))
-            sold = sold.join(self._look_up(customers, "Klant"), "klant")
+            keyed = self._look_up(customers, "Klant").drop("klant_bk")
+            sold = sold.join(broadcast_if_small(keyed, self._staged(f"{system}_Klant")), "klant")
         else:
             sold = self._look_up(sold.withColumn("klant_bk", self._key("Klant", system, "klant")), "Klant")
         return sold.join(self._people(system).drop("uurloon"), "monteur")
@@ -303,7 +305,8 @@ class WarehouseLoad:
         if self.natural:
             makers = self._maker(system).select(
                 F.col("leveranciernr").alias("maker"), business_key("naam", "adres").alias("lev_bk"))
-            bought = bought.join(self._look_up(makers, "Leverancier"), "maker")
+            keyed = self._look_up(makers, "Leverancier").drop("lev_bk")
+            bought = bought.join(broadcast_if_small(keyed, makers), "maker")
         else:
             named = bought.withColumn("lev_bk", self._key("Leverancier", system, "maker"))
             bought = self._look_up(named, "Leverancier")

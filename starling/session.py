@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starling.sources import files
 
@@ -59,6 +61,22 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# largest join side sent to every executor, as rows times a generous row width
+BROADCAST_BYTES = 64 * 2**20
+
+
+def broadcast_if_small(df: DataFrame, base: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a join side that has at most one row per row of ``base``, if that bounds its size.
+
+    ``base`` is a stored table, so its row count comes from file footers. Joins
+    inflate the optimizer's own estimate, which would shuffle the facts for a
+    side of a few rows. Above the bound the side stays without hint and is
+    shuffled, where a hot key gets split.
+    """
+    width = sum(64 if isinstance(f.dataType, T.StringType) else 8 for f in df.schema.fields)
+    return F.broadcast(df) if base.count() * width <= max_bytes else df
+
+
 def stage(df: DataFrame, spread: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
