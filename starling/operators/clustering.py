@@ -58,9 +58,20 @@ def _spread_start(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray
 
 
 def starting_rows(df: DataFrame, row_id: str, columns: Sequence[str], rows: int, seed: int) -> np.ndarray:
-    """A seeded set of rows to draw first centres from: the lowest hashes of the id."""
-    hashed = df.select(mixed([row_id], seed).alias("_h"), F.col(row_id).alias("_id"), *[F.col(f"`{c}`") for c in columns])
-    return hashed.orderBy("_h", "_id").limit(rows).drop("_h", "_id").toPandas().to_numpy(dtype=float)
+    """A seeded set of rows to draw first centres from: the lowest hashes of the id.
+
+    A bound on the hash thins the rows inside the scan to a few times the wanted
+    number, so the final sort is small however many partitions there are.
+    """
+    hashed = df.select(
+        mixed([row_id], seed).alias("_h"), F.col(row_id).alias("_id"), *[F.col(f"`{c}`") for c in columns]
+    )
+    total = df.count()
+    lowest = lambda part: part.orderBy("_h", "_id").limit(rows).drop("_h", "_id").toPandas()
+    found = lowest(hashed.filter(F.col("_h") < int(min(1.0, 4 * rows / max(total, 1)) * 2**31)))
+    if len(found) < min(rows, total):
+        found = lowest(hashed)
+    return found.to_numpy(dtype=float)
 
 
 def fit_kmeans(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starling.functions.columns import all_of, any_null
 from starling.functions.dates import duration_seconds
+from starling.session import fits_broadcast
 
 
 def lookup(
@@ -46,9 +47,19 @@ def integer_keys(fact: DataFrame, names: Sequence[str]) -> DataFrame:
     return fact.withColumns({c: F.col(c).cast("long") for c in names})
 
 
-def new_rows(fact: DataFrame, existing: DataFrame, grain: Sequence[str]) -> DataFrame:
-    """Rows whose grain columns are not in the fact table yet."""
-    return fact.join(existing.select(*grain), list(grain), "left_anti")
+def new_rows(
+    fact: DataFrame, existing: DataFrame, grain: Sequence[str], batch: DataFrame | None = None
+) -> DataFrame:
+    """Rows whose grain columns are not in the fact table yet.
+
+    ``batch`` is the stored table the rows come from. When its keys are few, they
+    are sent to the history, which then needs no shuffle: only the keys both
+    sides hold remain for the anti join.
+    """
+    known = existing.select(*grain)
+    if batch is not None and fits_broadcast(fact.select(*grain), batch):
+        known = known.join(F.broadcast(fact.select(*grain)), list(grain), "left_semi")
+    return fact.join(known, list(grain), "left_anti")
 
 
 def known_dates(fact: DataFrame, dates: DataFrame) -> DataFrame:

@@ -38,7 +38,8 @@ def dense_keys(
     ``key`` must be unique in ``df``. No window spans the whole input: rows are
     ranked inside 16^digits digest buckets and shifted by the running size of
     the buckets before, a table of at most 16^digits rows, which bounds both the
-    one-partition running sum and the broadcast.
+    one-partition running sum and the broadcast. ``df`` is read twice, the first
+    time for its key columns only; stage it when it is costly to compute.
     """
     if not 1 <= digits <= 4:
         raise ValueError("digits must be 1 to 4")

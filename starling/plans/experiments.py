@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -230,6 +231,34 @@ def tree_grid(df: DataFrame, grid: Sequence[TreeConfig], label: str = "garage")
     return rank(spark.createDataFrame(settings, schema), "f1", descending=True)
 
 
+def leak_check(df: DataFrame, seed: int = 42) -> DataFrame:
+    """Many-class trees with and without the target among the features, weighted metrics.
+
+    With it, every score is perfect: a check on the evaluation and not a model to keep.
+    """
+    graded = df.withColumn("grade", F.ceil(F.col("quality") / 5).cast("double"))
+    train, test = _split(stage(graded.select(ROW_ID, "grade", "area", "built", "lot"), ROW_ID))
+    results = []
+    for used in (("grade", "area", "built"), ("area", "built", "lot")):
+        model = tree.grow(train, used, "grade", 5, 1, "gini", None, seed)
+        scored = model.transform(VectorAssembler(inputCols=list(used), outputCol="features").transform(test))
+        pairs = metrics.pair_counts(scored, "grade", "prediction")
+        hit = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("aantal")).otherwise(0)) / F.sum("aantal")
+        accuracy = pairs.agg(hit.alias("accuracy"))
+        results.append(metrics.weighted_metrics(pairs).select(
+            F.lit(", ".join(used)).alias("features"), F.lit("grade" in used).alias("leak"),
+            accuracy.scalar().alias("accuracy"), "precision", "recall", "f1",
+        ))
+    return results[0].unionByName(results[1])
+
+
+def line_fit(df: DataFrame, feature: str, target: str) -> DataFrame:
+    """Intercept and slope of the unpenalised line, from one pass of product sums."""
+    xx, xy, _ = regression.gram(df, [feature], target).system([feature])
+    intercept, slope = (float(v) for v in np.linalg.solve(xx, xy))
+    return df.sparkSession.createDataFrame([(intercept, slope)], "intercept double, slope double")
+
+
 def binary_scores(pairs: Sequence[tuple[int, int, int]]) -> tuple[float, float, float, float]:
     """Accuracy, precision, recall and F1 from (label, prediction, count) triples."""
     cell = {(label, guess): n for label, guess, n in pairs}

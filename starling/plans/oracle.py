@@ -356,6 +356,8 @@ ORACLES: dict[str, str] = {
           round(sum(2 * h / (s + g) * s) / sum(s), 6) AS f1 FROM per""",
     "confusion": f"""WITH {FLAGS} SELECT y AS label, count(*) FILTER (p = 'A') AS "pred_A",
         count(*) FILTER (p = 'N') AS "pred_N", count(*) FILTER (p = 'R') AS "pred_R" FROM flags GROUP BY 1""",
+    "reg_line": """SELECT round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept,
+        round(regr_slope(l_extendedprice, l_quantity), 4) AS slope FROM lineitem""",
     "cluster_sizes": "SELECT label AS cluster, count(*) AS aantal FROM embeddings GROUP BY 1",
     "silhouette_small": f"WITH {PLAIN} SELECT id, cluster, round(silhouette, 6) AS silhouette FROM scored",
     "silhouette_mean": f"WITH {PLAIN} SELECT round(avg(silhouette), 6) AS silhouette FROM scored",

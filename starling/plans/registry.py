@@ -531,6 +531,17 @@ def reg_optimum(t: Tables) -> DataFrame:
     return grids.optimum_coefficients(grids.profile(t), grids.REGRESSION_GRID[4])
 
 
+@query
+def reg_line(t: Tables) -> DataFrame:
+    found = grids.line_fit(t.lineitem, "l_quantity", "l_extendedprice")
+    return found.select(F.round("intercept", 4).alias("intercept"), F.round("slope", 4).alias("slope"))
+
+
+@query
+def tree_leak(t: Tables) -> DataFrame:
+    return grids.leak_check(grids.profile(t))
+
+
 @query
 def tree_grid(t: Tables) -> DataFrame:
     return grids.tree_grid(grids.profile(t), grids.TREE_GRID)

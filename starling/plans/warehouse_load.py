@@ -272,7 +272,8 @@ class WarehouseLoad:
         skipped = delivered - complete.count()
         existing = self._existing(table)
         before = 0 if self.refresh else existing.count()
-        fresh = complete if self.refresh else new_rows(complete, existing, grain)
+        # numbering reads its input twice; the anti join should run once
+        fresh = complete if self.refresh else stage(new_rows(complete, existing, grain, batch))
         numbered = dense_keys(fresh, grain, sk, max_key(existing, sk), digits=4)
         (self.star.publish if self.refresh else self.star.append)(table, numbered, self.log.run_id)
         after = self.star.count(table)

@@ -46,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
     if not context.master.startswith("local"):
@@ -65,16 +65,23 @@ def estimated_bytes(df: DataFrame) -> int:
 BROADCAST_BYTES = 64 * 2**20
 
 
+def fits_broadcast(df: DataFrame, base: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when one row of ``df`` per row of the stored table ``base`` stays below ``max_bytes``.
+
+    The row count of a stored table comes from its file footers.
+    """
+    width = sum(64 if isinstance(f.dataType, T.StringType) else 8 for f in df.schema.fields)
+    return base.count() * width <= max_bytes
+
+
 def broadcast_if_small(df: DataFrame, base: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast a join side that has at most one row per row of ``base``, if that bounds its size.
 
-    ``base`` is a stored table, so its row count comes from file footers. Joins
-    inflate the optimizer's own estimate, which would shuffle the facts for a
-    side of a few rows. Above the bound the side stays without hint and is
+    Joins inflate the optimizer's own estimate, which would shuffle the facts
+    for a side of a few rows. Above the bound the side stays without hint and is
     shuffled, where a hot key gets split.
     """
-    width = sum(64 if isinstance(f.dataType, T.StringType) else 8 for f in df.schema.fields)
-    return F.broadcast(df) if base.count() * width <= max_bytes else df
+    return F.broadcast(df) if fits_broadcast(df, base, max_bytes) else df
 
 
 def stage(df: DataFrame, spread: str | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starling.functions import columns as C
 from starling.functions import dates as D
+from starling import session
 from starling.operators import dims, facts, frames, keys, quality, scd, staging
 from starling.sources import files
 
@@ -199,6 +200,36 @@ def test_lookup_rejects_and_increment(spark):
     assert rows(quality.missing_keys(found, ["sk"], ["nr", "bk"])) == [(2, "zz", None), (3, None, None)]
     loaded = spark.createDataFrame([(1, "a", 10)], found.schema)
     assert rows(facts.new_rows(found, loaded, ["nr"]), "nr") == [(2,), (3,)]
+    few = facts.new_rows(found, loaded, ["nr"], batch=fact)
+    assert rows(few, "nr") == [(2,), (3,)]
+
+
+def test_few_new_rows_do_not_shuffle_the_history(spark, tmp_path):
+    spark.range(100000).select(F.col("id").alias("nr"), F.lit(1).alias("v")).write.parquet(f"{tmp_path}/history")
+    history = spark.read.parquet(f"{tmp_path}/history")
+    batch = spark.range(99990, 100010).select(F.col("id").alias("nr"))
+    fresh = facts.new_rows(batch, history, ["nr"], batch=batch)
+    assert rows(fresh) == [(i,) for i in range(100000, 100010)]
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    scan = plan.index("FileScan")
+    assert "LeftSemi" in plan[:scan] and "Exchange hashpartitioning" not in plan[plan.index("LeftSemi"):scan]
+
+
+def test_broadcast_is_bound_by_rows(spark):
+    side = spark.range(1000).select("id", F.lit("x").alias("name"))
+    assert session.fits_broadcast(side, side, max_bytes=72000) and not session.fits_broadcast(side, side, max_bytes=71999)
+    assert "UnresolvedHint" in session.broadcast_if_small(side, side)._jdf.queryExecution().logical().toString()
+    assert "Hint" not in session.broadcast_if_small(side, side, 10)._jdf.queryExecution().logical().toString()
+
+
+def test_staging_uses_the_named_folder_and_cleans_up(spark):
+    folder = session.shared_dir(spark)
+    with session.scratch(spark) as stage:
+        staged = stage(spark.range(10))
+        assert staged.count() == 10 and folder in staged.inputFiles()[0]
+        inside = len(files.list_names(spark, folder))
+    assert len(files.list_names(spark, folder)) == inside - 1
+    assert session.stage(spark.range(100), "id").rdd.getNumPartitions() > 1
 
 
 def test_null_safe_lookup(spark):
