@@ -7,6 +7,7 @@ shares the passes over them.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
@@ -169,6 +170,11 @@ def rank(results: DataFrame, metric: str, descending: bool = False) -> DataFrame
     return results.orderBy(order, "experiment")
 
 
+def combine(parts: Sequence[DataFrame], metric: str, descending: bool = False) -> DataFrame:
+    """Result tables of several grids as one ranking."""
+    return rank(reduce(DataFrame.unionByName, parts), metric, descending)
+
+
 def best(results: DataFrame, metric: str, descending: bool = False) -> DataFrame:
     return rank(results, metric, descending).limit(1)
 
@@ -187,9 +193,8 @@ def optimum_coefficients(df: DataFrame, config: SgdConfig) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
 
 
-def tree_grid(df: DataFrame, grid: Sequence[TreeConfig], label: str = "garage") -> DataFrame:
-    """Binary tree runs, best F1 first. Runs alike but for depth or split size share one grown tree."""
-    spark = df.sparkSession
+def tree_confusions(df: DataFrame, grid: Sequence[TreeConfig], label: str = "garage") -> DataFrame:
+    """Test rows by (run, label, prediction). Runs alike but for depth or split size share one grown tree."""
     target = F.when(F.col(label) == "yes", 1).when(F.col(label) == "no", 0)
     used = [c for c in df.columns if any(c in g.features for g in grid)]
     for g in grid:
@@ -215,9 +220,13 @@ def tree_grid(df: DataFrame, grid: Sequence[TreeConfig], label: str = "garage")
         grown[growth] = tree.read_tree(ready, model)
     ready.unpersist()
     runs = {g.name: (grown[g.growth()], names_of(g.features), g) for g in grid}
-    counts = tree.confusion_many(features.onehot(test, levels).select("target", *keep), columns, "target", runs)
-    by_run = {g.name: [] for g in grid}
-    for row in counts.collect():
+    return tree.confusion_many(features.onehot(test, levels).select("target", *keep), columns, "target", runs)
+
+
+def tree_grid(df: DataFrame, grid: Sequence[TreeConfig], label: str = "garage") -> DataFrame:
+    """Binary tree runs, best F1 first."""
+    by_run: dict[str, list] = {g.name: [] for g in grid}
+    for row in tree_confusions(df, grid, label).collect():
         by_run[row["run"]].append((row["label"], row["prediction"], row["aantal"]))
     settings = [
         (g.name, ", ".join(g.features), g.max_depth, g.min_samples_split, g.min_samples_leaf, g.criterion,
@@ -228,7 +237,7 @@ def tree_grid(df: DataFrame, grid: Sequence[TreeConfig], label: str = "garage")
         "experiment string, features string, max_depth int, min_samples_split int, min_samples_leaf int, "
         "criterion string, class_weight string, accuracy double, precision double, recall double, f1 double"
     )
-    return rank(spark.createDataFrame(settings, schema), "f1", descending=True)
+    return rank(df.sparkSession.createDataFrame(settings, schema), "f1", descending=True)
 
 
 def leak_check(df: DataFrame, seed: int = 42) -> DataFrame:
@@ -236,7 +245,7 @@ def leak_check(df: DataFrame, seed: int = 42) -> DataFrame:
 
     With it, every score is perfect: a check on the evaluation and not a model to keep.
     """
-    graded = df.withColumn("grade", F.ceil(F.col("quality") / 5).cast("double"))
+    graded = df.withColumn("grade", F.ceil(F.col("quality") / 10).cast("double"))
     train, test = _split(stage(graded.select(ROW_ID, "grade", "area", "built", "lot"), ROW_ID))
     results = []
     for used in (("grade", "area", "built"), ("area", "built", "lot")):

@@ -503,7 +503,7 @@ def cluster_sizes(t: Tables) -> DataFrame:
 @query
 def silhouette_small(t: Tables) -> DataFrame:
     scored = silhouette.silhouette_exact(t.embeddings, "vec_id", "embedding", "label")
-    return scored.select("id", "cluster", F.round("silhouette", 6).alias("silhouette"))
+    return scored.select("id", "cluster", F.round("silhouette", 6).alias("silhouette")).orderBy("cluster", "silhouette")
 
 
 @query
@@ -547,6 +547,13 @@ def tree_grid(t: Tables) -> DataFrame:
     return grids.tree_grid(grids.profile(t), grids.TREE_GRID)
 
 
+@query
+def tree_confusion(t: Tables) -> DataFrame:
+    """Test counts of the run with the wider minimum split, and of its cousin."""
+    chosen = [g for g in grids.TREE_GRID if g.name in ("exp 7", "exp 8")]
+    return grids.tree_confusions(grids.profile(t), chosen)
+
+
 @query
 def kmeans_grid(t: Tables) -> DataFrame:
     return grids.cluster_grid(grids.profile(t), grids.CLUSTER_GRID)

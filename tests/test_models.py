@@ -173,6 +173,11 @@ def test_leak_is_refused():
         tree.check_no_leak(["quality", "area"], "quality")
 
 
+def test_leaked_target_scores_perfectly(profile):
+    found = {r.leak: r for r in grids.leak_check(profile).collect()}
+    assert found[True].accuracy == found[True].f1 == 1.0 and found[False].accuracy < 0.5
+
+
 # clustering
 
 
@@ -214,6 +219,8 @@ def test_grids_rank_all_their_runs(profile):
     found = reg.collect()
     assert len(found) == 21 and [r.rmse for r in found] == sorted(r.rmse for r in found)
     assert grids.best(reg, "rmse").first().experiment == found[0].experiment
+    twice = grids.combine([reg, reg.limit(2)], "rmse").collect()
+    assert len(twice) == 23 and twice[0].experiment == twice[1].experiment
     trees = grids.tree_grid(profile, grids.TREE_GRID).collect()
     assert len(trees) == 22 and [r.f1 for r in trees] == sorted((r.f1 for r in trees), reverse=True)
     by_name = {r.experiment: r for r in trees}

@@ -8,7 +8,7 @@ from shop import shop, write_shop
 from starling.plans.staging_load import load_staging, load_unified
 from starling.plans.warehouse_load import WarehouseLoad
 from starling.schemas import STAGING, STAR, UNIFIED
-from starling.sources.runlog import STAGING_COLUMNS, WAREHOUSE_COLUMNS, read_log
+from starling.sources.runlog import NOTEBOOK_COLUMNS, STAGING_COLUMNS, WAREHOUSE_COLUMNS, read_log
 from starling.sources.store import Store
 
 T1, T2, T3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
@@ -124,6 +124,9 @@ def test_log_round_trip(spark, tmp_path):
     back = read_log(spark, f"{tmp_path}/log", WAREHOUSE_COLUMNS).collect()
     assert len(back) == 4
     assert {r.melding for r in back if r.stap == "SCD1"} == {'failed on "x"\n  no such table, sorry'}
+    short = RunLog("DWH", NOTEBOOK_COLUMNS, T1)
+    short.add("TEST", melding="sale added", tabel="Verkoop", actie="insert", aantal=1)
+    assert short.frame(spark).collect() == [("2024-01-01 00:00:00", "TEST", "Verkoop", "insert", 1, "OK", "sale added")]
     header = ",".join(STAGING_COLUMNS)
     line = "r,2024-01-01 00:00:00,SDM,LOAD,a,b,c,insert,1,2,3,4,OK,x"
     (tmp_path / "two.csv").write_text(f"{header}\n{line}\n{header}\n{line}\n")
