@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -34,6 +35,12 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
+def run_together(steps: Sequence[Callable[[], object]], workers: int) -> None:
+    """Run independent steps from several driver threads; their jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        list(pool.map(lambda step: step(), steps))
+
+
 def run_step(step: Callable[[], None], on_error: Callable[[Exception], None]) -> bool:
     """Run one load step; a failure is handed over and the run goes on."""
     try:

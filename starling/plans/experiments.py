@@ -30,7 +30,7 @@ ALL_TEN = ("garage", "quality", "area", "basement", "lot", "built", "baths", "be
 EIGHT = ("quality", "area", "basement", "built", "baths", "lot", "bedrooms", "district")
 NUMBERS = ("quality", "area", "basement", "built", "baths", "lot")
 
-# fixed values: the experiment settings
+# fixed values: the regression runs
 REGRESSION_GRID: list[SgdConfig] = [
     SgdConfig("initial", BASE, 1000, 0.01, "invscaling"),
     SgdConfig("exp 1", BASE, 2000, 0.005, "adaptive"),
@@ -54,6 +54,7 @@ REGRESSION_GRID: list[SgdConfig] = [
     ],
 ]
 
+# fixed values: the tree runs
 _SIX = (*BASE, "built", "baths", "lot")
 TREE_GRID: list[TreeConfig] = [
     TreeConfig("exp 1", BASE),
@@ -80,6 +81,7 @@ TREE_GRID: list[TreeConfig] = [
     TreeConfig("exp 22", BASE, 7, 20, 5),
 ]
 
+# fixed values: the cluster runs
 _PAIR = ("area", "quality")
 _WIDE = ("area", "quality", "built", "lot", "baths", "district")
 CLUSTER_GRID: list[KMeansConfig] = [

@@ -6,9 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from starling.operators.quality import run_step
+from starling.operators.quality import run_step, run_together
 from starling.operators.staging import align, consolidate
-from starling.schemas import SOURCES, STAGING, UNIFIED, UNIFIED_SOURCES
+from starling.schemas import SOURCES, UNIFIED_SOURCES
 from starling.sources.files import exists, read_table
 from starling.sources.runlog import STAGING_COLUMNS, RunLog
 from starling.sources.store import Store
@@ -25,7 +25,29 @@ def _final_counts(store: Store, log: RunLog) -> None:
             "EINDCONTROLE", "ERROR", str(e), doel_tabel=target, actie="count"))
 
 
-def load_staging(spark: SparkSession, folders: dict[str, str], store: Store, run_ts: datetime) -> RunLog:
+def _refresh(spark: SparkSession, folder: str, name: str, target: str, store: Store, log: RunLog) -> None:
+    where = {"bron_database": folder, "bron_tabel": name, "doel_tabel": target}
+    if not exists(spark, f"{folder}/{name}.parquet"):
+        log.add("EXTRACT", "ERROR", "brontabel bestaat niet", actie="select", **where)
+        return
+
+    def load() -> None:
+        raw = read_table(spark, folder, name)
+        before, delivered = store.count(target), raw.count()
+        log.add("RESET", doel_tabel=target, actie="delete", aantal_doel_voor=before, aantal_verwerkt=before)
+        store.publish(target, align(raw, store.schemas[target]), log.run_id)
+        after = store.count(target)
+        fits = after == delivered
+        log.add("LOAD", "OK" if fits else "WARNING",
+                "aantal geladen rijen klopt" if fits else "aantal geladen rijen wijkt af", actie="insert",
+                aantal_bron=delivered, aantal_verwerkt=after, aantal_doel_na=after, **where)
+
+    run_step(load, lambda e: log.add("LOAD", "ERROR", str(e), actie="insert", **where))
+
+
+def load_staging(
+    spark: SparkSession, folders: dict[str, str], store: Store, run_ts: datetime, workers: int = 4
+) -> RunLog:
     """Full refresh of every staging table from its source folder of Parquet tables.
 
     A missing source or table is logged and skipped. A table becomes visible
@@ -33,49 +55,42 @@ def load_staging(spark: SparkSession, folders: dict[str, str], store: Store, run
     """
     log = RunLog("SDM", STAGING_COLUMNS, run_ts)
     log.add("START", melding="SDM pipeline gestart", actie="start_pipeline")
-    for source, tables in SOURCES.items():
-        folder = folders.get(source, "")
-        if not folder or not exists(spark, folder):
-            log.add("CONNECT", "ERROR", "bronbestand bestaat niet", bron_database=folder or source, actie="open_database")
-            continue
-        for name, target in tables:
-            where = {"bron_database": folder, "bron_tabel": name, "doel_tabel": target}
-            if not exists(spark, f"{folder}/{name}.parquet"):
-                log.add("EXTRACT", "ERROR", "brontabel bestaat niet", actie="select", **where)
-                continue
-
-            def load(name: str = name, target: str = target, where: dict = where, folder: str = folder) -> None:
-                raw = read_table(spark, folder, name)
-                before, delivered = store.count(target), raw.count()
-                log.add("RESET", doel_tabel=target, actie="delete", aantal_doel_voor=before, aantal_verwerkt=before)
-                store.publish(target, align(raw, STAGING[target]), log.run_id)
-                after = store.count(target)
-                fits = after == delivered
-                log.add("LOAD", "OK" if fits else "WARNING",
-                        "aantal geladen rijen klopt" if fits else "aantal geladen rijen wijkt af", actie="insert",
-                        aantal_bron=delivered, aantal_verwerkt=after, aantal_doel_na=after, **where)
-
-            run_step(load, lambda e, where=where: log.add("LOAD", "ERROR", str(e), actie="insert", **where))
+    present = {s: f for s, f in folders.items() if exists(spark, f)}
+    for source in SOURCES:
+        if source not in present:
+            log.add("CONNECT", "ERROR", "bronbestand bestaat niet", bron_database=folders.get(source, source),
+                    actie="open_database")
+    loads = [(present[s], name, target) for s, tables in SOURCES.items() if s in present for name, target in tables]
+    start = len(log.rows)
+    run_together([lambda one=one: _refresh(spark, *one, store, log) for one in loads], workers)
+    log.sort_since(start, "doel_tabel", [target for _, _, target in loads])
     _final_counts(store, log)
     log.add("EINDE", melding="SDM pipeline afgerond", actie="end_pipeline")
     return log
 
 
-def load_unified(spark: SparkSession, folders: dict[str, str], store: Store, run_ts: datetime) -> RunLog:
+def load_unified(
+    spark: SparkSession, folders: dict[str, str], store: Store, run_ts: datetime, workers: int = 4
+) -> RunLog:
     """Add new keys to one shared table per entity, the first source winning."""
     log = RunLog("SDM", STAGING_COLUMNS, run_ts)
-    for target, (key, systems) in UNIFIED_SOURCES.items():
-        def load(target: str = target, key: str = key, systems: list[str] = systems) -> None:
-            found = [f"{folders[s]}/{target}.parquet" for s in systems if s in folders]
-            frames = [align(spark.read.parquet(p), UNIFIED[target]) for p in found if exists(spark, p)]
-            if not frames:
-                raise FileNotFoundError(f"geen bron voor {target}")
-            before = store.count(target)
-            store.append(target, consolidate(frames, store.read(target), [key]), log.run_id)
-            after = store.count(target)
-            log.add("LOAD", doel_tabel=target, actie="insert", aantal_bron=sum(f.count() for f in frames),
-                    aantal_doel_voor=before, aantal_verwerkt=after - before, aantal_doel_na=after)
-
-        run_step(load, lambda e, target=target: log.add("LOAD", "ERROR", str(e), doel_tabel=target, actie="insert"))
+
+    def load(target: str, key: str, systems: list[str]) -> None:
+        found = [f"{folders[s]}/{target}.parquet" for s in systems if s in folders]
+        frames = [align(spark.read.parquet(p), store.schemas[target]) for p in found if exists(spark, p)]
+        if not frames:
+            raise FileNotFoundError(f"geen bron voor {target}")
+        before = store.count(target)
+        store.append(target, consolidate(frames, store.read(target), [key]), log.run_id)
+        after = store.count(target)
+        log.add("LOAD", doel_tabel=target, actie="insert", aantal_bron=sum(f.count() for f in frames),
+                aantal_doel_voor=before, aantal_verwerkt=after - before, aantal_doel_na=after)
+
+    def isolated(target: str, key: str, systems: list[str]) -> None:
+        run_step(lambda: load(target, key, systems),
+                 lambda e: log.add("LOAD", "ERROR", str(e), doel_tabel=target, actie="insert"))
+
+    run_together([lambda t=t, ks=ks: isolated(t, *ks) for t, ks in UNIFIED_SOURCES.items()], workers)
+    log.sort_since(0, "doel_tabel", list(UNIFIED_SOURCES))
     _final_counts(store, log)
     return log

@@ -22,7 +22,7 @@ from starling.operators import scd
 from starling.operators.dims import date_dim, period_dim
 from starling.operators.facts import integer_keys, lookup, new_rows, reject_missing
 from starling.operators.keys import dense_keys, first_per_key, max_key
-from starling.operators.quality import run_step
+from starling.operators.quality import run_step, run_together
 from starling.operators.staging import conform, union_branches
 from starling.session import broadcast_if_small, scratch
 from starling.sources.runlog import WAREHOUSE_COLUMNS, RunLog
@@ -325,27 +325,34 @@ class WarehouseLoad:
 
     # the run
 
-    def steps(self) -> list[tuple[str, str, Callable[[Stage], None]]]:
-        """(log step, table, work) in dependency order."""
+    def steps(self) -> list[list[tuple[str, str, Callable[[Stage], None]]]]:
+        """(log step, table, work) in two groups: dimensions, then the facts that need them."""
         merge = lambda name, extract: (f"SCD{DIMENSIONS[name].kind}", name,
                                        lambda stage: self._merge(DIMENSIONS[name], extract(), stage))
-        return [
+        dimensions = [
             merge("Klant", self.klant), merge("Product", self.product), merge("Leverancier", self.leverancier),
             ("DIM", "Datum", self.datum), ("DIM", "InkoopPeriode", self.periode),
             merge("Monteur", self.monteur), merge("Filiaal", self.filiaal),
-            ("FACT", "Verkoop", self.verkoop), ("FACT", "Onderhoud", self.onderhoud), ("FACT", "Inkoop", self.inkoop),
         ]
+        facts = [
+            ("FACT", "Verkoop", self.verkoop), ("FACT", "Onderhoud", self.onderhoud), ("FACT", "Inkoop", self.inkoop)
+        ]
+        return [dimensions, facts]
+
+    def _isolated(self, step: str, table: str, work: Callable[[Stage], None]) -> None:
+        def staged() -> None:
+            with scratch(self.spark) as stage:
+                work(stage)
 
-    def run(self) -> RunLog:
+        run_step(staged, lambda e: self.log.add(step, "ERROR", str(e), tabel=table, actie="load", aantal_error=1))
+
+    def run(self, workers: int = 4) -> RunLog:
         """Every step stands alone: a failed one is logged and leaves its table as it was."""
         self.log.add("START", melding="DWH pipeline gestart", actie="start_pipeline")
-        for step, table, work in self.steps():
-            def isolated(work: Callable[[Stage], None] = work) -> None:
-                with scratch(self.spark) as stage:
-                    work(stage)
-
-            run_step(isolated, lambda e, step=step, table=table: self.log.add(
-                step, "ERROR", str(e), tabel=table, actie="load", aantal_error=1))
+        for group in self.steps():
+            start = len(self.log.rows)
+            run_together([lambda s=s: self._isolated(*s) for s in group], workers)
+            self.log.sort_since(start, "tabel", [table for _, table, _ in group])
         for table in self.star.schemas:
             rows = self.star.count(table)
             self.log.add("EINDCONTROLE", "OK" if rows else "WARNING",

@@ -56,7 +56,7 @@ STAGING: dict[str, T.StructType] = {
     }.items()
 }
 
-# source system -> (source table, staging table), parents before children
+# fixed values: source system -> (source table, staging table), parents before children
 SOURCES: dict[str, list[tuple[str, str]]] = {
     "Onderhoud": [
         ("Fabrikant", "Onderhoud_Fabrikant"), ("Filiaal", "Onderhoud_Filiaal"), ("Fiets", "Onderhoud_Fiets"),
@@ -80,7 +80,7 @@ SOURCES: dict[str, list[tuple[str, str]]] = {
     ],
 }
 
-# shared staging table -> (key, source systems in order of precedence)
+# fixed values: shared staging table -> (key, source systems in order of precedence)
 UNIFIED_SOURCES: dict[str, tuple[str, list[str]]] = {
     "Filiaal": ("filiaalnr", ["Accessoire_Verkoop", "Fiets_Verkoop", "Onderhoud"]),
     "Klant": ("klantnr", ["Accessoire_Verkoop", "Fiets_Verkoop"]),

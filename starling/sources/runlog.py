@@ -41,6 +41,11 @@ class RunLog:
         row.update(values, stap=stap, status=status, melding=melding)
         self.rows.append({c: row[c] for c in self.columns})
 
+    def sort_since(self, start: int, column: str, order: list[str]) -> None:
+        """Put the rows of steps that ran side by side into a fixed order."""
+        place = {value: i for i, value in enumerate(order)}
+        self.rows[start:] = sorted(self.rows[start:], key=lambda r: place.get(r[column], -1))
+
     def frame(self, spark: SparkSession) -> DataFrame:
         rows = [tuple(r[c] for c in self.columns) for r in self.rows]
         return spark.createDataFrame(rows, log_schema(self.columns))
