@@ -14,6 +14,16 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def named(name: str) -> Column:
+    """A column by its exact name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def numbered(names: Sequence[str]) -> list[Column]:
+    """Columns as doubles ``x0, x1, ...``: names that feature assemblers accept."""
+    return [named(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)]
+
+
 def business_key(*parts: str | Column) -> Column:
     """Natural attributes joined by ``_``; a missing part reads ``None``, so a key is never NULL."""
     texts = [F.coalesce(col_of(p).cast("string"), F.lit("None")) for p in parts]

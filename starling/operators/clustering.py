@@ -12,13 +12,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starling.functions.columns import numbered
 from starling.operators.features import mixed
 from starling.operators.silhouette import squared_means
+from starling.operators.tree import assemble
 
 
 @dataclass(frozen=True)
@@ -63,9 +65,7 @@ def starting_rows(df: DataFrame, row_id: str, columns: Sequence[str], rows: int,
     A bound on the hash thins the rows inside the scan to a few times the wanted
     number, so the final sort is small however many partitions there are.
     """
-    hashed = df.select(
-        mixed([row_id], seed).alias("_h"), F.col(row_id).alias("_id"), *[F.col(f"`{c}`") for c in columns]
-    )
+    hashed = df.select(mixed([row_id], seed).alias("_h"), F.col(row_id).alias("_id"), *numbered(columns))
     total = df.count()
     lowest = lambda part: part.orderBy("_h", "_id").limit(rows).drop("_h", "_id").toPandas()
     found = lowest(hashed.filter(F.col("_h") < int(min(1.0, 4 * rows / max(total, 1)) * 2**31)))
@@ -99,7 +99,7 @@ def fit_kmeans(
         if len(rows) < k:
             raise ValueError(f"{len(rows)} rows cannot form {k} clusters")
         centres[run] = _spread_start(rows, k, np.random.default_rng([seed, restart, k]))
-    slim = df.select(*[F.col(f"`{c}`").cast("double") for c in columns])
+    slim = df.select(*numbered(columns))
     inertia: dict[tuple, float] = {}
     moving = set(centres)
     for step in range(max_iter + 1):
@@ -158,7 +158,7 @@ def mean_silhouettes(df: DataFrame, models: dict[str, Clustering]) -> dict[str,
     """Mean squared-distance silhouette of many clusterings, in two passes for all of them."""
     columns = sorted({c for m in models.values() for c in m.columns})
     where = {c: i for i, c in enumerate(columns)}
-    slim = df.select(*[F.col(f"`{c}`").cast("double") for c in columns])
+    slim = df.select(*numbered(columns))
     runs = {name: ([where[c] for c in m.columns], m.centres) for name, m in models.items()}
     totals = {}
     for name, (counts, sums, _, norms) in _assign_sums(slim, runs, with_norms=True).items():
@@ -191,7 +191,7 @@ def assign(df: DataFrame, row_id: str, model: Clustering, keep: Sequence[str] =
             x = np.stack(pdf["features"].to_numpy()) if len(pdf) else np.zeros((0, width))
             yield pdf.assign(cluster=_nearest(x, centres)[0].astype("int32"))
 
-    features = F.array(*[F.col(f"`{c}`").cast("double") for c in model.columns]).alias("features")
+    features = F.array(*numbered(model.columns)).alias("features")
     slim = df.select(F.col(row_id), *keep, features)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields)
     return slim.mapInPandas(label, f"{fields}, cluster int")
@@ -202,7 +202,7 @@ def principal_components(df: DataFrame, row_id: str, columns: Sequence[str], k:
 
     A component's sign is arbitrary; its largest loading is made positive.
     """
-    data = VectorAssembler(inputCols=list(columns), outputCol="features").transform(df).select(row_id, "features")
+    data = assemble(df, columns, F.col(row_id))
     model = PCA(k=k, inputCol="features", outputCol="scores").fit(data)
     loadings = model.pc.toArray()
     signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(k)])

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starling.functions.columns import named
+
 # fixed values: prime modulus and multiplier of the mixing step
 _PRIME = 2147483647
 _MULTIPLIER = 48271
@@ -33,10 +35,15 @@ def split_hash(df: DataFrame, ids: Sequence[str], seed: int = 42, test_percent:
 
 
 def _long(df: DataFrame, columns: Sequence[str], dtype: str) -> DataFrame:
-    cells = [F.struct(F.lit(c).alias("feature"), F.col(c).cast(dtype).alias("value")) for c in columns]
+    cells = [F.struct(F.lit(c).alias("feature"), named(c).cast(dtype).alias("value")) for c in columns]
     return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").filter("value IS NOT NULL")
 
 
+def _number(name: str) -> Column:
+    """Double value; NaN counts as missing."""
+    return F.nanvl(named(name).cast("double"), F.lit(None).cast("double"))
+
+
 def fit_medians(df: DataFrame, columns: Sequence[str], bins: int = 256) -> dict[str, float | None]:
     """Exact medians without gathering a column.
 
@@ -49,9 +56,9 @@ def fit_medians(df: DataFrame, columns: Sequence[str], bins: int = 256) -> dict[
     if not columns:
         return {}
     stats = df.agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(F.col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(columns)],
+        *[F.count(_number(c)).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.min(_number(c)).alias(f"lo{i}") for i, c in enumerate(columns)],
+        *[F.max(_number(c)).alias(f"hi{i}") for i, c in enumerate(columns)],
     ).first()
     found: dict[tuple[str, int], float] = {}
     # one search per wanted rank: (column, rank) -> (low, high, rows below low)
@@ -85,7 +92,7 @@ def fit_medians(df: DataFrame, columns: Sequence[str], bins: int = 256) -> dict[
 def _histogram(df: DataFrame, brackets: Sequence[tuple[str, float, float]], bins: int) -> dict:
     cells = []
     for i, (c, low, high) in enumerate(brackets):
-        value = F.col(c).cast("double")
+        value = _number(c)
         place = F.least(F.floor((value - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")
         inside = value.between(low, high)
         cells.append(F.when(inside, F.struct(F.lit(i).alias("bracket"), place.alias("bin"), value.alias("value"))))
@@ -115,13 +122,13 @@ def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
 
 
 def impute(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    fills = {c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in values.items()}
+    fills = {c: F.coalesce(named(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in values.items()}
     return df.withColumns(fills)
 
 
 def impute_medians(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
     """Fill numeric columns; they become double because a median may lie between two values."""
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in medians.items()})
+    return df.withColumns({c: F.coalesce(_number(c), F.lit(v)) for c, v in medians.items()})
 
 
 def fit_scaler(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -129,15 +136,15 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float,
     if not columns:
         return {}
     row = df.agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[F.avg(named(c)).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[F.stddev_pop(named(c)).alias(f"s{i}") for i, c in enumerate(columns)],
     ).first()
     return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}
 
 
 def scale(df: DataFrame, params: Mapping[str, tuple[float, float]]) -> DataFrame:
     """``(x - mean) / deviation``; a constant column becomes 0."""
-    rule = lambda c, m, s: (F.col(c) - F.lit(m)) / F.lit(s) if s else F.col(c) * 0.0
+    rule = lambda c, m, s: (named(c) - F.lit(m)) / F.lit(s) if s else named(c) * 0.0
     return df.withColumns({c: rule(c, m, s) for c, (m, s) in params.items()})
 
 
@@ -160,7 +167,7 @@ def onehot(df: DataFrame, levels: Mapping[str, Sequence[str]], drop_first: bool
     out = {}
     for c, values in levels.items():
         for level in values[1:] if drop_first else values:
-            out[f"{c}={level}"] = F.coalesce((F.col(c) == level).cast("double"), F.lit(0.0))
+            out[f"{c}={level}"] = F.coalesce((named(c) == level).cast("double"), F.lit(0.0))
     return df.withColumns(out)
 
 
@@ -195,7 +202,7 @@ class Prepared:
     def transform(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         filled = impute(impute_medians(df, self.medians), self.modes)
         ready = onehot(scale(filled, self.numeric), self.levels)
-        return ready.select(*keep, *[F.col(f"`{c}`") for c in self.columns([*self.numeric, *self.levels])])
+        return ready.select(*keep, *[named(c) for c in self.columns([*self.numeric, *self.levels])])
 
 
 def fit_preprocessing(train: DataFrame, numeric: Sequence[str], categories: Sequence[str]) -> Prepared:

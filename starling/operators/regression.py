@@ -13,11 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starling.functions.columns import numbered
+from starling.operators.tree import assemble
+
 
 @dataclass(frozen=True)
 class Gram:
@@ -49,7 +51,7 @@ def gram(df: DataFrame, columns: Sequence[str], target: str) -> Gram:
         i, j = np.indices((width, width))
         yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "total": total.ravel()})
 
-    slim = df.select(*[F.col(f"`{c}`").cast("double") for c in columns], F.col(f"`{target}`").cast("double"))
+    slim = df.select(*numbered(columns), F.col(target).cast("double"))
     cells = slim.mapInPandas(partial, "i int, j int, total double").groupBy("i", "j").agg(F.sum("total").alias("t"))
     products = np.zeros((width, width))
     for row in cells.collect():
@@ -137,8 +139,7 @@ def fit_optimum(df: DataFrame, columns: Sequence[str], target: str, alpha: float
     """
     sigma = df.agg(F.stddev_pop(target)).first()[0]
     strength = alpha * share + alpha * (1 - share) * sigma
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
-    data = assembler.transform(df).select("features", F.col(target).alias("label"))
+    data = assemble(df, columns, F.col(target).alias("label"))
     return LinearRegression(
         regParam=strength,
         elasticNetParam=alpha * share / strength if strength else 0.0,
@@ -171,7 +172,7 @@ def score_many(
             })
 
     schema = "run string, n long, absolute double, square double, y_sum double, y_spread double"
-    slim = df.select(*[F.col(f"`{c}`").cast("double") for c in columns], F.col(f"`{target}`").cast("double"))
+    slim = df.select(*numbered(columns), F.col(target).cast("double"))
     parts = slim.mapInPandas(partial, schema).filter("n > 0")
     # total spread = spread inside the parts + spread of their means, without cancellation
     sums = parts.groupBy("run").agg(

@@ -80,7 +80,7 @@ def silhouette_squared(df: DataFrame, row_id: str, features: str, cluster: str)
     return _value(scored).select("id", "cluster", "silhouette")
 
 
-def silhouette_exact(df: DataFrame, row_id: str, features: str, cluster: str, block_rows: int = 2000) -> DataFrame:
+def silhouette_exact(df: DataFrame, row_id: str, features: str, cluster: str, block_rows: int = 10000) -> DataFrame:
     """Silhouette per row on plain distances, exact.
 
     Every row must meet every other, so the work is quadratic. Rows are spread
@@ -92,7 +92,10 @@ def silhouette_exact(df: DataFrame, row_id: str, features: str, cluster: str, bl
         F.col(row_id).alias("id"), F.col(cluster).cast("int").alias("cluster"),
         F.col(features).cast("array<double>").alias("x"),
     )
-    blocks = max(1, -(-slim.count() // block_rows))
+    rows = slim.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    # few rows still make a group per core
+    blocks = max(1, -(-rows // block_rows), min(rows, int(cores**0.5 + 1)))
     placed = slim.withColumn("home", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     every = F.sequence(F.lit(0), F.lit(blocks - 1))
     left = placed.withColumn("other", F.explode(every))

@@ -10,9 +10,10 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starling.functions.columns import numbered
 from starling.session import shared_dir
 from starling.sources.files import delete
 
@@ -65,13 +66,19 @@ class Tree:
         return self.label[at]
 
 
+def assemble(df: DataFrame, columns: Sequence[str], *keep: Column) -> DataFrame:
+    """``features`` vector of the given columns, beside ``keep``."""
+    inputs = [f"x{i}" for i in range(len(columns))]
+    plain = df.select(*numbered(columns), *keep)
+    return VectorAssembler(inputCols=inputs, outputCol="features").transform(plain).drop(*inputs)
+
+
 def grow(
     df: DataFrame, columns: Sequence[str], label: str, max_depth: int | None, min_leaf: int,
     criterion: str, weight: str | None, seed: int = 42, max_bins: int = 256,
 ) -> DecisionTreeClassificationModel:
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
     keep = [F.col(label).cast("double").alias("label"), *([F.col(weight).alias("weight")] if weight else [])]
-    data = assembler.transform(df).select("features", *keep)
+    data = assemble(df, columns, *keep)
     estimator = DecisionTreeClassifier(
         maxDepth=MAX_DEPTH if max_depth is None else min(max_depth, MAX_DEPTH),
         minInstancesPerNode=min_leaf, impurity=criterion, seed=seed, maxBins=max_bins,
@@ -124,7 +131,7 @@ def confusion_many(
                 counts = pd.DataFrame({"label": y, "prediction": predicted}).value_counts()
                 yield counts.rename("aantal").reset_index().assign(run=name)[["run", "label", "prediction", "aantal"]]
 
-    slim = df.select(*[F.col(f"`{c}`").cast("double") for c in columns], F.col(f"`{label}`").cast("double"))
+    slim = df.select(*numbered(columns), F.col(label).cast("double"))
     parts = slim.mapInPandas(partial, "run string, label int, prediction int, aantal long")
     return parts.groupBy("run", "label", "prediction").agg(F.sum("aantal").alias("aantal"))
 

@@ -10,10 +10,10 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starling.functions.columns import named
 from starling.operators import clustering, features, metrics, regression, tree
 from starling.operators.clustering import KMeansConfig
 from starling.operators.frames import numeric_columns, other_columns
@@ -208,7 +208,7 @@ def tree_confusions(df: DataFrame, grid: Sequence[TreeConfig], label: str = "gar
     columns = [c for f in used for c in ([f"{f}={v}" for v in levels[f]] if f in levels else [f])]
     names_of = lambda fs: [c for c in columns if c in fs or c.split("=")[0] in fs]
     encoded = features.with_class_weights(features.onehot(train, levels), "target")
-    keep = [F.col(f"`{c}`") for c in columns]
+    keep = [named(c) for c in columns]
     ready = encoded.select("target", "gewicht", *keep).persist()
     grown: dict[tuple, tree.Tree] = {}
     for growth in {g.growth(): None for g in grid}:
@@ -252,7 +252,7 @@ def leak_check(df: DataFrame, seed: int = 42) -> DataFrame:
     results = []
     for used in (("grade", "area", "built"), ("area", "built", "lot")):
         model = tree.grow(train, used, "grade", 5, 1, "gini", None, seed)
-        scored = model.transform(VectorAssembler(inputCols=list(used), outputCol="features").transform(test))
+        scored = model.transform(tree.assemble(test, used, F.col("grade")))
         pairs = metrics.pair_counts(scored, "grade", "prediction")
         hit = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("aantal")).otherwise(0)) / F.sum("aantal")
         accuracy = pairs.agg(hit.alias("accuracy"))
@@ -286,8 +286,8 @@ def cluster_inputs(df: DataFrame, used: Sequence[str]) -> tuple[DataFrame, dict[
     encoded = features.onehot(data, levels, drop_first=True)
     columns_of = {f: [f"{f}={v}" for v in levels[f][1:]] if f in levels else [f] for f in used}
     columns = [c for f in used for c in columns_of[f]]
-    plain = encoded.select(ROW_ID, *[F.col(f"`{c}`") for c in columns])
-    return stage(features.scale(plain, features.fit_scaler(plain, columns)).select(ROW_ID, *columns), ROW_ID), columns_of
+    plain = encoded.select(ROW_ID, *[named(c) for c in columns])
+    return stage(features.scale(plain, features.fit_scaler(plain, columns)), ROW_ID), columns_of
 
 
 def _columns(config: KMeansConfig, columns_of: dict[str, list[str]]) -> list[str]:

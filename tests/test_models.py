@@ -25,6 +25,8 @@ def test_median_and_mode(spark):
     df = spark.createDataFrame([(1.0, "b"), (2.0, "a"), (3.0, "b"), (10.0, "a"), (None, None)], "x double, c string")
     assert features.fit_medians(df, ["x"]) == {"x": 2.5}
     assert features.fit_modes(df, ["c"]) == {"c": "a"}
+    gaps = spark.createDataFrame([(float("nan"),), (1.0,), (4.0,), (None,)], "x double")
+    assert [r.x for r in features.impute_medians(gaps, features.fit_medians(gaps, ["x"])).collect()] == [2.5, 1, 4, 2.5]
     assert features.fit_medians(df.limit(0), ["x"]) == {"x": None} and features.fit_modes(df.limit(0), ["c"]) == {"c": None}
 
 
@@ -54,6 +56,13 @@ def test_encoding(spark):
     assert features.onehot(new, levels, drop_first=True).columns == ["c", "c=b", "c=c"]
     with pytest.raises(ValueError):
         features.fit_levels(train, ["c"], limit=2)
+    odd = spark.createDataFrame([(1.0, "St. J`s"), (2.0, "b=c"), (4.0, "b=c")], "`x.1` double, `c.1` string")
+    ready = features.fit_preprocessing(odd, ["x.1"], ["c.1"])
+    columns = ready.columns(["x.1", "c.1"])
+    coded = ready.transform(odd.withColumn("y", F.lit(1)), ["y"])
+    assert coded.columns == ["y", *columns] == ["y", "x.1", "c.1=St. J`s", "c.1=b=c"]
+    assert tree.assemble(coded, columns, F.col("y")).count() == 3
+    assert regression.gram(coded, columns, "y").rows == 3
 
 
 def test_split_is_stable_and_near_the_share(spark):
