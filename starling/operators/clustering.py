@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from starling.functions.columns import numbered
 from starling.operators.features import mixed
-from starling.operators.silhouette import squared_means
+from starling.operators.silhouette import cluster_totals, squared_means
 from starling.operators.tree import assemble
 
 
@@ -197,6 +197,20 @@ def assign(df: DataFrame, row_id: str, model: Clustering, keep: Sequence[str] =
     return slim.mapInPandas(label, f"{fields}, cluster int")
 
 
+def nearest_mean(df: DataFrame, row_id: str, features: str, cluster: str) -> DataFrame:
+    """One reassignment: each row's cluster and the cluster whose mean is nearest to it."""
+    rows = cluster_totals(df, features, cluster).orderBy("cluster", "position").collect()
+    labels = sorted({r["cluster"] for r in rows})
+    # the last position holds the squared norms
+    sums = np.array([[r["total"] / r["n"] for r in rows if r["cluster"] == c][:-1] for c in labels])
+    columns = [f"v{i}" for i in range(sums.shape[1])]
+    wide = df.select(row_id, cluster, *[F.col(features)[i].alias(c) for i, c in enumerate(columns)])
+    kept = wide.withColumnRenamed(cluster, "_own")
+    placed = assign(kept, row_id, Clustering(columns, sums, float("nan")), keep=["_own"])
+    named_label = F.element_at(F.array(*[F.lit(c) for c in labels]), F.col("cluster") + 1)
+    return placed.select(row_id, F.col("_own").alias(cluster), named_label.alias("nearest"))
+
+
 def principal_components(df: DataFrame, row_id: str, columns: Sequence[str], k: int = 2) -> DataFrame:
     """Coordinates on the first components of scaled (centred) columns.
 

@@ -359,6 +359,12 @@ ORACLES: dict[str, str] = {
     "reg_line": """SELECT round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept,
         round(regr_slope(l_extendedprice, l_quantity), 4) AS slope FROM lineitem""",
     "cluster_sizes": "SELECT label AS cluster, count(*) AS aantal FROM embeddings GROUP BY 1",
+    "nearest_mean": """WITH cells AS (
+          SELECT vec_id, label, unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range(len(embedding))) AS i FROM embeddings),
+        means AS (SELECT label AS nearest, i, avg(x) AS m FROM cells GROUP BY 1, 2),
+        distances AS (
+          SELECT vec_id, label, nearest, sum((x - m) * (x - m)) AS d FROM cells JOIN means USING (i) GROUP BY 1, 2, 3)
+        SELECT vec_id, label, arg_min(nearest, d) AS nearest FROM distances GROUP BY 1, 2""",
     "silhouette_small": f"WITH {PLAIN} SELECT id, cluster, round(silhouette, 6) AS silhouette FROM scored",
     "silhouette_mean": f"WITH {PLAIN} SELECT round(avg(silhouette), 6) AS silhouette FROM scored",
     "silhouette_linear": f"WITH {SQUARED} SELECT id, cluster, round(silhouette, 6) AS silhouette FROM scored",

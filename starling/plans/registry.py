@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starling.functions import columns as C
 from starling.functions import dates as D
-from starling.operators import dims, features, frames, keys, metrics, quality, scd, silhouette, staging
+from starling.operators import clustering, dims, features, frames, keys, metrics, quality, scd, silhouette, staging
 from starling.operators import facts as fact_ops
 from starling.plans import experiments as grids
 from starling.plans import facts
@@ -500,6 +500,11 @@ def cluster_sizes(t: Tables) -> DataFrame:
     return metrics.cluster_sizes(t.embeddings, "label")
 
 
+@query
+def nearest_mean(t: Tables) -> DataFrame:
+    return clustering.nearest_mean(t.embeddings, "vec_id", "embedding", "label")
+
+
 @query
 def silhouette_small(t: Tables) -> DataFrame:
     scored = silhouette.silhouette_exact(t.embeddings, "vec_id", "embedding", "label")
