@@ -67,7 +67,7 @@ def starting_rows(df: DataFrame, row_id: str, columns: Sequence[str], rows: int,
     """
     hashed = df.select(mixed([row_id], seed).alias("_h"), F.col(row_id).alias("_id"), *numbered(columns))
     total = df.count()
-    lowest = lambda part: part.orderBy("_h", "_id").limit(rows).drop("_h", "_id").toPandas()
+    lowest = lambda part: part.orderBy("_h", "_id").limit(rows).drop("_h", "_id").toArrow().to_pandas()
     found = lowest(hashed.filter(F.col("_h") < int(min(1.0, 4 * rows / max(total, 1)) * 2**31)))
     if len(found) < min(rows, total):
         found = lowest(hashed)
@@ -142,7 +142,7 @@ def _assign_sums(slim: DataFrame, runs: dict, with_norms: bool = False) -> dict:
             yield pd.concat([frame(i, t) for i, t in enumerate(totals)])
 
     cells = slim.mapInPandas(partial, "run int, cell int, total double")
-    table = cells.groupBy("run", "cell").agg(F.sum("total").alias("total")).toPandas()
+    table = cells.groupBy("run", "cell").agg(F.sum("total").alias("total")).toArrow().to_pandas()
     out = {}
     for i, part in table.groupby("run"):
         used, centre = runs[names[i]]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starling.functions.columns import named
@@ -172,10 +172,10 @@ def onehot(df: DataFrame, levels: Mapping[str, Sequence[str]], drop_first: bool
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Balanced weight ``n / (k * n_c)`` per class."""
+    """Balanced weight ``n / (k * n_c)`` per class; one pass, then a window over one row per class."""
     counts = df.groupBy(label).agg(F.count("*").alias("aantal"))
-    total = counts.agg(F.sum("aantal")).scalar()
-    classes = counts.agg(F.count("*")).scalar()
+    every = Window.partitionBy(F.lit(0))
+    total, classes = F.sum("aantal").over(every), F.count("*").over(every)
     return counts.withColumn("gewicht", total.cast("double") / (classes * F.col("aantal")))
 
 

@@ -57,14 +57,14 @@ def binary_metrics(pairs: DataFrame) -> DataFrame:
 def class_metrics(pairs: DataFrame) -> DataFrame:
     """Precision, recall, F1 and support per class, from counts by (label, prediction)."""
     hit = F.when(F.col("label") == F.col("prediction"), F.col("aantal")).otherwise(0)
-    as_label = pairs.select(
-        F.col("label").alias("klasse"), F.col("aantal").alias("support"), F.lit(0).alias("predicted"), hit.alias("hit")
+    seen = lambda klasse, support, predicted, hits: F.struct(
+        klasse.alias("klasse"), support.alias("support"), predicted.alias("predicted"), hits.alias("hit"))
+    none = F.lit(0).cast("long")
+    # each count speaks for its label and for its prediction
+    both = F.array(
+        seen(F.col("label"), F.col("aantal"), none, hit), seen(F.col("prediction"), none, F.col("aantal"), none)
     )
-    as_prediction = pairs.select(
-        F.col("prediction").alias("klasse"), F.lit(0).alias("support"), F.col("aantal").alias("predicted"),
-        F.lit(0).alias("hit"),
-    )
-    sums = as_label.unionByName(as_prediction).groupBy("klasse").agg(
+    sums = pairs.select(F.inline(both)).groupBy("klasse").agg(
         F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("hit").alias("hit")
     )
     return sums.select(
