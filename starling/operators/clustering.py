@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starling.functions.columns import numbered
-from starling.operators.features import mixed
+from starling.operators.features import matrix, mixed
 from starling.operators.silhouette import cluster_totals, squared_means
 from starling.operators.tree import assemble
 
@@ -128,7 +128,7 @@ def _assign_sums(slim: DataFrame, runs: dict, with_norms: bool = False) -> dict:
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals = [0.0] * len(names)
         for pdf in batches:
-            values = pdf.to_numpy(dtype=float)
+            values = matrix(pdf)
             for i, name in enumerate(names):
                 used, centre = runs[name]
                 x = values[:, used]
@@ -166,7 +166,7 @@ def mean_silhouettes(df: DataFrame, models: dict[str, Clustering]) -> dict[str,
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            values = pdf.to_numpy(dtype=float)
+            values = matrix(pdf)
             for name, (used, centre) in runs.items():
                 x = values[:, used]
                 own = _nearest(x, centre)[0]

@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,14 @@ def mixed(ids: Sequence[str], seed: int) -> Column:
     return state
 
 
+def matrix(pdf: pd.DataFrame) -> np.ndarray:
+    """Values of a batch as doubles; a missing one is an error, as no model here can use it."""
+    values = pdf.to_numpy(dtype=float)
+    if np.isnan(values).any():
+        raise ValueError("missing value among the model's columns")
+    return values
+
+
 def split_hash(df: DataFrame, ids: Sequence[str], seed: int = 42, test_percent: int = 20) -> DataFrame:
     """Add ``is_test``; it depends on the row's ids and the seed, not on partitioning or retries."""
     return df.withColumn("is_test", F.pmod(mixed(ids, seed), F.lit(100)) < test_percent)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starling.functions.columns import numbered
+from starling.operators.features import matrix
 from starling.operators.tree import assemble
 
 
@@ -46,12 +47,12 @@ def gram(df: DataFrame, columns: Sequence[str], target: str) -> Gram:
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((width, width))
         for pdf in batches:
-            x = np.column_stack([np.ones(len(pdf)), pdf.to_numpy(dtype=float)])
+            x = np.column_stack([np.ones(len(pdf)), matrix(pdf)])
             total += x.T @ x
         i, j = np.indices((width, width))
         yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "total": total.ravel()})
 
-    slim = df.select(*numbered(columns), F.col(target).cast("double"))
+    slim = df.select(*numbered(columns), F.col(target).cast("double").alias("y"))
     cells = slim.mapInPandas(partial, "i int, j int, total double").groupBy("i", "j").agg(F.sum("total").alias("t"))
     products = np.zeros((width, width))
     for row in cells.collect():
@@ -158,13 +159,13 @@ def score_many(
     ``weights`` maps a run name to intercept and coefficients over all ``columns``.
     """
     names = list(weights)
-    matrix = np.column_stack([weights[n] for n in names])
+    coefficients = np.column_stack([weights[n] for n in names])
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            values = pdf.to_numpy(dtype=float)
+            values = matrix(pdf)
             x, y = np.column_stack([np.ones(len(pdf)), values[:, :-1]]), values[:, -1]
-            error = x @ matrix - y[:, None]
+            error = x @ coefficients - y[:, None]
             mean = y.mean() if len(y) else 0.0
             yield pd.DataFrame({
                 "run": names, "n": len(y), "absolute": np.abs(error).sum(axis=0), "square": (error**2).sum(axis=0),
@@ -172,7 +173,7 @@ def score_many(
             })
 
     schema = "run string, n long, absolute double, square double, y_sum double, y_spread double"
-    slim = df.select(*numbered(columns), F.col(target).cast("double"))
+    slim = df.select(*numbered(columns), F.col(target).cast("double").alias("y"))
     parts = slim.mapInPandas(partial, schema).filter("n > 0")
     # total spread = spread inside the parts + spread of their means, without cancellation
     sums = parts.groupBy("run").agg(

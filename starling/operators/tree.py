@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starling.functions.columns import numbered
+from starling.operators.features import matrix
 from starling.session import shared_dir
 from starling.sources.files import delete
 
@@ -124,14 +125,14 @@ def confusion_many(
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            values = pdf.to_numpy(dtype=float)
+            values = matrix(pdf)
             x, y = values[:, :-1], values[:, -1].astype(int)
             for name, (tree, _, config) in runs.items():
                 predicted = tree.predict(x[:, picks[name]], config.max_depth, config.min_samples_split)
                 counts = pd.DataFrame({"label": y, "prediction": predicted}).value_counts()
                 yield counts.rename("aantal").reset_index().assign(run=name)[["run", "label", "prediction", "aantal"]]
 
-    slim = df.select(*numbered(columns), F.col(label).cast("double"))
+    slim = df.select(*numbered(columns), F.col(label).cast("double").alias("y"))
     parts = slim.mapInPandas(partial, "run string, label int, prediction int, aantal long")
     return parts.groupBy("run", "label", "prediction").agg(F.sum("aantal").alias("aantal"))
 

@@ -207,6 +207,14 @@ def test_kmeans_finds_clear_groups(spark):
     assert clustering.mean_silhouettes(df, models)["k3"] == pytest.approx(mean) and mean > 0.95
 
 
+def test_missing_features_are_refused(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 3.0), (3, 4.0, 9.0)], "id long, a double, b double")
+    with pytest.raises(Exception, match="missing value"):
+        clustering.fit_kmeans(df, "id", {"k": ["a", "b"]}, [clustering.KMeansConfig("k", ("a", "b"), 2, n_init=1)])
+    with pytest.raises(Exception, match="missing value"):
+        regression.gram(df, ["a"], "b")
+
+
 def test_principal_components(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=200)
