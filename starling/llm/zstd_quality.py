@@ -1,9 +1,9 @@
 """Quality from compression: which dictionary, of good or of bad text, packs a text smaller.
 
 Two dictionaries are trained on a bounded sample of labelled texts (``Config``). Each text
-is cut into blocks of ``block`` bytes, all of which are compressed with either dictionary;
-the normalised difference of the sizes goes through a logistic curve, fitted on sampled
-texts that the dictionaries have not seen. Empty and null texts have difference 0 and so
+is cut into blocks of ``block`` bytes, all of which are compressed with either dictionary.
+The difference of the sizes per byte of text goes through a logistic curve, fitted on sampled
+texts that the dictionaries have not seen and weighted by the shares of the labels. Empty and null texts have difference 0 and so
 the score of an undecided text. Rows come out as they came in, repeated and null ids
 included. Without labels of both kinds, every text scores 0.5.
 """
@@ -28,8 +28,8 @@ class Config:
 
     rows: int = 1500
     longest: int = 20_000
-    dictionary: int = 64 << 10
-    block: int = 2048
+    dictionary: int = 112 << 10
+    block: int = 768
     level: int = 3
 
 
@@ -47,19 +47,24 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def sample(documents: DataFrame, labels: DataFrame, label: str, rows: int, longest: int) -> pd.DataFrame:
-    """At most ``rows`` learnable labelled texts per class, in the order of a hash of the id.
-
-    Ids with contradicting labels are left out. Only the chosen ids travel to the documents.
-    """
-    agreed = (
+def agreed(labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id, label`` of the learnable rows; ids with contradicting labels are left out."""
+    return (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
         .groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("other"))
         .filter("label = other").select("doc_id", F.col("label").cast("int").alias("label"))
     )
+
+
+def sample(documents: DataFrame, labels: DataFrame, label: str, rows: int, longest: int) -> pd.DataFrame:
+    """At most ``rows`` learnable labelled texts per class, in the order of a hash of the id.
+
+    Only the chosen ids travel to the documents.
+    """
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     # twice the rows, because some ids have no text of a usable length; the bound makes the broadcast safe
-    picked = [agreed.filter(F.col("label") == k).orderBy(*order).limit(2 * rows) for k in (0, 1)]
+    known = agreed(labels, label)
+    picked = [known.filter(F.col("label") == k).orderBy(*order).limit(2 * rows) for k in (0, 1)]
     texts = documents.select("doc_id", T.text_or_empty().alias("text")).filter(F.length("text").between(1, longest))
     chosen = texts.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
     found = chosen.select("doc_id", "label", "text").toPandas()
@@ -76,27 +81,32 @@ def _dictionary(texts: list[bytes], size: int) -> bytes:
 
 
 class Sizer:
-    """Normalised difference of the sizes under the two dictionaries, in -1 to 1; positive: like good text."""
+    """Bytes saved by the good dictionary against the bad one, per byte of text."""
 
     def __init__(self, model: Model):
         self.block = model.config.block
-        self.good, self.bad = (
-            zstandard.ZstdCompressor(level=model.config.level, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False)
-            for d in (model.good, model.bad)
+        self.good, self.bad = (self._compressor(d, model.config) for d in (model.good, model.bad))
+
+    @staticmethod
+    def _compressor(dictionary: bytes, config: Config) -> zstandard.ZstdCompressor:
+        # no frame fields: they are the same for every block
+        bare = zstandard.ZstdCompressionParameters.from_level(
+            config.level, dict_size=len(dictionary), source_size=config.block, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
+            write_content_size=0, write_dict_id=0, write_checksum=0,
         )
+        return zstandard.ZstdCompressor(compression_params=bare, dict_data=zstandard.ZstdCompressionDict(dictionary))
 
     def __call__(self, data: bytes) -> float:
-        good = bad = 0
+        saved = 0
         for i in range(0, len(data), self.block):
             part = data[i : i + self.block]
-            good += len(self.good.compress(part))
-            bad += len(self.bad.compress(part))
-        return (bad - good) / (bad + good) if good + bad else 0.0
+            saved += len(self.bad.compress(part)) - len(self.good.compress(part))
+        return saved / (len(data) + 16)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[float, float]:
-    """Newton steps for a slope and a shift; classes weigh the same."""
-    weights = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+def _logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-5, steps: int = 60) -> tuple[float, float]:
+    """Damped Newton steps for a slope and a shift; label 1 has the weight ``share``."""
+    weights = np.where(y == 1, share / max(1, (y == 1).sum()), (1 - share) / max(1, (y == 0).sum()))
     scale = float(np.abs(x).mean()) or 1.0
     design = np.column_stack([x / scale, np.ones_like(x)])
     beta = np.zeros(2)
@@ -104,7 +114,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         gradient = design.T @ (weights * (p - y)) + ridge * beta
         hessian = (design * (weights * p * (1 - p))[:, None]).T @ design + ridge * np.eye(2)
-        beta = beta - np.linalg.solve(hessian, gradient)
+        step = np.linalg.solve(hessian, gradient)
+        beta = beta - step * min(1.0, 2 / max(np.abs(step).max(), 1e-12))
     return float(beta[0] / scale), float(beta[1])
 
 
@@ -113,13 +124,14 @@ def fit(documents: DataFrame, labels: DataFrame, config: Config = Config()) -> M
     texts, y = [t.encode() for t in rows["text"]], rows["label"].to_numpy()
     if len(set(y.tolist())) < 2:
         return Model(b"\n" * 8, b"\n" * 8, 0.0, 0.0, config)
+    share = agreed(labels, "quality").agg(F.avg("label")).first()[0]
     # alternate texts of each class train the dictionaries, the others the curve
     turn = rows.groupby("label").cumcount().to_numpy() % 2 == 0
     blocks = lambda k: [t[i : i + config.block] for t, label, use in zip(texts, y, turn) if label == k and use for i in range(0, len(t), config.block)]
     model = Model(_dictionary(blocks(1), config.dictionary), _dictionary(blocks(0), config.dictionary), 0.0, 0.0, config)
     rest = ~turn if len(set(y[~turn].tolist())) == 2 else turn
     size = Sizer(model)
-    slope, shift = _logistic(np.array([size(t) for t, use in zip(texts, rest) if use]), y[rest].astype(float))
+    slope, shift = _logistic(np.array([size(t) for t, use in zip(texts, rest) if use]), y[rest].astype(float), share)
     return Model(model.good, model.bad, slope, shift, config)
 
 
