@@ -45,8 +45,8 @@ BROADCAST_BYTES = 64 << 20
 class Config:
     length: int = 200
     gram: int = 64
-    entries: int = 60_000  # anchors aimed at per merging task
-    run: int = 80_000  # anchors sorted at once in a task
+    entries: int = 40_000  # anchors aimed at per merging task
+    run: int = 40_000  # anchors sorted at once in a task
 
     @property
     def reach(self) -> int:
@@ -280,7 +280,7 @@ def _copies(documents: DataFrame, config: Config) -> DataFrame:
 
 
 def repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config = Config()) -> DataFrame:
-    """``(key, ranges)``: byte ranges of the texts without copies that occur twice; staged."""
+    """``(key, ranges)``: disjoint byte ranges of the texts without copies that occur twice; staged."""
     spark = documents.sparkSession
     keyed = _keyed(documents).filter(F.octet_length("text") >= config.length)
     kept = keyed.join(broadcast_if_small(copies.withColumn("copied", F.lit(True)), copies), "key", "left")
@@ -290,7 +290,7 @@ def repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config = Co
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, texts = batch.column(0), T.byte_texts(batch.column(1))
-            for i, j in T.slices(texts):
+            for i, j in T.slices(texts, 1 << 20):
                 docs, places, hashes = anchors(texts[i:j], config)
                 offsets = pa.array(np.searchsorted(docs, np.arange(j - i + 1)), pa.int32())
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (places.astype(np.int32), hashes.view(np.int64))]
@@ -338,7 +338,17 @@ def repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config = Co
     side = F.broadcast(spots) if total * 4 + texts * 64 <= BROADCAST_BYTES else spots
     exchanged = kept.join(side, "key").select("key", "text", "copied", "places").mapInArrow(runs, RUN_TYPES)
     ranges = exchanged.repartition(parts, "part").groupBy("part").applyInArrow(merge, "key string, start long, end long")
-    return T.staged(ranges.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("ranges")), "ranges")
+    grouped = ranges.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        for batch in batches:
+            lists = [_united(np.array([(r["start"], r["end"]) for r in found.as_py()], dtype=np.int64)) for found in batch.column(1)]
+            united = pa.array([[{"start": a, "end": b} for a, b in found.tolist()] for found in lists], kind)
+            yield pa.RecordBatch.from_arrays([batch.column(0), united], names=["key", "ranges"])
+
+    # strings through neighbouring anchors overlap: a text is left with few ranges
+    return T.staged(grouped.mapInArrow(unite, "key string, ranges array<struct<start:long,end:long>>"), "ranges")
 
 
 def removed(documents: DataFrame, config: Config = Config()) -> DataFrame:
@@ -359,12 +369,12 @@ def removed(documents: DataFrame, config: Config = Config()) -> DataFrame:
                 elif not spans.is_valid:
                     rows.append((len(data), 0, 0, data))
                 else:
-                    gone = _united(np.array([(s["start"], s["end"]) for s in spans.as_py()], dtype=np.int64))
-                    kept, at = [], 0
-                    for start, end in gone.tolist():
-                        kept.append(data[at:start])
-                        at = end
-                    rows.append((len(data), int((gone[:, 1] - gone[:, 0]).sum()), len(gone), b"".join(kept) + data[at:]))
+                    kept, at, gone = [], 0, spans.as_py()
+                    for r in gone:
+                        kept.append(data[at : r["start"]])
+                        at = r["end"]
+                    rest = b"".join(kept) + data[at:]
+                    rows.append((len(data), len(data) - len(rest), len(gone), rest))
             size, out, spans, kept = zip(*rows) if rows else ((), (), (), ())
             arrays = [batch.column(0), *(pa.array(v, pa.int64()) for v in (size, out, spans))]
             arrays += [pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(kept, pa.binary())]
