@@ -48,7 +48,7 @@ class Config:
     batch: int = 128
     rate: float = 0.02
     seed: int = 11
-    words: int = 60_000  # words per scoring pass
+    at_once: int = 3000  # windows per scoring pass
 
 
 @dataclass
@@ -76,13 +76,13 @@ def read(texts: list[bytes], config: Config) -> Words:
     parts, owners = [], []
     for n in GRAMS:
         number = np.maximum(ends - starts + 3 - n, 0)
-        owner = np.repeat(np.arange(len(starts)), number)
+        owner = np.repeat(np.arange(len(starts), dtype=np.int32), number)
         at = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number) + starts[owner] - 1
-        parts.append(rolling.of(at, at + n))
+        parts.append(((rolling.of(at, at + n) >> np.uint64(7)) % np.uint64(config.char_buckets)).astype(np.int32))
         owners.append(owner)
-    owner = np.concatenate(owners) if parts else np.zeros(0, np.int64)
+    owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
-    grams = (np.concatenate(parts) >> np.uint64(7)) % np.uint64(config.char_buckets)
+    grams = np.concatenate(parts)
 
     lengths = np.bincount(buffer.docs, minlength=buffer.count)
     number = np.where(lengths > 0, np.maximum(np.ceil((lengths - config.window) / config.stride), 0) + 1, 0).astype(np.int64)
@@ -90,7 +90,7 @@ def read(texts: list[bytes], config: Config) -> Words:
     within = np.arange(len(doc)) - np.repeat(np.cumsum(number) - number, number)
     offset = np.cumsum(lengths) - lengths
     return Words(
-        ((hashes >> np.uint64(11)) % np.uint64(config.word_buckets)).astype(np.int64), grams[order].astype(np.int64),
+        ((hashes >> np.uint64(11)) % np.uint64(config.word_buckets)).astype(np.int64), grams[order],
         np.bincount(owner, minlength=len(starts)), tokens.reshape(-1), offset[doc] + within * config.stride,
         np.minimum(lengths[doc] - within * config.stride, config.window), doc,
     )
@@ -194,7 +194,8 @@ class Network:
             return np.zeros(0)
         x = self.vectors(words.word, words.grams, words.counts)
         x = np.concatenate((x, np.zeros((1, x.shape[1]), np.float32)))
-        logit, _ = self.run(*_laid_out(words, np.arange(len(words.first)), self.config, len(x) - 1), x)
+        parts = np.array_split(np.arange(len(words.first)), -(-len(words.first) // self.config.at_once))
+        logit = np.concatenate([self.run(*_laid_out(words, p, self.config, len(x) - 1), x)[0] for p in parts])
         return 1 / (1 + np.exp(-logit))
 
 
