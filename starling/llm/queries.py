@@ -86,7 +86,7 @@ def op9_vp_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_suffix_merge(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_merge.removed(read_table(spark, folder, "documents")).drop("bytes")
+    return suffix_merge.removed(read_table(spark, folder, "documents"), with_bytes=False)
 
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:

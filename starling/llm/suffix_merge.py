@@ -39,6 +39,7 @@ from starling.llm import text as T
 from starling.session import broadcast_if_small
 
 BROADCAST_BYTES = 64 << 20
+SLICE = 512 << 10  # bytes of text that anchors are sought in at once
 
 
 @dataclass(frozen=True)
@@ -290,7 +291,7 @@ def repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config = Co
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, texts = batch.column(0), T.byte_texts(batch.column(1))
-            for i, j in T.slices(texts, 1 << 20):
+            for i, j in T.slices(texts, SLICE):
                 docs, places, hashes = anchors(texts[i:j], config)
                 offsets = pa.array(np.searchsorted(docs, np.arange(j - i + 1)), pa.int32())
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (places.astype(np.int32), hashes.view(np.int64))]
@@ -351,35 +352,33 @@ def repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config = Co
     return T.staged(grouped.mapInArrow(unite, "key string, ranges array<struct<start:long,end:long>>"), "ranges")
 
 
-def removed(documents: DataFrame, config: Config = Config()) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and the kept ``bytes`` of every row."""
+def removed(documents: DataFrame, config: Config = Config(), with_bytes: bool = True) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, if wanted, the kept ``bytes`` of every row."""
     copies = _copies(documents, config)
     ranges = repeated_ranges(documents, copies, config)
     total, texts = ranges.agg(F.coalesce(F.sum(F.size("ranges")), F.lit(0)), F.count("*")).first()
     side = F.broadcast(ranges) if total * 24 + texts * 64 <= BROADCAST_BYTES else ranges
     marked = _keyed(documents).join(broadcast_if_small(copies.select("key", F.lit(True).alias("copied")), copies), "key", "left").join(side, "key", "left")
 
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["bytes"] if with_bytes else [])]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            texts = T.byte_texts(batch.column(1))
-            for data, copied, spans in zip(texts, batch.column(2).to_pylist(), batch.column(3)):
-                if copied:
-                    rows.append((len(data), len(data), 1, b""))
-                elif not spans.is_valid:
-                    rows.append((len(data), 0, 0, data))
-                else:
-                    kept, at, gone = [], 0, spans.as_py()
-                    for r in gone:
-                        kept.append(data[at : r["start"]])
-                        at = r["end"]
-                    rest = b"".join(kept) + data[at:]
-                    rows.append((len(data), len(data) - len(rest), len(gone), rest))
-            size, out, spans, kept = zip(*rows) if rows else ((), (), (), ())
-            arrays = [batch.column(0), *(pa.array(v, pa.int64()) for v in (size, out, spans))]
-            arrays += [pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "bytes"])
+            for text, copied, ranges in zip(*(batch.column(i) for i in (1, 2, 3))):
+                data = text.as_py().encode()
+                gone = [{"start": 0, "end": len(data)}] if copied.is_valid else ranges.as_py() or []
+                kept, at = [], 0
+                for r in gone:
+                    kept.append(data[at : r["start"]])
+                    at = r["end"]
+                rest = b"".join(kept) + data[at:] if gone else data
+                rows.append((len(data), len(data) - len(rest), len(gone), hashlib.sha256(rest).hexdigest(), rest if with_bytes else None))
+            columns = list(zip(*rows)) if rows else [()] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            arrays = [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))]
+            yield pa.RecordBatch.from_arrays(arrays[: len(names)], names=names)
 
     source = marked.select("doc_id", "text", "copied", "ranges")
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, bytes binary")
+    return source.mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", bytes binary" * with_bytes)
