@@ -198,7 +198,10 @@ def found_spans(documents: DataFrame, config: Config = Config()) -> DataFrame:
     hits = tokens.join(broadcast_if_small(good, good), "item").join(broadcast_if_small(patterns.select("pattern", "kind"), patterns), ["pattern", "kind"])
     best = hits.groupBy("key", "start", "end").agg(F.min_by("kind", F.struct(-F.col("trust"), F.col("kind"))).alias("kind"))
     added = best.groupBy("key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
-    return spans.join(added, "key", "left").select("doc_id", "key", "base", "added")
+    columns = ["doc_id", "key", "base", "added"]
+    # texts without spans have no key: they stay out of the join, where they would be one group
+    plain = spans.filter("key is null").withColumn("added", F.lit(None).cast("array<struct<kind:string,start:int,end:int>>"))
+    return spans.filter("key is not null").join(added, "key", "left").select(*columns).unionByName(plain.select(*columns))
 
 
 def listed(*spans: str) -> Column:
