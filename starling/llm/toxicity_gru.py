@@ -96,6 +96,19 @@ def read(texts: list[bytes], config: Config) -> Words:
     )
 
 
+def read_in_parts(texts: list[bytes], config: Config) -> Words:
+    """The same for many texts, read part by part; a word is distinct within its part."""
+    parts = [(i, read(texts[i:j], config)) for i, j in T.slices(texts, 512 << 10)]
+    joined = lambda field: [getattr(w, field) for _, w in parts]
+    before = lambda field: np.cumsum([0, *map(len, joined(field))])[:-1]
+    word, token = before("word"), before("tokens")
+    return Words(
+        np.concatenate(joined("word")), np.concatenate(joined("grams")), np.concatenate(joined("counts")),
+        np.concatenate([w.tokens + n for (_, w), n in zip(parts, word)]), np.concatenate([w.first + n for (_, w), n in zip(parts, token)]),
+        np.concatenate(joined("size")), np.concatenate([w.doc + i for i, w in parts]),
+    )
+
+
 def _gate(x: np.ndarray) -> np.ndarray:
     return np.clip(0.2 * x + 0.5, 0, 1)
 
@@ -216,7 +229,7 @@ def _laid_out(words: Words, chosen: np.ndarray, config: Config, pad: int) -> tup
 def train(texts: list[bytes], labels: np.ndarray, config: Config) -> Network:
     """Alternate between each text's highest window and a pass over those."""
     network, draw = Network(config), np.random.default_rng(config.seed)
-    words = read(texts, config)
+    words = read_in_parts(texts, config)
     y = labels[words.doc].astype(np.float32)
     ends = np.cumsum(words.counts)
     memory = {k: np.full_like(v, 1e-6) for k, v in network.w.items()}
