@@ -6,6 +6,7 @@ objects (one entry per feature or category level); ``apply_*`` are projections.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -65,10 +66,13 @@ def fit_medians(df: DataFrame, columns: Sequence[str], bins: int = 256) -> dict[
     """
     if not columns:
         return {}
+    finite = lambda c: F.when(F.abs(_number(c)) < math.inf, _number(c))
     stats = df.agg(
         *[F.count(_number(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.min(_number(c)).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(_number(c)).alias(f"hi{i}") for i, c in enumerate(columns)],
+        *[F.count(F.when(_number(c) == -math.inf, 1)).alias(f"under{i}") for i, c in enumerate(columns)],
+        *[F.count(F.when(_number(c) == math.inf, 1)).alias(f"over{i}") for i, c in enumerate(columns)],
+        *[F.min(finite(c)).alias(f"lo{i}") for i, c in enumerate(columns)],
+        *[F.max(finite(c)).alias(f"hi{i}") for i, c in enumerate(columns)],
     ).first()
     found: dict[tuple[str, int], float] = {}
     # one search per wanted rank: (column, rank) -> (low, high, rows below low)
@@ -79,7 +83,12 @@ def fit_medians(df: DataFrame, columns: Sequence[str], bins: int = 256) -> dict[
         if n:
             ranks[c] = ((n - 1) // 2, n // 2)
             for r in set(ranks[c]):
-                open_[c, r] = (stats[f"lo{i}"], stats[f"hi{i}"], 0)
+                if r < stats[f"under{i}"]:
+                    found[c, r] = -math.inf
+                elif r >= n - stats[f"over{i}"]:
+                    found[c, r] = math.inf
+                else:
+                    open_[c, r] = (stats[f"lo{i}"], stats[f"hi{i}"], stats[f"under{i}"])
     while open_:
         for key, (low, high, _) in list(open_.items()):
             if low == high:
@@ -92,10 +101,17 @@ def fit_medians(df: DataFrame, columns: Sequence[str], bins: int = 256) -> dict[
         for (c, r), (low, high, below) in list(open_.items()):
             for count, bin_low, bin_high in bins_of[c, low, high]:
                 if below + count > r:
+                    if (bin_low, bin_high) == (low, high):
+                        raise RuntimeError(f"{c}: no progress between {low} and {high}")
                     open_[c, r] = (bin_low, bin_high, below)
                     break
                 below += count
-    middle = lambda c: (found[c, ranks[c][0]] + found[c, ranks[c][1]]) / 2
+
+    def middle(c: str) -> float:
+        a, b = found[c, ranks[c][0]], found[c, ranks[c][1]]
+        # halves first where the sum leaves the range of doubles
+        return a / 2 + b / 2 if math.isinf(a + b) else (a + b) / 2
+
     return {c: middle(c) if c in ranks else None for c in columns}
 
 
@@ -103,7 +119,8 @@ def _histogram(df: DataFrame, brackets: Sequence[tuple[str, float, float]], bins
     cells = []
     for i, (c, low, high) in enumerate(brackets):
         value = _number(c)
-        place = F.least(F.floor((value - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")
+        # halves, because a bracket may be wider than the largest double
+        place = F.least(F.floor((value / 2 - low / 2) / (high / 2 - low / 2) * bins), F.lit(bins - 1)).cast("int")
         inside = value.between(low, high)
         cells.append(F.when(inside, F.struct(F.lit(i).alias("bracket"), place.alias("bin"), value.alias("value"))))
     cell = F.explode(F.array(*cells)).alias("cell")

@@ -86,9 +86,9 @@ _STEPS = 100
 def descend(g: Gram, columns: Sequence[str], config: SgdConfig) -> np.ndarray:
     """Coefficients (intercept first) after at most ``max_iter`` epochs of the given schedule.
 
-    The intercept carries no penalty. An epoch of n single-row steps of size eta
-    moves as far as ``_STEPS`` averaged steps of size ``eta * n / _STEPS``; steps
-    are held below the stability bound of the matrix.
+    The intercept carries no penalty. An epoch is ``_STEPS`` steps of size eta, each along
+    the mean gradient of all rows, so the path does not depend on the number of rows. The
+    tolerance counts in variances of the target. A step too long for the matrix is an error.
     """
     xx, xy, yy = g.system(columns)
     r = l1_share(config)
@@ -97,16 +97,17 @@ def descend(g: Gram, columns: Sequence[str], config: SgdConfig) -> np.ndarray:
     ridge[0] = lasso[0] = 0.0
     curve = xx + np.diag(ridge)
     values, axes = np.linalg.eigh(curve)
-    bound = 1.0 / values.max()
-    steps = int(max(1, min(g.rows, _STEPS)))
+    if config.eta0 >= 2.0 / values.max():
+        raise ValueError(f"eta0 {config.eta0} diverges: the largest curvature is {values.max():.3g}")
+    tolerance = config.tol * max(yy - xy[0] ** 2, 1e-300)
     # the smooth optimum along each axis; flat axes stay where they start
     flat = values <= 1e-12 * values.max()
     goal = axes @ (np.where(flat, 0.0, axes.T @ xy) / np.where(flat, 1.0, values))
 
     def epoch_of_steps(w: np.ndarray, size: float) -> np.ndarray:
         if not lasso.any():  # all steps at once: each axis shrinks towards its optimum
-            return goal + axes @ ((1 - size * values) ** steps * (axes.T @ (w - goal)))
-        for _ in range(steps):
+            return goal + axes @ ((1 - size * values) ** _STEPS * (axes.T @ (w - goal)))
+        for _ in range(_STEPS):
             w = w - size * (curve @ w - xy)
             w = np.sign(w) * np.maximum(np.abs(w) - size * lasso, 0.0)
         return w
@@ -119,10 +120,10 @@ def descend(g: Gram, columns: Sequence[str], config: SgdConfig) -> np.ndarray:
     eta, best, stale = config.eta0, np.inf, 0
     for epoch in range(config.max_iter):
         if config.learning_rate == "invscaling":
-            eta = config.eta0 / (1 + epoch * g.rows) ** _POWER
-        w = epoch_of_steps(w, min(eta * g.rows / steps, bound))
+            eta = config.eta0 / (1 + epoch * _STEPS) ** _POWER
+        w = epoch_of_steps(w, eta)
         now = loss(w)
-        stale = stale + 1 if now > best - config.tol else 0
+        stale = stale + 1 if now > best - tolerance else 0
         best = min(best, now)
         if stale >= _PATIENCE:
             if config.learning_rate != "adaptive" or eta <= _FLOOR:

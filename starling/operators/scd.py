@@ -77,9 +77,14 @@ def _unlike(known: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[s
     return incoming.alias("i").join(known.select(names).alias("k"), same, "left_anti")
 
 
+def _moment(run_ts: datetime) -> Column:
+    """A wall-clock time of the session's zone, whatever the zone of the driver process."""
+    return F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+
+
 def scd2_initial(incoming: DataFrame, key: str, sk: str, run_ts: datetime) -> DataFrame:
     """Type 2, first load or full refresh: every row is an open version."""
-    return _open(dense_keys(incoming, [key], sk), F.lit(run_ts))
+    return _open(dense_keys(incoming, [key], sk), _moment(run_ts))
 
 
 def _open(rows: DataFrame, begin: Column) -> DataFrame:
@@ -107,10 +112,10 @@ def scd2_merge(
     closing = F.col("_seen") & is_changed("d", "i", tracked)
     if close_missing:
         closing = closing | F.col("_seen").isNull()
-    still = joined.select("d.*", F.when(closing, F.lit(run_ts).cast("timestamp")).alias("_end"))
+    still = joined.select("d.*", F.when(closing, _moment(run_ts)).alias("_end"))
     marked = still.withColumn(END, F.col("_end")).drop("_end")
     opened = dense_keys(_unlike(open_rows, incoming, key, tracked), [key], sk, max_key(history, sk))
-    return ended.unionByName(marked).unionByName(_open(opened, F.lit(run_ts)).select(history.columns))
+    return ended.unionByName(marked).unionByName(_open(opened, _moment(run_ts)).select(history.columns))
 
 
 def scd2_append(history: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str], sk: str) -> DataFrame:

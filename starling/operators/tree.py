@@ -32,6 +32,10 @@ class TreeConfig:
     criterion: str = "gini"
     class_weight: str | None = None
 
+    def __post_init__(self) -> None:
+        if self.max_depth is not None and self.max_depth > MAX_DEPTH:
+            raise ValueError(f"max_depth {self.max_depth}: trees are at most {MAX_DEPTH} deep")
+
     def growth(self) -> tuple[object, ...]:
         """What decides the order of splits; depth and minimum split size only cut the tree short."""
         return self.features, self.min_samples_leaf, self.criterion, self.class_weight
@@ -81,7 +85,7 @@ def grow(
     keep = [F.col(label).cast("double").alias("label"), *([F.col(weight).alias("weight")] if weight else [])]
     data = assemble(df, columns, *keep)
     estimator = DecisionTreeClassifier(
-        maxDepth=MAX_DEPTH if max_depth is None else min(max_depth, MAX_DEPTH),
+        maxDepth=MAX_DEPTH if max_depth is None else max_depth,
         minInstancesPerNode=min_leaf, impurity=criterion, seed=seed, maxBins=max_bins,
     )
     if weight:

@@ -263,7 +263,7 @@ def fact_optional_fk(t: Tables) -> DataFrame:
 
 @query
 def fact_increment(t: Tables) -> DataFrame:
-    loaded = t.lineitem.filter(F.year("l_shipdate") < 1999).select(
+    loaded = t.lineitem.filter(F.col("l_shipdate") < "1999-01-01").select(
         F.when(F.col("l_linestatus") == "O", 1).otherwise(2).alias("source_id"), *LINE_ID
     )
     return fact_ops.new_rows(facts.fact_purchase(t), loaded, facts.GRAIN)

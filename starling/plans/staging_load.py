@@ -70,16 +70,26 @@ def load_staging(
 
 
 def load_unified(
-    spark: SparkSession, folders: dict[str, str], store: Store, run_ts: datetime, workers: int = 4
+    spark: SparkSession, folders: dict[str, str], store: Store, run_ts: datetime, workers: int = 4,
+    allow_missing: bool = False,
 ) -> RunLog:
-    """Add new keys to one shared table per entity, the first source winning."""
+    """Add new keys to one shared table per entity, the first source winning.
+
+    Which source wins depends on all of them: a target with a missing source is logged and
+    not loaded, unless ``allow_missing`` says that the others may do.
+    """
     log = RunLog("SDM", STAGING_COLUMNS, run_ts)
 
     def load(target: str, key: str, systems: list[str]) -> None:
-        found = [f"{folders[s]}/{target}.parquet" for s in systems if s in folders]
-        frames = [align(spark.read.parquet(p), store.schemas[target]) for p in found if exists(spark, p)]
-        if not frames:
-            raise FileNotFoundError(f"geen bron voor {target}")
+        paths = {s: f"{folders[s]}/{target}.parquet" for s in systems if s in folders}
+        found = [p for p in paths.values() if exists(spark, p)]
+        missing = [s for s in systems if s not in paths or not exists(spark, paths[s])]
+        for system in missing:
+            log.add("EXTRACT", "ERROR", "brontabel bestaat niet", bron_database=system, bron_tabel=target,
+                    doel_tabel=target, actie="select")
+        if not found or missing and not allow_missing:
+            raise FileNotFoundError(f"geen volledige bron voor {target}")
+        frames = [align(spark.read.parquet(p), store.schemas[target]) for p in found]
         before = store.count(target)
         store.append(target, consolidate(frames, store.read(target), [key]), log.run_id)
         after = store.count(target)

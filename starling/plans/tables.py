@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from starling.functions.columns import business_key
 from starling.operators.staging import union_branches
-from starling.session import prepare
 from starling.sources.files import read_table
 
 # fixed values: segments served by either system, validity moments, time of the load
@@ -34,7 +33,7 @@ class Tables:
     """Sample tables as attributes, derived frames as methods."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = prepare(spark)
+        self.spark = spark
         self.folder = folder
         self._read: dict[str, DataFrame] = {}
 
@@ -158,7 +157,7 @@ class Tables:
 
     def stored_periods(self) -> DataFrame:
         month = F.month("l_shipdate").cast("long")
-        return self.lineitem.filter(F.year("l_shipdate") == 1995).select(
+        return self.lineitem.filter((F.col("l_shipdate") >= "1995-01-01") & (F.col("l_shipdate") < "1996-01-01")).select(
             month.alias("periode_key"), month.alias("inkoopmaand"), F.lit(1995).cast("long").alias("inkoopjaar")
         ).distinct()
 

@@ -3,7 +3,9 @@
 Two settings cover the variants: ``mode`` is ``incremental`` (merge into what is
 there) or ``refresh`` (rebuild everything); ``keys`` is ``natural`` (attributes
 shared by the systems) or ``source`` (number qualified by system). A refresh
-issues new surrogate keys; they are stable in incremental mode only.
+issues new surrogate keys; they are stable in incremental mode only. It becomes
+visible as one unit once every step has succeeded, so facts never meet the keys
+of another run.
 """
 
 from __future__ import annotations
@@ -85,11 +87,13 @@ class WarehouseLoad:
     ):
         if mode not in ("incremental", "refresh") or keys not in ("natural", "source"):
             raise ValueError(f"unknown mode {mode} or keys {keys}")
-        self.spark, self.staging, self.star, self.run_ts = spark, staging, star, run_ts
+        self.spark, self.staging, self.run_ts = spark, staging, run_ts
         self.refresh, self.natural = mode == "refresh", keys == "natural"
         self.keys = keys
         self.product_systems = tuple(product_systems or PRODUCT_SYSTEMS[keys])
         self.log = RunLog("DWH", WAREHOUSE_COLUMNS, run_ts)
+        self.published = star
+        self.star = star.branch(self.log.run_id) if self.refresh else star
 
     # extracts
 
@@ -174,7 +178,9 @@ class WarehouseLoad:
             state = scd.scd1_merge(stored, incoming, "business_key", dim.tracked, dim.sk)
         else:
             state = scd.scd2_merge(stored, incoming, "business_key", dim.tracked, dim.sk, self.run_ts)
-        self.star.publish(dim.table, state, self.log.run_id)
+        # an unchanged dimension keeps its version
+        if self.refresh or actions["aantal_insert"] or actions["aantal_update"]:
+            self.star.publish(dim.table, state, self.log.run_id)
         inserts = actions["aantal_insert"] + (actions["aantal_update"] if dim.kind == 2 else 0)
         skipped = delivered - inserts if self.refresh else actions["aantal_skip"]
         self.log.add(
@@ -189,7 +195,7 @@ class WarehouseLoad:
         before = 0 if self.refresh else self.star.count(table)
         if self.refresh:
             self.star.publish(table, fresh, self.log.run_id)
-        else:
+        elif not fresh.isEmpty():
             self.star.append(table, fresh, self.log.run_id)
         after = self.star.count(table)
         inserted = after - before
@@ -275,7 +281,10 @@ class WarehouseLoad:
         # numbering reads its input twice; the anti join should run once
         fresh = complete if self.refresh else stage(new_rows(complete, existing, grain, batch))
         numbered = dense_keys(fresh, grain, sk, max_key(existing, sk), digits=4)
-        (self.star.publish if self.refresh else self.star.append)(table, numbered, self.log.run_id)
+        if self.refresh:
+            self.star.publish(table, numbered, self.log.run_id)
+        elif not fresh.isEmpty():
+            self.star.append(table, numbered, self.log.run_id)
         after = self.star.count(table)
         self.log.add(
             "FACT", tabel=table, actie="refresh" if self.refresh else "insert_incremental",
@@ -347,13 +356,24 @@ class WarehouseLoad:
         run_step(staged, lambda e: self.log.add(step, "ERROR", str(e), tabel=table, actie="load", aantal_error=1))
 
     def run(self, workers: int = 4) -> RunLog:
-        """Every step stands alone: a failed one is logged and leaves its table as it was."""
+        """Every step stands alone: a failed one is logged and leaves its table as it was.
+
+        A refresh with a failed step leaves all tables as they were.
+        """
         self.log.add("START", melding="DWH pipeline gestart", actie="start_pipeline")
         for group in self.steps():
             start = len(self.log.rows)
             run_together([lambda s=s: self._isolated(*s) for s in group], workers)
             self.log.sort_since(start, "tabel", [table for _, table, _ in group])
+        failed = any(r["status"] == "ERROR" for r in self.log.rows)
+        if self.refresh and failed:
+            self.log.add("PUBLISH", "ERROR", "refresh niet gepubliceerd, vorige stand blijft staan", actie="publish", aantal_error=1)
+        elif self.refresh:
+            self.published.switch(self.log.run_id)
+        self.star = self.published
         for table in self.star.schemas:
+            if not failed:
+                self.star.vacuum(table)
             rows = self.star.count(table)
             self.log.add("EINDCONTROLE", "OK" if rows else "WARNING",
                          "eindaantal gecontroleerd" if rows else "tabel heeft 0 rijen",

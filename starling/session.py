@@ -33,13 +33,6 @@ def get_session(app: str = "starling", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created."""
-    for key, value in SESSION_CONF.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors reach, as named by ``spark.checkpoint.dir``.
 

@@ -30,6 +30,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file; fails if there is one."""
+    hadoop_path, fs = _fs(spark, path)
+    fs.create(hadoop_path, False).close()
+
+
 def read_table(spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(f"{folder}/{name}.parquet")

@@ -6,6 +6,10 @@ one readers see. A snapshot is a new version with one load, an append is one
 more load in the current version. A job that dies halfway leaves no mark, so
 readers keep the previous state, and repeating it under the same id replaces
 the unfinished folder. A finished load is never written again.
+
+A full refresh goes into a generation of its own, ``<root>/gen-<id>/<table>/...``, which
+readers see, all tables at once, from the moment an empty file ``<root>/_pointer/<number>=gen-<id>``
+exists. Without pointers the tables stand in the root itself.
 """
 
 from __future__ import annotations
@@ -22,12 +26,31 @@ class Store:
         self.root = root.rstrip("/")
         self.schemas = schemas
 
+    def _generations(self) -> list[str]:
+        """Generations in the order in which they became current."""
+        return [n.partition("=")[2] for n in files.list_names(self.spark, f"{self.root}/_pointer") if "=" in n]
+
+    def _base(self) -> str:
+        generations = self._generations()
+        return f"{self.root}/{generations[-1]}" if generations else self.root
+
+    def branch(self, load_id: str) -> Store:
+        """An empty store for a generation that no reader sees before :meth:`switch`."""
+        return Store(self.spark, f"{self.root}/gen-{load_id}", self.schemas)
+
+    def switch(self, load_id: str, keep: int = 2) -> None:
+        """Make a branch current for all tables at once; remove generations older than the newest ``keep``."""
+        generations = self._generations()
+        files.touch(self.spark, f"{self.root}/_pointer/{len(generations) + 1:08d}=gen-{load_id}")
+        for name in {*generations[: 1 - keep]} - {f"gen-{load_id}", *generations[1 - keep :]}:
+            files.delete(self.spark, f"{self.root}/{name}")
+
     def _versions(self, table: str) -> list[int]:
-        names = files.list_names(self.spark, f"{self.root}/{table}")
+        names = files.list_names(self.spark, f"{self._base()}/{table}")
         return [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
 
     def _path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v{version:08d}"
+        return f"{self._base()}/{table}/v{version:08d}"
 
     def _loads(self, table: str, version: int) -> list[str]:
         base = self._path(table, version)
@@ -45,7 +68,7 @@ class Store:
         return bool(self._current(table)[1])
 
     def tables(self) -> list[str]:
-        return [t for t in files.list_names(self.spark, self.root) if self.exists(t)]
+        return [t for t in files.list_names(self.spark, self._base()) if self.exists(t)]
 
     def read(self, table: str) -> DataFrame:
         """Current content; an empty table of the declared schema when nothing was published."""

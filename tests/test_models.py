@@ -249,3 +249,51 @@ def test_cluster_grid_and_elbow(profile):
     assert len(runs) == 3 and all(-1 <= r.silhouette <= 1 for r in runs)
     inertia = [r.inertia for r in grids.elbow(profile, ks=(2, 3, 5)).orderBy("k").collect()]
     assert inertia == sorted(inertia, reverse=True)
+
+
+def test_medians_of_extreme_values(spark):
+    from starling.operators.features import fit_medians
+
+    inf = float("inf")
+    frame = spark.createDataFrame([(-1.7e308, inf, -inf), (1.7e308, inf, 1.0), (3.0, 1.0, 2.0), (-2.0, -inf, 3.0), (5.0, 2.0, None)], "a double, b double, c double")
+    assert fit_medians(frame, ["a", "b", "c"]) == {"a": 3.0, "b": 2.0, "c": 1.5}
+
+
+def test_versions_open_at_the_wall_clock_time(spark, monkeypatch):
+    import time
+    from datetime import datetime
+
+    from starling.operators import scd
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        frame = spark.createDataFrame([("a", 1)], "k string, v long")
+        opened = scd.scd2_initial(frame, "k", "sk", datetime(2021, 1, 1)).selectExpr("cast(begin_tijd as string) as b").first()[0]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert opened == "2021-01-01 00:00:00"
+
+
+def test_descent_does_not_depend_on_the_number_of_rows(spark):
+    from dataclasses import replace
+
+    from starling.operators import regression as R
+
+    frame = spark.range(200).selectExpr("cast(id % 7 as double) / 3 - 1 as x", "cast(id % 5 as double) / 2 - 1 as z", "cast(id % 7 + 2 * (id % 5) as double) as y")
+    many = frame.crossJoin(spark.range(50)).drop("id")
+    once, often = (R.gram(f, ["x", "z"], "y") for f in (frame, many))
+    config = R.SgdConfig("c", ("x", "z"), max_iter=3, eta0=0.01, learning_rate="constant")
+    assert np.allclose(R.descend(once, ["x", "z"], config), R.descend(often, ["x", "z"], config))
+    other = R.descend(often, ["x", "z"], replace(config, eta0=0.001))
+    assert not np.allclose(other, R.descend(often, ["x", "z"], config), rtol=0.01)
+    with pytest.raises(ValueError):
+        R.descend(once, ["x", "z"], replace(config, eta0=50.0))
+
+
+def test_depth_beyond_the_library_is_an_error():
+    from starling.operators.tree import TreeConfig
+
+    with pytest.raises(ValueError):
+        TreeConfig("deep", ("x",), max_depth=31)

@@ -153,3 +153,50 @@ def test_store_ignores_unfinished_loads(spark, tmp_path):
     store.publish("Datum", row(5), "f")
     store.vacuum("Datum", keep=1)
     assert store.tables() == ["Datum"] and rows(store.read("Datum"), "datum_key") == [(5,)]
+
+
+def owners(star):
+    """Sales with the business keys that their surrogate keys point at."""
+    sold = star.read("Verkoop").join(star.read("Klant"), "klant_key").join(star.read("Product"), "product_key")
+    return rows(sold.selectExpr("verkoopnr", "coalesce(naam, '')", "productnr"), "*")
+
+
+def test_failed_refresh_publishes_nothing(spark, tmp_path, monkeypatch):
+    root, data = str(tmp_path), shop()
+    _, star, log = load(spark, data, root, T1, mode="refresh")
+    assert not [r for r in log.rows if r["status"] == "ERROR"]
+    before, counts = owners(star), {t: star.count(t) for t in star.schemas}
+    assert before
+    for i in range(10):
+        data["Fiets_Verkoop"]["Klant"].append((100 + i, f"Aaa {i}", "Laan 1", "Delft", "M", "1980-01-01"))
+
+    def fail(self, stage):
+        raise RuntimeError("sales are broken")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(WarehouseLoad, "verkoop", fail)
+        _, star, log = load(spark, data, root, T2, mode="refresh")
+    assert [r["stap"] for r in log.rows if r["status"] == "ERROR"] == ["FACT", "PUBLISH"]
+    assert owners(star) == before and {t: star.count(t) for t in star.schemas} == counts
+    _, star, log = load(spark, data, root, T3, mode="refresh")
+    assert owners(star) == before and star.count("Klant") == counts["Klant"] + 10
+
+
+def test_unchanged_run_writes_no_table(spark, tmp_path):
+    root, data = str(tmp_path), shop()
+    load(spark, data, root, T1)
+    files = lambda: sorted(str(p) for p in (tmp_path / "star").rglob("*.parquet"))
+    first = files()
+    load(spark, data, root, T2)
+    assert files() == first
+
+
+def test_unified_staging_waits_for_a_missing_source(spark, tmp_path):
+    folders = write_shop(spark, shop(), f"{tmp_path}/src")
+    part = {k: v for k, v in folders.items() if k != "Accessoire_Verkoop"}
+    store = Store(spark, f"{tmp_path}/unified", UNIFIED)
+    log = load_unified(spark, part, store, T1)
+    missing = {r["doel_tabel"] for r in log.rows if r["stap"] == "EXTRACT" and r["status"] == "ERROR"}
+    assert "Klant" in missing and store.count("Klant") == 0
+    load_unified(spark, part, store, T1, allow_missing=True)
+    assert store.count("Klant") > 0
