@@ -44,9 +44,10 @@ class Config:
     char_size: int = 8
     word_buckets: int = 1 << 14
     char_buckets: int = 1 << 16
-    epochs: int = 8
-    batch: int = 128
+    updates: int = 450  # least number of updates, in whole passes
+    batch: int = 64
     rate: float = 0.02
+    texts_per_feature: int = 3  # training texts that a word or n-gram must occur in to have a vector
     seed: int = 11
     at_once: int = 3000  # windows per scoring pass
 
@@ -226,32 +227,64 @@ def _laid_out(words: Words, chosen: np.ndarray, config: Config, pad: int) -> tup
     return np.where(mask, words.tokens[at], pad), mask
 
 
+def _spread(words: Words, labels: np.ndarray, config: Config) -> dict[str, np.ndarray]:
+    """Number of clean and of toxic texts that each word bucket and each n-gram bucket occurs in."""
+    out = {"word": np.zeros((2, config.word_buckets), np.int32), "char": np.zeros((2, config.char_buckets), np.int32)}
+    ends = np.cumsum(words.counts)
+    borders = np.flatnonzero(np.diff(words.doc, prepend=-1, append=-1))
+    for a, b in zip(borders, borders[1:]):
+        used, label = np.unique(words.tokens[words.first[a] : words.first[b - 1] + words.size[b - 1]]), labels[words.doc[a]]
+        out["word"][label, np.unique(words.word[used])] += 1
+        out["char"][label, np.unique(words.grams[_ranges(ends[used] - words.counts[used], words.counts[used])])] += 1
+    return out
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Numbers of consecutive ranges, one range after the other."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(starts, counts)
+
+
 def train(texts: list[bytes], labels: np.ndarray, config: Config) -> Network:
-    """Alternate between each text's highest window and a pass over those."""
+    """Alternate between each text's highest window and a pass over those.
+
+    The first number of a vector is the log-odds of the label where the word or n-gram occurs; it
+    stays, and the others are learnt beside it. It also ranks the windows of the first round.
+    """
     network, draw = Network(config), np.random.default_rng(config.seed)
     words = read_in_parts(texts, config)
     y = labels[words.doc].astype(np.float32)
     ends = np.cumsum(words.counts)
+    # what few texts have would be learnt by heart: it has no vector, nor has what none of them has
+    rare = {}
+    for name, n in _spread(words, labels, config).items():
+        rare[name] = n.sum(axis=0) < config.texts_per_feature
+        share = (n + 0.5) / (np.bincount(labels, minlength=2)[:, None] + 1)
+        network.w[name][:, 0] = np.log(share[1] / share[0]) / 2
+        network.w[name][rare[name]] = 0
     memory = {k: np.full_like(v, 1e-6) for k, v in network.w.items()}
-    for epoch in range(config.epochs):
+    first = network.vectors(words.word, words.grams, words.counts)[:, [0, config.word_size]].sum(axis=1)
+    odds = np.maximum.reduceat(first[words.tokens[_ranges(words.first, words.size)]], np.cumsum(words.size) - words.size)
+    epoch = done = 0
+    while done < config.updates:
         order = draw.permutation(len(y))
-        if epoch:
-            order = order[np.argsort(-network.window_scores(words)[order], kind="stable")]
+        rated = network.window_scores(words) if epoch else odds
+        order = order[np.argsort(-rated[order], kind="stable")]
         # the first windows of each text in that order: a few by chance at first, later the highest
         rank = np.zeros(len(y), dtype=np.int64)
         by_doc = np.argsort(words.doc[order], kind="stable")
         docs = words.doc[order][by_doc]
         rank[order[by_doc]] = np.arange(len(docs)) - np.searchsorted(docs, docs)
-        chosen = draw.permutation(np.flatnonzero(rank < (3 if epoch == 0 else np.where(y == 1, 1, 2))))
+        chosen = draw.permutation(np.flatnonzero(rank < np.where(y == 1, 1, 2)))
+        epoch += 1
         for i in range(0, len(chosen), config.batch):
+            done += 1
             part = chosen[i : i + config.batch]
             ids, mask = _laid_out(words, part, config, -1)
             used, local = np.unique(ids[mask], return_inverse=True)
             placed = np.full(ids.shape, len(used))
             placed[mask] = local
             counts = words.counts[used]
-            spread = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(ends[used] - counts, counts)
-            grams = words.grams[spread]
+            grams = words.grams[_ranges(ends[used] - counts, counts)]
             x = network.vectors(words.word[used], grams, counts)
             x = np.concatenate((x, np.zeros((1, x.shape[1]), np.float32)))
             network.keep = True
@@ -267,6 +300,8 @@ def train(texts: list[bytes], labels: np.ndarray, config: Config) -> Network:
                 unique, place = np.unique(rows, return_inverse=True)
                 total = np.zeros((len(unique), change.shape[1]), np.float32)
                 np.add.at(total, place, change)
+                total[rare[name][unique]] = 0
+                total[:, 0] = 0
                 memory[name][unique] += total * total
                 network.w[name][unique] -= 3 * config.rate * total / np.sqrt(memory[name][unique])
             for name, change in g.items():

@@ -1,0 +1,276 @@
+"""Odd input, ties, hot groups and the operators' own interfaces."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from test_contracts import cut_by_brute_force
+
+from starling.llm import components, decontaminate, host_reputation, pii_bootstrap, rule_ledger, ssq_packing, suffix_merge
+from starling.llm import toxicity_gru, viterbi_counts, vp_simhash, zstd_quality
+from starling.llm.queries import vocabulary
+
+
+def piece_file():
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="session")
+def benchmark(spark):
+    return spark.createDataFrame([(1, None), (2, ""), (3, "two words"), (4, "alpha beta gamma delta epsilon zeta eta theta iota")], "item_id long, text string")
+
+
+@pytest.fixture(scope="session")
+def labels(spark):
+    return spark.createDataFrame([(4, 1, 0), (5, 0, 1), (None, 1, 1), (7, None, None)], "doc_id long, quality int, toxic int")
+
+
+OPERATORS = {
+    "ledger": lambda d, b, l: rule_ledger.ledger(rule_ledger.measure(d)),
+    "leaks": lambda d, b, l: decontaminate.leaks(d, b),
+    "clean": lambda d, b, l: decontaminate.clean(d, b),
+    "quality": lambda d, b, l: zstd_quality.classify(d, zstd_quality.fit(d, l)),
+    "toxicity": lambda d, b, l: toxicity_gru.classify(d, toxicity_gru.fit(d, l)),
+    "pack": lambda d, b, l: ssq_packing.pack(d, vocabulary()),
+    "counts": lambda d, b, l: viterbi_counts.count_tokens(d, piece_file()),
+    "pii": lambda d, b, l: pii_bootstrap.personal_data(d),
+    "redact": lambda d, b, l: pii_bootstrap.redact(d),
+    "simhash": lambda d, b, l: vp_simhash.near_duplicates(d),
+    "one_of_each": lambda d, b, l: vp_simhash.one_of_each(d),
+    "suffixes": lambda d, b, l: suffix_merge.removed(d),
+}
+PER_ROW = {"ledger", "quality", "toxicity", "counts", "pii", "redact", "simhash", "suffixes", "clean"}
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_odd_input_has_a_defined_result(odd, benchmark, labels, name):
+    got = OPERATORS[name](odd, benchmark, labels).toPandas()
+    if name in PER_ROW:
+        assert len(got) == 8 and got.doc_id.isna().sum() == 1
+    if name == "pack":
+        assert set(got.doc_id.dropna()) == {1, 2, 3, 4, 5, 6} and got[got.doc_id == 2].doc_tokens.tolist() == [1]
+    if name == "simhash":
+        assert got[got.doc_id.isin([1, 2, 3, 6])].component_id.unique().tolist() == [1]
+        assert got[got.fingerprint == got[got.doc_id == 4].fingerprint.iloc[0]].component_id.unique().tolist() == [4]
+    if name == "one_of_each":
+        assert sorted(got.doc_id) == [1, 4, 5]
+    if name == "suffixes":
+        long = got[got.doc_id == 5].iloc[0]
+        assert long.n_removed == long.n_bytes and got[got.doc_id == 4].n_removed.tolist() == [0, 0]
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_empty_tables(odd, benchmark, labels, name):
+    assert OPERATORS[name](odd.filter("false"), benchmark.filter("false"), labels.filter("false")).count() == 0
+
+
+# url filter
+
+
+def urls(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, good int")
+
+
+def test_host_reputation_shrinks_and_rules_win(spark):
+    rows = [(i, f"http://bad.other.org/{i}", 0) for i in range(40)] + [(100 + i, f"http://Good.site.org/{i}", 1) for i in range(400)]
+    rows += [(600 + i, f"https://farm{i}.spam.net/x", 0) for i in range(60)] + [(700, "http://new.spam.net/y?z", None), (701, "http://new.site.org", None)]
+    rows += [(702, None, None), (703, "no url", None), (704, "http://one.site.org/", 0), (705, "ftp://ok.spam.net/en/a#b", None)]
+    pages = urls(spark, rows)
+    rules = (host_reputation.Rule("allow", "spam.net/en/"), host_reputation.Rule("block", "net/en/a/b/c"))
+    got = host_reputation.judge(pages, pages, rules).toPandas().set_index("page_id")
+    assert set(got.verdict[:40]) == {"block"} and set(got.verdict[got.host == "good.site.org"]) == {"allow"}
+    assert got.verdict[700] == "block", "an unseen host of a bad domain"
+    assert got.verdict[701] == got.verdict[704] == "allow", "one bad page is not enough in a good domain"
+    assert (got.host[702], got.path[702], got.host[703], got.path[703]) == ("", "", "", "")
+    assert (got["rule"][705], got.verdict[705]) == ("spam.net/en/", "allow") and len(got) == len(rows)
+    assert host_reputation.judge(pages.filter("false"), pages.filter("false"), rules).count() == 0
+    blind = host_reputation.judge(pages, pages.filter("false"), ()).toPandas()
+    assert set(blind.verdict) == {"allow"}
+
+
+# rules
+
+
+def test_policies_and_ablations_follow_the_masks(spark, documents):
+    entries = rule_ledger.ledger(rule_ledger.measure(documents)).cache()
+    rows = {(r["policy"], r["rule"]): r for r in rule_ledger.ablations(entries).collect()}
+    masks = [r["failures"] for r in entries.collect()]
+    for (policy, rule), r in rows.items():
+        bit, mask = 1 << next(x.bit for x in rule_ledger.RULES if x.name == rule), rule_ledger.mask_of(policy)
+        assert r["n_failed"] == sum(bool(m & bit) for m in masks)
+        assert r["n_only"] == sum(m & mask == bit for m in masks)
+        assert r["n_kept_without"] == sum(m & mask & ~bit == 0 for m in masks)
+    assert entries.filter(rule_ledger.passes("v2")).count() <= entries.filter(rule_ledger.passes("base")).count()
+
+
+# decontamination
+
+
+def test_leaks_survive_case_and_punctuation_but_not_rewriting(make, benchmark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota"
+    rows = [
+        (1, "intro words " + item.upper() + " tail"), (2, "x " + item.replace(" ", ", ") + "."), (3, item), (4, item + " " + item),
+        (5, item.replace("epsilon", "omega")), (6, "two words"), (7, "alpha beta gamma delta epsilon"), (7, item),
+    ]
+    got = decontaminate.leaks(make(rows), benchmark).toPandas()
+    assert sorted(got.doc_id) == [1, 2, 3, 4, 7] and set(got.item_id) == {4} and (got.similarity == 1).all()
+    assert sorted(r["doc_id"] for r in decontaminate.clean(make(rows), benchmark).collect()) == [5, 6]
+
+
+def test_hamming_blocks_find_every_pair_within_the_radius(spark):
+    draw = random.Random(5)
+    pairs = []
+    for distance in range(16):
+        for _ in range(20):
+            a, b = draw.getrandbits(64), 0
+            b = a
+            for bit in draw.sample(range(64), distance):
+                b ^= 1 << bit
+            signed = lambda v: v - (1 << 64) if v >> 63 else v
+            pairs.append((signed(a), signed(b)))
+    frame = spark.createDataFrame(pairs, "a long, b long")
+    met = F.exists(F.arrays_zip(decontaminate.blocks_of("a", 16).alias("x"), decontaminate.blocks_of("b", 16).alias("y")), lambda z: z["x"] == z["y"])
+    assert frame.filter(~met).count() == 0
+
+
+# packing
+
+
+def test_sum_of_squares_level(spark):
+    packer = ssq_packing.Packer(10)
+    packer.counts[:] = [0, 0, 0, 2, 0, 0, 1, 0, 0, 0, 0]
+    for n in range(1, 10):
+        cost = {}
+        for level in range(0, 11 - n):
+            if level and not packer.counts[level]:
+                continue
+            after = packer.counts.copy()
+            if level:
+                after[level] -= 1
+            if level + n < 10:
+                after[level + n] += 1
+            cost[level] = int((after**2).sum())
+        assert cost[packer.level(n)] == min(cost.values())
+
+
+def test_special_strings_are_encoded_as_the_tokenizer_does(make):
+    from tokenizers import Tokenizer
+
+    text = "before <|endoftext|> after"
+    got = ssq_packing.pack(make([(1, text)]), vocabulary()).toPandas()
+    assert got.length.sum() == len(Tokenizer.from_file(vocabulary().tokenizer).encode(text, add_special_tokens=False).ids) + 1
+
+
+# toxicity
+
+
+def test_gradients_match_finite_differences():
+    config = toxicity_gru.Config(window=5, stride=3, hidden=3, word_size=2, char_size=2, word_buckets=16, char_buckets=32)
+    network = toxicity_gru.Network(config)
+    network.w = {k: v.astype(np.float64) for k, v in network.w.items()}
+    draw = np.random.default_rng(1)
+    ids, mask = draw.integers(0, 4, (5, 2)), np.array([[1, 1], [1, 1], [1, 1], [1, 0], [1, 0]], bool)
+    x = draw.standard_normal((5, 4)) * 0.5
+    x[4] = 0
+    network.keep = True
+    logit, kept = network.run(np.where(mask, ids, 4), mask, x)
+    g, _ = network.gradients(np.where(mask, ids, 4), mask, x, kept, np.array([1.0, -2.0]))
+    for name in ("out", "attend", "state_f", "state_b", "in_f", "v"):
+        flat = network.w[name].reshape(-1)
+        for i in range(0, len(flat), 5):
+            before, losses = flat[i], []
+            for step in (1e-3, -1e-3):
+                flat[i] = before + step
+                losses.append(network.run(np.where(mask, ids, 4), mask, x)[0] @ [1.0, -2.0])
+            flat[i] = before
+            assert abs((losses[0] - losses[1]) / 2e-3 - g[name].reshape(-1)[i]) < 2e-3, name
+
+
+def test_windows_cover_every_word():
+    config = toxicity_gru.Config()
+    words = toxicity_gru.read([b"a " * n for n in (0, 1, 31, 32, 33, 56, 57, 500)], config)
+    for doc, n in enumerate((0, 1, 31, 32, 33, 56, 57, 500)):
+        mine = words.doc == doc
+        base = sum((0, 1, 31, 32, 33, 56, 57, 500)[:doc])
+        covered = {i for f, s in zip(words.first[mine], words.size[mine]) for i in range(f - base, f - base + s)}
+        assert covered == set(range(n))
+
+
+# personal data
+
+
+def test_contexts_find_unseen_identifiers(make):
+    filler = " and so on with plain words that say little here"
+    rows = [(i, f"please call support desk {'+1 (555) 010-' + str(1000 + i)} today{filler}") for i in range(12)]
+    rows += [(100, "please call support desk 555-77-1234 today" + filler), (101, "the number 555-00-9999 is no phone" + filler)]
+    got = pii_bootstrap.personal_data(make(rows)).toPandas().set_index("doc_id")
+    assert got.spans[100] == "phone:25:36" and got.n_phone[100] == 0 and got.spans[101] == ""
+    assert got.spans[3].startswith("phone:25:") and got.n_phone[3] == 1
+    clean = {r["doc_id"]: r["text"] for r in pii_bootstrap.redact(make(rows)).collect()}
+    assert clean[100].startswith("please call support desk [PHONE] today")
+
+
+def test_common_contexts_are_not_trusted(make):
+    rows = [(i, f"we saw the +1 (555) 010-{1000 + i} there and we saw the cat and we saw the dog and we saw the sea") for i in range(12)]
+    rows.append((100, "we saw the 1234-5678 elsewhere"))
+    assert pii_bootstrap.personal_data(make(rows)).filter("doc_id = 100").first()["spans"] == ""
+
+
+# near-duplicates
+
+
+def test_forest_finds_every_link_of_dense_and_sparse_groups(spark):
+    draw = np.random.default_rng(3)
+    base = draw.integers(0, 2**63, 1500, dtype=np.int64).astype(np.uint64)
+    flipped = [base]
+    for count, origin in ((1, base[:500]), (4, base[500:900]), (5, base[900:1100]), (3, np.repeat(base[1200], 600))):
+        part = origin.copy()
+        for i in range(len(part)):
+            for bit in draw.choice(64, count, replace=False):
+                part[i] ^= np.uint64(1) << np.uint64(bit)
+        flipped.append(part)
+    prints = np.unique(np.concatenate(flipped))
+    x, y = np.nonzero(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 4)
+    forest = vp_simhash.Forest(len(prints))
+    forest.add(x, y)
+    expected = {int(p): int(prints.view(np.int64)[r]) for p, r in zip(prints.view(np.int64), forest.settle())}
+    frame = spark.createDataFrame([(int(p), int(p)) for p in prints.view(np.int64)], "doc_id long, fp long")
+    got = vp_simhash.classes(frame, vp_simhash.Config(shard=64, leaf=256)).toPandas()
+    groups = lambda m: sorted(sorted(k for k in m if m[k] == v) for v in set(m.values()))
+    assert groups(dict(zip(got.fp, got.component_id))) == groups(expected)
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(100)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000, 5000), (7, 3), (2001, 2000)]
+    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in range(1, 101)) and all(got[1000 + i] == 1000 for i in range(1, 200)) and got[2001] == 2000
+
+
+# repeated bytes
+
+
+def test_suffix_merge_of_hard_texts(make):
+    draw = random.Random(9)
+    noise = lambda n: "".join(draw.choice("abcdefghij klmnop\n") for _ in range(n))
+    passage, other = noise(260), noise(200)
+    rows = [noise(400) + passage + noise(100) for _ in range(25)] + [passage, other, "q" + other + "z", noise(199)]
+    rows += ["a" * 700, "ab" * 300, "xyz" * 150 + noise(50), "é" * 150, noise(300) + "é" * 120]
+    rows += [rows[0][:450], rows[1][300:], passage[:230] + other[30:], "same row" * 40, "same row" * 40]
+    got = [tuple(r)[:5] for r in suffix_merge.removed(make(list(enumerate(rows))), suffix_merge.Config(entries=40, run=50)).collect()]
+    assert sorted(got, key=repr) == cut_by_brute_force([(i, t.encode()) for i, t in enumerate(rows)])
+
+
+def test_loser_tree_merges_and_keeps_shared_lengths():
+    draw = random.Random(2)
+    runs = [sorted(bytes(draw.choices(b"ab", k=draw.randrange(0, 12))) for _ in range(draw.randrange(0, 30))) for _ in range(7)]
+    coded = [suffix_merge.decoded(*suffix_merge.front_coded(r)) for r in runs]
+    assert [r[0] for r in coded] == runs
+    out = [(runs[r][i], h) for r, i, h in suffix_merge.merged(coded)]
+    assert [s for s, _ in out] == sorted(s for r in runs for s in r)
+    for (a, _), (b, h) in zip(out, out[1:]):
+        assert h == suffix_merge.shared(a, b, 0)
