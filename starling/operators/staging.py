@@ -35,16 +35,16 @@ def consolidate(sources: Sequence[DataFrame], existing: DataFrame, key: Sequence
     """New rows of several sources for one target, the first source winning on the key.
 
     A key already in the target or in an earlier source is left out. Rows that
-    share a key inside one source all stay. Each known side is reduced to
-    distinct keys before its shuffle, so a hot key weighs one row there, and the
-    left side of an anti join may be split by adaptive execution.
+    share a key inside one source all stay, and so do rows with a missing key.
+    Each key is reduced to the least source that has it, and one anti join drops
+    the rows of later ones; its left side may be split by adaptive execution.
     """
-    known = existing.select(*key)
-    taken: list[DataFrame] = []
-    for source in sources:
-        taken.append(source.join(known.distinct(), list(key), "left_anti"))
-        known = known.unionByName(source.select(*key))
-    return reduce(DataFrame.unionByName, taken)
+    names, branch = list(key), "_branch"
+    rows = union_branches(sources, number=branch)
+    have = existing.select(*names, F.lit(0).alias(branch)).unionByName(rows.select(*names, branch))
+    least = have.groupBy(*names).agg(F.min(branch).alias("_least"))
+    later = reduce(Column.__and__, [rows[k] == least[k] for k in names]) & (rows[branch] > least["_least"])
+    return rows.join(least, later, "left_anti").drop(branch)
 
 
 def reconcile(counts: DataFrame) -> DataFrame:

@@ -270,6 +270,14 @@ def line_fit(df: DataFrame, feature: str, target: str) -> DataFrame:
     return df.sparkSession.createDataFrame([(intercept, slope)], "intercept double, slope double")
 
 
+def line_rows(df: DataFrame, feature: str, target: str, *keep: str) -> DataFrame:
+    """Every row with its actual value, the value on the fitted line, and what lies between."""
+    line = line_fit(df, feature, target).first()
+    predicted = F.lit(line["intercept"]) + F.lit(line["slope"]) * F.col(feature)
+    actual = F.col(target)
+    return df.select(*keep, actual.alias("actual"), predicted.alias("predicted"), (actual - predicted).alias("residual"))
+
+
 def binary_scores(pairs: Sequence[tuple[int, int, int]]) -> tuple[float, float, float, float]:
     """Accuracy, precision, recall and F1 from (label, prediction, count) triples."""
     cell = {(label, guess): n for label, guess, n in pairs}

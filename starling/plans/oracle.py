@@ -358,6 +358,10 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (p = 'N') AS "pred_N", count(*) FILTER (p = 'R') AS "pred_R" FROM flags GROUP BY 1""",
     "reg_line": """SELECT round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept,
         round(regr_slope(l_extendedprice, l_quantity), 4) AS slope FROM lineitem""",
+    "reg_rows": """WITH line AS (
+          SELECT regr_intercept(l_extendedprice, l_quantity) AS a, regr_slope(l_extendedprice, l_quantity) AS b FROM lineitem)
+        SELECT l_orderkey, l_linenumber, l_extendedprice AS actual, round(a + b * l_quantity, 2) AS predicted,
+          round(l_extendedprice - (a + b * l_quantity), 2) AS residual FROM lineitem, line""",
     "cluster_sizes": "SELECT label AS cluster, count(*) AS aantal FROM embeddings GROUP BY 1",
     "nearest_mean": """WITH cells AS (
           SELECT vec_id, label, unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range(len(embedding))) AS i FROM embeddings),

@@ -542,6 +542,13 @@ def reg_line(t: Tables) -> DataFrame:
     return found.select(F.round("intercept", 4).alias("intercept"), F.round("slope", 4).alias("slope"))
 
 
+@query
+def reg_rows(t: Tables) -> DataFrame:
+    """Actual and predicted price of every line."""
+    found = grids.line_rows(t.lineitem, "l_quantity", "l_extendedprice", "l_orderkey", "l_linenumber")
+    return found.select("l_orderkey", "l_linenumber", "actual", F.round("predicted", 2).alias("predicted"), F.round("residual", 2).alias("residual"))
+
+
 @query
 def tree_leak(t: Tables) -> DataFrame:
     return grids.leak_check(grids.profile(t))
