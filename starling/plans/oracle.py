@@ -6,18 +6,18 @@ BIRTH = "CASE WHEN c_acctbal >= 0 THEN CAST(c_nationkey + 1950 AS VARCHAR) || '-
 LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate"
 
 
-def _klant(number: int, segments: str, town: str) -> str:
+def _klant(number: int, served: str, town: str) -> str:
     return f"""SELECT {number} AS source_id, c_custkey AS klantnr, c_name AS naam,
       '{town} ' || CAST(c_nationkey AS VARCHAR) AS woonplaats, c_mktsegment AS adres,
       {BIRTH} AS geboortedatum,
       coalesce(c_name, 'None') || '_' || coalesce({BIRTH}, 'None') AS business_key
-    FROM customer WHERE c_mktsegment IN ({segments})"""
+    FROM customer WHERE {served}"""
 
 
 KLANT = f"""branches AS (
-  {_klant(1, "'AUTOMOBILE','BUILDING','FURNITURE'", "City")}
+  {_klant(1, "c_mktsegment IN ('AUTOMOBILE','BUILDING','FURNITURE')", "City")}
   UNION ALL
-  {_klant(2, "'FURNITURE','HOUSEHOLD','MACHINERY'", "Town")}),
+  {_klant(2, "coalesce(c_mktsegment, '') NOT IN ('AUTOMOBILE','BUILDING')", "Town")}),
 incoming AS (
   SELECT * EXCLUDE rn FROM (
     SELECT *, row_number() OVER (PARTITION BY business_key ORDER BY source_id, klantnr) AS rn FROM branches)

@@ -17,7 +17,7 @@ from starling.sources.files import read_table
 
 # fixed values: segments served by either system, validity moments, time of the load
 FIRST_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE")
-SECOND_SEGMENTS = ("FURNITURE", "HOUSEHOLD", "MACHINERY")
+ONLY_FIRST_SEGMENTS = ("AUTOMOBILE", "BUILDING")  # the second system has all others, so no customer is without one
 STORED_SEGMENTS = ("AUTOMOBILE", "BUILDING", "MACHINERY")
 FIRST_BEGIN, SECOND_BEGIN = "2019-01-01 00:00:00", "2020-01-01 00:00:00"
 
@@ -46,9 +46,9 @@ class Tables:
 
     # staging
 
-    def klant(self, segments: tuple[str, ...], town: str) -> DataFrame:
+    def klant(self, served: Column, town: str) -> DataFrame:
         balance = F.col("c_acctbal")
-        return self.customer.filter(F.col("c_mktsegment").isin(*segments)).select(
+        return self.customer.filter(served).select(
             F.col("c_custkey").alias("klantnr"),
             F.col("c_name").alias("naam"),
             F.concat(F.lit(town), text("c_nationkey")).alias("woonplaats"),
@@ -61,7 +61,8 @@ class Tables:
         return F.when(F.col("c_acctbal") >= 0, F.concat(text(F.col("c_nationkey") + 1950), F.lit("-01-01")))
 
     def klant_sources(self) -> list[DataFrame]:
-        return [self.klant(FIRST_SEGMENTS, "City "), self.klant(SECOND_SEGMENTS, "Town ")]
+        only_first = F.coalesce(F.col("c_mktsegment").isin(*ONLY_FIRST_SEGMENTS), F.lit(False))
+        return [self.klant(F.col("c_mktsegment").isin(*FIRST_SEGMENTS), "City "), self.klant(~only_first, "Town ")]
 
     def klant_branches(self) -> DataFrame:
         first, second = self.klant_sources()
