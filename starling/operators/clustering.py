@@ -86,7 +86,9 @@ def fit_kmeans(
     columns = sorted({c for used in columns_of.values() for c in used})
     where = {c: i for i, c in enumerate(columns)}
     sample = {s: starting_rows(df, row_id, columns, start_rows, s) for s in {c.seed for c in configs}}
-    spread = max(1e-12, float(np.mean([v.var(axis=0).mean() for v in sample.values()])))
+    # the stop tolerance follows the variance of all rows
+    variances = df.select(*numbered(columns)).agg(*[F.var_pop(f"x{i}") for i in range(len(columns))]).first()
+    spread = max(1e-12, float(np.mean([v or 0.0 for v in variances])))
     # a run is (columns, k, seed, restart); configs that differ only in n_init share runs
     runs_of = {
         c.name: [(tuple(where[x] for x in columns_of[c.name]), c.k, c.seed, r) for r in range(c.n_init)]
