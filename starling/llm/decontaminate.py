@@ -14,7 +14,8 @@ shingle of the benchmark and hold that many; no leak is lost by it.
 DataFrame functions only. Words are runs of letters and digits, lower-cased; a document with
 fewer words than a shingle is one shingle of all its words. Items with fewer words than a
 shingle cannot be told from ordinary phrases and match nothing, as do null and empty
-texts. Equal items are one item with the smallest id; repeated documents each get their rows.
+texts. Equal items are one item with the smallest id; rows that share a document id, a null
+one included, are one document.
 """
 
 from __future__ import annotations
