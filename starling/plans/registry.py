@@ -13,7 +13,7 @@ from starling.functions import dates as D
 from starling.operators import clustering, dims, features, frames, keys, metrics, quality, scd, silhouette, staging
 from starling.operators import facts as fact_ops
 from starling.plans import experiments as grids
-from starling.plans import facts
+from starling.plans import facts, sample_loads
 from starling.plans.relational import QUESTIONS
 from starling.plans.tables import LINE_ID, Tables
 from starling.sources import files
@@ -586,6 +586,15 @@ def best_run(t: Tables) -> DataFrame:
     return grids.best(grids.regression_grid(grids.profile(t), grids.REGRESSION_GRID), "rmse")
 
 
+# the loads themselves, run twice
+
+for load_query in (
+    sample_loads.star_sales, sample_loads.star_purchase, sample_loads.star_maintenance, sample_loads.star_workers,
+    sample_loads.star_log, sample_loads.staging_log,
+):
+    query(load_query)
+
+
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     bind = lambda fn: lambda spark, folder: fn(Tables(spark, folder))
     return {name: bind(fn) for name, fn in QUERIES.items()}
