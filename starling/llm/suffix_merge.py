@@ -15,8 +15,12 @@ and ``length - o`` to the right, which both orders tell by counting.
 
 Exact copies of a text are found by a digest first: all of them go, and one of them stands
 for all in the sort. Equal surroundings of an anchor in a task are one entry of its run.
-Nothing is dropped from a frequent gram; its entries meet in one task, in front-coded form,
-and that group is what bounds the memory of a task.
+
+A gram with more than ``Config.hot`` anchors would make one task of its own, so its strings
+are dealt out further: the bytes around each such anchor that hold the strings anchored there
+are counted by a 128-bit digest, and where those bytes occur once the digests of their single
+strings are. Both are counted before they are shuffled, and nothing is dropped. What shares a
+frequent passage's inside is then one row a task, and what differs at its border is spread.
 
 Null text counts as empty, and a text shorter than ``length`` loses nothing. Repeated rows
 are copies of each other. Null ids stay, other columns are ignored, and an empty table gives
@@ -48,6 +52,7 @@ class Config:
     gram: int = 64
     entries: int = 40_000  # anchors aimed at per merging task
     run: int = 40_000  # anchors sorted at once in a task
+    hot: int = 40_000  # anchors of one gram that still meet in a merging task
 
     @property
     def reach(self) -> int:
@@ -57,15 +62,14 @@ class Config:
 # anchors
 
 
-def anchors(texts: list[bytes], config: Config) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, place and gram hash of the anchors of some texts."""
+def anchored(texts: list[bytes], config: Config) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and anchor of every string of the joined texts, and the gram hash of every byte."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     n, window = len(data), config.reach + 1
     if n < config.length:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    ends = np.cumsum(sizes)
-    left = np.repeat(ends, sizes) - np.arange(n)  # bytes up to the end of the text
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)  # bytes up to the end of the text
     places = np.arange(n - config.gram + 1)
     hashes = T.RollingHash(data).of(places, places + config.gram)
     padded = -(-(n + window) // window) * window
@@ -79,9 +83,17 @@ def anchors(texts: list[bytes], config: Config) -> tuple[np.ndarray, np.ndarray,
     behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
     starts = np.flatnonzero(left >= config.length)
     least = np.minimum(behind[starts], ahead[starts + window - 1])
-    chosen = np.zeros(n, dtype=bool)
-    chosen[(least & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
+    return starts, (least & np.uint64(0xFFFFFFFF)).astype(np.int64), hashes
+
+
+def anchors(texts: list[bytes], config: Config) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, place and gram hash of the anchors of some texts."""
+    _, anchor, hashes = anchored(texts, config)
+    chosen = np.zeros(len(hashes), dtype=bool)
+    chosen[anchor] = True
     at = np.flatnonzero(chosen)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes)
     docs = np.searchsorted(ends, at, side="right")
     return docs, at - (ends - sizes)[docs], hashes[at]
 
@@ -280,6 +292,60 @@ def _copies(documents: DataFrame, config: Config) -> DataFrame:
     return T.staged(found.select("key", "first"), "copies")
 
 
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+def _hot_ranges(texts: DataFrame, config: Config) -> DataFrame:
+    """``(key, start, end)``: repeated strings anchored at ``hot_places`` of ``texts(key, text, copied, hot_places)``."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text, copied, places in zip(*(batch.column(i) for i in range(4))):
+                data = text.as_py().encode()
+                starts, anchor, _ = anchored([data], config)
+                own = np.isin(anchor, np.array(places.as_py(), dtype=np.int64))
+                if not own.any():
+                    continue
+                starts, anchor = starts[own], anchor[own]
+                # the strings of one anchor begin in a row
+                first = np.flatnonzero(np.diff(anchor, prepend=-1))
+                last = np.append(first[1:], len(anchor)) - 1
+                begins, ends = starts[first].tolist(), (starts[last] + config.length).tolist()
+                around = [data[a:b] for a, b in zip(begins, ends)]
+                # equal bytes hold equal strings, wherever their anchor lies
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([key.as_py()] * len(around), pa.string()), pa.array([copied.as_py()] * len(around), pa.bool_()),
+                    pa.array(begins, pa.int64()),
+                    pa.array([_digest(w) for w in around], pa.binary()), pa.array(around, pa.binary()),
+                ], names=["key", "copied", "start", "whole", "around"])
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for whole, n, around in zip(*(batch.column(i) for i in range(3))):
+                data = around.as_py()
+                number = len(data) - config.length + 1
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([_digest(data[i : i + config.length]) for i in range(number)], pa.binary()),
+                    pa.array([whole.as_py()] * number, pa.binary()), pa.array([n.as_py()] * number, pa.int64()),
+                    pa.array(range(number), pa.int64()),
+                ], names=["string", "whole", "n", "at"])
+
+    source = texts.select("key", "text", "copied", "hot_places")
+    found = T.staged(source.mapInArrow(cut, "key string, copied boolean, start long, whole binary, around binary"), "hot")
+    wholes = found.groupBy("whole").agg(F.count("*").alias("n"), F.any_value("around").alias("around"))
+    single = T.staged(wholes.mapInArrow(strings, "string binary, whole binary, n long, at long"), "hot-strings")
+    # one that stands for several counts as often; equal strings inside one stretch are two places
+    twice = single.groupBy("string").agg(F.sum("n").alias("n")).filter("n > 1").select("string")
+    twice = T.staged(twice, "hot-twice")
+    # the strings of one anchor overlap: from the first that occurs twice to the last, all goes
+    hits = single.join(broadcast_if_small(twice, twice), "string").groupBy("whole").agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    hits = T.staged(hits, "hot-hits")
+    wanted = found.filter("not copied").select("key", "start", "whole").join(broadcast_if_small(hits, hits), "whole")
+    low, high = F.col("start") + F.col("low"), F.col("start") + F.col("high") + config.length
+    return wanted.select("key", low.alias("start"), high.alias("end"))
+
+
 def repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config = Config()) -> DataFrame:
     """``(key, ranges)``: disjoint byte ranges of the texts without copies that occur twice; staged."""
     spark = documents.sparkSession
@@ -299,11 +365,15 @@ def repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config = Co
 
     found = T.staged(kept.select("key", "text").mapInArrow(find, "key string, places array<int>, hashes array<long>"), "anchors")
     often = found.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
-    often = T.staged(often.select("hash"), "grams")
+    often = T.staged(often.select("hash", (F.col("n") > config.hot).alias("hot")), "grams")
     spots = found.select("key", F.explode(F.arrays_zip("places", "hashes")).alias("a")).select("key", F.col("a.places").alias("place"), F.col("a.hashes").alias("hash"))
-    spots = spots.join(broadcast_if_small(often, often), "hash").groupBy("key").agg(F.collect_set("place").alias("places"))
+    spots = spots.join(broadcast_if_small(often, often), "hash").groupBy("key").agg(
+        F.collect_set(F.when(~F.col("hot"), F.col("place"))).alias("places"),
+        F.collect_set(F.when(F.col("hot"), F.col("place"))).alias("hot_places"),
+    )
     spots = T.staged(spots, "spots")
-    total, texts = spots.agg(F.coalesce(F.sum(F.size("places")), F.lit(0)), F.count("*")).first()
+    sums = [F.coalesce(F.sum(F.size(c)), F.lit(0)) for c in ("places", "hot_places")]
+    total, hot, texts = spots.agg(*sums, F.count("*")).first()
     parts = max(T.partitions(spark), -(-total // config.entries))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,9 +406,12 @@ def repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config = Co
             ends.append(ranges[:, 1])
         return pa.table({"key": pa.array(keys, pa.string()), "start": pa.array(np.concatenate(starts), pa.int64()), "end": pa.array(np.concatenate(ends), pa.int64())})
 
-    side = F.broadcast(spots) if total * 4 + texts * 64 <= BROADCAST_BYTES else spots
+    small = (total + hot) * 4 + texts * 64 <= BROADCAST_BYTES
+    side = F.broadcast(spots) if small else spots
     exchanged = kept.join(side, "key").select("key", "text", "copied", "places").mapInArrow(runs, RUN_TYPES)
     ranges = exchanged.repartition(parts, "part").groupBy("part").applyInArrow(merge, "key string, start long, end long")
+    if hot:
+        ranges = ranges.unionByName(_hot_ranges(kept.join(side, "key").filter(F.size("hot_places") > 0), config))
     grouped = ranges.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

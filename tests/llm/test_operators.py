@@ -254,14 +254,16 @@ def test_components_of_chains_and_stars(spark):
 # repeated bytes
 
 
-def test_suffix_merge_of_hard_texts(make):
+@pytest.mark.parametrize("hot", [0, 6, 40_000])
+def test_suffix_merge_of_hard_texts(make, hot):
+    """However frequent a gram must be to be dealt out further, the same bytes go."""
     draw = random.Random(9)
     noise = lambda n: "".join(draw.choice("abcdefghij klmnop\n") for _ in range(n))
     passage, other = noise(260), noise(200)
     rows = [noise(400) + passage + noise(100) for _ in range(25)] + [passage, other, "q" + other + "z", noise(199)]
     rows += ["a" * 700, "ab" * 300, "xyz" * 150 + noise(50), "é" * 150, noise(300) + "é" * 120]
     rows += [rows[0][:450], rows[1][300:], passage[:230] + other[30:], "same row" * 40, "same row" * 40]
-    got = [tuple(r)[:5] for r in suffix_merge.removed(make(list(enumerate(rows))), suffix_merge.Config(entries=40, run=50)).collect()]
+    got = [tuple(r)[:5] for r in suffix_merge.removed(make(list(enumerate(rows))), suffix_merge.Config(entries=40, run=50, hot=hot)).collect()]
     assert sorted(got, key=repr) == cut_by_brute_force([(i, t.encode()) for i, t in enumerate(rows)])
 
 
