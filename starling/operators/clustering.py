@@ -14,11 +14,11 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starling.functions.columns import numbered
-from starling.operators.features import matrix, mixed
+from starling.operators.features import matrix
 from starling.operators.silhouette import cluster_totals, squared_means
 from starling.operators.tree import assemble
 
@@ -47,45 +47,79 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return label, np.maximum(distance[np.arange(len(x)), label], 0.0)
 
 
-def _spread_start(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Starting centres, each drawn with weight of its squared distance to those before it."""
-    chosen = [int(rng.integers(len(x)))]
-    distance = ((x - x[chosen[0]]) ** 2).sum(axis=1)
+def _spread_start(x: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Starting centres among weighted points, each drawn by its squared distance to those before it."""
+    chosen = [int(rng.choice(len(x), p=weight / weight.sum()))]
+    distance = ((x - x[chosen[0]]) ** 2).sum(axis=1) * weight
     while len(chosen) < k:
         total = distance.sum()
         pick = int(rng.choice(len(x), p=distance / total)) if total > 0 else int(rng.integers(len(x)))
         chosen.append(pick)
-        distance = np.minimum(distance, ((x - x[pick]) ** 2).sum(axis=1))
+        distance = np.minimum(distance, ((x - x[pick]) ** 2).sum(axis=1) * weight)
     return x[chosen].copy()
 
 
-def starting_rows(df: DataFrame, row_id: str, columns: Sequence[str], rows: int, seed: int) -> np.ndarray:
-    """A seeded set of rows to draw first centres from: the lowest hashes of the id.
+def starting_points(
+    df: DataFrame, row_id: str, columns: Sequence[str], wanted: dict[tuple, int], rounds: int = 5
+) -> dict[tuple, tuple[np.ndarray, np.ndarray]]:
+    """Candidates for first centres out of all rows, and the number of rows nearest to each.
 
-    A bound on the hash thins the rows inside the scan to a few times the wanted
-    number, so the final sort is small however many partitions there are.
+    ``wanted`` maps (column numbers, seed) to the rows drawn per round. The first round draws
+    evenly, every later one by the squared distance to the candidates so far, so that a
+    small cluster far off is found among however many rows. A draw keeps the rows with the
+    least ``-log(u) / distance``, ``u`` being a hash of row id, seed and round: one pass per
+    round for all sets, and the same rows whichever task sees them.
     """
-    hashed = df.select(mixed([row_id], seed).alias("_h"), F.col(row_id).alias("_id"), *numbered(columns))
-    total = df.count()
-    lowest = lambda part: part.orderBy("_h", "_id").limit(rows).drop("_h", "_id").toArrow().to_pandas()
-    found = lowest(hashed.filter(F.col("_h") < int(min(1.0, 4 * rows / max(total, 1)) * 2**31)))
-    if len(found) < min(rows, total):
-        found = lowest(hashed)
-    return found.to_numpy(dtype=float)
+    sets = list(wanted)
+    found: dict[tuple, np.ndarray] = {s: np.zeros((0, len(s[0]))) for s in sets}
+    seeds = sorted({seed for _, seed in sets})
+    plain = numbered(columns)
+    for turn in range(rounds):
+        hashed = df.select(*plain, *[F.xxhash64(F.col(row_id), F.lit(seed), F.lit(turn)).alias(f"h{seed}") for seed in seeds])
+
+        def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = [(np.zeros(0), np.zeros((0, len(picks)))) for picks, _ in sets]
+            for pdf in batches:
+                values = matrix(pdf.iloc[:, : len(columns)])
+                for i, (picks, seed) in enumerate(sets):
+                    x = values[:, list(picks)]
+                    distance = _nearest(x, found[sets[i]])[1] if len(found[sets[i]]) else np.ones(len(x))
+                    u = ((pdf[f"h{seed}"].to_numpy().view(np.uint64) >> np.uint64(11)) + 0.5) * 2.0**-53
+                    apart = distance > 0
+                    order = np.concatenate([best[i][0], -np.log(u[apart]) / distance[apart]])
+                    rows = np.concatenate([best[i][1], x[apart]])
+                    least = np.argsort(order, kind="stable")[: wanted[sets[i]]]
+                    best[i] = order[least], rows[least]
+            for i, (order, rows) in enumerate(best):
+                if len(order):
+                    yield pd.DataFrame({"of": i, "place": order, "x": list(rows)})
+
+        drawn = hashed.mapInPandas(draw, "of int, place double, x array<double>")
+        rank = F.row_number().over(Window.partitionBy("of").orderBy("place", "x"))
+        kept = drawn.withColumn("rank", rank).filter(F.col("rank") <= max(wanted.values())).orderBy("of", "rank").collect()
+        for i, s in enumerate(sets):
+            fresh = [r["x"] for r in kept if r["of"] == i and r["rank"] <= wanted[s]]
+            if fresh:
+                found[s] = np.concatenate([found[s], np.array(fresh)])
+    sums = _assign_sums(df.select(*plain), {s: (list(s[0]), found[s]) for s in sets if len(found[s])})
+    return {s: (found[s], sums[s][0]) for s in sums}
 
 
 def fit_kmeans(
     df: DataFrame, row_id: str, columns_of: dict[str, list[str]], configs: Sequence[KMeansConfig],
-    max_iter: int = 300, tol: float = 1e-4, start_rows: int = 4000,
+    max_iter: int = 300, tol: float = 1e-4,
 ) -> dict[str, Clustering]:
     """Best of ``n_init`` restarts per config, all rows of ``df`` taking part in every step.
 
-    Only the first centres come from a bounded set of rows. ``df`` is read once
-    per step; cache it when it is costly to compute.
+    ``df`` is read once per step; cache it when it is costly to compute.
     """
     columns = sorted({c for used in columns_of.values() for c in used})
     where = {c: i for i, c in enumerate(columns)}
-    sample = {s: starting_rows(df, row_id, columns, start_rows, s) for s in {c.seed for c in configs}}
+    wanted: dict[tuple, int] = {}
+    for c in configs:
+        drawn_for = tuple(where[x] for x in columns_of[c.name]), c.seed
+        wanted[drawn_for] = max(wanted.get(drawn_for, 0), 2 * c.k)
+    starts = starting_points(df, row_id, columns, wanted)
     # the stop tolerance follows the variance of all rows
     variances = df.select(*numbered(columns)).agg(*[F.var_pop(f"x{i}") for i in range(len(columns))]).first()
     spread = max(1e-12, float(np.mean([v or 0.0 for v in variances])))
@@ -97,10 +131,10 @@ def fit_kmeans(
     centres: dict[tuple, np.ndarray] = {}
     for run in {run for runs in runs_of.values() for run in runs}:
         picks, k, seed, restart = run
-        rows = sample[seed][:, picks]
-        if len(rows) < k:
-            raise ValueError(f"{len(rows)} rows cannot form {k} clusters")
-        centres[run] = _spread_start(rows, k, np.random.default_rng([seed, restart, k]))
+        points, weight = starts.get((picks, seed), (np.zeros((0, len(picks))), np.zeros(0)))
+        if weight.sum() < k:
+            raise ValueError(f"{weight.sum():.0f} rows cannot form {k} clusters")
+        centres[run] = _spread_start(points, weight, k, np.random.default_rng([seed, restart, k]))
     slim = df.select(*numbered(columns))
     inertia: dict[tuple, float] = {}
     moving = set(centres)

@@ -288,7 +288,8 @@ def binary_scores(pairs: Sequence[tuple[int, int, int]]) -> tuple[float, float,
 
 def cluster_inputs(df: DataFrame, used: Sequence[str]) -> tuple[DataFrame, dict[str, list[str]]]:
     """Scaled dummies (first level dropped) and numbers, and the columns of each feature."""
-    data = df.select(ROW_ID, *used)
+    # levels, scaler and rows each read the input: it is computed once
+    data = stage(df.select(ROW_ID, *used))
     categories = other_columns(data.select(*used))
     levels = features.fit_levels(data, categories)
     encoded = features.onehot(data, levels, drop_first=True)

@@ -207,6 +207,21 @@ def test_kmeans_finds_clear_groups(spark):
     assert clustering.mean_silhouettes(df, models)["k3"] == pytest.approx(mean) and mean > 0.95
 
 
+def test_kmeans_finds_a_rare_far_cluster(spark):
+    far = F.when(F.col("id") % 50_000 == 7, 1e4).otherwise(F.sin("id"))
+    df = spark.range(0, 200_000, 1, 8).select("id", far.alias("a"), F.cos("id").alias("b"))
+    model = clustering.fit_kmeans(df, "id", {"k": ["a", "b"]}, [clustering.KMeansConfig("k", ("a", "b"), 2, n_init=2)])["k"]
+    assert sorted(r["count"] for r in clustering.assign(df, "id", model).groupBy("cluster").count().collect()) == [4, 199_996]
+
+
+def test_kmeans_of_few_distinct_rows(spark):
+    df = spark.createDataFrame([(i, 1.0, 2.0) for i in range(5)], "id long, a double, b double")
+    fit = lambda frame, k: clustering.fit_kmeans(frame, "id", {"k": ["a", "b"]}, [clustering.KMeansConfig("k", ("a", "b"), k, n_init=1)])["k"]
+    assert fit(df, 3).inertia == 0
+    with pytest.raises(ValueError, match="cannot form"):
+        fit(df.limit(2), 3)
+
+
 def test_missing_features_are_refused(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 3.0), (3, 4.0, 9.0)], "id long, a double, b double")
     with pytest.raises(Exception, match="missing value"):
