@@ -88,7 +88,8 @@ def descend(g: Gram, columns: Sequence[str], config: SgdConfig) -> np.ndarray:
 
     The intercept carries no penalty. An epoch is ``_STEPS`` steps of size eta, each along
     the mean gradient of all rows, so the path does not depend on the number of rows. The
-    tolerance counts in variances of the target. A step too long for the matrix is an error.
+    tolerance is a share of the loss, whatever the target's unit. A step too long for the
+    matrix is an error.
     """
     xx, xy, yy = g.system(columns)
     r = l1_share(config)
@@ -99,7 +100,6 @@ def descend(g: Gram, columns: Sequence[str], config: SgdConfig) -> np.ndarray:
     values, axes = np.linalg.eigh(curve)
     if config.eta0 >= 2.0 / values.max():
         raise ValueError(f"eta0 {config.eta0} diverges: the largest curvature is {values.max():.3g}")
-    tolerance = config.tol * max(yy - xy[0] ** 2, 1e-300)
     # the smooth optimum along each axis; flat axes stay where they start
     flat = values <= 1e-12 * values.max()
     goal = axes @ (np.where(flat, 0.0, axes.T @ xy) / np.where(flat, 1.0, values))
@@ -123,7 +123,7 @@ def descend(g: Gram, columns: Sequence[str], config: SgdConfig) -> np.ndarray:
             eta = config.eta0 / (1 + epoch * _STEPS) ** _POWER
         w = epoch_of_steps(w, eta)
         now = loss(w)
-        stale = stale + 1 if now > best - tolerance else 0
+        stale = stale + 1 if epoch and now >= best * (1 - config.tol) else 0
         best = min(best, now)
         if stale >= _PATIENCE:
             if config.learning_rate != "adaptive" or eta <= _FLOOR:
