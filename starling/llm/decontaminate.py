@@ -7,9 +7,9 @@ into ``radius + 1`` blocks: by the pigeonhole principle a window within the radi
 the item in one block at least, so a join on (size, block, value) finds every such window.
 
 Windows are fingerprinted only where the last check can still pass. A similarity of s over
-m shingles on either side needs 2ms / (1 + s) shared ones, and moving a window right to
-its first shared shingle loses none. So it is enough to look at windows that begin with a
-shingle of the benchmark and hold that many; no leak is lost by it.
+m shingles on either side needs 2ms / (1 + s) shared ones, so every window that holds that
+many shingles of the item is looked at, wherever it begins, and no other: no leak is lost
+by it. A passage has few more such windows than it has shingles to spare.
 
 DataFrame functions only. Words are runs of letters and digits, lower-cased; a document with
 fewer words than a shingle is one shingle of all its words. Items with fewer words than a
@@ -98,11 +98,14 @@ def windows_of(keyed: DataFrame, items: DataFrame, config: Config) -> DataFrame:
     lists = lists.withColumn("need", F.ceil(share * (F.col("m") + F.col("width")) - 1e-9).cast("int"))
     # positions of distinct hits bound the shared shingles from above
     lists = lists.filter(F.size("spots") >= F.col("need"))
-    starts = F.expr(
-        "transform(filter(sequence(0, size(spots) - need), i -> spots[i + need - 1] - spots[i] < width),"
-        " i -> least(spots[i], total - width))"
+    # starts whose first hit is spots[i]: from after the hit before it, and late enough to reach the last needed hit
+    ranges = F.expr(
+        "transform(sequence(0, size(spots) - need), i -> struct("
+        "greatest(coalesce(get(spots, i - 1) + 1, 0), spots[i + need - 1] - width + 1) as low, least(spots[i], total - width) as high))"
     )
-    return lists.select("key", "m", "width", F.explode(F.array_distinct(starts)).alias("at")).distinct()
+    lists = lists.select("key", "m", "width", F.filter(ranges, lambda r: r["low"] <= r["high"]).alias("ranges"))
+    starts = F.flatten(F.transform("ranges", lambda r: F.sequence(r["low"], r["high"])))
+    return lists.select("key", "m", "width", F.explode(starts).alias("at")).distinct()
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, config: Config = Config()) -> DataFrame:

@@ -122,6 +122,33 @@ def test_leaks_survive_case_and_punctuation_but_not_rewriting(make, benchmark):
     assert sorted(r["doc_id"] for r in decontaminate.clean(make(rows), benchmark).collect()) == [5, 6]
 
 
+def test_edited_passages_match_brute_force_over_all_windows(spark, make):
+    """Words changed at either end of a passage: a leak may show only in a window that begins between two hits."""
+    draw, rows, size = random.Random(17), [], 50
+    item = [f"item{i}" for i in range(size)]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    other = lambda n: [f"w{draw.getrandbits(40)}" for _ in range(n)]
+    for i in range(900):
+        n = draw.randrange(3, 6)
+        body = other(n) + item[n:] if i % 2 else item[:-n] + other(n)
+        rows.append((i, " ".join(other(12) + body + other(12))))
+    documents, config = make(rows), decontaminate.Config()
+    hashes = lambda frame, k: {r[0]: r[1] for r in frame.select(k, decontaminate.shingles_of(decontaminate.words_of(), config.shingle)).collect()}
+    bits = lambda h: (np.array(h, np.int64).view(np.uint64)[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+    (wanted,) = hashes(benchmark, "item_id").values()
+    m, mark, expected = len(wanted), 2 * bits(wanted).sum(axis=0) > len(wanted), {}
+    for doc, found in hashes(documents, "doc_id").items():
+        sums = np.concatenate((np.zeros((1, 64), np.uint64), np.cumsum(bits(found), axis=0)))
+        shared = np.concatenate(([0], np.cumsum(np.isin(found, wanted))))
+        shared = shared[m:] - shared[:-m]
+        distance = ((2 * (sums[m:] - sums[:-m]) > m) != mark).sum(axis=1)
+        good = int(((shared / (2 * m - shared) >= config.similarity) & (distance <= config.radius)).sum())
+        if good:
+            expected[doc] = good
+    got = decontaminate.leaks(documents, benchmark).toPandas()
+    assert len(expected) > 100 and dict(zip(got.doc_id, got.n_windows)) == expected
+
+
 def test_hamming_blocks_find_every_pair_within_the_radius(spark):
     draw = random.Random(5)
     pairs = []
