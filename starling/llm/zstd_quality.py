@@ -59,7 +59,7 @@ def agreed(labels: DataFrame, label: str) -> DataFrame:
 def sample(documents: DataFrame, labels: DataFrame, label: str, rows: int, longest: int) -> pd.DataFrame:
     """At most ``rows`` learnable labelled texts per class, in the order of a hash of the id.
 
-    Only the chosen ids travel to the documents.
+    Only the chosen ids travel to the documents, and one text of each comes back: the least one.
     """
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     # twice the rows, because some ids have no text of a usable length; the bound makes the broadcast safe
@@ -67,9 +67,10 @@ def sample(documents: DataFrame, labels: DataFrame, label: str, rows: int, longe
     picked = [known.filter(F.col("label") == k).orderBy(*order).limit(2 * rows) for k in (0, 1)]
     texts = documents.select("doc_id", T.text_or_empty().alias("text")).filter(F.length("text").between(1, longest))
     chosen = texts.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
-    found = chosen.select("doc_id", "label", "text").toPandas()
+    # one text per id before anything is collected: a repeated id brings one row to the driver, however many it has
+    found = chosen.groupBy("doc_id", "label").agg(F.min("text").alias("text")).toPandas()
     found["rank"] = pd.util.hash_array(found["doc_id"].to_numpy(dtype="int64")) if len(found) else []
-    found = found.sort_values(["rank", "text"]).drop_duplicates("doc_id")
+    found = found.sort_values(["rank", "text"])
     return found.groupby("label", group_keys=False).head(rows)[["text", "label"]].reset_index(drop=True)
 
 

@@ -165,6 +165,22 @@ def test_hamming_blocks_find_every_pair_within_the_radius(spark):
     assert frame.filter(~met).count() == 0
 
 
+# quality
+
+
+def test_a_hot_labelled_id_brings_one_row_to_the_driver(spark, make, monkeypatch):
+    rows = [(1, f"text {9999 - i}") for i in range(2000)] + [(2, "other"), (2, "other"), (3, "x" * 50), (3, "a" * 5)]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    learnable = {r["doc_id"] for r in zstd_quality.agreed(labels, "quality").collect()}
+    documents, sizes = make(rows), []
+    plain = type(documents).toPandas
+    monkeypatch.setattr(type(documents), "toPandas", lambda self: (sizes.append(len(found := plain(self))), found)[1])
+    got = zstd_quality.sample(documents, labels, "quality", 10, 20)
+    assert 1 in learnable and sizes == [len(learnable)]
+    least = {1: "text 8000", 2: "other", 3: "a" * 5}
+    assert sorted(got["text"]) == sorted(least[i] for i in learnable)
+
+
 # packing
 
 
