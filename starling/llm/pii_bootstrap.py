@@ -1,14 +1,22 @@
 """Personal data: stated patterns, and bootstrapped contexts that find more of it.
 
-The base kinds are regular expressions with a check each. Their matches are the seeds: the
-words around them are lexical patterns (two words to the left, or one to either side).
-Patterns and identifiers form a graph: a pattern is trusted by the share of all its fills
-in the corpus that are trusted identifiers, an identifier by the patterns it fills. After
-a stated number of rounds, identifiers that fill a trusted pattern are added as spans.
+The base kinds are regular expressions with a check each. Their matches are the seeds. A text
+is a row of units: base spans, plain words (letters, with hyphens and apostrophes inside), and
+fills, which are all other tokens: runs of numbers joined by blanks, brackets and hyphens, and
+tokens of letters with digits or marks inside, also joined by "(at)" and "(dot)". Marks around
+a unit, and a label like "tel:" before it, are not part of it. The units around a unit are its
+lexical patterns (two to the left, or one to either side). Patterns and identifiers form a
+graph: a pattern is trusted by the share of all units it surrounds in the corpus that are
+trusted identifiers, an identifier by the patterns it fills. After a stated number of rounds,
+fills of a trusted pattern that are trusted identifiers are added as spans, with or without
+digits. Plain words count against a pattern, but are never identifiers. Other occurrences of
+a found identifier, outside the trusted patterns of its kind, are not added: the same
+characters may mean something else there.
 
 DataFrame functions only. What leaves a text are spans and hashes of its contexts, never
 the text; graph rows are summed per pattern and identifier before anything is joined, so a
-context with a third of all matches is one row. Null and empty texts have no spans;
+context with a third of all matches is one row. Corpus counts are taken for those patterns
+only that could be trusted if no plain word filled them. Null and empty texts have no spans;
 repeated rows have the same spans each; an empty table gives an empty result. Other input
 columns are ignored. Positions are code points, ends exclusive. A kind's matches are the
 leftmost ones that do not overlap; matches of two kinds may.
@@ -41,19 +49,33 @@ MUST = {
     "card": lambda t: t.rlike(r"[0-9][0-9\x20-]{12,}[0-9]"),
     "phone": lambda t: t.rlike(r"\+[0-9]"),
 }
-SPACE = r"\x20\x09-\x0D"
-TOKEN = rf"(?<![^{SPACE}])[^{SPACE}0-9]*+[0-9][^{SPACE}]*+"
+# base spans are written as one HEAD and a BODY per further character before a text is cut into units
+HEAD, BODY, OTHER = "\ue000", "\ue001", "\ue002"
+_MARKS = r"!#$%&'’()*+./:?@\[\]\\^_`{}~-"  # may stand inside a unit; what is no letter, digit or mark ends it
+_IN, _END, _BLANK = rf"[\p{{L}}\p{{M}}\p{{N}}{_MARKS}]", r"[\p{L}\p{M}\p{N}]", r"[\x20\x09]++"
+_TAIL = rf"[\p{{L}}\p{{N}}](?:{_IN}*{_END})?"
+_DIGITS = rf"[0-9]++(?:[{_MARKS}]*+[0-9]++)*+"
+_NO_LETTER = rf"(?![\p{{M}}\p{{N}}{_MARKS}]*+\p{{L}})"
+_LINK = r"[(\[{](?i:at|dot)[)\]}]"
+_LINKED = rf"[\p{{L}}\p{{N}}]{_IN}*+(?:{_BLANK}{_LINK}{_BLANK}{_TAIL})++"
+UNLINKED = "|".join((
+    rf"{HEAD}{BODY}*+",
+    rf"\p{{L}}[\p{{L}}\p{{M}}]*+(?:['’-]\p{{L}}[\p{{L}}\p{{M}}]*+)*+(?=[:=]|[{_MARKS}]*+(?!{_IN}))",
+    rf"{_NO_LETTER}(?:\+?\((?=[0-9][0-9./+-]*+\)[\x20\x09.()/+-]*+[0-9])|\+)?{_DIGITS}(?:\)?{_BLANK}(?:[-/.]{_BLANK})?{_NO_LETTER}[(+]*+{_DIGITS})*+",
+    _TAIL,
+))
+UNIT = f"{_LINKED}|{UNLINKED}"  # the same as UNLINKED in texts that have no link
+NOT_PLAIN = r"[^\p{L}\p{M}'’-]"
 SPAN = "struct<kind:string,start:int,end:int,token:string>"
+PLACE = "struct<start:int,end:int,nr:int,token:string>"
 
 
 @dataclass(frozen=True)
 class Config:
     rounds: int = 3
     support: float = 3.0  # trusted identifiers that a pattern needs
-    trust: float = 0.6  # least share of a pattern's fills that are trusted identifiers
+    trust: float = 0.6  # least share of a pattern's units that are trusted identifiers
     accept: float = 0.8  # least trust in an identifier that is added
-    digits: int = 4  # digits that an unseen identifier has at least
-    context: int = 80  # characters on either side in which context words are looked for
 
 
 def _located(text: str, pattern: str, kind: str) -> Column:
@@ -93,60 +115,101 @@ def _checked(kind: str, span: Column) -> Column:
     return F.when(F.length(digits).between(14, 19), F.aggregate(doubled, F.lit(0), lambda s, d: s + d) % 10 == 0).otherwise(False)
 
 
-def _tokens(text: str, config: Config) -> Column:
-    """Identifier-like tokens: with digits, without the quotes, brackets and marks around them."""
-    lead = r"^(?:[^=:]*[=:])?[(\"'\[<]*"
-    core = lambda x: F.regexp_replace(F.regexp_replace(x["token"], lead, ""), r"[.,;:!?)\"'\]>]+$", "")
-    moved = lambda x: x["start"] + F.length(F.regexp_extract(x["token"], lead, 0))
-    spans = F.transform(
-        _located(text, TOKEN, "token"),
-        lambda x: F.struct(x["kind"].alias("kind"), moved(x).alias("start"), (moved(x) + F.length(core(x))).alias("end"), core(x).alias("token")),
+def _masked(text: str, spans: str) -> Column:
+    """The text, as long as before, with base spans written as ``HEAD`` and ``BODY``; spans that overlap are one."""
+    plain = F.translate(F.col(text), HEAD + BODY, OTHER + OTHER)
+    order = F.array_sort(F.transform(F.col(spans), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
+    none = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(state: Column, x: Column) -> Column:
+        apart, end = x["start"] >= state["at"], F.greatest(state["at"], x["end"])
+        gap = F.when(apart, F.concat(F.substring(plain, state["at"] + 1, x["start"] - state["at"]), F.lit(HEAD))).otherwise("")
+        more = F.when(apart, end - x["start"] - 1).otherwise(end - state["at"])
+        return F.struct(end.alias("at"), F.concat(state["out"], gap, F.repeat(F.lit(BODY), more)).alias("out"))
+
+    rest = lambda state: F.concat(state["out"], F.substring(plain, state["at"] + 1, F.length(F.col(text))))
+    return F.when(F.size(spans) > 0, F.aggregate(order, none, step, rest)).otherwise(plain)
+
+
+def _units(documents: DataFrame, *kept: str) -> DataFrame:
+    """``kept, text, base, masked, units, words`` of each text: ``words`` are the units as contexts name them."""
+    text = T.text_or_empty()
+    source = documents.select(*kept, text.alias("text"), (text.contains("@") | text.rlike("[0-9]")).alias("any"))
+    none = F.expr(f"cast(array() as array<{SPAN}>)")
+    some = source.select(*kept, "text", F.when(F.col("any"), base_spans("text")).otherwise(none).alias("base"))
+    some = some.select(*kept, "text", "base", _masked("text", "base").alias("masked"))
+    units = lambda pattern: F.regexp_extract_all("masked", F.lit(pattern), F.lit(0))
+    units = F.when(F.col("masked").rlike(_LINK), units(UNIT)).otherwise(units(UNLINKED))
+    some = some.select(*kept, "text", "base", "masked", units.alias("units"))
+    return some.select("*", F.transform("units", lambda u: F.when(u.startswith(HEAD), HEAD).otherwise(F.lower(u))).alias("words"))
+
+
+def _places() -> Column:
+    """Places of the units that are no plain words, base spans included, with their numbers among the units."""
+    gaps = F.when(F.col("masked").rlike(_LINK), F.split("masked", UNIT, -1)).otherwise(F.split("masked", UNLINKED, -1))
+    pairs = F.zip_with(gaps, "units", lambda g, u: F.struct(F.length(g).alias("gap"), F.length(u).alias("size"), u.alias("token")))
+    none = F.struct(F.lit(0).alias("at"), F.lit(0).alias("nr"), F.expr(f"cast(array() as array<{PLACE}>)").alias("out"))
+
+    def step(state: Column, x: Column) -> Column:
+        start = state["at"] + x["gap"]
+        end = start + F.coalesce(x["size"], F.lit(0))
+        place = F.struct(start.alias("start"), end.alias("end"), state["nr"].alias("nr"), x["token"].alias("token"))
+        out = F.when(x["token"].rlike(NOT_PLAIN), F.array_append(state["out"], place)).otherwise(state["out"])
+        return F.struct(end.alias("at"), (state["nr"] + 1).alias("nr"), out.alias("out"))
+
+    return F.aggregate(pairs, none, step, lambda state: state["out"])
+
+
+def _with_contexts(nr: Column, kind: Column, token: Column) -> Column:
+    """``kind, nr, item`` and the hashes of both patterns around unit ``nr``; null without units there."""
+    two, one, after = (F.get("words", nr + i) for i in (-2, -1, 1))
+    return F.struct(
+        kind.alias("kind"), nr.alias("nr"), F.xxhash64(F.lower(token)).alias("item"),
+        F.when(two.isNotNull(), F.xxhash64(F.lit(0), two, one)).alias("before"),
+        F.when(one.isNotNull() & after.isNotNull(), F.xxhash64(F.lit(1), one, after)).alias("around"),
     )
-    return F.filter(spans, lambda x: F.length(F.regexp_replace(x["token"], "[^0-9]", "")) >= config.digits)
-
-
-def _with_contexts(text: str, spans: str, config: Config) -> Column:
-    """``kind, start, end, item`` and the hashes of both patterns around each span; null without words there."""
-    n = config.context
-
-    def add(x: Column) -> Column:
-        start, end = x["start"], x["end"]
-        left = F.lower(F.substring(F.col(text), F.greatest(start - (n - 1), F.lit(1)), F.least(start, F.lit(n))))
-        right = F.lower(F.substring(F.col(text), end + 1, F.lit(n)))
-        words = F.filter(F.split(left, rf"[{SPACE}]+"), lambda w: w != "")
-        after = F.get(F.filter(F.split(right, rf"[{SPACE}]+"), lambda w: w != ""), F.lit(0))
-        one, two = F.try_element_at(words, F.lit(-1)), F.try_element_at(words, F.lit(-2))
-        return F.struct(
-            x["kind"].alias("kind"), start.alias("start"), end.alias("end"), F.xxhash64(F.lower(x["token"])).alias("item"),
-            F.when(two.isNotNull(), F.xxhash64(F.lit(0), two, one)).alias("before"),
-            F.when(one.isNotNull() & after.isNotNull(), F.xxhash64(F.lit(1), one, after)).alias("around"),
-        )
 
-    return F.transform(F.col(spans), add)
+
+def _key(text: Column) -> Column:
+    return F.struct(F.xxhash64(text).alias("a"), F.md5(text).alias("b"))
 
 
-def spans_of(documents: DataFrame, config: Config = Config()) -> DataFrame:
-    """``doc_id, key, base, tokens``: base spans, and identifier-like tokens outside them, with contexts.
+def spans_of(documents: DataFrame) -> DataFrame:
+    """``doc_id, key, base, seeds, tokens``: base spans, their contexts, and fills outside them with contexts.
 
-    ``key`` stands for the text; it is null where both lists are empty.
+    ``key`` stands for the text; it is null where there are neither.
     """
-    text = T.text_or_empty()
-    source = documents.select("doc_id", text.alias("text"), (text.contains("@") | text.rlike("[0-9]")).alias("any"))
-    some = source.select("doc_id", "text", F.when(F.col("any"), base_spans("text")).alias("base"), F.when(F.col("any"), _tokens("text", config)).alias("tokens"))
-    apart = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    some = some.select("doc_id", "text", "base", apart.alias("tokens"))
-    empty = F.coalesce(F.size("base"), F.lit(0)) + F.coalesce(F.size("tokens"), F.lit(0)) <= 0
-    key = F.struct(F.xxhash64("text").alias("a"), F.md5("text").alias("b"))
+    numbers = F.expr("if(size(units) > 0, sequence(0, size(units) - 1), cast(array() as array<int>))")
+    some = _units(documents, "doc_id").select("*", F.filter(numbers, lambda i: F.get("units", i).rlike(NOT_PLAIN)).alias("odd"))
+    heads, fills = (F.filter("odd", lambda i: F.get("units", i).startswith(HEAD) == is_head) for is_head in (True, False))
+    # spans that overlap are one unit, which begins where no other span reaches over
+    begin = F.filter("base", lambda x: ~F.exists("base", lambda y: (y["start"] < x["start"]) & (x["start"] < y["end"])))
+    begin = F.array_distinct(F.transform(begin, lambda x: x["start"]))
+    some = some.select("doc_id", "text", "base", "units", "words", "odd", heads.alias("heads"), fills.alias("fills"), begin.alias("begin"))
+    unit = lambda x: F.get("heads", F.size(F.filter("begin", lambda b: b <= x["start"])) - 1)
+    seeds = F.transform("base", lambda x: _with_contexts(unit(x), x["kind"], x["token"]))
+    tokens = F.transform("fills", lambda i: _with_contexts(i, F.lit("token"), F.get("units", i)))
+    base = F.transform("base", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
     return some.select(
-        "doc_id", F.when(~empty, key).alias("key"),
-        _with_contexts("text", "base", config).alias("base"), _with_contexts("text", "tokens", config).alias("tokens"),
+        "doc_id", F.when(F.size("odd") > 0, _key(F.col("text"))).alias("key"), base.alias("base"), seeds.alias("seeds"), tokens.alias("tokens")
     )
 
 
+def _placed(documents: DataFrame, best: DataFrame) -> DataFrame:
+    """``key, added``: the places of the units ``best(key, nr, kind)``, from the texts that hold one."""
+    wanted = T.staged(best.groupBy("key").agg(F.collect_list(F.struct("nr", "kind")).alias("wanted")), "wanted")
+    size = wanted.agg(F.coalesce(F.sum(F.size("wanted") * 24 + 80), F.lit(0))).first()[0]
+    texts = documents.select(_key(T.text_or_empty()).alias("key"), "text").join(F.broadcast(wanted) if size <= 64 << 20 else wanted, "key")
+    places = _units(texts, "key", "wanted").select("key", "wanted", _places().alias("places"))
+    kind = lambda p: F.get(F.filter("wanted", lambda w: w["nr"] == p["nr"]), F.lit(0))["kind"]
+    added = F.transform("places", lambda p: F.struct(kind(p).alias("kind"), p["start"].alias("start"), p["end"].alias("end")))
+    added = places.select("key", F.filter(added, lambda x: x["kind"].isNotNull()).alias("added"))
+    return added.groupBy("key").agg(F.first("added").alias("added"))
+
+
 def pattern_fills(documents: DataFrame, patterns: DataFrame) -> DataFrame:
-    """How often each of ``patterns(pattern)`` occurs in all texts, whatever fills it: ``pattern, total``."""
-    words = F.filter(F.split(F.lower(T.text_or_empty()), rf"[{SPACE}]+"), lambda w: w != "")
-    listed = documents.select(words.alias("words")).select(
+    """How many units each of ``patterns(pattern)`` surrounds in all texts, whatever they are: ``pattern, total``."""
+    listed = _units(documents).select("words").select(
         F.when(
             F.size("words") > 2,
             F.expr("flatten(transform(sequence(0, size(words) - 3), i -> array(xxhash64(0, words[i], words[i + 1]), xxhash64(1, words[i], words[i + 2]))))"),
@@ -157,20 +220,34 @@ def pattern_fills(documents: DataFrame, patterns: DataFrame) -> DataFrame:
     return every.join(broadcast_if_small(patterns, patterns), "pattern").groupBy("pattern").agg(F.count("*").alias("total"))
 
 
+def _possible(pairs: DataFrame, seeds: DataFrame, config: Config) -> DataFrame:
+    """Patterns that could be trusted after all rounds if every identifier within reach were, and no plain word filled them."""
+    held = T.staged(pairs.groupBy("pattern").agg(F.sum("n").alias("held")), "held")
+    reached, found = seeds.select("item", "kind"), None
+    for _ in range(config.rounds):
+        scored = T.staged(
+            pairs.join(broadcast_if_small(reached, reached), "item").groupBy("pattern", "kind")
+            .agg(F.count("*").alias("support"), F.sum("n").alias("weight")).filter(F.col("support") >= config.support), "scored",
+        )
+        found = held.join(broadcast_if_small(scored, scored), "pattern").filter(F.col("weight") >= config.trust * F.col("held"))
+        found = T.staged(found.select("pattern", "kind"), "possible")
+        more = pairs.join(broadcast_if_small(found, found), "pattern").select("item", "kind")
+        reached = T.staged(seeds.select("item", "kind").unionByName(more).distinct(), "reached")
+    return found.select("pattern").distinct()
+
+
 def trusted(documents: DataFrame, spans: DataFrame, config: Config = Config()) -> tuple[DataFrame, DataFrame]:
     """Trusted patterns ``(pattern, kind)`` and identifiers ``(item, kind, trust)`` not among the seeds."""
     seen = lambda name: spans.filter("key is not null").select(F.explode_outer(name).alias("x")).filter("x is not null")
-    both = seen("base").select("x.*").unionByName(seen("tokens").select("x.*"))
+    both = seen("seeds").select("x.*").unionByName(seen("tokens").select("x.*"))
     edges = both.select("kind", "item", F.explode_outer(F.array("before", "around")).alias("pattern")).filter("pattern is not null")
     edges = T.staged(edges.groupBy("kind", "item", "pattern").agg(F.count("*").alias("n")), "edges")
     seeds = edges.filter("kind <> 'token'").select("item", "kind").distinct().withColumn("trust", F.lit(1.0))
-    # only patterns around identifiers can ever be trusted
-    patterns = T.staged(edges.select("pattern").distinct(), "patterns")
-    fills = pattern_fills(documents, patterns)
-    held = edges.groupBy("pattern").agg(F.sum("n").alias("held"))
-    fills = T.staged(held.join(fills, "pattern", "left").select("pattern", F.greatest("held", F.coalesce("total", F.lit(0))).alias("total")), "fills")
-    pairs = edges.groupBy("item", "pattern").agg(F.sum("n").alias("n"))
     seeds = T.staged(seeds, "seeds")
+    pairs = T.staged(edges.groupBy("item", "pattern").agg(F.sum("n").alias("n")), "pairs")
+    patterns = T.staged(_possible(pairs, seeds, config), "patterns")
+    fills = T.staged(pattern_fills(documents, patterns), "fills")
+    pairs = T.staged(pairs.join(broadcast_if_small(patterns, patterns), "pattern"), "pairs")
     items, chosen = seeds, None
     for _ in range(config.rounds):
         scored = pairs.join(items, "item").groupBy("pattern", "kind").agg(
@@ -190,14 +267,14 @@ def trusted(documents: DataFrame, spans: DataFrame, config: Config = Config()) -
 
 def found_spans(documents: DataFrame, config: Config = Config()) -> DataFrame:
     """``doc_id, key, base, added`` for every row; ``added`` are the spans that trusted contexts found."""
-    spans = T.staged(spans_of(documents, config), "spans")
+    spans = T.staged(spans_of(documents), "spans")
     patterns, items = trusted(documents, spans, config)
-    tokens = spans.filter("key is not null").select("key", F.explode_outer("tokens").alias("x")).filter("x is not null").distinct()
-    tokens = tokens.select("key", "x.start", "x.end", "x.item", F.explode_outer(F.array("x.before", "x.around")).alias("pattern"))
+    tokens = spans.filter("key is not null").select("key", F.explode_outer("tokens").alias("x")).filter("x is not null")
+    tokens = tokens.select("key", "x.nr", "x.item", F.explode_outer(F.array("x.before", "x.around")).alias("pattern"))
     good = items.filter(F.col("trust") >= config.accept)
     hits = tokens.join(broadcast_if_small(good, good), "item").join(broadcast_if_small(patterns.select("pattern", "kind"), patterns), ["pattern", "kind"])
-    best = hits.groupBy("key", "start", "end").agg(F.min_by("kind", F.struct(-F.col("trust"), F.col("kind"))).alias("kind"))
-    added = best.groupBy("key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
+    best = hits.groupBy("key", "nr").agg(F.min_by("kind", F.struct(-F.col("trust"), F.col("kind"))).alias("kind"))
+    added = _placed(documents, best)
     columns = ["doc_id", "key", "base", "added"]
     # texts without spans have no key: they stay out of the join, where they would be one group
     plain = spans.filter("key is null").withColumn("added", F.lit(None).cast("array<struct<kind:string,start:int,end:int>>"))

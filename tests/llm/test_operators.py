@@ -264,6 +264,23 @@ def test_common_contexts_are_not_trusted(make):
     assert pii_bootstrap.personal_data(make(rows)).filter("doc_id = 100").first()["spans"] == ""
 
 
+def test_contexts_find_identifiers_of_any_shape(make):
+    """Without digits, of several tokens, glued to a label or bracket: what fills a trusted pattern is found whole."""
+    rows = [(i, f"please write to support {'abcdefghijkl'[i]}x@mail{i}.example.com today and so on") for i in range(12)]
+    rows += [(20 + i, f"please call our desk {'+1 (555) 010-' + str(1000 + i)} today and so on") for i in range(12)]
+    mails = ["jane.doe(at)corp.com", "jane.doe@localhost", "jane99@corp", "jane (at) corp (dot) com"]
+    phones = ["(555) 123 456", "555 123 4567", "555 - 123 - 4567", "555-7712"]
+    rows += [(100 + i, f"please write to support {m} today and so on") for i, m in enumerate(mails)]
+    rows += [(200 + i, f"please call our desk {m} today and so on") for i, m in enumerate(phones)]
+    rows += [(300, "please call our desk:\"555-7713\" today"), (301, "see 555 123 4567 in jane99@corp there"), (302, "please call our desk again today")]
+    got = pii_bootstrap.personal_data(make(rows)).toPandas().set_index("doc_id").spans
+    for i, m in enumerate(mails):
+        assert got[100 + i] == f"email:24:{24 + len(m)}", m
+    for i, m in enumerate(phones):
+        assert got[200 + i] == f"phone:21:{21 + len(m)}", m
+    assert got[300] == "phone:22:30" and got[301] == got[302] == ""
+
+
 # near-duplicates
 
 
