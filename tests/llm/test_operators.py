@@ -281,6 +281,12 @@ def test_contexts_find_identifiers_of_any_shape(make):
     assert got[300] == "phone:22:30" and got[301] == got[302] == ""
 
 
+def test_contexts_glued_to_their_span_have_a_corpus_count(make):
+    rows = [(i, f"note tel:+1 (555) 010-{1000 + i} end") for i in range(12)] + [(20 + i, "note tel:cat end") for i in range(30)]
+    rows.append((100, "note tel:5551234 end"))
+    assert pii_bootstrap.personal_data(make(rows)).filter("doc_id = 100").first()["spans"] == ""
+
+
 # near-duplicates
 
 
