@@ -82,4 +82,133 @@ ledger as (select *, ({_rules})::bigint as failures from measured)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 as base_failed, failures = 0 as kept, failures from ledger
 """
 
-ORACLES = {"op1_host_reputation": HOST_REPUTATION, "op2_rule_ledger": RULE_LEDGER}
+
+
+def _crc32(text: str) -> str:
+    """Checksum of an ASCII text, byte by byte and bit by bit."""
+    eight = "list_reduce(list_concat([xor(c, b)], range(8)), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295], list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)), lambda c, b: {eight}), 4294967295)"
+
+
+_blank = "coalesce(%s::varchar, ' ')"
+_white = r"[ \t\n\x0B\f\r]"
+TURN_REPAIR = rf"""
+with recursive given as (
+  select conv_id, turn, {_blank % 'role'} as role, {_blank % 'text'} as text,
+    {_crc32(f"{_blank % 'conv_id'} || ':' || {_blank % 'turn'}")} % 20 as harm from conversations),
+damaged as (
+  select conv_id, turn, case when harm = 4 then 'user' else role end as role,
+    case harm when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+  from given, generate_series(1, case when harm = 3 then 2 else 1 end) where harm <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+    right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) as ending,
+    case when left(role, 1) in ('s', 'u', 'a') then left(role, 1) else 'o' end as initial
+  from (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as i from damaged)),
+coded as (
+  select *, ending = '' as blank, again and ending <> '' as duplicate, not again and ending not in ('', '.', '!', '?') as cut,
+    lag(initial) over (partition by conv_id order by i) || initial not in ('su', 'ua', 'au') as illegal from placed),
+-- states: 0 nothing kept, 1 a system turn, 2 then a user turn, 3 then an assistant turn
+inserts(s, spent, letters, t) as (
+  from (values (0, 0, '', 0), (1, 0, '', 1), (2, 0, '', 2), (3, 0, '', 3), (0, 2, 'I', 2), (1, 2, 'I', 2), (2, 2, 'I', 3), (3, 2, 'I', 2),
+    (0, 4, 'II', 3), (1, 4, 'II', 3), (2, 4, 'II', 2), (3, 4, 'II', 3))),
+edits(s, initial, price, letter, t) as (
+  select s, initial, 3, 'D', s from range(4) a(s), (values ('s'), ('u'), ('a'), ('o'), ('x')) b(initial)
+  union all from (values (0, 's', 0, 'K', 1)) where true
+  union all select s, initial, case when initial = due then 0 else 2 end, case when initial = due then 'K' else 'R' end, t
+  from (values (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) a(s, due, t), (values ('s'), ('u'), ('a'), ('o')) b(initial)),
+best as (
+  select conv_id, 0::bigint as i, 0 as s, {{'cost': 0, 'audit': ''}} as b from (select distinct conv_id from coded)
+  union all
+  select best.conv_id, best.i + 1, e.t,
+    min({{'cost': b.cost + n.spent + e.price + case when c.cut and e.letter <> 'D' then 1 else 0 end, 'audit': b.audit || n.letters || e.letter}})
+  from best join coded c on c.conv_id is not distinct from best.conv_id and c.i = best.i
+    join inserts n on n.s = best.s
+    join edits e on e.s = n.t and e.initial = case when blank or again then 'x' else c.initial end
+  group by best.conv_id, best.i, e.t),
+counted as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, sum(blank::int) as blank,
+    sum(duplicate::int) as duplicate, sum(cut::int) as truncated, coalesce(sum(illegal::int), 0) as illegal
+  from coded group by conv_id),
+chosen as (
+  select best.conv_id, min({{'cost': b.cost + spent, 'audit': b.audit || letters}}) as b
+  from best join counted k on k.conv_id is not distinct from best.conv_id and k.n = best.i join inserts n on n.s = best.s
+  where t in (0, 3) group by best.conv_id),
+steps as (
+  select conv_id, unnest(string_split(b.audit, '')) as letter, unnest(generate_series(1, length(b.audit))) as k from chosen where b.audit <> ''),
+read as (
+  select *, sum((letter <> 'I')::int) over w - (letter <> 'I')::int as i, sum((letter <> 'D')::int) over w - 1 as line
+  from steps window w as (partition by conv_id order by k)),
+lines as (
+  select r.conv_id, k, line, letter, case when letter <> 'I' then c.text else '' end as text, c.role, c.initial,
+    max((line = 0 and letter = 'K' and c.initial = 's')::int) over (partition by r.conv_id) as opened
+  from read r left join coded c on c.conv_id is not distinct from r.conv_id and c.i = r.i and r.letter <> 'I' where letter <> 'D'),
+repaired as (
+  select conv_id, sha256(string_agg(
+    case when letter = 'K' then role when (line - opened) % 2 = 0 then 'user' else 'assistant' end || ':' || text, chr(10) order by k)) as sha
+  from lines group by conv_id)
+select e.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(b.cost, 0)::bigint as cost,
+  coalesce(b.audit, '') as audit, coalesce(sha, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) e
+  left join counted k on k.conv_id is not distinct from e.conv_id
+  left join chosen c on c.conv_id is not distinct from e.conv_id
+  left join repaired r on r.conv_id is not distinct from e.conv_id
+"""
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}::varchar) || ':' || {column}::varchar, '-')"
+
+
+def _row(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+def _climbed(name: str, group: str, nodes: str) -> str:
+    """Levels of a tree per group: nodes(group, i, h) become (group, level, i, h, n), n of them on a level."""
+    return f"""
+{name} as (
+  select {group} as g, 0 as level, i, h, count(*) over (partition by {group}) as n from {nodes}
+  union all
+  select g, level + 1, i // 3, sha256(string_agg(h, '' order by i)), (n + 2) // 3 from {name} where n > 1 group by g, level, i // 3, n)"""
+
+
+def _path(name: str, nodes: str, tree: str) -> str:
+    """What flanks each node's way up: (key, level, before, after)."""
+    return f"""
+{name} as (
+  select key, t.level, coalesce(string_agg(t.h, '' order by t.i) filter (t.i < l.i // (3 ** t.level)::bigint), '') as before,
+    coalesce(string_agg(t.h, '' order by t.i) filter (t.i > l.i // (3 ** t.level)::bigint), '') as after
+  from {nodes} l join {tree} t on t.g is not distinct from l.g and t.n > 1 and t.i // 3 = l.i // (3 ** (t.level + 1))::bigint
+  group by key, t.level)"""
+
+
+MERKLE_LEVELS = f"""
+with recursive leaves as (
+  select row_number() over () as key, doc_id, source as g, {_row('text')} as h,
+    case when {_crc32("coalesce(doc_id::varchar, 'x')")} % 2 = 0 and doc_id is not null then {_row("replace(text, chr(10), '')")} end as changed,
+  from documents),
+numbered as (select *, row_number() over (partition by g order by doc_id nulls first, h) - 1 as i from leaves),
+{_climbed('tree', 'g', 'numbered')},
+subroots as (select 0 as one, row_number() over (order by g nulls first) - 1 as i, g as source, h from tree where n = 1),
+{_climbed('upper', 'one', 'subroots')},
+{_path('low', 'numbered', 'tree')},
+named as (select row_number() over () as key, 0 as g, i, source, h from subroots),
+{_path('high', 'named', 'upper')},
+path as (
+  select key, level, before, after from low
+  union all
+  select l.key, 1000 + high.level, before, after from numbered l join named on named.source is not distinct from l.g join high on high.key = named.key),
+stepped as (select *, row_number() over (partition by key order by level) as step from path),
+folded as (
+  select key, 0::bigint as step, coalesce(changed, h) as h from leaves
+  union all
+  select f.key, s.step, sha256(s.before || f.h || s.after) from folded f join stepped s on s.key = f.key and s.step = f.step + 1),
+ends as (select key, arg_max(h, step) as h from folded group by key),
+proofs as (select key, sha256(string_agg(before || after, '' order by step)) as proof from stepped group by key)
+select l.doc_id, l.h as leaf, s.h as subroot, r.h as root, coalesce(p.proof, sha256('')) as proof_sha256, e.h as folded_root, e.h = r.h as verified
+from leaves l join subroots s on s.source is not distinct from l.g join upper r on r.n = 1 join ends e using (key) left join proofs p using (key)
+"""
+
+ORACLES = {"op11_turn_repair": TURN_REPAIR, "op12_merkle_levels": MERKLE_LEVELS, "op1_host_reputation": HOST_REPUTATION, "op2_rule_ledger": RULE_LEDGER}

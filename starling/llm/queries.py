@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starling.llm import (
-    decontaminate, host_reputation, pii_bootstrap, rule_ledger, ssq_packing, suffix_merge, toxicity_gru, viterbi_counts,
-    vp_simhash, zstd_quality,
+    bpe_index, decontaminate, host_reputation, merkle_levels, pii_bootstrap, rule_ledger, ssq_packing, suffix_merge, toxicity_gru,
+    turn_repair, viterbi_counts, vp_simhash, zstd_quality,
 )
 from starling.sources.files import read_table
 
@@ -89,6 +89,47 @@ def op10_suffix_merge(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_merge.removed(read_table(spark, folder, "documents"), with_bytes=False)
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows damaged by the remainder of their key's checksum: dropped, emptied, cut, repeated or given to the user."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    harm = F.crc32(F.concat(blank("conv_id"), F.lit(":"), blank("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", blank("role").alias("role"), blank("text").alias("text"), harm.alias("harm"))
+    text = F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("harm") == 4, "user").otherwise(F.col("role"))
+    times = F.array_repeat(F.lit(0), F.when(F.col("harm") == 3, 2).otherwise(1))
+    rows = rows.filter("harm <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("times"))
+    return rows.select("conv_id", "turn", "role", "text", F.explode("times")).drop("col")
+
+
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = read_table(spark, folder, "conversations")
+    found = turn_repair.findings(damaged(conversations)).withColumnRenamed("conv_id", "found")
+    every = conversations.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("found")), "left")
+    counts = (F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
+def op12_merkle_levels(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    rows = merkle_levels.manifest(documents, {"text": F.translate("text", "\n", "")}, tampered)
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_bpe_index(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = bpe_index.decode(bpe_index.encode(read_table(spark, folder, "documents"), path), path)
+    return rows.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_host_reputation, op2_rule_ledger, op3_simhash_decontamination, op4_zstd_quality, op5_toxicity_gru, op6_ssq_packing,
-        op7_viterbi_counts, op8_pii_bootstrap, op9_vp_simhash, op10_suffix_merge, pipeline,
+        op7_viterbi_counts, op8_pii_bootstrap, op9_vp_simhash, op10_suffix_merge, op11_turn_repair, op12_merkle_levels, op13_bpe_index,
+        pipeline,
     )
 }
