@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from starling.llm.host_reputation import TWO_LABEL_SUFFIXES, URL_PATTERN, Config
 from starling.llm.queries import PAGE_NUMBER, URL_RULES
-from starling.llm.rule_ledger import RULES
+from starling.llm.rule_ledger import POLICIES, RULES, mask_of
 
 _config = Config()
 _two = ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)
@@ -59,7 +59,7 @@ from ruled join reputations using (host)
 
 _rules = " + ".join(f"case when {r.failed} then {1 << r.bit} else 0 end" for r in RULES)
 
-RULE_LEDGER = rf"""
+_LEDGER = rf"""
 with texts as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
 words as (select r, unnest(w) as word, unnest(generate_series(1, len(w))) as i
   from (select r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w from texts)),
@@ -79,11 +79,21 @@ measured as (
     coalesce(n_lines, 0)::bigint as n_lines, (length(text) - length(replace(text, '!', '')))::bigint as n_exclaim
   from texts left join counted using (r) left join covered using (r) left join repeated using (r)),
 ledger as (select *, ({_rules})::bigint as failures from measured)
+"""
+RULE_LEDGER = f"""{_LEDGER}
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 as base_failed, failures = 0 as kept, failures from ledger
 """
 
 
 
+_listed = ", ".join(f"('{p}', '{r.name}', {mask_of(p)}, {1 << r.bit})" for p in POLICIES for r in RULES if r.name in POLICIES[p])
+ABLATIONS = f"""{_LEDGER}
+select policy, rule, sum((failures & bit <> 0)::int)::bigint as n_failed, sum((failures & mask = bit)::int)::bigint as n_only,
+  sum(((failures & mask) & ~bit = 0)::int)::bigint as n_kept_without, sum((failures & mask = 0)::int)::bigint as n_kept
+from ledger, (values {_listed}) as w(policy, rule, mask, bit) group by policy, rule
+"""
+
+
 def _crc32(text: str) -> str:
     """Checksum of an ASCII text, byte by byte and bit by bit."""
     eight = "list_reduce(list_concat([xor(c, b)], range(8)), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))"
@@ -211,4 +221,4 @@ select l.doc_id, l.h as leaf, s.h as subroot, r.h as root, coalesce(p.proof, sha
 from leaves l join subroots s on s.source is not distinct from l.g join upper r on r.n = 1 join ends e using (key) left join proofs p using (key)
 """
 
-ORACLES = {"op11_turn_repair": TURN_REPAIR, "op12_merkle_levels": MERKLE_LEVELS, "op1_host_reputation": HOST_REPUTATION, "op2_rule_ledger": RULE_LEDGER}
+ORACLES = {"ledger_ablations": ABLATIONS, "op11_turn_repair": TURN_REPAIR, "op12_merkle_levels": MERKLE_LEVELS, "op1_host_reputation": HOST_REPUTATION, "op2_rule_ledger": RULE_LEDGER}

@@ -53,6 +53,10 @@ def op2_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ledger_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    return rule_ledger.ablations(rule_ledger.ledger(rule_ledger.measure(read_table(spark, folder, "documents"))))
+
+
 def op3_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
@@ -141,6 +145,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_host_reputation, op2_rule_ledger, op3_simhash_decontamination, op4_zstd_quality, op5_toxicity_gru, op6_ssq_packing,
         op7_viterbi_counts, op8_pii_bootstrap, op9_vp_simhash, op10_suffix_merge, op11_turn_repair, op12_merkle_levels, op13_bpe_index,
-        pipeline,
+        ledger_ablations, pipeline,
     )
 }

@@ -1,6 +1,6 @@
 """Quality rules as a bitmask ledger.
 
-``measure`` reads every text once. ``ledger`` evaluates every rule once and stores a bit
+``measure`` reads every text once; equal lines, words and windows are equal by their bytes. ``ledger`` evaluates every rule once and stores a bit
 per failed rule beside the measurements. Policies are versioned sets of bits: changing
 one needs no second look at the texts, and ablations are counts over distinct masks.
 
@@ -21,12 +21,11 @@ from pyspark.sql import functions as F
 
 from starling.llm import text as T
 
-WINDOW = 8
+WINDOW = 8  # a power of two
 MEASURES = "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_exclaim n_bars".split()
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
@@ -61,7 +60,6 @@ def measured(texts: list[bytes]) -> dict[str, np.ndarray]:
     data, count = buffer.bytes, buffer.count
     inside = ~buffer.space
     rolling = T.RollingHash(data)
-    salt = T.mixed(np.arange(1, count + 1, dtype=np.uint64) * _ODD)
 
     line_ends = np.flatnonzero(data == 10)
     line_starts = np.concatenate(([0], line_ends[:-1] + 1))
@@ -69,17 +67,20 @@ def measured(texts: list[bytes]) -> dict[str, np.ndarray]:
     with_word = marks[line_ends] > marks[line_starts]
     line_starts, line_ends = line_starts[with_word], line_ends[with_word]
     line_docs = np.searchsorted(buffer.doc_starts, line_starts, side="right") - 1
-    again = T.later_copies(rolling.of(line_starts, line_ends) ^ salt[line_docs])
+    lines = T.equal_ranges(data, rolling, line_starts, line_ends)
+    again = T.later_copies(lines * count + line_docs)
 
-    words = rolling.of(buffer.starts, buffer.ends)
+    words = T.equal_ranges(data, rolling, buffer.starts, buffer.ends)
     covered = np.zeros(len(words) + 1, dtype=np.int64)
     spans = len(words) - WINDOW + 1
     if spans > 0:
-        sums = np.zeros(spans, dtype=np.uint64)
-        for k in range(WINDOW):
-            sums = sums * _ODD + words[k : k + spans]
+        # numbers of runs of 2, 4, 8 words: two runs have one number if and only if their halves have
+        runs, size = words, 1
+        while size < WINDOW:
+            runs = T.numbered(runs[:-size] * len(words) + runs[size:])
+            size *= 2
         whole = np.flatnonzero(buffer.docs[:spans] == buffer.docs[WINDOW - 1 :])
-        found = whole[T.repeats(T.mixed(sums[whole]) ^ salt[buffer.docs[whole]])]
+        found = whole[T.repeats(runs[whole] * count + buffer.docs[whole])]
         covered[found] += 1
         covered[found + WINDOW] -= 1
     in_window = np.cumsum(covered)[:-1] > 0

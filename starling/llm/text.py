@@ -92,8 +92,8 @@ def _power(n: int, base: int) -> np.ndarray:
 class RollingHash:
     """64-bit polynomial hash of any byte range, after one pass over the buffer.
 
-    Bytes pass through a random table first. Two different ranges of a buffer of n
-    bytes collide with a chance of about n / 2**64.
+    Built texts can collide (modulo a power of two, some pairs of strings do for every base):
+    where equality decides a result, compare the bytes, as ``equal_ranges`` does.
     """
 
     def __init__(self, data: np.ndarray):
@@ -123,6 +123,44 @@ def repeats(keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def numbered(keys: np.ndarray) -> np.ndarray:
+    """The number of each key among the distinct ones."""
+    return np.unique(keys, return_inverse=True)[1].astype(np.int64).reshape(-1)
+
+
+def equal_ranges(data: np.ndarray, rolling: RollingHash, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for each byte range, the same for two ranges if and only if their bytes are equal.
+
+    Hashes order the ranges; neighbours of one hash are then compared byte by byte. Should any
+    differ, all ranges are told apart by their bytes themselves.
+    """
+    keys = rolling.of(starts, ends)
+    order = np.argsort(keys, kind="stable")
+    left, right = order[:-1], order[1:]
+    same = keys[left] == keys[right]
+    left, right = left[same], right[same]
+    sizes = ends[left] - starts[left]
+    alike = np.array_equal(sizes, ends[right] - starts[right])
+    if alike:
+        for i, j in _runs(sizes, SLICE_BYTES):
+            offsets = np.arange(sizes[i:j].sum()) - np.repeat(np.cumsum(sizes[i:j]) - sizes[i:j], sizes[i:j])
+            alike = alike and np.array_equal(
+                data[np.repeat(starts[left[i:j]], sizes[i:j]) + offsets], data[np.repeat(starts[right[i:j]], sizes[i:j]) + offsets]
+            )
+    if alike:
+        return numbered(keys)
+    whole, known = data.tobytes(), {}
+    return np.array([known.setdefault(whole[a:b], len(known)) for a, b in zip(starts.tolist(), ends.tolist())], dtype=np.int64)
+
+
+def _runs(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges whose sizes sum up to about ``limit``."""
+    if len(sizes):
+        part = (np.cumsum(sizes) - sizes) // limit
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(sizes)]
+        yield from zip(cuts, cuts[1:])
+
+
 def later_copies(keys: np.ndarray) -> np.ndarray:
     """True where an equal key stands at a smaller index."""
     order = np.argsort(keys, kind="stable")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import collections
 import random
+import re
 
 import numpy as np
 import pytest
@@ -69,6 +71,36 @@ def test_empty_tables(odd, benchmark, labels, name):
     assert OPERATORS[name](odd.filter("false"), benchmark.filter("false"), labels.filter("false")).count() == 0
 
 
+# quality rules
+
+
+def thue_morse(n, swap=False):
+    """Two such strings, letters swapped, collide under any polynomial hash modulo a power of two."""
+    return "".join("ab"[(i.bit_count() + swap) % 2] for i in range(n))
+
+
+def counts_by_hand(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    often, covered = collections.Counter(windows), set()
+    for i, window in enumerate(windows):
+        if often[window] > 1:
+            covered.update(range(i, i + 8))
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(words), len(lines) - len(set(lines)), len(covered)
+
+
+def test_built_texts_do_not_collide():
+    a, b, pick = thue_morse(2048), thue_morse(2048, True), random.Random(1)
+    rest = " x y z u v w q "
+    texts = [f"{a}\n{b}", a + rest + b + rest, f"{a}\n{a}", "", " \n", a + rest + a + rest]
+    texts += [" ".join(pick.choices("ab", k=pick.randint(0, 60))) for _ in range(200)]
+    texts += ["\n".join(pick.choices(["a", "b b", "", a, b], k=pick.randint(0, 9))) for _ in range(100)]
+    found = rule_ledger.measured([t.encode() for t in texts])
+    got = zip(*(found[m].tolist() for m in ("n_words", "n_dup_lines", "n_repeat_words")))
+    assert list(got) == [counts_by_hand(t) for t in texts]
+
+
 # url filter
 
 
