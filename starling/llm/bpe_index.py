@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from starling.llm import text as T
 
 WIDTH = 1 << 20  # above every symbol id: a pair is first * WIDTH + second
-KNOWN_BYTES = 1 << 24  # of words and ids that a worker remembers; a cache, emptied when full
+KNOWN_BYTES = 1 << 22  # of words and ids that a worker remembers; a cache, emptied when full
 
 
 def byte_letters() -> list[str]:
@@ -69,8 +69,8 @@ class Vocabulary:
             raise ValueError("special tokens that look like words are not supported")
         self.special_pattern = re.compile("|".join(map(re.escape, longest))) if longest else None
         letters = byte_letters()
-        self.inner = np.array([ids[c] for c in letters], dtype=np.int64)
-        self.last = np.array([ids[c + suffix] for c in letters], dtype=np.int64)
+        self.inner = np.array([ids[c] for c in letters], dtype=np.int32)
+        self.last = np.array([ids[c + suffix] for c in letters], dtype=np.int32)
         merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.first = np.array([ids[a] for a, _ in merges], dtype=np.int64)
         self.second = np.array([ids[b] for _, b in merges], dtype=np.int64)
@@ -97,7 +97,7 @@ class Vocabulary:
         """Rank of each pair, -1 where the merge list has none."""
         if not len(self.keys):
             return np.full(len(first), -1)
-        wanted = first * WIDTH + second
+        wanted = first.astype(np.int64) * WIDTH + second
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where(self.keys[at] == wanted, self.order[at], -1)
 
@@ -159,9 +159,9 @@ class PairIndex:
         self.starts = ends - sizes
         self.symbols = rules.inner[data]
         self.symbols[ends - 1] = rules.last[data[ends - 1]]
-        self.after = np.arange(1, len(data) + 1)
+        self.after = np.arange(1, len(data) + 1, dtype=np.int32)
         self.after[ends - 1] = -1
-        self.before = np.arange(-1, len(data) - 1)
+        self.before = np.arange(-1, len(data) - 1, dtype=np.int32)
         self.before[self.starts] = -1
         self.positions: dict[int, list[np.ndarray]] = {}
         self.active: list[int] = []
@@ -260,23 +260,29 @@ def encode_run(texts: list[str], rules: Vocabulary) -> list[bytes]:
     return ids
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` for every row; ids are little-endian unsigned 32-bit integers."""
+def _decoded(ids: bytes, names: list[str]) -> str:
+    return " ".join([names[i] for i in np.frombuffer(ids, "<u4").tolist() if i < len(names) and names[i]])
+
+
+def encode(docs: DataFrame, path: str, with_text: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids`` for every row; ids are little-endian unsigned 32-bit integers.
+
+    ``with_text`` adds ``decoded``, as ``decode`` would, in the same pass.
+    """
     source = docs.select("doc_id", T.text_or_empty().alias("text"))
     key = source.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "n_tokens", "ids", "decoded"][: 4 if with_text else 3]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = vocabulary(path)
-        for batch in batches:
-            texts = T.byte_texts(batch.column(1))
-            for start, end in T.slices(texts, 4 * T.SLICE_BYTES):
-                ids = encode_run([t.decode("utf-8", "replace") for t in texts[start:end]], rules)
-                counts = pa.array([len(i) // 4 for i in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, end - start), counts, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"]
-                )
+        for part in (p for b in batches for p in T.sliced(b, 1)):
+            ids = encode_run([t.decode("utf-8", "replace") for t in T.byte_texts(part.column(1))], rules)
+            columns = [part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
+            if with_text:
+                columns.append(pa.array([_decoded(i, rules.names) for i in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return source.mapInArrow(run, f"doc_id {key}, n_tokens long, ids binary")
+    return source.mapInArrow(run, f"doc_id {key}, n_tokens long, ids binary" + ", decoded string" * with_text)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -289,13 +295,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = vocabulary(path).names
-        for batch in batches:
-            ids = [b"" if i is None else i for i in batch.column(2).to_pylist()]
-            for start, end in T.slices(ids, 4 * T.SLICE_BYTES):
-                texts = [
-                    " ".join([names[i] for i in np.frombuffer(x, "<u4").tolist() if i < len(names) and names[i]]) for x in ids[start:end]
-                ]
-                part = batch.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
+        for part in (p for b in batches for p in T.sliced(b, 2)):
+            texts = pa.array([_decoded(i or b"", names) for i in part.column(2).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*part.columns, texts], ["doc_id", "n_tokens", "ids", "decoded"])
 
     return source.mapInArrow(run, f"doc_id {key}, n_tokens long, ids binary, decoded string")

@@ -128,7 +128,7 @@ def op13_bpe_index(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    rows = bpe_index.decode(bpe_index.encode(read_table(spark, folder, "documents"), path), path)
+    rows = bpe_index.encode(read_table(spark, folder, "documents"), path, with_text=True)
     return rows.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )

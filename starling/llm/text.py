@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no frame has a column of that name, whatever its case."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -47,14 +61,27 @@ def byte_texts(column: pa.Array) -> list[bytes]:
 
 def slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of texts of at most ``limit`` bytes in sum, or a single longer text."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t) > limit:
-            yield start, i
-            start, size = i, 0
-        size += len(t) + 1
-    if start < len(texts):
-        yield start, len(texts)
+    return size_slices(map(len, texts), limit)
+
+
+def size_slices(sizes: Iterable[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """The same from the sizes alone."""
+    start = held = end = 0
+    for size in sizes:
+        if end > start and held + size > limit:
+            yield start, end
+            start, held = end, 0
+        held += size + 1
+        end += 1
+    if start < end:
+        yield start, end
+
+
+def sliced(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most ``limit`` bytes of a text or binary column, or of one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    for start, end in size_slices(sizes.tolist(), limit):
+        yield batch.slice(start, end - start)
 
 
 class Buffer:

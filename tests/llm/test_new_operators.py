@@ -312,5 +312,8 @@ def test_odd_documents_encode(odd):
     assert len(got) == 8 and got.doc_id.isna().sum() == 1
     assert got[got.doc_id.isin([1, 2, 3, 6])].n_tokens.tolist() == [0] * 4 and set(got[got.doc_id.isin([1, 2, 3, 6])].decoded) == {""}
     assert got[got.doc_id == 4].decoded.nunique() == 1
+    one_pass = bpe_index.encode(odd, word_file(), with_text=True).toPandas()
+    rows = lambda frame: sorted(map(repr, frame.itertuples(index=False)))
+    assert rows(got) == rows(one_pass)
     empty = bpe_index.encode(odd.filter("false"), word_file())
     assert bpe_index.decode(empty, word_file()).count() == 0
