@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.llm import text as T
-
 ROUNDS = 60
 
 
@@ -20,15 +20,15 @@ def _smaller_neighbours(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``(node, root)`` for every node of ``links(a, b)`` but the roots; a root is the smallest node it reaches.
 
     Alternates two steps until nothing changes: every node hands its smallest neighbour to
     the larger ones, then to the smaller ones. Both are a minimum per node, combined before
     the shuffle, and one join, so a node with very many links is no task of its own. The
-    table is written to the shared folder after each round.
+    table is written by ``keep`` after each round. Nodes may be of any type that has an order.
     """
-    edges = T.staged(_smaller_neighbours(links), "links")
+    edges = keep(_smaller_neighbours(links))
     mark = _mark(edges)
     for _ in range(ROUNDS):
         if not mark[0]:
@@ -43,7 +43,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "node").select(F.col("root").alias("a"), F.col("m").alias("b")).unionByName(
             least.select(F.col("node").alias("a"), F.col("m").alias("b"))
         )
-        edges = T.staged(_smaller_neighbours(small), "links")
+        edges = keep(_smaller_neighbours(small))
         before, mark = mark, _mark(edges)
         if mark == before:
             return edges

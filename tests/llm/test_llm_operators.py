@@ -14,6 +14,7 @@ from test_contracts import cut_by_brute_force
 from starling.llm import components, decontaminate, host_reputation, pii_bootstrap, rule_ledger, ssq_packing, suffix_merge
 from starling.llm import toxicity_gru, viterbi_counts, vp_simhash, zstd_quality
 from starling.llm.queries import vocabulary
+from starling.session import scratch
 
 
 def piece_file():
@@ -154,6 +155,36 @@ def test_leaks_survive_case_and_punctuation_but_not_rewriting(make, benchmark):
     assert sorted(r["doc_id"] for r in decontaminate.clean(make(rows), benchmark).collect()) == [5, 6]
 
 
+def test_a_leak_without_id_takes_no_other_row_with_it(make, benchmark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota"
+    rows = [(None, item), (None, "a clean text of enough words to be one"), (None, None), (1, item), (2, "clean")]
+    assert sorted(str(r["text"]) for r in decontaminate.clean(make(rows), benchmark).collect()) == ["None", "a clean text of enough words to be one", "clean"]
+
+
+def test_near_pairs_are_all_pairs_within_the_radius(spark):
+    """Both ways of filing, against all pairs; unrelated pairs rarely meet."""
+    draw = np.random.default_rng(4)
+    prints = draw.integers(-(2**63), 2**63, 5000, dtype=np.int64)
+    flipped = prints[:300].copy()
+    for row in range(300):
+        for bit in draw.choice(64, row % 18, replace=False):
+            flipped[row] ^= np.int64(np.uint64(1 << int(bit)).astype(np.int64))
+    windows = np.unique(np.concatenate((flipped, draw.integers(-(2**63), 2**63, 400, dtype=np.int64))))
+    far = np.bitwise_count(windows.view(np.uint64)[:, None] ^ prints.view(np.uint64)[None, :])
+    expected = {(int(windows[x]), int(y), int(far[x, y])) for x, y in zip(*np.nonzero(far <= 15))}
+    left = spark.createDataFrame([(7, int(w)) for w in windows], "m int, print long")
+    right = spark.createDataFrame([(7, int(p), i) for i, p in enumerate(prints)], "m int, item_print long, item_id long")
+    with scratch(spark) as keep:
+        got = {(r.print, r.item_id, r.distance) for r in decontaminate.near_pairs(left, right, decontaminate.Config(), keep).collect()}
+        assert got == expected
+        few = right.filter("item_id < 200")
+        got = {(r.print, r.item_id, r.distance) for r in decontaminate.near_pairs(left, few, decontaminate.Config(), keep).collect()}
+        assert got == {x for x in expected if x[1] < 200}
+    # rows of the join before the distance is taken, against all pairs
+    filed = spark.range(1).select(F.explode(decontaminate.blocks_of("id", 4, 3)).alias("cut")).groupBy("cut.block").count().collect()
+    assert sum(r["count"] for r in filed) / 65_536 < 0.05
+
+
 def test_edited_passages_match_brute_force_over_all_windows(spark, make):
     """Words changed at either end of a passage: a leak may show only in a window that begins between two hits."""
     draw, rows, size = random.Random(17), [], 50
@@ -322,7 +353,8 @@ def test_contexts_glued_to_their_span_have_a_corpus_count(make):
 # near-duplicates
 
 
-def test_forest_finds_every_link_of_dense_and_sparse_groups(spark):
+@pytest.mark.parametrize("config", [vp_simhash.Config(), vp_simhash.Config(shard=256, leaf=256), vp_simhash.Config(shard=64, sample=500, leaf=64)])
+def test_forest_finds_every_link_of_dense_and_sparse_groups(spark, config):
     draw = np.random.default_rng(3)
     base = draw.integers(0, 2**63, 1500, dtype=np.int64).astype(np.uint64)
     flipped = [base]
@@ -338,14 +370,60 @@ def test_forest_finds_every_link_of_dense_and_sparse_groups(spark):
     forest.add(x, y)
     expected = {int(p): int(prints.view(np.int64)[r]) for p, r in zip(prints.view(np.int64), forest.settle())}
     frame = spark.createDataFrame([(int(p), int(p)) for p in prints.view(np.int64)], "doc_id long, fp long")
-    got = vp_simhash.classes(frame, vp_simhash.Config(shard=64, leaf=256)).toPandas()
+    with scratch(spark) as keep:
+        got = vp_simhash.classes(frame, keep, config).toPandas()
     groups = lambda m: sorted(sorted(k for k in m if m[k] == v) for v in set(m.values()))
     assert groups(dict(zip(got.fp, got.component_id))) == groups(expected)
 
 
+@pytest.mark.parametrize("prints", [200_000, 400_000])
+def test_filing_does_not_grow_with_the_corpus(prints):
+    """Copies of a fingerprint and the largest shard, of random fingerprints, with many shards."""
+    drawn = np.random.default_rng(5).integers(0, 2**63, prints, dtype=np.int64).astype(np.uint64)
+    for shards in (1 << 10, 1 << 15):
+        config = vp_simhash.Config(shard=15 * prints // shards)
+        where = vp_simhash.Shards(drawn[: config.sample], prints, config)
+        filed = np.concatenate([s for s, *_ in where.of(drawn)])
+        assert len(filed) == 15 * prints and not where.hot
+        assert np.bincount(filed).max() < 2 * len(filed) / shards + 100
+
+
+def test_a_hot_bucket_is_cut_by_its_tree():
+    """A third of all fingerprints near few centres that agree in two blocks: every link is in some shard, none holds all."""
+    draw = np.random.default_rng(6)
+    centres = draw.integers(0, 2**63, 12, dtype=np.int64).astype(np.uint64) << np.uint64(21) >> np.uint64(1)
+    near = np.repeat(centres, 400)
+    for _ in range(3):
+        near = near ^ (np.uint64(1) << draw.integers(22, 62, len(near)).astype(np.uint64))
+    prints = np.unique(np.concatenate((near, draw.integers(0, 2**63, 9000, dtype=np.int64).astype(np.uint64))))
+    config = vp_simhash.Config(shard=1500)
+    where = vp_simhash.Shards(prints, len(prints), config)
+    assert where.hot
+    seen, sizes = set(), {}
+    for shard, keys, rows, home in where.of(prints):
+        for s in np.unique(shard):
+            mine = rows[shard == s]
+            sizes[s] = sizes.get(s, 0) + len(mine)
+    shards = {}
+    for shard, keys, rows, home in where.of(prints):
+        for s, k, r, h in zip(shard.tolist(), keys.tolist(), rows.tolist(), home.tolist()):
+            shards.setdefault((s, k), []).append((r, h))
+    for members in shards.values():
+        rows, home = (np.array(x) for x in zip(*members))
+        x, y = np.nonzero(np.bitwise_count(prints[rows][:, None] ^ prints[rows][None, :]) <= 4)
+        touched = (home[x] | home[y]) & (rows[x] < rows[y])
+        seen.update(zip(rows[x][touched].tolist(), rows[y][touched].tolist()))
+    expected = set()
+    for i in range(0, len(prints), 1000):
+        x, y = np.nonzero(np.bitwise_count(prints[i : i + 1000, None] ^ prints[None, :]) <= 4)
+        expected.update((a, b) for a, b in zip((x + i).tolist(), y.tolist()) if a < b)
+    assert seen == expected and max(sizes.values()) < 2 * config.shard
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000, 5000), (7, 3), (2001, 2000)]
-    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    with scratch(spark) as keep:
+        got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(links, "a long, b long"), keep).collect()}
     assert all(got[i] == 0 for i in range(1, 101)) and all(got[1000 + i] == 1000 for i in range(1, 200)) and got[2001] == 2000
 
 
