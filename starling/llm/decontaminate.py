@@ -3,8 +3,11 @@
 A window of a document has as many word shingles as a benchmark item. It is a leak of the
 item when their 64-bit SimHashes differ in at most ``radius`` bits and the similarity of
 their shingles, weighted by how often each occurs, reaches ``similarity``. The hash is cut
-into ``radius + 1`` blocks: by the pigeonhole principle a window within the radius equals
-the item in one block at least, so a join on (size, block, value) finds every such window.
+into ``blocks`` blocks: by the pigeonhole principle a window within the radius differs from
+the item in at most ``radius // blocks`` bits of one block at least. The smaller side, items
+or windows, is filed under every value so near each of its blocks, and a join on (size,
+block, value) finds every such window. With 4 blocks of 16 bits and a radius of 15 that is
+3 bits, 697 values a block, and about 4 % of unrelated pairs.
 
 Windows are fingerprinted only where the last check can still pass. A similarity of s over
 m shingles on either side needs 2ms / (1 + s) shared ones, so every window that holds that
@@ -14,19 +17,20 @@ by it. A passage has few more such windows than it has shingles to spare.
 DataFrame functions only. Words are runs of letters and digits, lower-cased; a document with
 fewer words than a shingle is one shingle of all its words. Items with fewer words than a
 shingle cannot be told from ordinary phrases and match nothing, as do null and empty
-texts. Equal items are one item with the smallest id; rows that share a document id, a null
-one included, are one document.
+texts. Equal items are one item with the smallest id; in the list of leaks rows that share a
+document id, a null one included, are one document. ``clean`` decides rows with a null id by their text.
 """
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starling.llm import text as T
-from starling.session import broadcast_if_small
+from starling.session import broadcast_if_small, scratch
 
 BITS = 64
 
@@ -36,6 +40,7 @@ class Config:
     shingle: int = 5
     similarity: float = 0.8
     radius: int = 15
+    blocks: int = 4
 
 
 def words_of(text: str = "text") -> Column:
@@ -59,14 +64,28 @@ def simhash(hashes: str) -> Column:
     )
 
 
-def blocks_of(fingerprint: str, count: int) -> Column:
-    """``count`` nearly equal cuts of a fingerprint, each with its number."""
+def blocks_of(fingerprint: str, count: int, near: int = 0) -> Column:
+    """``count`` nearly equal cuts of a fingerprint, each with its number; for each all values within ``near`` bits."""
     edges = [round(i * BITS / count) for i in range(count + 1)]
     cuts = []
     for number, (low, high) in enumerate(zip(edges, edges[1:])):
         value = F.expr(f"shiftrightunsigned({fingerprint}, {low}) & {(1 << (high - low)) - 1}L")
-        cuts.append(F.struct(F.lit(number).alias("block"), value.alias("value")))
-    return F.array(*cuts)
+        flips = [sum(1 << b for b in bits) for n in range(near + 1) for bits in itertools.combinations(range(high - low), n)]
+        values = F.transform(F.array(*map(F.lit, flips)).cast("array<long>"), lambda x: value.bitwiseXOR(x))
+        cuts.append(F.transform(values, lambda v: F.struct(F.lit(number).alias("block"), v.alias("value"))))
+    return F.flatten(F.array(*cuts))
+
+
+def near_pairs(windows: DataFrame, items: DataFrame, config: Config, keep) -> DataFrame:
+    """``m, print, item_id, distance`` of all pairs of written ``windows(m, print)`` and ``items(m, item_print, item_id)`` within the radius."""
+    listed = items.select("m", "item_print").distinct()
+    few_items, near = listed.count() <= windows.count(), config.radius // config.blocks
+    cut = lambda frame, name, n: frame.withColumn("cut", F.explode(blocks_of(name, config.blocks, n))).select("m", name, "cut.block", "cut.value")
+    left, right = cut(windows, "print", 0 if few_items else near), cut(listed, "item_print", near if few_items else 0)
+    distance = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
+    found = left.join(right, ["m", "block", "value"]).withColumn("distance", distance).filter(F.col("distance") <= config.radius)
+    found = found.select("m", "print", "item_print", "distance").distinct()
+    return found.join(items.select("m", "item_print", "item_id"), ["m", "item_print"]).select("m", "print", "item_id", "distance")
 
 
 def _weighted_overlap(window: str, item: str) -> Column:
@@ -85,9 +104,9 @@ def items_of(benchmark: DataFrame, config: Config) -> DataFrame:
     return items.select("item_id", "hashes", F.size("hashes").alias("m"), simhash("hashes").alias("item_print"))
 
 
-def windows_of(keyed: DataFrame, items: DataFrame, config: Config) -> DataFrame:
+def windows_of(keyed: DataFrame, items: DataFrame, config: Config, keep) -> DataFrame:
     """Windows of ``keyed(key, hashes)`` that hold enough shingles of some item: ``key, m, at, width``."""
-    terms = T.staged(items.select("item_id", "m", F.explode(F.array_distinct("hashes")).alias("hash")), "terms")
+    terms = keep(items.select("item_id", "m", F.explode(F.array_distinct("hashes")).alias("hash")))
     # the outer form: from the plain one the optimizer infers a filter that computes the hashes a second time
     spots = keyed.select("key", F.size("hashes").alias("total"), F.posexplode_outer("hashes").alias("pos", "hash"))
     hits = spots.join(broadcast_if_small(terms, terms), "hash")
@@ -108,56 +127,67 @@ def windows_of(keyed: DataFrame, items: DataFrame, config: Config) -> DataFrame:
     return lists.select("key", "m", "width", F.explode(starts).alias("at")).distinct()
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, config: Config = Config()) -> DataFrame:
-    """One row per document and item it leaks: ``doc_id, item_id, similarity, distance, first_word, n_windows``.
+def _key(text: Column) -> Column:
+    return F.struct(F.xxhash64(text).alias("key"), F.md5(text).alias("check"))
 
-    ``similarity`` is the best of the item's windows, ``distance`` the smallest of those,
-    ``first_word`` the first of those.
-    """
+
+def _leaks(documents: DataFrame, benchmark: DataFrame, config: Config, keep) -> DataFrame:
+    """``doc_id, key, item_id, similarity, distance, at`` of every window that leaks an item."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = documents.select(F.xxhash64(text).alias("key"), F.md5(text).alias("check"), "doc_id", "text")
+    keyed = documents.select(_key(text).alias("key"), "doc_id", "text")
     # words first, as a column of their own: each is computed once per text
-    split = keyed.select("doc_id", F.struct("key", "check").alias("key"), words_of().alias("words"))
+    split = keyed.select("doc_id", "key", words_of().alias("words"))
     prints = split.select("doc_id", "key", shingles_of(F.col("words"), config.shingle).alias("hashes"))
-    items = T.staged(items_of(benchmark, config), "items")
-    windows = T.staged(windows_of(prints.select("key", "hashes"), items, config), "windows")
+    items = keep(items_of(benchmark, config))
+    windows = keep(windows_of(prints.select("key", "hashes"), items, config, keep))
 
     # texts that hold a window, read again
-    wanted = windows.groupBy("key").agg(F.collect_set(F.struct("m", "at", "width")).alias("windows"))
-    wanted = T.staged(wanted, "wanted")
-    small = wanted.select("key", F.size("windows").alias("n"))
-    sums = small.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    side = F.broadcast(wanted) if sums * 16 + wanted.count() * 80 <= (64 << 20) else wanted
-    texts = keyed.select(F.struct("key", "check").alias("key"), "doc_id", "text").join(side, "key")
+    wanted = keep(windows.groupBy("key").agg(F.collect_set(F.struct("m", "at", "width")).alias("windows")))
+    texts = keyed.join(broadcast_if_small(wanted, wanted), "key")
     cut = texts.select("doc_id", "key", "windows", words_of().alias("words")).select(
         "doc_id", "key", "windows", shingles_of(F.col("words"), config.shingle).alias("all")
     )
     found = cut.select("doc_id", "key", "all", F.explode("windows").alias("w")).select(
         "doc_id", "key", F.col("w.m").alias("m"), F.col("w.at").alias("at"), F.expr("slice(all, w.at + 1, w.width)").alias("hashes")
     )
-    found = T.staged(found.withColumn("print", simhash("hashes")), "prints")
-
-    # multi-index: every pair within the radius shares a block
-    count = config.radius + 1
-    cuts = lambda frame, name: frame.withColumn("cut", F.explode(blocks_of(name, count))).select("*", "cut.block", "cut.value").drop("cut")
-    distinct = cuts(found.select("m", "print").distinct(), "print")
-    index = cuts(items.select("m", "item_print", "item_id"), "item_print")
-    near = distinct.join(index, ["m", "block", "value"]).withColumn("distance", F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))))
-    near = near.filter(F.col("distance") <= config.radius).select("m", "print", "item_id", "distance").distinct()
+    found = keep(found.withColumn("print", simhash("hashes")))
+    near = near_pairs(keep(found.select("m", "print").distinct()), items, config, keep)
 
     # exact check
-    pairs = found.join(near, ["m", "print"]).join(broadcast_if_small(items.select("item_id", F.col("hashes").alias("item")), items, 4 << 20), "item_id")
+    sides = keep(items.select("item_id", F.col("hashes").alias("item")))
+    pairs = found.join(near, ["m", "print"]).join(broadcast_if_small(sides, sides, 16 << 20), "item_id")
     pairs = pairs.withColumn("shared", _weighted_overlap("hashes", "item"))
     pairs = pairs.withColumn("similarity", F.col("shared") / (F.size("hashes") + F.size("item") - F.col("shared")))
-    pairs = pairs.filter(F.col("similarity") >= config.similarity)
-    best = F.struct((-F.col("similarity")).alias("s"), "distance", "at")
-    return pairs.groupBy("doc_id", "item_id").agg(F.min(best).alias("best"), F.count("*").alias("n_windows")).select(
-        "doc_id", "item_id", (-F.col("best.s")).alias("similarity"), F.col("best.distance").cast("int").alias("distance"),
-        F.col("best.at").alias("first_word"), "n_windows",
-    )
+    return pairs.filter(F.col("similarity") >= config.similarity)
+
+
+def leaks(documents: DataFrame, benchmark: DataFrame, config: Config = Config()) -> DataFrame:
+    """One row per document and item it leaks: ``doc_id, item_id, similarity, distance, first_word, n_windows``.
+
+    ``similarity`` is the best of the item's windows, ``distance`` the smallest of those,
+    ``first_word`` the first of those.
+    """
+    with scratch(documents.sparkSession) as keep:
+        best = F.struct((-F.col("similarity")).alias("s"), "distance", "at")
+        found = _leaks(documents, benchmark, config, keep).groupBy("doc_id", "item_id").agg(F.min(best).alias("best"), F.count("*").alias("n_windows"))
+        return T.staged(found.select(
+            "doc_id", "item_id", (-F.col("best.s")).alias("similarity"), F.col("best.distance").cast("int").alias("distance"),
+            F.col("best.at").alias("first_word"), "n_windows",
+        ), "leaks")
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, config: Config = Config()) -> DataFrame:
-    """The documents that leak no item. Rows with a null id stay unless a row with a null id leaks."""
-    found = T.staged(leaks(documents, benchmark, config).select(F.col("doc_id").alias("leaky")).distinct(), "leaky")
-    return documents.join(broadcast_if_small(found, found), documents["doc_id"].eqNullSafe(F.col("leaky")), "left_anti")
+    """The documents that leak no item. Rows that share an id are one document; a row with a null id is decided by its text."""
+    with scratch(documents.sparkSession) as keep:
+        found = T.staged(_leaks(documents, benchmark, config, keep).select("doc_id", "key.key", "key.check").distinct(), "leaky")
+    side = lambda rows, *names: rows.select(*(F.col(c).alias(T.unused(c, documents)) for c in names)).distinct()
+    ids = side(found.filter("doc_id is not null"), "doc_id")
+    kept = documents.join(broadcast_if_small(ids, ids), documents["doc_id"] == ids[ids.columns[0]], "left_anti")
+    texts = side(found.filter("doc_id is null"), "key", "check")
+    if texts.isEmpty():
+        return kept
+    text = F.when(documents["doc_id"].isNull(), F.coalesce(documents["text"], F.lit("")))
+    key, check = (texts[c] for c in texts.columns)
+    # rows with an id have null keys here and match nothing
+    same = (F.when(text.isNotNull(), F.xxhash64(text)) == key) & (F.md5(text) == check)
+    return kept.join(broadcast_if_small(texts, texts), same, "left_anti")
