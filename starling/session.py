@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,13 +58,38 @@ def estimated_bytes(df: DataFrame) -> int:
 BROADCAST_BYTES = 64 * 2**20
 
 
+def _bytes_of(column: Column, kind: T.DataType) -> Column:
+    """Measured size of a value of any width."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.octet_length(column) + 16
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType)):
+        fields = len(kind.elementType.fields) if isinstance(kind.elementType, T.StructType) else 1
+        if fields == 1 or not any(isinstance(f.dataType, (T.StringType, T.ArrayType)) for f in kind.elementType.fields):
+            return F.size(column) * (8 * fields + 16) + 16
+    # text form: longer than the value itself for numbers, names and marks included
+    return 2 * F.octet_length(F.to_json(F.struct(column))) + 16
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Rows times 8 bytes per column of fixed width, plus the summed sizes of all others; one pass."""
+    varying = [f for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))]
+    if not varying:
+        return df.count() * 8 * len(df.columns)  # a stored table's count comes from its file footers
+    sizes = sum((F.coalesce(_bytes_of(F.col(f"`{f.name}`"), f.dataType), F.lit(16)) for f in varying), F.lit(8 * (len(df.columns) - len(varying))))
+    return df.agg(F.sum(sizes.cast("long"))).first()[0] or 0
+
+
 def fits_broadcast(df: DataFrame, base: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """True when one row of ``df`` per row of the stored table ``base`` stays below ``max_bytes``.
+    """True when ``df``, of at most one row per row of the stored table ``base``, stays below ``max_bytes``.
 
-    The row count of a stored table comes from its file footers.
+    Columns that ``base`` stores are measured there; if ``df`` has others of varying width, ``df`` is measured.
     """
-    width = sum(64 if isinstance(f.dataType, T.StringType) else 8 for f in df.schema.fields)
-    return base.count() * width <= max_bytes
+    stored = set(base.columns)
+    inherited = all(c in stored for c in df.columns)
+    fixed = all(isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)) for f in df.schema.fields)
+    if fixed:
+        return base.count() * 8 * len(df.columns) <= max_bytes
+    return measured_bytes(base.select(*(f"`{c}`" for c in df.columns)) if inherited else df) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, base: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
