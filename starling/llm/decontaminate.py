@@ -83,7 +83,8 @@ def near_pairs(windows: DataFrame, items: DataFrame, config: Config, keep) -> Da
     cut = lambda frame, name, n: frame.withColumn("cut", F.explode(blocks_of(name, config.blocks, n))).select("m", name, "cut.block", "cut.value")
     left, right = cut(windows, "print", 0 if few_items else near), cut(listed, "item_print", near if few_items else 0)
     distance = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
-    found = left.join(right, ["m", "block", "value"]).withColumn("distance", distance).filter(F.col("distance") <= config.radius)
+    # the planner does not see how many rows a fingerprint is filed as: never broadcast them on its word
+    found = left.join(right.hint("merge"), ["m", "block", "value"]).withColumn("distance", distance).filter(F.col("distance") <= config.radius)
     found = found.select("m", "print", "item_print", "distance").distinct()
     return found.join(items.select("m", "item_print", "item_id"), ["m", "item_print"]).select("m", "print", "item_id", "distance")
 
