@@ -30,8 +30,9 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starling.llm import arrays as A
 from starling.llm import text as T
-from starling.session import broadcast_if_small
+from starling.session import broadcast_if_small, scratch
 
 KINDS = ("email", "ip", "card", "phone")
 # the stated patterns; loops that cannot give back are possessive, and a match may begin inside a
@@ -67,7 +68,7 @@ UNLINKED = "|".join((
 UNIT = f"{_LINKED}|{UNLINKED}"  # the same as UNLINKED in texts that have no link
 NOT_PLAIN = r"[^\p{L}\p{M}'’-]"
 SPAN = "struct<kind:string,start:int,end:int,token:string>"
-PLACE = "struct<start:int,end:int,nr:int,token:string>"
+MERGED = "struct<start:int,end:int,kind:string,token:string,reach:int,apart:int,group:int>"
 
 
 @dataclass(frozen=True)
@@ -80,18 +81,25 @@ class Config:
 
 def _located(text: str, pattern: str, kind: str) -> Column:
     """Matches of a pattern with their places, from the matches and the gaps between them."""
-    gaps, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.transform(_measured(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), lambda x: F.struct(
+        F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["token"].alias("token")
+    ))
+
+
+def _measured(gaps: Column, matches: Column) -> Column:
+    """``start, end, nr, token`` of the matches that stand between gaps."""
     # one gap more than matches: the last pair has no match
     pairs = F.zip_with(gaps, matches, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"), m.alias("token")))
-    none = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{SPAN}>)").alias("out"))
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        end = start + F.coalesce(x["size"], F.lit(0))
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["token"].alias("token"))
-        return F.struct(end.alias("at"), F.when(x["token"].isNull(), state["out"]).otherwise(F.array_append(state["out"], span)).alias("out"))
+    def placed(ps: Column) -> Column:
+        ends = A.sums_before(F.transform(ps, lambda p: p["gap"] + F.coalesce(p["size"], F.lit(0))))
+        found = F.zip_with(ps, ends, lambda p, at: F.struct(
+            (at + p["gap"]).alias("start"), (at + p["gap"] + p["size"]).alias("end"), p["token"].alias("token")
+        ))
+        found = F.filter(found, lambda x: x["token"].isNotNull())
+        return F.transform(found, lambda x, i: F.struct(x["start"].alias("start"), x["end"].alias("end"), i.alias("nr"), x["token"].alias("token")))
 
-    return F.aggregate(pairs, none, step, lambda state: state["out"])
+    return A.let(pairs, placed)
 
 
 def base_spans(text: str) -> Column:
@@ -115,49 +123,64 @@ def _checked(kind: str, span: Column) -> Column:
     return F.when(F.length(digits).between(14, 19), F.aggregate(doubled, F.lit(0), lambda s, d: s + d) % 10 == 0).otherwise(False)
 
 
-def _masked(text: str, spans: str) -> Column:
-    """The text, as long as before, with base spans written as ``HEAD`` and ``BODY``; spans that overlap are one."""
-    plain = F.translate(F.col(text), HEAD + BODY, OTHER + OTHER)
-    order = F.array_sort(F.transform(F.col(spans), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
-    none = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def _ordered(spans: str) -> Column:
+    return F.sort_array(F.transform(F.col(spans), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), x["token"].alias("token"))))
+
+
+def _merged(order: Column) -> Column:
+    """Spans given in order, each with ``reach``, the end of those before it, and ``group``: spans that overlap are one, numbered from 1."""
+
+    def reached(xs: Column) -> Column:
+        reach = A.before(F.transform(xs, lambda x: x["end"]), lambda a, b: F.greatest(a, b), F.lit(0))
+        return F.zip_with(xs, reach, lambda x, r: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), x["token"].alias("token"),
+            r.alias("reach"), (x["start"] >= r).cast("int").alias("apart"),
+        ))
+
+    def numbered(xs: Column) -> Column:
+        groups = A.sums_before(F.transform(xs, lambda x: x["apart"]))
+        return F.zip_with(xs, groups, lambda x, g: F.struct(*(x[c].alias(c) for c in ("start", "end", "kind", "token", "reach", "apart")), (g + x["apart"]).alias("group")))
+
+    return A.let(A.let(order, reached), numbered)
+
 
-    def step(state: Column, x: Column) -> Column:
-        apart, end = x["start"] >= state["at"], F.greatest(state["at"], x["end"])
-        gap = F.when(apart, F.concat(F.substring(plain, state["at"] + 1, x["start"] - state["at"]), F.lit(HEAD))).otherwise("")
-        more = F.when(apart, end - x["start"] - 1).otherwise(end - state["at"])
-        return F.struct(end.alias("at"), F.concat(state["out"], gap, F.repeat(F.lit(BODY), more)).alias("out"))
+def _rewritten(text: Column, merged: Column, head, more) -> Column:
+    """The text with ``head(span)`` for the first of overlapping spans and ``more(span)`` for those it reaches over."""
 
-    rest = lambda state: F.concat(state["out"], F.substring(plain, state["at"] + 1, F.length(F.col(text))))
-    return F.when(F.size(spans) > 0, F.aggregate(order, none, step, rest)).otherwise(plain)
+    def written(pieces: Column) -> Column:
+        parts = F.transform(merged, lambda x: F.when(x["apart"] == 1, F.concat(A.cut(pieces, x["reach"], x["start"]), head(x))).otherwise(more(x)))
+        last = F.array_max(F.transform(merged, lambda x: x["end"]))
+        return F.concat(F.array_join(parts, ""), A.cut(pieces, last, F.length(text)))
+
+    return A.let(A.pieces_of(text), written)
+
+
+def _masked(text: str, merged: str) -> Column:
+    """The text, as long as before, with base spans written as ``HEAD`` and ``BODY``; spans that overlap are one."""
+    plain = F.translate(F.col(text), HEAD + BODY, OTHER + OTHER)
+    head = lambda x: F.concat(F.lit(HEAD), F.repeat(F.lit(BODY), x["end"] - x["start"] - 1))
+    more = lambda x: F.repeat(F.lit(BODY), F.greatest(x["end"] - x["reach"], F.lit(0)))
+    return F.when(F.size(merged) > 0, _rewritten(plain, F.col(merged), head, more)).otherwise(plain)
 
 
 def _units(documents: DataFrame, *kept: str) -> DataFrame:
-    """``kept, text, base, masked, units, words`` of each text: ``words`` are the units as contexts name them."""
+    """``kept, text, base, merged, masked, units, words`` of each text: ``words`` are the units as contexts name them."""
     text = T.text_or_empty()
     source = documents.select(*kept, text.alias("text"), (text.contains("@") | text.rlike("[0-9]")).alias("any"))
     none = F.expr(f"cast(array() as array<{SPAN}>)")
     some = source.select(*kept, "text", F.when(F.col("any"), base_spans("text")).otherwise(none).alias("base"))
-    some = some.select(*kept, "text", "base", _masked("text", "base").alias("masked"))
+    some = some.select(*kept, "text", "base", F.when(F.size("base") > 0, _merged(_ordered("base"))).otherwise(F.expr(f"cast(array() as array<{MERGED}>)")).alias("merged"))
+    some = some.select(*kept, "text", "base", "merged", _masked("text", "merged").alias("masked"))
     units = lambda pattern: F.regexp_extract_all("masked", F.lit(pattern), F.lit(0))
     units = F.when(F.col("masked").rlike(_LINK), units(UNIT)).otherwise(units(UNLINKED))
-    some = some.select(*kept, "text", "base", "masked", units.alias("units"))
+    some = some.select(*kept, "text", "base", "merged", "masked", units.alias("units"))
     return some.select("*", F.transform("units", lambda u: F.when(u.startswith(HEAD), HEAD).otherwise(F.lower(u))).alias("words"))
 
 
 def _places() -> Column:
-    """Places of the units that are no plain words, base spans included, with their numbers among the units."""
+    """Places of the units, base spans included, with their numbers."""
     gaps = F.when(F.col("masked").rlike(_LINK), F.split("masked", UNIT, -1)).otherwise(F.split("masked", UNLINKED, -1))
-    pairs = F.zip_with(gaps, "units", lambda g, u: F.struct(F.length(g).alias("gap"), F.length(u).alias("size"), u.alias("token")))
-    none = F.struct(F.lit(0).alias("at"), F.lit(0).alias("nr"), F.expr(f"cast(array() as array<{PLACE}>)").alias("out"))
-
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        end = start + F.coalesce(x["size"], F.lit(0))
-        place = F.struct(start.alias("start"), end.alias("end"), state["nr"].alias("nr"), x["token"].alias("token"))
-        out = F.when(x["token"].rlike(NOT_PLAIN), F.array_append(state["out"], place)).otherwise(state["out"])
-        return F.struct(end.alias("at"), (state["nr"] + 1).alias("nr"), out.alias("out"))
-
-    return F.aggregate(pairs, none, step, lambda state: state["out"])
+    return _measured(gaps, F.col("units"))
 
 
 def _with_contexts(nr: Column, kind: Column, token: Column) -> Column:
@@ -182,12 +205,9 @@ def spans_of(documents: DataFrame) -> DataFrame:
     numbers = F.expr("if(size(units) > 0, sequence(0, size(units) - 1), cast(array() as array<int>))")
     some = _units(documents, "doc_id").select("*", F.filter(numbers, lambda i: F.get("units", i).rlike(NOT_PLAIN)).alias("odd"))
     heads, fills = (F.filter("odd", lambda i: F.get("units", i).startswith(HEAD) == is_head) for is_head in (True, False))
-    # spans that overlap are one unit, which begins where no other span reaches over
-    begin = F.filter("base", lambda x: ~F.exists("base", lambda y: (y["start"] < x["start"]) & (x["start"] < y["end"])))
-    begin = F.array_distinct(F.transform(begin, lambda x: x["start"]))
-    some = some.select("doc_id", "text", "base", "units", "words", "odd", heads.alias("heads"), fills.alias("fills"), begin.alias("begin"))
-    unit = lambda x: F.get("heads", F.size(F.filter("begin", lambda b: b <= x["start"])) - 1)
-    seeds = F.transform("base", lambda x: _with_contexts(unit(x), x["kind"], x["token"]))
+    # spans that overlap are one unit, and the units of spans come in their order
+    some = some.select("doc_id", "text", "base", "merged", "units", "words", "odd", heads.alias("heads"), fills.alias("fills"))
+    seeds = F.transform("merged", lambda x: _with_contexts(F.get("heads", x["group"] - 1), x["kind"], x["token"]))
     tokens = F.transform("fills", lambda i: _with_contexts(i, F.lit("token"), F.get("units", i)))
     base = F.transform("base", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
     return some.select(
@@ -196,15 +216,13 @@ def spans_of(documents: DataFrame) -> DataFrame:
 
 
 def _placed(documents: DataFrame, best: DataFrame) -> DataFrame:
-    """``key, added``: the places of the units ``best(key, nr, kind)``, from the texts that hold one."""
-    wanted = T.staged(best.groupBy("key").agg(F.collect_list(F.struct("nr", "kind")).alias("wanted")), "wanted")
-    size = wanted.agg(F.coalesce(F.sum(F.size("wanted") * 24 + 80), F.lit(0))).first()[0]
-    texts = documents.select(_key(T.text_or_empty()).alias("key"), "text").join(F.broadcast(wanted) if size <= 64 << 20 else wanted, "key")
-    places = _units(texts, "key", "wanted").select("key", "wanted", _places().alias("places"))
-    kind = lambda p: F.get(F.filter("wanted", lambda w: w["nr"] == p["nr"]), F.lit(0))["kind"]
-    added = F.transform("places", lambda p: F.struct(kind(p).alias("kind"), p["start"].alias("start"), p["end"].alias("end")))
-    added = places.select("key", F.filter(added, lambda x: x["kind"].isNotNull()).alias("added"))
-    return added.groupBy("key").agg(F.first("added").alias("added"))
+    """``key, added``: the places of the units ``best(key, nr, kind)``, a written table, from the texts that hold one."""
+    wanted = best.select("key").distinct()
+    texts = documents.select(_key(T.text_or_empty()).alias("key"), "text").join(broadcast_if_small(wanted, best), "key")
+    # the outer form: from the plain one the optimizer infers a filter that computes all units again, per unit
+    places = _units(texts, "key").select("key", _places().alias("places")).select("key", F.explode_outer("places").alias("p"))
+    places = places.select("key", "p.nr", "p.start", "p.end").join(broadcast_if_small(best, best), ["key", "nr"])
+    return places.groupBy("key").agg(F.collect_set(F.struct("kind", "start", "end")).alias("added"))
 
 
 def pattern_fills(documents: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -220,65 +238,65 @@ def pattern_fills(documents: DataFrame, patterns: DataFrame) -> DataFrame:
     return every.join(broadcast_if_small(patterns, patterns), "pattern").groupBy("pattern").agg(F.count("*").alias("total"))
 
 
-def _possible(pairs: DataFrame, seeds: DataFrame, config: Config) -> DataFrame:
+def _possible(pairs: DataFrame, seeds: DataFrame, config: Config, keep) -> DataFrame:
     """Patterns that could be trusted after all rounds if every identifier within reach were, and no plain word filled them."""
-    held = T.staged(pairs.groupBy("pattern").agg(F.sum("n").alias("held")), "held")
+    held = keep(pairs.groupBy("pattern").agg(F.sum("n").alias("held")))
     reached, found = seeds.select("item", "kind"), None
     for _ in range(config.rounds):
-        scored = T.staged(
+        scored = keep(
             pairs.join(broadcast_if_small(reached, reached), "item").groupBy("pattern", "kind")
-            .agg(F.count("*").alias("support"), F.sum("n").alias("weight")).filter(F.col("support") >= config.support), "scored",
+            .agg(F.count("*").alias("support"), F.sum("n").alias("weight")).filter(F.col("support") >= config.support)
         )
         found = held.join(broadcast_if_small(scored, scored), "pattern").filter(F.col("weight") >= config.trust * F.col("held"))
-        found = T.staged(found.select("pattern", "kind"), "possible")
+        found = keep(found.select("pattern", "kind"))
         more = pairs.join(broadcast_if_small(found, found), "pattern").select("item", "kind")
-        reached = T.staged(seeds.select("item", "kind").unionByName(more).distinct(), "reached")
+        reached = keep(seeds.select("item", "kind").unionByName(more).distinct())
     return found.select("pattern").distinct()
 
 
-def trusted(documents: DataFrame, spans: DataFrame, config: Config = Config()) -> tuple[DataFrame, DataFrame]:
-    """Trusted patterns ``(pattern, kind)`` and identifiers ``(item, kind, trust)`` not among the seeds."""
+def trusted(documents: DataFrame, spans: DataFrame, keep, config: Config = Config()) -> tuple[DataFrame, DataFrame]:
+    """Trusted patterns ``(pattern, kind)`` and identifiers ``(item, kind, trust)`` not among the seeds; ``keep`` writes a table."""
     seen = lambda name: spans.filter("key is not null").select(F.explode_outer(name).alias("x")).filter("x is not null")
     both = seen("seeds").select("x.*").unionByName(seen("tokens").select("x.*"))
     edges = both.select("kind", "item", F.explode_outer(F.array("before", "around")).alias("pattern")).filter("pattern is not null")
-    edges = T.staged(edges.groupBy("kind", "item", "pattern").agg(F.count("*").alias("n")), "edges")
+    edges = keep(edges.groupBy("kind", "item", "pattern").agg(F.count("*").alias("n")))
     seeds = edges.filter("kind <> 'token'").select("item", "kind").distinct().withColumn("trust", F.lit(1.0))
-    seeds = T.staged(seeds, "seeds")
-    pairs = T.staged(edges.groupBy("item", "pattern").agg(F.sum("n").alias("n")), "pairs")
-    patterns = T.staged(_possible(pairs, seeds, config), "patterns")
-    fills = T.staged(pattern_fills(documents, patterns), "fills")
-    pairs = T.staged(pairs.join(broadcast_if_small(patterns, patterns), "pattern"), "pairs")
+    seeds = keep(seeds)
+    pairs = keep(edges.groupBy("item", "pattern").agg(F.sum("n").alias("n")))
+    patterns = keep(_possible(pairs, seeds, config, keep))
+    fills = keep(pattern_fills(documents, patterns))
+    pairs = keep(pairs.join(broadcast_if_small(patterns, patterns), "pattern"))
     items, chosen = seeds, None
     for _ in range(config.rounds):
         scored = pairs.join(items, "item").groupBy("pattern", "kind").agg(
             F.sum("trust").alias("support"), F.sum(F.col("trust") * F.col("n")).alias("weight")
         ).join(fills, "pattern")
         share = F.least(F.col("weight") / F.col("total"), F.lit(1.0)) * F.col("support") / (F.col("support") + 0.1)
-        chosen = T.staged(
-            scored.withColumn("share", share).filter((F.col("support") >= config.support) & (F.col("share") >= config.trust)).select("pattern", "kind", "share"),
-            "chosen",
+        chosen = keep(
+            scored.withColumn("share", share).filter((F.col("support") >= config.support) & (F.col("share") >= config.trust)).select("pattern", "kind", "share")
         )
         doubt = F.sum(F.log1p(-F.least("share", F.lit(0.999))))
         fresh = pairs.join(chosen, "pattern").groupBy("item", "kind").agg((1 - F.exp(doubt)).alias("trust"))
         fresh = fresh.join(seeds.select("item").distinct(), "item", "left_anti")
-        items = T.staged(seeds.unionByName(fresh), "trusted")
+        items = keep(seeds.unionByName(fresh))
     return chosen, items.join(seeds.select("item").distinct(), "item", "left_anti")
 
 
-def found_spans(documents: DataFrame, config: Config = Config()) -> DataFrame:
+def found_spans(documents: DataFrame, keep, config: Config = Config()) -> DataFrame:
     """``doc_id, key, base, added`` for every row; ``added`` are the spans that trusted contexts found."""
-    spans = T.staged(spans_of(documents), "spans")
-    patterns, items = trusted(documents, spans, config)
+    spans = keep(spans_of(documents))
+    patterns, items = trusted(documents, spans, keep, config)
     tokens = spans.filter("key is not null").select("key", F.explode_outer("tokens").alias("x")).filter("x is not null")
     tokens = tokens.select("key", "x.nr", "x.item", F.explode_outer(F.array("x.before", "x.around")).alias("pattern"))
     good = items.filter(F.col("trust") >= config.accept)
     hits = tokens.join(broadcast_if_small(good, good), "item").join(broadcast_if_small(patterns.select("pattern", "kind"), patterns), ["pattern", "kind"])
-    best = hits.groupBy("key", "nr").agg(F.min_by("kind", F.struct(-F.col("trust"), F.col("kind"))).alias("kind"))
-    added = _placed(documents, best)
+    best = keep(hits.groupBy("key", "nr").agg(F.min_by("kind", F.struct(-F.col("trust"), F.col("kind"))).alias("kind")))
+    added = keep(_placed(documents, best))
     columns = ["doc_id", "key", "base", "added"]
     # texts without spans have no key: they stay out of the join, where they would be one group
     plain = spans.filter("key is null").withColumn("added", F.lit(None).cast("array<struct<kind:string,start:int,end:int>>"))
-    return spans.filter("key is not null").join(added, "key", "left").select(*columns).unionByName(plain.select(*columns))
+    both = spans.filter("key is not null").join(broadcast_if_small(added, added), "key", "left")
+    return both.select(*columns).unionByName(plain.select(*columns))
 
 
 def listed(*spans: str) -> Column:
@@ -297,34 +315,33 @@ def written(spans: Column) -> Column:
 def personal_data(documents: DataFrame, config: Config = Config()) -> DataFrame:
     """Counts of the base kinds, a digest of the base spans, and all spans as text, per row."""
     count = lambda k: F.coalesce(F.size(F.filter("base", lambda x: x["kind"] == k)), F.lit(0))
-    found = found_spans(documents, config)
-    # size of a null array is not null in every setting: rows without a key have none
-    return found.select(
-        "doc_id",
-        *[F.when(F.col("key").isNull(), 0).otherwise(count(k)).cast("long").alias(f"n_{k}") for k in KINDS],
-        F.sha2(written(listed("base")), 256).alias("base_sha256"),
-        written(listed("base", "added")).alias("spans"),
-    )
+    with scratch(documents.sparkSession) as keep:
+        found = found_spans(documents, keep, config)
+        # size of a null array is not null in every setting: rows without a key have none
+        return T.staged(found.select(
+            "doc_id",
+            *[F.when(F.col("key").isNull(), 0).otherwise(count(k)).cast("long").alias(f"n_{k}") for k in KINDS],
+            F.sha2(written(listed("base")), 256).alias("base_sha256"),
+            written(listed("base", "added")).alias("spans"),
+        ), "spans")
 
 
 def redact(documents: DataFrame, config: Config = Config()) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; ``n_chars`` follows if there is such a column."""
-    found = found_spans(documents, config).filter("key is not null")
-    spans = T.staged(
-        found.select("key", listed("base", "added").alias("marks")).filter(F.size("marks") > 0).groupBy("key").agg(F.first("marks").alias("marks")), "marks"
-    )
+    with scratch(documents.sparkSession) as keep:
+        found = found_spans(documents, keep, config).filter("key is not null")
+        marks = F.transform(listed("base", "added"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), x["kind"].alias("token")))
+        marks = found.select("key", marks.alias("marks")).filter(F.size("marks") > 0).groupBy("key").agg(F.first("marks").alias("marks"))
+        marks = T.staged(marks.select("key", _merged(F.col("marks")).alias("merged")), "marks")
+    marks = marks.select(F.col("key").alias(T.unused("key", documents)), F.col("merged").alias(T.unused("merged", documents)))
+    key, merged = marks.columns
     text = F.coalesce(documents["text"], F.lit(""))
-    key = F.struct(F.xxhash64(text).alias("a"), F.md5(text).alias("b"))
-    marks = spans.select(F.col("key").alias("_marks_key"), F.col("marks").alias("_marks"))
-    size = spans.agg(F.coalesce(F.sum(F.size("marks") * 40 + 80), F.lit(0))).first()[0]
-    marks = F.broadcast(marks) if size <= 64 << 20 else marks
-    joined = documents.join(marks, key == F.col("_marks_key"), "left")
-    changed = F.expr("""
-        aggregate(_marks, named_struct('at', 0, 'out', cast('' as string)),
-          (s, x) -> named_struct(
-            'at', greatest(s.at, x.end),
-            'out', if(x.start >= s.at, concat(s.out, substring(text, s.at + 1, x.start - s.at), '[', upper(x.kind), ']'), s.out)),
-          s -> concat(s.out, substring(text, s.at + 1)))""")
-    joined = joined.withColumn("_new", F.when(F.col("_marks").isNotNull(), changed).otherwise(F.col("text")))
-    columns = [F.col("_new").alias(c) if c == "text" else F.length("_new").cast(documents.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in documents.columns]
+    joined = documents.join(broadcast_if_small(marks, marks), _key(text) == marks[key], "left")
+    head, more = lambda x: F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")), lambda x: F.lit("")
+    new = T.unused("new", documents, marks)
+    joined = joined.withColumn(new, F.when(F.col(merged).isNotNull(), _rewritten(F.col("text"), F.col(merged), head, more)).otherwise(F.col("text")))
+    columns = [
+        F.col(new).alias(c) if c == "text" else F.length(new).cast(documents.schema[c].dataType).alias(c) if c == "n_chars" else F.col(T.quoted(c))
+        for c in documents.columns
+    ]
     return joined.select(*columns)
