@@ -7,7 +7,7 @@ from datetime import datetime
 
 from starling.plans.staging_load import load_staging, load_unified
 from starling.plans.warehouse_load import WarehouseLoad
-from starling.schemas import STAGING, STAR, UNIFIED
+from starling.schemas import STAGING, STAR, STAR_BANDS, UNIFIED
 from starling.session import get_session
 from starling.sources.store import Store
 
@@ -34,7 +34,7 @@ def main() -> None:
         load, schemas = (load_unified, UNIFIED) if args.unified else (load_staging, STAGING)
         log = load(spark, folders, Store(spark, args.staging, schemas), args.run_ts)
     else:
-        stores = Store(spark, args.staging, STAGING), Store(spark, args.star, STAR)
+        stores = Store(spark, args.staging, STAGING), Store(spark, args.star, STAR, STAR_BANDS)
         log = WarehouseLoad(spark, *stores, args.run_ts, args.mode, args.keys).run()
     log.write(spark, args.log)
     spark.stop()

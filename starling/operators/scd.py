@@ -106,7 +106,23 @@ def scd2_merge(
     never gathered; the joins see one open row per key.
     """
     ended = history.filter(F.col(END).isNotNull())
-    open_rows = current(history)
+    return ended.unionByName(scd2_step(current(history), incoming, key, tracked, sk, run_ts, max_key(history, sk), close_missing))
+
+
+def scd2_step(
+    open_rows: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    sk: str,
+    run_ts: datetime,
+    start: Column | int,
+    close_missing: bool = False,
+) -> DataFrame:
+    """What a type 2 merge makes of the open versions: those it closes, those that stay, and new ones.
+
+    ``start`` is the highest key given out so far, in closed versions too; these are not read.
+    """
     latest = incoming.select(key, *[c for c in tracked if c != key]).withColumn("_seen", F.lit(True))
     joined = open_rows.alias("d").join(latest.alias("i"), F.col(f"d.{key}") == F.col(f"i.{key}"), "left")
     closing = F.col("_seen") & is_changed("d", "i", tracked)
@@ -114,8 +130,8 @@ def scd2_merge(
         closing = closing | F.col("_seen").isNull()
     still = joined.select("d.*", F.when(closing, _moment(run_ts)).alias("_end"))
     marked = still.withColumn(END, F.col("_end")).drop("_end")
-    opened = dense_keys(_unlike(open_rows, incoming, key, tracked), [key], sk, max_key(history, sk))
-    return ended.unionByName(marked).unionByName(_open(opened, _moment(run_ts)).select(history.columns))
+    opened = dense_keys(_unlike(open_rows, incoming, key, tracked), [key], sk, start)
+    return marked.unionByName(_open(opened, _moment(run_ts)).select(open_rows.columns))
 
 
 def scd2_append(history: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str], sk: str) -> DataFrame:

@@ -91,7 +91,28 @@ STAGED = " UNION ALL ".join([
     *_staged("SELECT count(*) FROM events", "SELECT count(*) FROM events WHERE coalesce(event_type <> 'error', true)", "Onderhoud"),
 ])
 
+KEYED = ", ".join(
+    f"(CASE WHEN own THEN 'FIETS_VERKOOP_' ELSE 'ACCESSOIRE_VERKOOP_' END || CAST({number} AS VARCHAR)) AS {name}"
+    for number, name in (("c_custkey", "klant"), ("sold", "product"), ("s_suppkey", "monteur"), ("s_nationkey", "filiaal"))
+)
+
 LOAD_ORACLES: dict[str, str] = {
+    "star_refresh_sales": f"WITH {LOADS} SELECT * EXCLUDE (early) FROM sales",
+    "star_source_sales": f"""WITH {LOADS} SELECT CASE WHEN own THEN 1 ELSE 2 END AS source_id, o_orderkey AS verkoopnr,
+          CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS datum_key, {KEYED}
+        FROM sources JOIN buyers ON o_custkey = c_custkey AND CASE WHEN own THEN in_first ELSE in_second END
+          JOIN supplier ON worker = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+          JOIN part ON sold = p_partkey WHERE o_orderdate IS NOT NULL""",
+    "star_refresh_log": f"""WITH {LOADS}, steps AS ({STEPS}), series(run_id, step) AS (
+          VALUES ('20240101_000000', 1), ('20240102_000000', 2), ('20240103_000000', 3))
+        SELECT run_id, tabel, 'OK' AS status, CASE WHEN step < 3 THEN one ELSE two - one END AS aantal_insert,
+          CASE WHEN step < 3 THEN 0 ELSE changed END AS aantal_update, CASE WHEN step < 3 THEN one ELSE two END AS aantal_dwh_na
+        FROM steps, series""",
+    "star_failed_log": f"""WITH {LOADS}, steps AS ({STEPS}), fates AS (
+          SELECT *, CASE tabel WHEN 'Klant' THEN 'ERROR' WHEN 'Verkoop' THEN 'SKIPPED' ELSE 'OK' END AS status,
+            CASE WHEN tabel = 'Monteur' THEN one ELSE two END AS n FROM steps)
+        SELECT '20240101_000000' AS run_id, tabel, status, CASE WHEN status = 'OK' THEN n ELSE 0 END AS aantal_insert,
+          0 AS aantal_update, CASE WHEN status = 'OK' THEN n ELSE 0 END AS aantal_dwh_na FROM fates""",
     "star_sales": f"WITH {LOADS} SELECT * EXCLUDE (early) FROM sales",
     "star_purchase": f"WITH {LOADS} SELECT * EXCLUDE (early) FROM purchases",
     "star_maintenance": f"WITH {LOADS} SELECT * EXCLUDE (early) FROM visits",

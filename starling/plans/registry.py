@@ -590,7 +590,8 @@ def best_run(t: Tables) -> DataFrame:
 
 for load_query in (
     sample_loads.star_sales, sample_loads.star_purchase, sample_loads.star_maintenance, sample_loads.star_workers,
-    sample_loads.star_log, sample_loads.staging_log,
+    sample_loads.star_log, sample_loads.staging_log, sample_loads.star_refresh_sales, sample_loads.star_refresh_log,
+    sample_loads.star_source_sales, sample_loads.star_failed_log,
 ):
     query(load_query)
 

@@ -1,15 +1,17 @@
-"""Two runs of the staging and warehouse loads over the sample tables.
+"""Runs of the staging and warehouse loads over the sample tables.
 
 Orders are sales and purchases of their first and last part, suppliers are workers and
 makers, nations are branches, events are workshop visits. Between the runs customers move,
 wages rise, and later sales, purchases and visits arrive.
+
+A series of runs is done once per session and folder; its tables stay in the shared folder,
+as the results of the queries are read from them.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -20,14 +22,13 @@ from starling.operators.scd import current
 from starling.plans.staging_load import load_staging
 from starling.plans.tables import FIRST_SEGMENTS, ONLY_FIRST_SEGMENTS, Tables
 from starling.plans.warehouse_load import WarehouseLoad
-from starling.schemas import SOURCES, STAGING, STAR
-from starling.session import shared_dir, stage
-from starling.sources import files
+from starling.schemas import SOURCES, STAGING, STAR, STAR_BANDS
+from starling.session import shared_dir
 from starling.sources.runlog import STAGING_COLUMNS, WAREHOUSE_COLUMNS, read_log
 from starling.sources.store import Store
 
 # fixed values: times of the runs, and what the first of them knows
-RUNS = (datetime(2024, 1, 1), datetime(2024, 1, 2))
+RUNS = (datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3))
 FIRST_ORDERS_BEFORE = "1998-01-01"
 FIRST_EVENTS_WITHOUT = "error"
 
@@ -120,30 +121,50 @@ class Sources:
             return self.klant(system)
         return getattr(self, name.lower())()
 
-    def write(self, root: str) -> dict[str, str]:
+    def write(self, root: str, without: tuple[str, str] | None = None) -> dict[str, str]:
+        """Write all source tables but one."""
         folders = {system: f"{root}/{system}" for system in SOURCES}
         run_together([
             lambda s=system, n=name: self.table(s, n).write.parquet(f"{folders[s]}/{n}.parquet")
-            for system, tables in SOURCES.items() for name, _ in tables
+            for system, tables in SOURCES.items() for name, _ in tables if (system, name) != without
         ], 4)
         return folders
 
 
-@contextmanager
-def loaded(t: Tables, warehouse: bool = True) -> Iterator[tuple[Store, str]]:
-    """The star after two incremental runs, and the folder of their logs; removed afterwards."""
+@dataclass(frozen=True)
+class Run:
+    first: bool  # the sources as the first run finds them
+    mode: str = "incremental"
+    keys: str = "natural"
+    without: tuple[str, str] | None = None  # a source table that is missing
+
+
+# a missing source table: its dimension fails, the facts that need it are skipped
+MISSING = ("Accessoire_Verkoop", "Klant")
+SERIES = {
+    "increments": (Run(True), Run(False)),
+    "refreshed": (Run(True), Run(True, "refresh"), Run(False)),
+    "source_keys": (Run(False, keys="source"),),
+    "failed": (Run(False, without=MISSING),),
+}
+_done: dict[tuple[str, str, str], tuple[Store, str]] = {}
+
+
+def loaded(t: Tables, series: str = "increments") -> tuple[Store, str]:
+    """The star after a series of runs, and the folder of their logs."""
     spark = t.spark
-    root = f"{shared_dir(spark)}/loads-{uuid.uuid4().hex}"
-    staging, star = Store(spark, f"{root}/staging", STAGING), Store(spark, f"{root}/star", STAR)
-    try:
-        for moment, first in zip(RUNS, (True, False)):
-            folders = Sources(t, first).write(f"{root}/source-{moment:%Y%m%d}")
-            load_staging(spark, folders, staging, moment).write(spark, f"{root}/log-staging")
-            if warehouse:
-                WarehouseLoad(spark, staging, star, moment).run().write(spark, f"{root}/log-star")
-        yield star, root
-    finally:
-        files.delete(spark, root)
+    key = (spark.sparkContext.applicationId, t.folder, series)
+    if key not in _done:
+        root = f"{shared_dir(spark)}/loads-{uuid.uuid4().hex}"
+        staging, star = Store(spark, f"{root}/staging", STAGING), Store(spark, f"{root}/star", STAR, STAR_BANDS)
+        sources: dict[bool, dict[str, str]] = {}
+        for moment, run in zip(RUNS, SERIES[series]):
+            if run.first not in sources:
+                sources[run.first] = Sources(t, run.first).write(f"{root}/source-{moment:%Y%m%d}", run.without)
+            load_staging(spark, sources[run.first], staging, moment).write(spark, f"{root}/log-staging")
+            WarehouseLoad(spark, staging, star, moment, run.mode, run.keys).run().write(spark, f"{root}/log-star")
+        _done[key] = star, root
+    return _done[key]
 
 
 def _named(fact: DataFrame, star: Store, table: str, key: str, *columns: Column) -> DataFrame:
@@ -152,50 +173,74 @@ def _named(fact: DataFrame, star: Store, table: str, key: str, *columns: Column)
     return fact.join(member, key, "left").drop(key)
 
 
+def _sales(star: Store) -> DataFrame:
+    fact = _named(star.read("Verkoop").drop("verkoop_key"), star, "Klant", "klant_key", F.col("woonplaats"))
+    fact = _named(fact, star, "Product", "product_key")
+    fact = _named(fact, star, "Filiaal", "filiaal_key")
+    return _named(fact, star, "Monteur", "monteur_key", F.round("uurloon", 2).alias("uurloon"))
+
+
 def star_sales(t: Tables) -> DataFrame:
-    with loaded(t) as (star, _):
-        fact = _named(star.read("Verkoop").drop("verkoop_key"), star, "Klant", "klant_key", F.col("woonplaats"))
-        fact = _named(fact, star, "Product", "product_key")
-        fact = _named(fact, star, "Filiaal", "filiaal_key")
-        return stage(_named(fact, star, "Monteur", "monteur_key", F.round("uurloon", 2).alias("uurloon")))
+    return _sales(loaded(t)[0])
+
+
+def star_refresh_sales(t: Tables) -> DataFrame:
+    """Sales after a full refresh between two increments, under the keys that the refresh issued."""
+    return _sales(loaded(t, "refreshed")[0])
+
+
+def star_source_sales(t: Tables) -> DataFrame:
+    """Sales whose members carry keys qualified by their system."""
+    return _sales(loaded(t, "source_keys")[0]).drop("woonplaats", "uurloon", "verkoopprijs", "aantal")
 
 
 def star_purchase(t: Tables) -> DataFrame:
-    with loaded(t) as (star, _):
-        fact = _named(star.read("Inkoop").drop("inkoop_key"), star, "Product", "product_key")
-        fact = _named(fact, star, "Leverancier", "lev_key")
-        return stage(fact.join(star.read("InkoopPeriode"), "periode_key", "left").drop("periode_key"))
+    star, _ = loaded(t)
+    fact = _named(star.read("Inkoop").drop("inkoop_key"), star, "Product", "product_key")
+    fact = _named(fact, star, "Leverancier", "lev_key")
+    return fact.join(star.read("InkoopPeriode"), "periode_key", "left").drop("periode_key")
 
 
 def star_maintenance(t: Tables) -> DataFrame:
-    with loaded(t) as (star, _):
-        fact = star.read("Onderhoud").drop("onderhoud_key").withColumn("uurloon", F.round("uurloon", 2))
-        for table, key in (("Product", "product_key"), ("Monteur", "monteur_key"), ("Filiaal", "filiaal_key")):
-            fact = _named(fact, star, table, key)
-        return stage(fact)
+    star, _ = loaded(t)
+    fact = star.read("Onderhoud").drop("onderhoud_key").withColumn("uurloon", F.round("uurloon", 2))
+    for table, key in (("Product", "product_key"), ("Monteur", "monteur_key"), ("Filiaal", "filiaal_key")):
+        fact = _named(fact, star, table, key)
+    return fact
 
 
 def star_workers(t: Tables) -> DataFrame:
     """Versions of every worker, and whether a version is the open one."""
-    with loaded(t) as (star, _):
-        versions = star.read("Monteur")
-        opened = current(versions).select("monteur_key", F.lit(True).alias("open"))
-        return stage(versions.join(opened, "monteur_key", "left").select(
-            "business_key", F.round("uurloon", 2).alias("uurloon"), "begin_tijd", "eind_tijd",
-            F.coalesce("open", F.lit(False)).alias("open"),
-        ))
+    versions = loaded(t)[0].read("Monteur")
+    opened = current(versions).select("monteur_key", F.lit(True).alias("open"))
+    return versions.join(opened, "monteur_key", "left").select(
+        "business_key", F.round("uurloon", 2).alias("uurloon"), "begin_tijd", "eind_tijd",
+        F.coalesce("open", F.lit(False)).alias("open"),
+    )
+
+
+def _steps(t: Tables, series: str) -> DataFrame:
+    log = read_log(t.spark, f"{loaded(t, series)[1]}/log-star", WAREHOUSE_COLUMNS)
+    return log.filter(F.col("stap").rlike("^(SCD|DIM|FACT)")).select(
+        "run_id", "tabel", "status", "aantal_insert", "aantal_update", "aantal_dwh_na")
 
 
 def star_log(t: Tables) -> DataFrame:
     """Counters of every step of both runs, read back from the log files."""
-    with loaded(t) as (_, root):
-        log = read_log(t.spark, f"{root}/log-star", WAREHOUSE_COLUMNS)
-        return stage(log.filter(F.col("stap").rlike("^(SCD|DIM|FACT)")).select(
-            "run_id", "tabel", "status", "aantal_insert", "aantal_update", "aantal_dwh_na"))
+    return _steps(t, "increments")
+
+
+def star_refresh_log(t: Tables) -> DataFrame:
+    """Counters of an increment, a full refresh, and another increment."""
+    return _steps(t, "refreshed")
+
+
+def star_failed_log(t: Tables) -> DataFrame:
+    """Counters of a run that misses one source table: a failed step, skipped facts, and the rest as ever."""
+    return _steps(t, "failed")
 
 
 def staging_log(t: Tables) -> DataFrame:
     """Rows delivered and loaded per staging table in both runs, read back from the log files."""
-    with loaded(t, warehouse=False) as (_, root):
-        log = read_log(t.spark, f"{root}/log-staging", STAGING_COLUMNS)
-        return stage(log.filter("stap = 'LOAD'").select("run_id", "doel_tabel", "status", "aantal_bron", "aantal_doel_na"))
+    log = read_log(t.spark, f"{loaded(t)[1]}/log-staging", STAGING_COLUMNS)
+    return log.filter("stap = 'LOAD'").select("run_id", "doel_tabel", "status", "aantal_bron", "aantal_doel_na")

@@ -23,15 +23,17 @@ from starling.functions.dates import date_key
 from starling.operators import scd
 from starling.operators.dims import date_dim, period_dim
 from starling.operators.facts import integer_keys, lookup, new_rows, reject_missing
-from starling.operators.keys import dense_keys, first_per_key, max_key
-from starling.operators.quality import run_step, run_together
+from starling.operators.keys import dense_keys, first_per_key
+from starling.operators.quality import Step, run_graph
 from starling.operators.staging import conform, union_branches
 from starling.session import broadcast_if_small, scratch
+from starling.sources import files
 from starling.sources.runlog import WAREHOUSE_COLUMNS, RunLog
 from starling.sources.store import Store
 
 
 Stage = Callable[[DataFrame], DataFrame]
+OPEN, CLOSED = "open", "closed"  # parts of a type 2 dimension in the store
 
 
 @dataclass(frozen=True)
@@ -168,19 +170,22 @@ class WarehouseLoad:
         """Merge deduplicated source rows; the first branch wins on the business key."""
         order = ["_branch", *[c for c in source.columns if c.endswith("nr")], *dim.tracked]
         incoming = stage(first_per_key(source, ["business_key"], order).drop("_branch"))
-        delivered = source.count()
-        old = self.star.read(dim.table)
-        before = old.count()
-        stored = old.limit(0) if self.refresh else old
-        open_rows = scd.current(stored) if dim.kind == 2 else stored
-        actions = scd.count_actions(scd.classify(open_rows, incoming, "business_key", dim.tracked, dim.sk)).first()
-        if dim.kind == 1:
-            state = scd.scd1_merge(stored, incoming, "business_key", dim.tracked, dim.sk)
+        delivered, before, start = source.count(), self.star.count(dim.table), self.star.highest(dim.table)
+        if self.refresh:
+            stored, start = self.star.read(dim.table).limit(0), 0
         else:
-            state = scd.scd2_merge(stored, incoming, "business_key", dim.tracked, dim.sk, self.run_ts)
+            # closed versions are neither read nor written again
+            stored = self.star.read(dim.table, OPEN if dim.kind == 2 else None)
+        actions = scd.count_actions(scd.classify(stored, incoming, "business_key", dim.tracked, dim.sk)).first()
         # an unchanged dimension keeps its version
         if self.refresh or actions["aantal_insert"] or actions["aantal_update"]:
-            self.star.publish(dim.table, state, self.log.run_id)
+            if dim.kind == 1:
+                state = scd.scd1_merge(stored, incoming, "business_key", dim.tracked, dim.sk)
+                self.star.publish(dim.table, state, self.log.run_id)
+            else:
+                state = stage(scd.scd2_step(stored, incoming, "business_key", dim.tracked, dim.sk, self.run_ts, start))
+                parts = {OPEN: state.filter(F.col(scd.END).isNull()), CLOSED: state.filter(F.col(scd.END).isNotNull())}
+                self.star.commit(dim.table, parts if actions["aantal_update"] else {OPEN: parts[OPEN]}, self.log.run_id, kept=(CLOSED,))
         inserts = actions["aantal_insert"] + (actions["aantal_update"] if dim.kind == 2 else 0)
         skipped = delivered - inserts if self.refresh else actions["aantal_skip"]
         self.log.add(
@@ -276,11 +281,11 @@ class WarehouseLoad:
         delivered = batch.count()
         complete = integer_keys(reject_missing(batch, required), required)
         skipped = delivered - complete.count()
-        existing = self._existing(table)
-        before = 0 if self.refresh else existing.count()
+        # row count and highest key stand beside the version; of the history only the batch's own bands are read
+        before, start = (0, 0) if self.refresh else (self.star.count(table), self.star.highest(table))
         # numbering reads its input twice; the anti join should run once
-        fresh = complete if self.refresh else stage(new_rows(complete, existing, grain, batch))
-        numbered = dense_keys(fresh, grain, sk, max_key(existing, sk), digits=4)
+        fresh = complete if self.refresh else stage(new_rows(complete, self.star.near(table, complete), grain, batch))
+        numbered = dense_keys(fresh, grain, sk, start, digits=4)
         if self.refresh:
             self.star.publish(table, numbered, self.log.run_id)
         elif not fresh.isEmpty():
@@ -334,42 +339,43 @@ class WarehouseLoad:
 
     # the run
 
-    def steps(self) -> list[list[tuple[str, str, Callable[[Stage], None]]]]:
-        """(log step, table, work) in two groups: dimensions, then the facts that need them."""
+    def steps(self) -> list[tuple[str, str, Callable[[Stage], None], tuple[str, ...]]]:
+        """Log step, table, work, and the tables that must have been loaded in this run before."""
         merge = lambda name, extract: (f"SCD{DIMENSIONS[name].kind}", name,
-                                       lambda stage: self._merge(DIMENSIONS[name], extract(), stage))
-        dimensions = [
+                                       lambda stage: self._merge(DIMENSIONS[name], extract(), stage), ())
+        return [
             merge("Klant", self.klant), merge("Product", self.product), merge("Leverancier", self.leverancier),
-            ("DIM", "Datum", self.datum), ("DIM", "InkoopPeriode", self.periode),
+            ("DIM", "Datum", self.datum, ()), ("DIM", "InkoopPeriode", self.periode, ()),
             merge("Monteur", self.monteur), merge("Filiaal", self.filiaal),
+            ("FACT", "Verkoop", self.verkoop, ("Klant", "Product", "Datum", "Monteur", "Filiaal")),
+            ("FACT", "Onderhoud", self.onderhoud, ("Product", "Datum", "Monteur", "Filiaal")),
+            ("FACT", "Inkoop", self.inkoop, ("Product", "Leverancier", "InkoopPeriode")),
         ]
-        facts = [
-            ("FACT", "Verkoop", self.verkoop), ("FACT", "Onderhoud", self.onderhoud), ("FACT", "Inkoop", self.inkoop)
-        ]
-        return [dimensions, facts]
 
-    def _isolated(self, step: str, table: str, work: Callable[[Stage], None]) -> None:
-        def staged() -> None:
-            with scratch(self.spark) as stage:
-                work(stage)
-
-        run_step(staged, lambda e: self.log.add(step, "ERROR", str(e), tabel=table, actie="load", aantal_error=1))
+    def _scratched(self, work: Callable[[Stage], None]) -> None:
+        with scratch(self.spark) as stage:
+            work(stage)
 
     def run(self, workers: int = 4) -> RunLog:
-        """Every step stands alone: a failed one is logged and leaves its table as it was.
+        """A failed step is logged and leaves its table as it was; facts that need its table are skipped.
 
         A refresh with a failed step leaves all tables as they were.
         """
         self.log.add("START", melding="DWH pipeline gestart", actie="start_pipeline")
-        for group in self.steps():
-            start = len(self.log.rows)
-            run_together([lambda s=s: self._isolated(*s) for s in group], workers)
-            self.log.sort_since(start, "tabel", [table for _, table, _ in group])
+        start, steps = len(self.log.rows), self.steps()
+        names = {table: step for step, table, _, _ in steps}
+        run_graph(
+            [Step(table, lambda w=work: self._scratched(w), needs) for _, table, work, needs in steps], workers,
+            lambda s, e: self.log.add(names[s.name], "ERROR", str(e), tabel=s.name, actie="load", aantal_error=1),
+            lambda s, lost: self.log.add(names[s.name], "SKIPPED", f"niet geladen: {', '.join(lost)}", tabel=s.name, actie="skip"),
+        )
+        self.log.sort_since(start, "tabel", list(names))
         failed = any(r["status"] == "ERROR" for r in self.log.rows)
         if self.refresh and failed:
+            files.delete(self.spark, self.star.root)
             self.log.add("PUBLISH", "ERROR", "refresh niet gepubliceerd, vorige stand blijft staan", actie="publish", aantal_error=1)
         elif self.refresh:
-            self.published.switch(self.log.run_id)
+            self.published.switch(self.star)
         self.star = self.published
         for table in self.star.schemas:
             if not failed:

@@ -123,3 +123,9 @@ STAR: dict[str, T.StructType] = {
         "aantal long, inkoopprijs double",
     }.items()
 }
+
+# facts by bands of the number that identifies a row: an increment reads only the bands of its own numbers, and a
+# corrected date, which a folder by month would lose sight of, still meets the row it belongs to
+STAR_BANDS: dict[str, tuple[str, int]] = {
+    "Verkoop": ("verkoopnr", 10_000_000), "Onderhoud": ("onderhoudnr", 10_000_000), "Inkoop": ("inkoopnr", 10_000_000),
+}

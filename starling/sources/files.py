@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,10 +31,47 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty file; fails if there is one."""
+def create_new(spark: SparkSession, path: str, content: str) -> bool:
+    """Create a file with its whole content; false, and nothing done, if there is one of that name.
+
+    On a local disk a finished file is linked to the name, which fails if the name is taken. Elsewhere
+    the file system's own create-without-overwrite decides, and a reader may meet the file before its end.
+    """
+    hadoop_path, fs = _fs(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    nio, data = spark._jvm.java.nio.file, content.encode()
+    if fs.getScheme() == "file":
+        target = nio.Path.of(fs.makeQualified(hadoop_path).toUri())
+        draft = nio.Files.createTempFile(target.getParent(), ".draft", None, spark.sparkContext._gateway.new_array(nio.attribute.FileAttribute, 0))
+        try:
+            nio.Files.write(draft, data, spark.sparkContext._gateway.new_array(nio.OpenOption, 0))
+            nio.Files.createLink(target, draft)
+            return True
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        finally:
+            nio.Files.deleteIfExists(draft)
+    try:
+        out = fs.create(hadoop_path, False)
+    except Py4JJavaError as error:
+        if fs.exists(hadoop_path):
+            return False
+        raise error
+    out.write(data)
+    out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
     hadoop_path, fs = _fs(spark, path)
-    fs.create(hadoop_path, False).close()
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
 def read_table(spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None) -> DataFrame:
