@@ -12,15 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starling.functions.columns import numbered
+from starling.functions.columns import named, numbered
 from starling.operators.features import matrix
 from starling.operators.silhouette import cluster_totals, squared_means
-from starling.operators.tree import assemble
 
 
 @dataclass(frozen=True)
@@ -247,14 +244,65 @@ def nearest_mean(df: DataFrame, row_id: str, features: str, cluster: str) -> Dat
     return placed.select(row_id, F.col("_own").alias(cluster), named_label.alias("nearest"))
 
 
+def covariances(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Means and population covariances in one pass.
+
+    Tasks keep counts, means and centred co-moments, which are merged; raw products, which
+    cancel where a mean is far larger than a deviation, are never formed.
+    """
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    row = df.agg(
+        *[F.avg(named(c).cast("double")) for c in columns],
+        *[F.covar_pop(named(columns[i]).cast("double"), named(columns[j]).cast("double")) for i, j in pairs],
+    ).first()
+    matrix = np.zeros((len(columns), len(columns)))
+    for (i, j), value in zip(pairs, row[len(columns) :]):
+        matrix[i, j] = matrix[j, i] = np.nan if value is None else value
+    return np.array([np.nan if m is None else m for m in row[: len(columns)]]), matrix
+
+
+def loadings(covariance: np.ndarray, k: int) -> np.ndarray:
+    """The first ``k`` components as columns. A component's sign is arbitrary: its largest loading, the first of equals, is made positive."""
+    values, axes = np.linalg.eigh(covariance)
+    axes = axes[:, np.argsort(-values, kind="stable")[:k]]
+    return axes * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(axes.shape[1])])
+
+
 def principal_components(df: DataFrame, row_id: str, columns: Sequence[str], k: int = 2) -> DataFrame:
-    """Coordinates on the first components of scaled (centred) columns.
+    """Coordinates ``pc1, pc2, ...`` of the centred columns on their first components."""
+    means, covariance = covariances(df, columns)
+    if np.isnan(covariance).any():  # no rows
+        return df.limit(0).select(row_id, *[F.lit(None).cast("double").alias(f"pc{i + 1}") for i in range(k)])
+    axes = loadings(covariance, k)
+    place = lambda n: sum(((named(c).cast("double") - float(m)) * float(a) for c, m, a in zip(columns, means, axes[:, n])), F.lit(0.0))
+    return df.select(row_id, *[place(n).alias(f"pc{n + 1}") for n in range(axes.shape[1])])
+
 
-    A component's sign is arbitrary; its largest loading is made positive.
+def lloyd(df: DataFrame, columns: Sequence[str], centres: np.ndarray, steps: int) -> Iterator[Clustering]:
+    """The state before each of ``steps`` Lloyd steps from given centres, its inertia that of the rows at their nearest centre.
+
+    A centre without rows stays where it is.
     """
-    data = assemble(df, columns, F.col(row_id))
-    model = PCA(k=k, inputCol="features", outputCol="scores").fit(data)
-    loadings = model.pc.toArray()
-    signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(k)])
-    scores = model.transform(data).select(row_id, vector_to_array("scores").alias("s"))
-    return scores.select(row_id, *[(F.col("s")[i] * F.lit(float(signs[i]))).alias(f"pc{i + 1}") for i in range(k)])
+    for _ in range(steps):
+        sums, counts, inertia = _step(df, columns, centres)
+        yield Clustering(list(columns), centres, inertia)
+        centres = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres)
+
+
+def _step(df: DataFrame, columns: Sequence[str], centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Sums and counts of the rows nearest to each centre, and the sum of their squared distances; one pass."""
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((len(centres), len(columns) + 2))
+        for pdf in batches:
+            x = matrix(pdf)
+            if len(x):
+                nearest, distance = _nearest(x, centres)
+                np.add.at(total, nearest, np.column_stack([x, np.ones(len(x)), distance]))
+        yield pd.DataFrame({"k": np.repeat(np.arange(len(centres)), total.shape[1]), "p": np.tile(np.arange(total.shape[1]), len(centres)), "v": total.ravel()})
+
+    parts = df.select(*numbered(columns)).mapInPandas(partial, "k int, p int, v double").groupBy("k", "p").agg(F.sum("v").alias("v"))
+    total = np.zeros((len(centres), len(columns) + 2))
+    for row in parts.collect():
+        total[row["k"], row["p"]] = row["v"]
+    return total[:, :-2], total[:, -2], float(total[:, -1].sum())

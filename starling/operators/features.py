@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starling.functions.columns import named
@@ -176,7 +176,10 @@ def scale(df: DataFrame, params: Mapping[str, tuple[float, float]]) -> DataFrame
 
 
 def fit_levels(df: DataFrame, columns: Sequence[str], limit: int = 10000) -> dict[str, list[str]]:
-    """Sorted levels per category column; more levels than ``limit`` is an error, never a cut."""
+    """Sorted levels per category column, for columns of their own; :mod:`sparse` has no limit.
+
+    More levels than ``limit`` is an error, never a cut.
+    """
     if not columns:
         return {}
     levels = _long(df, columns, "string").distinct()
@@ -232,6 +235,28 @@ class Prepared:
         return ready.select(*keep, *[named(c) for c in self.columns([*self.numeric, *self.levels])])
 
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        """The fitted parameters as rows, one per number and per level, to be stored beside a model."""
+        rows = [("number", f, 0, None, self.medians[f], *self.numeric[f]) for f in self.numeric]
+        for f, values in self.levels.items():
+            rows += [("mode", f, 0, self.modes[f], None, None, None), *[("level", f, i, v, None, None, None) for i, v in enumerate(values)]]
+        return spark.createDataFrame(rows, PREPARED)
+
+    @staticmethod
+    def read(stored: DataFrame) -> Prepared:
+        """Parameters as :meth:`table` wrote them; features come in the order of their names."""
+        rows = stored.orderBy("feature", "part", "position").collect()
+        numbers = [r for r in rows if r["part"] == "number"]
+        modes = {r["feature"]: r["value"] for r in rows if r["part"] == "mode"}
+        levels = {f: [r["value"] for r in rows if r["part"] == "level" and r["feature"] == f] for f in modes}
+        return Prepared(
+            {r["feature"]: (r["mean"], r["deviation"]) for r in numbers}, {r["feature"]: r["median"] for r in numbers}, modes, levels,
+        )
+
+
+PREPARED = "part string, feature string, position int, value string, median double, mean double, deviation double"
+
+
 def fit_preprocessing(train: DataFrame, numeric: Sequence[str], categories: Sequence[str]) -> Prepared:
     """Median fill and scaling for numbers, most frequent fill and one-hot for the rest."""
     medians = fit_medians(train, numeric)

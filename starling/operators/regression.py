@@ -132,6 +132,35 @@ def descend(g: Gram, columns: Sequence[str], config: SgdConfig) -> np.ndarray:
     return w
 
 
+# ten or so single steps, for a look at the path: name, first step length, and how it changes
+SCHEDULES = (("constant", 0.3), ("invscaling", 0.3), ("adaptive", 0.9))
+_LOOK_PATIENCE = 2
+
+
+def descent_steps(sums: DataFrame, steps: int, alpha: float = 0.0001, tol: float = 1e-3) -> DataFrame:
+    """``schedule, step, eta, w0, w1, loss`` of single gradient steps on one feature, from zero, for each of ``SCHEDULES``.
+
+    ``sums`` holds the mean products ``mx, mxx, my, mxy, myy`` of all rows in one written row. A recursive query
+    carries the state: the decaying length is eta0 / (1 + step) ** 0.25, the adaptive one is divided by five after
+    two steps in a row that better the loss by less than its share ``tol``.
+    """
+    given = ", ".join(f"('{name}', {eta}D)" for name, eta in SCHEDULES)
+    return sums.sparkSession.sql(f"""
+        WITH RECURSIVE path(schedule, eta0, step, eta, w0, w1, loss, best, stale) AS (
+          SELECT schedule, eta0, 0, eta0, 0D, 0D, myy / 2, myy / 2, 0 FROM VALUES {given} AS g(schedule, eta0) CROSS JOIN {{sums}}
+          UNION ALL
+          SELECT schedule, eta0, step + 1, CASE WHEN schedule = 'adaptive' AND stale + flat >= {_LOOK_PATIENCE} AND flat = 1 THEN used / {_DIVISOR}D ELSE used END,
+            n0, n1, after, least(best, after), CASE WHEN flat = 0 OR stale + flat >= {_LOOK_PATIENCE} THEN 0 ELSE stale + flat END
+          FROM (
+            SELECT *, CASE WHEN after >= best * (1 - {tol}D) THEN 1 ELSE 0 END AS flat FROM (
+              SELECT *, (myy - 2 * (n0 * my + n1 * mxy) + n0 * n0 + 2 * n0 * n1 * mx + n1 * n1 * mxx) / 2 + {alpha}D * n1 * n1 / 2 AS after FROM (
+                SELECT *, w0 - used * (w0 + w1 * mx - my) AS n0, w1 - used * (w0 * mx + w1 * (mxx + {alpha}D) - mxy) AS n1 FROM (
+                  SELECT *, CASE WHEN schedule = 'invscaling' THEN eta0 / power(1 + step, {_POWER}D) ELSE eta END AS used
+                  FROM path CROSS JOIN {{sums}} WHERE step < {steps}))))
+        )
+        SELECT schedule, step, eta, w0, w1, loss FROM path""", sums=sums)
+
+
 def fit_optimum(df: DataFrame, columns: Sequence[str], target: str, alpha: float, share: float) -> LinearRegressionModel:
     """The penalised least squares optimum by Spark ML, ``share`` being the L1 part of ``alpha``.
 

@@ -145,30 +145,35 @@ def regression_grid(df: DataFrame, grid: Sequence[SgdConfig]) -> DataFrame:
     ready = features.fit_preprocessing(train, numeric_columns(inputs), other_columns(inputs))
     columns = ready.columns(used)
     g = regression.gram(ready.transform(train, [PRICE]), columns, PRICE)
-    weights = {}
+    weights, status = {}, {}
     for config in grid:
         own = ready.columns(config.features)
-        found = regression.descend(g, own, config)
+        try:
+            found = regression.descend(g, own, config)
+        except ValueError as error:  # its step length diverges; the other runs stand
+            status[config.name] = str(error)
+            continue
         full = np.zeros(len(columns) + 1)
         full[[0, *[columns.index(c) + 1 for c in own]]] = found
         weights[config.name] = full
     scores = regression.score_many(ready.transform(test, [PRICE]), columns, PRICE, weights)
     settings = [
-        (c.name, ", ".join(c.features), len(c.features), c.max_iter, c.eta0, c.learning_rate, c.alpha, c.penalty)
+        (c.name, ", ".join(c.features), len(c.features), c.max_iter, c.eta0, c.learning_rate, c.alpha, c.penalty, status.get(c.name, "OK"))
         for c in grid
     ]
     schema = (
         "experiment string, features string, n_features int, max_iter int, eta0 double, "
-        "learning_rate string, alpha double, penalty string"
+        "learning_rate string, alpha double, penalty string, status string"
     )
+    # a run without result has no scores and comes last
     return rank(
-        spark.createDataFrame(settings, schema).join(scores, F.col("experiment") == F.col("run")).drop("run"), "rmse"
+        spark.createDataFrame(settings, schema).join(scores, F.col("experiment") == F.col("run"), "left").drop("run"), "rmse"
     )
 
 
 def rank(results: DataFrame, metric: str, descending: bool = False) -> DataFrame:
     """Runs in order of a metric, the name deciding ties."""
-    order = F.col(metric).desc() if descending else F.col(metric).asc()
+    order = F.col(metric).desc_nulls_last() if descending else F.col(metric).asc_nulls_last()
     return results.orderBy(order, "experiment")
 
 

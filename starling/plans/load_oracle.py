@@ -129,3 +129,9 @@ LOAD_ORACLES: dict[str, str] = {
         SELECT run_id, doel_tabel, 'OK' AS status, CASE WHEN first THEN one ELSE two END AS aantal_bron,
           CASE WHEN first THEN one ELSE two END AS aantal_doel_na FROM staged, runs""",
 }
+
+_stamp = "strftime(strptime(run_id, '%Y%m%d_%H%M%S'), '%Y-%m-%d %H:%M:%S') AS timestamp"
+LOAD_ORACLES["mixed_logs"] = f"""
+SELECT 15 AS layout, {_stamp}, tabel, status, aantal_dwh_na AS aantal, CAST(NULL AS VARCHAR) AS melding FROM ({LOAD_ORACLES['star_log']})
+UNION ALL SELECT 7, {_stamp}, tabel, status, aantal_dwh_na, tabel || ' is "checked",' || chr(10) || 'and once more' FROM ({LOAD_ORACLES['star_log']})
+UNION ALL SELECT 14, {_stamp}, doel_tabel, status, aantal_doel_na, NULL FROM ({LOAD_ORACLES['staging_log']})"""

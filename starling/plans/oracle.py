@@ -115,7 +115,7 @@ def _split(name: str) -> str:
 
 LINES = f"""source AS (
   SELECT {LINE}, CASE WHEN l_discount < 0.09 THEN l_quantity END AS quantity,
-    CASE WHEN l_tax < 0.07 THEN l_returnflag END AS flag, l_extendedprice FROM lineitem),
+    CASE WHEN l_tax < 0.07 THEN l_returnflag END AS flag, l_extendedprice, l_tax FROM lineitem),
 {_split("l_orderkey")},
 train AS (SELECT * FROM mixed WHERE s2 % 100 >= 20)"""
 
@@ -373,3 +373,78 @@ ORACLES: dict[str, str] = {
     "silhouette_mean": f"WITH {PLAIN} SELECT round(avg(silhouette), 6) AS silhouette FROM scored",
     "silhouette_linear": f"WITH {SQUARED} SELECT id, cluster, round(silhouette, 6) AS silhouette FROM scored",
 }
+
+
+# models and files: closed forms, unrolled steps, recursive steps
+
+_RIDGE = 0.01
+_CENTRES = ((10.3, 0.2), (25.1, 5.4), (40.7, 10.1))
+
+
+def _lloyd() -> str:
+    """Centres before three steps, each from the means of the rows nearest to the ones before."""
+    given = " UNION ALL ".join(f"SELECT {k} AS cluster, {float(a)}::DOUBLE AS quantity, {float(b)}::DOUBLE AS discount" for k, (a, b) in enumerate(_CENTRES))
+    parts = [f"points AS (SELECT row_number() OVER () AS id, l_quantity AS x, l_discount * 100 AS y FROM lineitem), c0 AS ({given})"]
+    for step in range(3):
+        far = "(x - quantity) * (x - quantity) + (y - discount) * (y - discount)"
+        parts.append(f"n{step} AS (SELECT id, x, y, arg_min(cluster, ({far}, cluster)) AS cluster, min({far}) AS far FROM points, c{step} GROUP BY id, x, y)")
+        parts.append(f"c{step + 1} AS (SELECT cluster, avg(x) AS quantity, avg(y) AS discount FROM n{step} GROUP BY cluster)")
+    rows = " UNION ALL ".join(
+        f"SELECT {s} AS step, cluster, round(quantity, 4) AS quantity, round(discount, 4) AS discount, (SELECT round(sum(far), 2) FROM n{s}) AS inertia FROM c{s}"
+        for s in range(3)
+    )
+    return f"WITH {', '.join(parts)} {rows}"
+
+
+ORACLES |= {
+    "ridge_levels": f"""WITH g AS (SELECT CAST(l_partkey AS VARCHAR) AS value, count(*) AS n, avg(l_extendedprice) AS y FROM lineitem GROUP BY 1),
+        l AS (SELECT {_RIDGE} * sum(n) AS l FROM g),
+        b AS (SELECT sum(n * l / (n + l) * y) / sum(n * l / (n + l)) AS b FROM g, l)
+        SELECT '(intercept)' AS feature, NULL AS value, round(b, 4) AS coefficient FROM b
+        UNION ALL SELECT 'l_partkey', value, round(n * (y - b) / (n + l), 4) FROM g, l, b""",
+    "ridge_pair": f"""WITH m AS (SELECT avg(l_quantity) AS a, avg(l_discount) AS b, avg(l_extendedprice) AS y, var_pop(l_quantity) + {_RIDGE} AS aa,
+          var_pop(l_discount) + {_RIDGE} AS bb, covar_pop(l_quantity, l_discount) AS ab, covar_pop(l_quantity, l_extendedprice) AS ay,
+          covar_pop(l_discount, l_extendedprice) AS byy FROM lineitem),
+        w AS (SELECT *, (bb * ay - ab * byy) / (aa * bb - ab * ab) AS u, (aa * byy - ab * ay) / (aa * bb - ab * ab) AS v FROM m)
+        SELECT '(intercept)' AS feature, round(y - u * a - v * b, 4) AS coefficient FROM w
+        UNION ALL SELECT 'l_quantity', round(u, 4) FROM w UNION ALL SELECT 'l_discount', round(v, 4) FROM w""",
+    "descent_steps": """WITH RECURSIVE s AS (
+          SELECT avg(x) AS mx, avg(x * x) AS mxx, avg(y) AS my, avg(x * y) AS mxy, avg(y * y) AS myy
+          FROM (SELECT l_quantity / 50 AS x, l_extendedprice / 50000 AS y FROM lineitem)),
+        path AS (
+          SELECT schedule, eta0, 0 AS step, eta0 AS eta, 0::DOUBLE AS w0, 0::DOUBLE AS w1, myy / 2 AS loss, myy / 2 AS best, 0 AS stale
+          FROM s, (VALUES ('constant', 0.3::DOUBLE), ('invscaling', 0.3), ('adaptive', 0.9)) AS g(schedule, eta0)
+          UNION ALL
+          SELECT schedule, eta0, step + 1, CASE WHEN schedule = 'adaptive' AND late >= 2 THEN used / 5 ELSE used END, n0, n1, after,
+            least(best, after), CASE WHEN late >= 2 THEN 0 ELSE late END
+          FROM (SELECT *, CASE WHEN after >= best * (1 - 0.001) THEN stale + 1 ELSE 0 END AS late FROM (
+            SELECT *, (myy - 2 * n0 * my - 2 * n1 * mxy + n0 * n0 + 2 * n0 * n1 * mx + n1 * n1 * mxx) / 2 + 0.0001 / 2 * n1 * n1 AS after FROM (
+              SELECT *, w0 - used * (w0 + w1 * mx - my) AS n0, w1 - used * (w0 * mx + w1 * mxx + w1 * 0.0001 - mxy) AS n1 FROM (
+                SELECT *, CASE WHEN schedule = 'invscaling' THEN eta0 / (1 + step) ** 0.25 ELSE eta END AS used FROM path, s WHERE step < 10)))))
+        SELECT schedule, step, round(eta, 6) AS eta, round(w0, 6) AS w0, round(w1, 6) AS w1, round(loss, 6) AS loss FROM path""",
+    "lloyd_steps": _lloyd(),
+    "pca_pair": """WITH m AS (SELECT avg(p_size) AS ma, avg(p_retailprice) AS mb, var_pop(p_size) AS aa, var_pop(p_retailprice) AS bb,
+          covar_pop(p_size, p_retailprice) AS ab FROM part),
+        a AS (SELECT *, atan2(2 * ab, aa - bb) / 2 AS t FROM m),
+        v AS (SELECT *, cos(t) AS c, sin(t) AS s, CASE WHEN abs(cos(t)) >= abs(sin(t)) THEN sign(cos(t)) ELSE sign(sin(t)) END AS f,
+          CASE WHEN abs(sin(t)) >= abs(cos(t)) THEN sign(-sin(t)) ELSE sign(cos(t)) END AS g FROM a)
+        SELECT p_partkey, round(f * ((p_size - ma) * c + (p_retailprice - mb) * s), 4) AS pc1,
+          round(g * ((p_retailprice - mb) * c - (p_size - ma) * s), 4) AS pc2 FROM part, v""",
+    "preprocessed_rows": f"""WITH {LINES}, fit AS (SELECT median(quantity) AS q,
+          (SELECT flag FROM train WHERE flag IS NOT NULL GROUP BY flag ORDER BY count(*) DESC, flag LIMIT 1) AS f FROM train),
+        s AS (SELECT avg(coalesce(quantity, q)) AS mq, stddev_pop(coalesce(quantity, q)) AS sq, avg(l_extendedprice) AS mp,
+          stddev_pop(l_extendedprice) AS sp FROM train, fit)
+        SELECT {LINE}, l_tax, round((coalesce(quantity, q) - mq) / sq, 4) AS quantity, round((l_extendedprice - mp) / sp, 4) AS price,
+          CAST(coalesce(flag, f) = 'A' AS INT) AS flag_a, CAST(coalesce(flag, f) = 'N' AS INT) AS flag_n, CAST(coalesce(flag, f) = 'R' AS INT) AS flag_r
+        FROM mixed, fit, s""",
+    "sheet_rejects": """WITH o AS (SELECT *, o_orderstatus = 'P' OR starts_with(o_orderpriority, '1') AS bad FROM orders)
+        SELECT 'good' AS kind, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, round(sum(o_totalprice), 2) AS amount, count(*) AS quoted
+        FROM o WHERE NOT bad UNION ALL SELECT 'rejected', count(*), CAST(sum(o_orderkey) AS BIGINT), NULL, 0 FROM o WHERE bad""",
+}
+_RESULTS = " UNION ALL ".join(
+    f"""SELECT '{name}' AS experiment, round(avg(abs(l_extendedprice - (l_quantity * {slope} + {base}))), 2) AS mae,
+      round(sqrt(avg((l_extendedprice - (l_quantity * {slope} + {base})) ** 2)), 2) AS rmse FROM lineitem"""
+    for name, slope, base in (("steep", 2000, 1000), ("flat", 500, 30000), ("middle", 1500, 0), ("level", 0, 38000))
+)
+ORACLES["ranked_results"] = f"SELECT *, row_number() OVER (ORDER BY rmse, experiment) AS place FROM ({_RESULTS})"
+ORACLES["best_result"] = f"SELECT * FROM ({_RESULTS}) ORDER BY rmse, experiment LIMIT 1"

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starling.functions import columns as C
 from starling.functions import dates as D
-from starling.operators import clustering, dims, features, frames, keys, metrics, quality, scd, silhouette, staging
+from starling.operators import (
+    clustering, dims, features, frames, keys, metrics, quality, regression, scd, silhouette, sparse, staging,
+)
 from starling.operators import facts as fact_ops
 from starling.plans import experiments as grids
 from starling.plans import facts, sample_loads
 from starling.plans.relational import QUESTIONS
 from starling.plans.tables import LINE_ID, Tables
+from starling.session import scratch, shared_dir, stage
 from starling.sources import files
 
 RUN_TS = datetime(2021, 1, 1)
@@ -399,7 +406,7 @@ def _lines(t: Tables) -> DataFrame:
     """Lines with gaps where the discount is high, marked train or test by order."""
     gap = F.when(F.col("l_discount") < 0.09, F.col("l_quantity"))
     flag = F.when(F.col("l_tax") < 0.07, F.col("l_returnflag"))
-    lines = t.lineitem.select(*LINE_ID, gap.alias("quantity"), flag.alias("flag"), "l_extendedprice", "l_linestatus")
+    lines = t.lineitem.select(*LINE_ID, gap.alias("quantity"), flag.alias("flag"), "l_extendedprice", "l_linestatus", "l_tax")
     return features.split_hash(lines, ["l_orderkey"])
 
 
@@ -549,6 +556,134 @@ def reg_rows(t: Tables) -> DataFrame:
     return found.select("l_orderkey", "l_linenumber", "actual", F.round("predicted", 2).alias("predicted"), F.round("residual", 2).alias("residual"))
 
 
+@query
+def ridge_levels(t: Tables) -> DataFrame:
+    """Price by part: as many levels as parts, an intercept without penalty."""
+    with scratch(t.spark) as keep:
+        lines = t.lineitem.select("l_partkey", "l_extendedprice")
+        levels = sparse.fit_levels(lines, [], ["l_partkey"], keep)
+        encoded = keep(sparse.encode(lines, [], ["l_partkey"], levels, "l_extendedprice"))
+        found = sparse.ridge(encoded, "l_extendedprice", levels, RIDGE, keep)
+        return stage(found.select("feature", "value", F.round("coefficient", 4).alias("coefficient")))
+
+
+@query
+def ridge_pair(t: Tables) -> DataFrame:
+    """Price by two numbers and an intercept."""
+    with scratch(t.spark) as keep:
+        lines = t.lineitem.select("l_quantity", "l_discount", "l_extendedprice")
+        levels = sparse.fit_levels(lines, ["l_quantity", "l_discount"], [], keep)
+        encoded = sparse.encode(lines, ["l_quantity", "l_discount"], [], levels, "l_extendedprice")
+        found = sparse.ridge(keep(encoded), "l_extendedprice", levels, RIDGE, keep)
+        return stage(found.select("feature", F.round("coefficient", 4).alias("coefficient")))
+
+
+@query
+def descent_steps(t: Tables) -> DataFrame:
+    """Ten steps of each learning-rate schedule on the line of price by quantity."""
+    x, y = F.col("l_quantity") / 50, F.col("l_extendedprice") / 50000
+    sums = t.lineitem.agg(F.avg(x).alias("mx"), F.avg(x * x).alias("mxx"), F.avg(y).alias("my"), F.avg(x * y).alias("mxy"), F.avg(y * y).alias("myy"))
+    found = regression.descent_steps(stage(sums), 10)
+    return found.select("schedule", "step", *[F.round(c, 6).alias(c) for c in ("eta", "w0", "w1", "loss")])
+
+
+# fixed values: strength of the ridge queries, starting centres of the Lloyd steps
+RIDGE = 0.01
+CENTRES = ((10.3, 0.2), (25.1, 5.4), (40.7, 10.1))
+
+
+@query
+def lloyd_steps(t: Tables) -> DataFrame:
+    """Three steps from stated centres: the centres and the sum of squared distances before each."""
+    points = t.lineitem.select("l_quantity", (F.col("l_discount") * 100).alias("discount"))
+    rows = [
+        (step, k, float(c[0]), float(c[1]), state.inertia)
+        for step, state in enumerate(clustering.lloyd(points, ["l_quantity", "discount"], np.array(CENTRES), 3)) for k, c in enumerate(state.centres)
+    ]
+    found = t.spark.createDataFrame(rows, "step int, cluster int, quantity double, discount double, inertia double")
+    return found.select("step", "cluster", *[F.round(c, 4).alias(c) for c in ("quantity", "discount")], F.round("inertia", 2).alias("inertia"))
+
+
+@query
+def pca_pair(t: Tables) -> DataFrame:
+    """Parts on the two components of size and price."""
+    found = clustering.principal_components(t.part, "p_partkey", ["p_size", "p_retailprice"])
+    return found.select("p_partkey", F.round("pc1", 4).alias("pc1"), F.round("pc2", 4).alias("pc2"))
+
+
+@query
+def preprocessed_rows(t: Tables) -> DataFrame:
+    """Lines prepared with parameters that were fitted on the training lines, stored, and read back; the tax passes through."""
+    lines = _lines(t)
+    fitted = features.fit_preprocessing(lines.filter("NOT is_test"), ["quantity", "l_extendedprice"], ["flag"])
+    ready = features.Prepared.read(stage(fitted.table(t.spark)))
+    found = ready.transform(lines, [*LINE_ID, "l_tax"])
+    flags = [F.col(f"`flag={v}`").cast("int").alias(f"flag_{v.lower()}") for v in ready.levels["flag"]]
+    return found.select(*LINE_ID, "l_tax", F.round("quantity", 4).alias("quantity"), F.round("l_extendedprice", 4).alias("price"), *flags)
+
+
+@query
+def ranked_results(t: Tables) -> DataFrame:
+    """Two result sets as one ranking by error, best first, with places."""
+    score = lambda name, slope, base: metrics.regression_metrics(
+        t.lineitem.select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * slope + base).alias("p")), "y", "p"
+    ).select(F.lit(name).alias("experiment"), F.round("mae", 2).alias("mae"), F.round("rmse", 2).alias("rmse"))
+    first = score("steep", 2000, 1000).unionByName(score("flat", 500, 30000))
+    second = score("middle", 1500, 0).unionByName(score("level", 0, 38000))
+    both = grids.combine([first, second], "rmse")
+    return both.withColumn("place", F.row_number().over(Window.orderBy("rmse", "experiment")))
+
+
+@query
+def best_result(t: Tables) -> DataFrame:
+    return grids.best(ranked_results(t).drop("place"), "rmse")
+
+
+# files
+
+
+SHEET = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
+
+
+@query
+def sheet_rejects(t: Tables) -> DataFrame:
+    """Orders saved as a sheet with damaged lines, read back: rows and amounts of good lines, number of rejected ones."""
+    price = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("EUR "), F.col("o_totalprice").cast("string"))).otherwise(F.col("o_totalprice").cast("string"))
+    fields = ["o_orderkey", "o_custkey", "o_orderstatus", price, F.concat(F.lit('"'), F.replace("o_orderpriority", F.lit("-"), F.lit(', ""')), F.lit('"""'))]
+    line = F.concat_ws(",", *[F.col(f).cast("string") if isinstance(f, str) else f for f in fields])
+    # urgent orders lose their last fields
+    line = F.when(F.col("o_orderpriority").startswith("1"), F.substring_index(line, ",", 3)).otherwise(line)
+    folder = f"{shared_dir(t.spark)}/sheet-{uuid.uuid4().hex}"
+    names = ",".join(f.split()[0] for f in SHEET.split(", "))
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # one header a file, as a spreadsheet program writes it
+        for number, batch in enumerate(batches):
+            if not number:
+                yield pa.RecordBatch.from_arrays([pa.array([names], batch.schema.field(0).type)], schema=batch.schema)
+            yield batch
+
+    t.orders.select(line.alias("value")).mapInArrow(headed, "value string").write.text(folder)
+    good, rejected = files.read_sheet_checked(t.spark, folder, T._parse_datatype_string(SHEET))
+    first = F.regexp_extract("text", "^[0-9]+", 0).cast("long")
+    found = good.agg(
+        F.lit("good").alias("kind"), F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.round(F.sum("o_totalprice"), 2).alias("amount"),
+        F.count(F.when(F.col("o_orderpriority").rlike('^[0-9], "[A-Z ]+"$'), 1)).alias("quoted"),
+    ).unionByName(rejected.agg(
+        F.lit("rejected").alias("kind"), F.count("*").alias("n"), F.sum(first).alias("keys"), F.lit(None).cast("double").alias("amount"),
+        F.lit(0).cast("long").alias("quoted"),
+    ))
+    out = stage(found)
+    files.delete(t.spark, folder)
+    return out
+
+
+@query
+def mixed_logs(t: Tables) -> DataFrame:
+    """Log files of all three layouts in one folder, the staging and warehouse log in one file with a header between."""
+    return sample_loads.mixed_logs(t)
+
+
 @query
 def tree_leak(t: Tables) -> DataFrame:
     return grids.leak_check(grids.profile(t))

@@ -24,7 +24,7 @@ from starling.plans.tables import FIRST_SEGMENTS, ONLY_FIRST_SEGMENTS, Tables
 from starling.plans.warehouse_load import WarehouseLoad
 from starling.schemas import SOURCES, STAGING, STAR, STAR_BANDS
 from starling.session import shared_dir
-from starling.sources.runlog import STAGING_COLUMNS, WAREHOUSE_COLUMNS, read_log
+from starling.sources.runlog import NOTEBOOK_COLUMNS, STAGING_COLUMNS, WAREHOUSE_COLUMNS, read_log, read_mixed_logs
 from starling.sources.store import Store
 
 # fixed values: times of the runs, and what the first of them knows
@@ -244,3 +244,26 @@ def staging_log(t: Tables) -> DataFrame:
     """Rows delivered and loaded per staging table in both runs, read back from the log files."""
     log = read_log(t.spark, f"{loaded(t)[1]}/log-staging", STAGING_COLUMNS)
     return log.filter("stap = 'LOAD'").select("run_id", "doel_tabel", "status", "aantal_bron", "aantal_doel_na")
+
+
+def mixed_logs(t: Tables) -> DataFrame:
+    """Loads and steps of three log layouts: both logs of the runs in one file, a header before each, and a third beside it."""
+    root = loaded(t)[1]
+    folder = f"{shared_dir(t.spark)}/mixed-{uuid.uuid4().hex}"
+
+    def lines(columns: list[str], place: int, frame: DataFrame) -> DataFrame:
+        header = t.spark.createDataFrame([(place, ",".join(columns))], "place int, value string")
+        return header.unionByName(frame.select(F.lit(place + 1).alias("place"), F.to_csv(F.struct(*columns), {"escape": '"'}).alias("value")))
+
+    staged, star = read_log(t.spark, f"{root}/log-staging", STAGING_COLUMNS), read_log(t.spark, f"{root}/log-star", WAREHOUSE_COLUMNS)
+    noted = star.withColumns({"aantal": F.col("aantal_dwh_na"), "melding": F.concat(F.col("tabel"), F.lit(' is "checked",\nand once more'))})
+    both = lines(STAGING_COLUMNS, 0, staged).unionByName(lines(WAREHOUSE_COLUMNS, 2, star))
+    for name, rows in (("both", both), ("notes", lines(NOTEBOOK_COLUMNS, 0, noted))):
+        # the log of few runs: one file
+        rows.repartition(1).sortWithinPartitions("place").select("value").write.text(f"{folder}/{name}")
+    found = read_mixed_logs(t.spark, f"{folder}/*").filter(F.col("stap").rlike("^(SCD|DIM|FACT|LOAD)"))
+    return found.select(
+        "layout", "timestamp", F.coalesce("tabel", "doel_tabel").alias("tabel"), "status",
+        F.coalesce("aantal_dwh_na", "aantal_doel_na", "aantal").alias("aantal"),
+        F.when(F.col("layout") == len(NOTEBOOK_COLUMNS), F.col("melding")).alias("melding"),
+    )

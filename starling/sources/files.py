@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +84,38 @@ def read_sheet(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.csv(path, schema=schema, header=True, multiLine=True, quote='"', escape='"')
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line, text`` of text files: every line with its number in its file, from 1.
+
+    A split knows where in the file it begins; its lines are numbered in place, and shifted by the
+    counts of the splits before it, a table of one row per split.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), F.col("value").alias("text"),
+    )
+    counts = lines.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    found = lines.join(starts, ["file", "block"])
+    return found.select("file", (F.col("id") - F.col("first") + F.col("before") + 1).alias("line"), "text")
+
+
+def read_sheet_checked(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Good rows of a sheet saved as CSV, and the rejected lines ``file, line, text``.
+
+    A line is rejected if it has another number of fields than the header or a field that does not
+    fit its type. One record is one line here; use :func:`read_sheet` where quoted fields hold line feeds.
+    """
+    reject = "_rejected"
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": reject, "quote": '"', "escape": '"'}
+    body = numbered_lines(spark, path).filter((F.col("line") > 1) & (F.trim("text") != ""))
+    parsed = body.select("file", "line", "text", F.from_csv("text", f"{names}, `{reject}` string", options).alias("row"))
+    good = parsed.filter(f"row.`{reject}` IS NULL").select("file", "line", *[F.col(f"row.`{f.name}`") for f in schema.fields])
+    return good, parsed.filter(f"row.`{reject}` IS NOT NULL").select("file", "line", "text")
+
+
 def table_names(spark: SparkSession, folder: str) -> list[str]:
     return [n.removesuffix(".parquet") for n in list_names(spark, folder) if n.endswith(".parquet")]
 

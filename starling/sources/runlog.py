@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starling.sources.files import numbered_lines
+
 # fixed values: column order of the three log formats
 STAGING_COLUMNS = (
     "run_id timestamp laag stap bron_database bron_tabel doel_tabel actie aantal_bron "
@@ -61,3 +63,43 @@ def read_log(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     raw = spark.read.csv(path, schema=text, header=True, multiLine=True, quote='"', escape='"', enforceSchema=True)
     data = raw.filter(F.col(columns[0]) != columns[0])
     return data.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in log_schema(columns)])
+
+
+LAYOUTS = (STAGING_COLUMNS, WAREHOUSE_COLUMNS, NOTEBOOK_COLUMNS)
+
+
+def read_mixed_logs(spark: SparkSession, path: str) -> DataFrame:
+    """Records of log files of any layout, headers anywhere: each record takes its columns from the last header above it.
+
+    ``file, line`` (where the record begins), ``layout`` (its number of columns) and the columns of all
+    layouts, null where a layout has none. A record goes on over line feeds inside quotes: it begins where the
+    quotes of the lines before it are paired. Records above any header are left out. The lines of one file are put in
+    order in one task: a file is the log of few runs.
+    """
+    lines = numbered_lines(spark, path)
+    above = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    quotes = F.length("text") - F.length(F.replace("text", F.lit('"'), F.lit("")))
+    begins = F.coalesce(F.sum(quotes).over(above), F.lit(0)) % 2 == 0
+    marked = lines.withColumn("begins", begins)
+    header = F.lit(None).cast("int")
+    for number, layout in enumerate(LAYOUTS):
+        header = F.when(F.col("text") == ",".join(layout), number).otherwise(header)
+    marked = marked.withColumn("header", F.when(F.col("begins"), header))
+    marked = marked.select(
+        "file", "line", "text", "header", F.max(F.when(F.col("begins"), F.col("line"))).over(upto).alias("record"),
+        F.last("header", ignorenulls=True).over(upto).alias("layout"),
+    )
+    body = marked.filter("header IS NULL AND layout IS NOT NULL")
+    pieces = F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"])
+    records = body.groupBy("file", "record", "layout").agg(F.array_join(pieces, "\n").alias("text")).filter("text <> ''")
+    every = list(dict.fromkeys(c for layout in LAYOUTS for c in layout))
+    options = {"quote": '"', "escape": '"', "multiLine": "true"}
+    out = records
+    for number, layout in enumerate(LAYOUTS):
+        fields = ", ".join(f"`{c}` string" for c in layout)
+        out = out.withColumn(f"row{number}", F.when(F.col("layout") == number, F.from_csv("text", fields, options)))
+    kinds = {f.name: f.dataType for f in log_schema(every).fields}
+    value = lambda c: F.coalesce(*[F.col(f"row{n}.`{c}`") for n, layout in enumerate(LAYOUTS) if c in layout]).try_cast(kinds[c]).alias(c)
+    size = F.element_at(F.array(*[F.lit(len(x)) for x in LAYOUTS]), F.col("layout") + 1)
+    return out.select("file", F.col("record").alias("line"), size.alias("layout"), *[value(c) for c in every])
