@@ -16,7 +16,8 @@ characters may mean something else there.
 DataFrame functions only. What leaves a text are spans and hashes of its contexts, never
 the text; graph rows are summed per pattern and identifier before anything is joined, so a
 context with a third of all matches is one row. Corpus counts are taken for those patterns
-only that could be trusted if no plain word filled them. Null and empty texts have no spans;
+only that could be trusted if no plain word filled them, and that are not too common
+already in a part of the texts. Null and empty texts have no spans;
 repeated rows have the same spans each; an empty table gives an empty result. Other input
 columns are ignored. Positions are code points, ends exclusive. A kind's matches are the
 leftmost ones that do not overlap; matches of two kinds may.
@@ -66,6 +67,7 @@ UNLINKED = "|".join((
     _TAIL,
 ))
 UNIT = f"{_LINKED}|{UNLINKED}"  # the same as UNLINKED in texts that have no link
+PART = 16  # one in so many texts is counted first, to drop patterns that no count of the others can save
 NOT_PLAIN = r"[^\p{L}\p{M}'’-]"
 SPAN = "struct<kind:string,start:int,end:int,token:string>"
 MERGED = "struct<start:int,end:int,kind:string,token:string,reach:int,apart:int,group:int>"
@@ -264,6 +266,12 @@ def trusted(documents: DataFrame, spans: DataFrame, keep, config: Config = Confi
     seeds = keep(seeds)
     pairs = keep(edges.groupBy("item", "pattern").agg(F.sum("n").alias("n")))
     patterns = keep(_possible(pairs, seeds, config, keep))
+    # counts in a part of the texts bound those in all from below: most chance contexts are too common already there
+    held = pairs.groupBy("pattern").agg(F.sum("n").alias("held"))
+    part = documents.filter(F.pmod(F.xxhash64(T.text_or_empty()), F.lit(PART)) == 0)
+    seen = keep(pattern_fills(part, patterns))
+    patterns = patterns.join(held, "pattern").join(seen, "pattern", "left")
+    patterns = keep(patterns.filter(F.coalesce("total", F.lit(0)) * config.trust <= F.col("held")).select("pattern"))
     fills = keep(pattern_fills(documents, patterns))
     pairs = keep(pairs.join(broadcast_if_small(patterns, patterns), "pattern"))
     items, chosen = seeds, None
