@@ -80,13 +80,37 @@ def silhouette_squared(df: DataFrame, row_id: str, features: str, cluster: str)
     return _value(scored).select("id", "cluster", "silhouette")
 
 
-def silhouette_exact(df: DataFrame, row_id: str, features: str, cluster: str, block_rows: int = 10000) -> DataFrame:
+# rows of a block that meet another block at once: bounds a task's distance matrix
+_CHUNK = 1024
+
+
+def distance_sums(x: np.ndarray, y: np.ndarray, x_of: np.ndarray, y_of: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the distances of each x to the y of every cluster, and of each y to the x of every cluster.
+
+    ``x_of`` and ``y_of`` hold a row per point and a column per cluster, 1 for its own. One product gives all
+    distances; points are moved next to zero first, where squares lose least. ``same``: both are one block.
+    """
+    middle = x.mean(axis=0)
+    x, y = x - middle, y - middle
+    squares = (y * y).sum(axis=1)
+    to_y, to_x = np.zeros((len(x), y_of.shape[1])), np.zeros((len(y), x_of.shape[1]))
+    for i in range(0, len(x), _CHUNK):
+        part = x[i : i + _CHUNK]
+        distance = np.sqrt(np.maximum((part * part).sum(axis=1)[:, None] + squares - 2 * part @ y.T, 0.0))
+        if same:
+            distance[np.arange(len(part)), np.arange(i, i + len(part))] = 0.0
+        to_y[i : i + _CHUNK] = distance @ y_of
+        to_x += distance.T @ x_of[i : i + _CHUNK]
+    return to_y, to_x
+
+
+def silhouette_exact(df: DataFrame, row_id: str, features: str, cluster: str, block_rows: int = 8192) -> DataFrame:
     """Silhouette per row on plain distances, exact.
 
     Every row must meet every other, so the work is quadratic. Rows are spread
-    over blocks by id; each pair of blocks is one task-sized group that emits
-    distance sums per row and cluster, never pairs. No cluster is gathered
-    anywhere, whatever its share of the rows.
+    over blocks by id; each pair of blocks meets once, in a task-sized group that
+    emits distance sums per row and cluster in both directions, never pairs. No
+    cluster is gathered anywhere, whatever its share of the rows.
     """
     slim = df.select(
         F.col(row_id).alias("id"), F.col(cluster).cast("int").alias("cluster"),
@@ -95,30 +119,31 @@ def silhouette_exact(df: DataFrame, row_id: str, features: str, cluster: str, bl
     rows = slim.count()
     cores = df.sparkSession.sparkContext.defaultParallelism
     # few rows still make a group per core
-    blocks = max(1, -(-rows // block_rows), min(rows, int(cores**0.5 + 1)))
+    blocks = max(1, -(-rows // block_rows), min(rows, int((2 * cores) ** 0.5 + 1)))
     placed = slim.withColumn("home", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    left = placed.withColumn("other", F.explode(every))
-    right = placed.withColumnRenamed("home", "other").withColumn("home", F.explode(every))
-
-    def distance_sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"id": [], "cluster": [], "other_cluster": [], "total": [], "n": []})
-        x, y = (np.stack(f["x"].to_numpy()).astype(float) for f in (a, b))
-        frames = []
-        for label in b["cluster"].unique():
-            rows = y[(b["cluster"] == label).to_numpy()]
-            total = np.zeros(len(x))
-            for row in rows:
-                total += np.sqrt(((x - row) ** 2).sum(axis=1))
-            frames.append(pd.DataFrame(
-                {"id": a["id"], "cluster": a["cluster"], "other_cluster": label, "total": total, "n": len(rows)}
-            ))
+    left = placed.withColumn("first", F.col("home")).withColumn("second", F.explode(F.sequence("home", F.lit(blocks - 1))))
+    right = placed.withColumn("second", F.col("home")).withColumn("first", F.explode(F.sequence(F.lit(0), "home")))
+
+    def meet(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        frames = [pd.DataFrame({"id": [], "cluster": [], "other_cluster": [], "total": [], "n": []})]
+        if len(a) and len(b):
+            # one order on both sides: a block meets itself row by row on the diagonal
+            a, b = (f.sort_values("id", kind="stable") for f in (a, b))
+            x, y = (np.stack(f["x"].to_numpy()).astype(float) for f in (a, b))
+            labels = [np.unique(f["cluster"].to_numpy()) for f in (a, b)]
+            x_of, y_of = ((f["cluster"].to_numpy()[:, None] == own).astype(float) for f, own in zip((a, b), labels))
+            same = key[0] == key[1]
+            sums = distance_sums(x, y, x_of, y_of, same)
+            for frame, totals, other, counts in ((a, sums[0], labels[1], y_of.sum(axis=0)), (b, sums[1], labels[0], x_of.sum(axis=0)))[: 1 if same else 2]:
+                frames.append(pd.DataFrame({
+                    "id": np.repeat(frame["id"].to_numpy(), len(other)), "cluster": np.repeat(frame["cluster"].to_numpy(), len(other)),
+                    "other_cluster": np.tile(other, len(frame)), "total": totals.ravel(), "n": np.tile(counts, len(frame)),
+                }))
         return pd.concat(frames)
 
     sums = (
-        left.groupBy("home", "other").cogroup(right.groupBy("home", "other"))
-        .applyInPandas(distance_sums, "id long, cluster int, other_cluster int, total double, n long")
+        left.groupBy("first", "second").cogroup(right.groupBy("first", "second"))
+        .applyInPandas(meet, "id long, cluster int, other_cluster int, total double, n long")
         .groupBy("id", "cluster", "other_cluster")
         .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starling.functions.columns import named
-from starling.operators import clustering, features, metrics, regression, tree
+from starling.operators import clustering, features, metrics, regression, silhouette, tree
 from starling.operators.clustering import KMeansConfig
 from starling.operators.frames import numeric_columns, other_columns
 from starling.operators.regression import SgdConfig
@@ -308,12 +308,19 @@ def _columns(config: KMeansConfig, columns_of: dict[str, list[str]]) -> list[str
     return [c for f in config.features for c in columns_of[f]]
 
 
-def cluster_grid(df: DataFrame, grid: Sequence[KMeansConfig]) -> DataFrame:
-    """Cluster runs, best silhouette (squared distances) first."""
+def plain_silhouette(data: DataFrame, model: clustering.Clustering) -> float:
+    """Mean silhouette on plain distances: quadratic in the rows."""
+    vector = F.array(*[named(c).cast("double") for c in model.columns])
+    placed = clustering.assign(data.withColumn("_vector", vector), ROW_ID, model, keep=["_vector"])
+    return silhouette.mean_silhouette(silhouette.silhouette_exact(placed, ROW_ID, "_vector", "cluster")).first()[0]
+
+
+def cluster_grid(df: DataFrame, grid: Sequence[KMeansConfig], plain: bool = False) -> DataFrame:
+    """Cluster runs, best silhouette first: on squared distances in linear work or, if wanted, on plain ones."""
     used = [c for c in df.columns if any(c in g.features for g in grid)]
     data, columns_of = cluster_inputs(df, used)
     models = clustering.fit_kmeans(data, ROW_ID, {g.name: _columns(g, columns_of) for g in grid}, grid)
-    scores = clustering.mean_silhouettes(data, models)
+    scores = {g.name: plain_silhouette(data, models[g.name]) for g in grid} if plain else clustering.mean_silhouettes(data, models)
     rows = [
         (g.name, ", ".join(g.features), len(g.features), g.k, g.n_init, g.seed, models[g.name].inertia,
          scores[g.name])

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starling.operators import clustering, features, regression, sparse
+from starling.operators import clustering, features, regression, silhouette, sparse
 from starling.operators.regression import SgdConfig
 from starling.plans import experiments
 from starling.session import measured_bytes, scratch
@@ -160,3 +160,31 @@ def test_broadcast_sizes_are_measured(spark):
     assert 1000 < measured_bytes(df) < 2000 and measured_bytes(df.select("a")) == 16 and measured_bytes(df.filter("false")) == 0
     wide = spark.range(1000).select(F.sequence(F.lit(1), F.lit(500)).alias("l"))
     assert measured_bytes(wide) > 1000 * 500 * 8
+
+
+@pytest.mark.parametrize("block_rows, offset", [(8192, 0.0), (40, 0.0), (40, 1e6)])
+def test_plain_silhouettes_of_block_pairs(spark, block_rows, offset):
+    """Every pair of blocks meets once; a far offset and equal points lose no digits that count."""
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(260, 3)) + draw.integers(0, 3, 260)[:, None] * 2.0 + offset
+    x[50:55] = x[49]
+    own = draw.integers(0, 4, 260)
+    own[0] = 9  # alone in its cluster
+    df = spark.createDataFrame([(i, [float(v) for v in r], int(c)) for i, (r, c) in enumerate(zip(x, own))], "id long, f array<double>, c int")
+    got = {r.id: r.silhouette for r in silhouette.silhouette_exact(df.repartition(5), "id", "f", "c", block_rows).collect()}
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    for i in range(len(x)):
+        mine = own == own[i]
+        if mine.sum() == 1:
+            expected = 0.0
+        else:
+            a, b = far[i, mine].sum() / (mine.sum() - 1), min(far[i, own == c].mean() for c in set(own) - {own[i]})
+            expected = (b - a) / max(a, b)
+        assert got[i] == pytest.approx(expected, abs=1e-7)
+
+
+def test_cluster_runs_rank_by_plain_distances(spark, tables):
+    grid = [c for c in experiments.CLUSTER_GRID if c.name in ("exp 15", "exp 16")]
+    small = [type(c)(c.name, c.features, c.k, n_init=2) for c in grid]
+    rows = experiments.cluster_grid(experiments.profile(tables), small, plain=True).collect()
+    assert len(rows) == 2 and rows[0].silhouette >= rows[1].silhouette and all(-1 <= r.silhouette <= 1 for r in rows)
