@@ -11,7 +11,7 @@ from starling.operators.dims import period_dim
 from starling.operators.facts import integer_keys, lookup, reject_missing
 from starling.operators.scd import current
 from starling.plans.tables import LINE_ID, Tables
-from starling.session import BROADCAST_BYTES, broadcast_if_small
+from starling.session import BROADCAST_BYTES, broadcast_if_small, stage
 
 GRAIN = ["source_id", *LINE_ID]
 SALES_KEYS = ["klant_key", "monteur_key", "product_key", "filiaal_key", "datum_key"]
@@ -19,18 +19,20 @@ PURCHASE_KEYS = ["product_key", "periode_key", "lev_key"]
 MAINTENANCE_KEYS = ["product_key", "monteur_key", "filiaal_key"]
 
 
+def _source() -> Column:
+    return F.when(F.col("l_linestatus") == "O", 1).otherwise(2).cast("long").alias("source_id")
+
+
 def _lines(t: Tables, *columns: Column) -> DataFrame:
     """Lines of both systems. They share one table, so the system is a column and not a second scan."""
-    first = F.col("l_linestatus") == "O"
+    kind = F.when(F.col("l_linestatus") == "O", "fiets").otherwise("accessoire")
     return t.lineitem.select(
-        F.when(first, 1).otherwise(2).cast("long").alias("source_id"), *LINE_ID,
-        business_key(F.when(first, "fiets").otherwise("accessoire"), "l_partkey").alias("product_bk"),
-        F.col("l_quantity").cast("long").alias("aantal"), *columns,
+        _source(), *LINE_ID, business_key(kind, "l_partkey").alias("product_bk"), F.col("l_quantity").cast("long").alias("aantal"), *columns,
     )
 
 
-def _people(t: Tables) -> DataFrame:
-    """Workers with the keys of themselves and their branch.
+def _people(t: Tables, named: bool = False) -> DataFrame:
+    """Workers with the keys of themselves and their branch, and their business keys if wanted.
 
     Keys are looked up on these rows and not on the facts, which then need one
     join in place of two per dimension.
@@ -41,7 +43,9 @@ def _people(t: Tables) -> DataFrame:
     filiaal = t.filiaal().select("adres", F.col("business_key").alias("filiaal_bk"))
     working = monteur.join(filiaal, F.col("woonplaats") == F.col("adres")).drop("woonplaats", "adres")
     found = lookup(working, current(t.dim_monteur()), "monteur_bk", "monteur_key")
-    return broadcast_if_small(lookup(found, t.dim_filiaal(), "filiaal_bk", "filiaal_key"), t.supplier)
+    found = lookup(found, t.dim_filiaal(), "filiaal_bk", "filiaal_key")
+    # numbers only: their size follows from the row count
+    return broadcast_if_small(found if named else found.drop("monteur_bk", "filiaal_bk"), t.supplier)
 
 
 def _buyers(t: Tables) -> DataFrame:
@@ -77,25 +81,31 @@ def fact_sales(t: Tables, required: list[str] = SALES_KEYS) -> DataFrame:
 
 def periods(t: Tables) -> DataFrame:
     """Stored periods and the new ones."""
-    seen = t.lineitem.select(
-        F.month("l_shipdate").cast("long").alias("inkoopmaand"), F.year("l_shipdate").cast("long").alias("inkoopjaar")
-    )
-    return t.stored_periods().unionByName(period_dim([seen], t.stored_periods()))
+    return t.stored_periods().unionByName(period_dim([t.months()], t.stored_periods()))
+
+
+def _goods(t: Tables) -> DataFrame:
+    """Price and product key of every part in either system, looked up on the parts and not line by line."""
+    kinds = F.explode(F.array(*[F.struct(F.lit(n).cast("long").alias("source_id"), F.lit(k).alias("kind")) for n, k in ((1, "fiets"), (2, "accessoire"))]))
+    both = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").alias("inkoopprijs"), kinds.alias("s"))
+    named = both.select("l_partkey", "inkoopprijs", "s.source_id", business_key("s.kind", "l_partkey").alias("product_bk"))
+    keyed = lookup(named, t.dim_product(), "product_bk", "product_key").drop("product_bk")
+    return broadcast_if_small(keyed, t.part.select("p_partkey"), BROADCAST_BYTES // 2)
 
 
 def purchases_with_keys(t: Tables) -> DataFrame:
-    lines = _lines(
-        t, F.month("l_shipdate").cast("long").alias("inkoopmaand"), F.year("l_shipdate").cast("long").alias("inkoopjaar")
+    lines = t.lineitem.select(
+        _source(), *LINE_ID, F.col("l_quantity").cast("long").alias("aantal"),
+        F.month("l_shipdate").cast("long").alias("inkoopmaand"), F.year("l_shipdate").cast("long").alias("inkoopjaar"),
     )
-    goods = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").alias("inkoopprijs"))
     makers = t.supplier.select(
         F.col("s_suppkey").alias("l_suppkey"), business_key("s_name", "s_nationkey").alias("lev_bk")
     )
     makers = broadcast_if_small(lookup(makers, t.dim_leverancier(), "lev_bk", "lev_key").drop("lev_bk"), t.supplier)
-    bought = lines.join(goods, "l_partkey").join(makers, "l_suppkey")
+    bought = lines.join(_goods(t), ["source_id", "l_partkey"]).join(makers, "l_suppkey")
     pair = ["inkoopmaand", "inkoopjaar"]
-    found = lookup(bought, periods(t), pair, "periode_key", dim_key=pair, null_safe=True)
-    return lookup(found, _products(t), "product_bk", "product_key")
+    # one row per month: stored, so that its numbering is not repeated in the lookup
+    return lookup(bought, F.broadcast(stage(periods(t))), pair, "periode_key", dim_key=pair, null_safe=True)
 
 
 def fact_purchase(t: Tables) -> DataFrame:
@@ -105,7 +115,7 @@ def fact_purchase(t: Tables) -> DataFrame:
     )
 
 
-def maintenance_with_keys(t: Tables) -> DataFrame:
+def maintenance_with_keys(t: Tables, named: bool = False) -> DataFrame:
     """Events as workshop visits; the wage is copied at load time."""
     end = F.col("ts") + F.make_dt_interval(secs=F.floor("value"))
     visits = t.events.select(
@@ -116,7 +126,7 @@ def maintenance_with_keys(t: Tables) -> DataFrame:
         F.date_format(end, "HH:mm:ss").alias("eindtijd"),
         business_key(F.lit("fiets"), "user_id").alias("product_bk"),
     )
-    return lookup(visits.join(_people(t), "monteurnr"), _products(t), "product_bk", "product_key")
+    return lookup(visits.join(_people(t, named), "monteurnr"), _products(t), "product_bk", "product_key")
 
 
 def fact_maintenance(t: Tables) -> DataFrame:

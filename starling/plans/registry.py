@@ -308,7 +308,7 @@ def measures_maintenance(t: Tables) -> DataFrame:
 @query
 def missing_keys(t: Tables) -> DataFrame:
     show = ["onderhoudnr", "product_bk", "monteur_bk", "filiaal_bk"]
-    missing = quality.missing_keys(facts.maintenance_with_keys(t), facts.MAINTENANCE_KEYS, show)
+    missing = quality.missing_keys(facts.maintenance_with_keys(t, named=True), facts.MAINTENANCE_KEYS, show)
     return missing.select(*show, *[F.col(k).cast("double").alias(k) for k in facts.MAINTENANCE_KEYS])
 
 

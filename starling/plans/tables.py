@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from starling.functions.columns import business_key
 from starling.operators.staging import union_branches
+from starling.session import stage
 from starling.sources.files import read_table
 
 # fixed values: segments served by either system, validity moments, time of the load
@@ -156,11 +157,16 @@ class Tables:
             (F.col("s_suppkey") + 1).alias("lev_key"), business_key("s_name", "s_nationkey").alias("business_key")
         )
 
+    def months(self) -> DataFrame:
+        """Distinct months of shipping: a few rows, taken from the lines once."""
+        if "_months" not in self._read:
+            self._read["_months"] = stage(self.lineitem.select(
+                F.month("l_shipdate").cast("long").alias("inkoopmaand"), F.year("l_shipdate").cast("long").alias("inkoopjaar")
+            ).distinct())
+        return self._read["_months"]
+
     def stored_periods(self) -> DataFrame:
-        month = F.month("l_shipdate").cast("long")
-        return self.lineitem.filter((F.col("l_shipdate") >= "1995-01-01") & (F.col("l_shipdate") < "1996-01-01")).select(
-            month.alias("periode_key"), month.alias("inkoopmaand"), F.lit(1995).cast("long").alias("inkoopjaar")
-        ).distinct()
+        return self.months().filter("inkoopjaar = 1995").select(F.col("inkoopmaand").alias("periode_key"), "inkoopmaand", "inkoopjaar")
 
     def empty(self, schema: str) -> DataFrame:
         return self.spark.createDataFrame([], T._parse_datatype_string(schema))

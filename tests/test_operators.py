@@ -217,7 +217,11 @@ def test_few_new_rows_do_not_shuffle_the_history(spark, tmp_path):
 
 def test_broadcast_is_bound_by_rows(spark):
     side = spark.range(1000).select("id", F.lit("x").alias("name"))
-    assert session.fits_broadcast(side, side, max_bytes=72000) and not session.fits_broadcast(side, side, max_bytes=71999)
+    # 8 bytes for the number, 16 and the measured length for the text
+    assert session.fits_broadcast(side, side, max_bytes=25000) and not session.fits_broadcast(side, side, max_bytes=24999)
+    wide = side.withColumn("name", F.repeat("name", 1000))
+    assert not session.fits_broadcast(wide, wide, max_bytes=72000)
+    assert session.fits_broadcast(wide.select("id"), wide, max_bytes=8000) and not session.fits_broadcast(wide.select("id"), wide, max_bytes=7999)
     assert "UnresolvedHint" in session.broadcast_if_small(side, side)._jdf.queryExecution().logical().toString()
     assert "Hint" not in session.broadcast_if_small(side, side, 10)._jdf.queryExecution().logical().toString()
 

@@ -35,3 +35,10 @@ def test_entry_returns_rows(spark):
 def test_scans_are_pruned_and_filtered(spark):
     plan = contract.queries()["q_e08"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_returnflag,R)" in plan and "ReadSchema: struct<l_quantity:double,l_returnflag:string>" in plan
+
+
+@pytest.mark.parametrize("name, most", [("fact_purchase", 1), ("fact_increment", 2), ("dim_period", 0)])
+def test_lines_are_scanned_no_more_than_needed(spark, name, most):
+    """The months of the lines are taken once, before; products and prices are met by number."""
+    plan = contract.queries()[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_linestatus#") >= (most > 0) and sum("Relation [l_orderkey" in line for line in plan.split("\n")) == most
