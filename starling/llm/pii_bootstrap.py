@@ -67,6 +67,7 @@ UNLINKED = "|".join((
     _TAIL,
 ))
 UNIT = f"{_LINKED}|{UNLINKED}"  # the same as UNLINKED in texts that have no link
+LISTED = 1000  # patterns that are named in the plan; more are met by a join
 PART = 16  # one in so many texts is counted first, to drop patterns that no count of the others can save
 NOT_PLAIN = r"[^\p{L}\p{M}'’-]"
 SPAN = "struct<kind:string,start:int,end:int,token:string>"
@@ -235,6 +236,13 @@ def pattern_fills(documents: DataFrame, patterns: DataFrame) -> DataFrame:
             F.expr("flatten(transform(sequence(0, size(words) - 3), i -> array(xxhash64(0, words[i], words[i + 1]), xxhash64(1, words[i], words[i + 2]))))"),
         ).alias("hashes")
     )
+    listed_patterns = [r[0] for r in patterns.select("pattern").distinct().limit(LISTED + 1).collect()]
+    if not listed_patterns:
+        return patterns.select("pattern", F.lit(0).cast("long").alias("total")).limit(0)
+    if len(listed_patterns) <= LISTED:
+        # few patterns are looked for inside the arrays: no row for any other unit
+        found = listed.select(F.filter("hashes", lambda h: h.isin(listed_patterns)).alias("hashes"))
+        return found.select(F.explode_outer("hashes").alias("pattern")).filter("pattern IS NOT NULL").groupBy("pattern").agg(F.count("*").alias("total"))
     # the outer form: the plain one lets the optimizer compute the hashes twice
     every = listed.select(F.explode_outer("hashes").alias("pattern"))
     return every.join(broadcast_if_small(patterns, patterns), "pattern").groupBy("pattern").agg(F.count("*").alias("total"))
