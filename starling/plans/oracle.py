@@ -448,3 +448,46 @@ _RESULTS = " UNION ALL ".join(
 )
 ORACLES["ranked_results"] = f"SELECT *, row_number() OVER (ORDER BY rmse, experiment) AS place FROM ({_RESULTS})"
 ORACLES["best_result"] = f"SELECT * FROM ({_RESULTS}) ORDER BY rmse, experiment LIMIT 1"
+
+_SPLITS = (("gini", 3, 1, 2, False, 2), ("entropy", 3, 1, 2, True, 2), ("gini, leaf 400", 3, 400, 2, False, 2),
+           ("entropy, split 3000", 3, 25, 3000, True, 2), ("two features", 2, 1, 2, False, 1))
+
+
+def _node_counts(level: int) -> str:
+    return f"""h{level} AS (SELECT r.run, node, entropy, min_leaf, min_split, max_depth, features, count(*) AS n,
+      sum((y = 'A')::INT)::DOUBLE AS a, sum((y = 'N')::INT)::DOUBLE AS b, sum((y = 'R')::INT)::DOUBLE AS c
+    FROM s{level} JOIN runs r USING (run) GROUP BY ALL)"""
+
+
+def _spread(a: str, b: str, c: str) -> str:
+    total = f"({a} + {b} + {c})"
+    bits = " + ".join(f"CASE WHEN {x} > 0 THEN -{x} / {total} * log2({x} / {total}) ELSE 0 END" for x in (a, b, c))
+    return f"CASE WHEN entropy THEN {bits} ELSE 1 - ({' + '.join(f'({x} / {total}) ** 2' for x in (a, b, c))}) END"
+
+
+def _split_level(level: int) -> str:
+    """Counts, all candidate splits, the best one per node, and the rows that go on, of one level."""
+    whole = _spread("h.a", "h.b", "h.c")
+    sides = [_spread("la", "lb", "lc"), _spread("(h.a - la)", "(h.b - lb)", "(h.c - lc)")]
+    return f"""{_node_counts(level)},
+v{level} AS (SELECT run, node, f, x, count(*) AS n, sum((y = 'A')::INT)::DOUBLE AS a, sum((y = 'N')::INT)::DOUBLE AS b, sum((y = 'R')::INT)::DOUBLE AS c
+  FROM (SELECT run, node, y, unnest([1, 2, 0]) AS f, unnest([l_discount, l_tax, l_quantity]) AS x FROM s{level}) GROUP BY ALL),
+w{level} AS (SELECT *, sum(n) OVER o AS ln, sum(a) OVER o AS la, sum(b) OVER o AS lb, sum(c) OVER o AS lc, lead(x) OVER (PARTITION BY run, node, f ORDER BY x) AS nx
+  FROM v{level} WINDOW o AS (PARTITION BY run, node, f ORDER BY x)),
+g{level} AS (SELECT w.run, w.node, w.f, w.x / 2 + nx / 2 AS threshold, round({whole} - (
+    (la + lb + lc) * ({sides[0]}) + (h.n - la - lb - lc) * ({sides[1]})) / h.n, 10) AS gain
+  FROM w{level} w JOIN h{level} h USING (run, node) WHERE nx IS NOT NULL AND ln >= min_leaf AND h.n - ln >= min_leaf AND h.n >= min_split
+    AND {level} < max_depth AND (features = 3 OR f > 0)),
+b{level} AS (SELECT run, node, unnest(min({{'o': -gain, 'f': f, 't': threshold}})) FROM g{level} GROUP BY run, node HAVING max(gain) > 0),
+o{level} AS (SELECT h.run, node, n AS rows, CASE WHEN h.a >= h.b AND h.a >= h.c THEN 'A' WHEN h.b >= h.c THEN 'N' ELSE 'R' END AS label,
+    CASE b.f WHEN 0 THEN 'l_quantity' WHEN 1 THEN 'l_discount' WHEN 2 THEN 'l_tax' END AS feature, round({whole}, 6) AS impurity, round(b.t, 6) AS threshold, round(-b.o, 6) AS gain
+  FROM h{level} h LEFT JOIN b{level} b USING (run, node)),
+s{level + 1} AS (SELECT run, node || CASE WHEN CASE b.f WHEN 0 THEN l_quantity WHEN 1 THEN l_discount ELSE l_tax END <= b.t THEN 'L' ELSE 'R' END AS node,
+    y, l_quantity, l_discount, l_tax FROM s{level} JOIN b{level} b USING (run, node))"""
+
+
+ORACLES["tree_splits"] = f"""WITH runs(run, features, min_leaf, min_split, entropy, max_depth) AS (VALUES {", ".join(
+    f"('{n}', {f}, {leaf}, {split}, {e}, {d})" for n, f, leaf, split, e, d in _SPLITS)}),
+s0 AS (SELECT run, '' AS node, l_returnflag AS y, l_quantity, l_discount, l_tax FROM lineitem, runs),
+{", ".join(_split_level(n) for n in range(3))}
+SELECT * FROM o0 UNION ALL SELECT * FROM o1 UNION ALL SELECT * FROM o2"""

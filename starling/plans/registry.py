@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 from starling.functions import columns as C
 from starling.functions import dates as D
 from starling.operators import (
-    clustering, dims, features, frames, keys, metrics, quality, regression, scd, silhouette, sparse, staging,
+    clustering, dims, features, frames, growth, keys, metrics, quality, regression, scd, silhouette, sparse, staging,
 )
 from starling.operators import facts as fact_ops
+from starling.operators.tree import TreeConfig
 from starling.plans import experiments as grids
 from starling.plans import facts, sample_loads
 from starling.plans.relational import QUESTIONS
@@ -592,6 +593,25 @@ RIDGE = 0.01
 CENTRES = ((10.3, 0.2), (25.1, 5.4), (40.7, 10.1))
 
 
+# fixed values: runs of two levels, by either criterion, with and without least sizes
+SPLIT_FEATURES = ("l_quantity", "l_discount", "l_tax")
+SPLIT_RUNS = (
+    TreeConfig("gini", SPLIT_FEATURES, 2), TreeConfig("entropy", SPLIT_FEATURES, 2, criterion="entropy"),
+    TreeConfig("gini, leaf 400", SPLIT_FEATURES, 2, min_samples_leaf=400), TreeConfig("entropy, split 3000", SPLIT_FEATURES, 2, 3000, 25, "entropy"),
+    TreeConfig("two features", ("l_discount", "l_tax"), 1),
+)
+
+
+@query
+def tree_splits(t: Tables) -> DataFrame:
+    """Nodes of exact trees on the return flag of the lines."""
+    with scratch(t.spark) as keep:
+        lines = t.lineitem.select(*SPLIT_FEATURES, "l_returnflag")
+        found = growth.grow(lines, SPLIT_FEATURES, "l_returnflag", SPLIT_RUNS, keep)
+        rounded = [F.round(c, 6).alias(c) for c in ("impurity", "threshold", "gain")]
+        return stage(found.select("run", "node", "rows", "label", "feature", *rounded))
+
+
 @query
 def lloyd_steps(t: Tables) -> DataFrame:
     """Three steps from stated centres: the centres and the sum of squared distances before each."""

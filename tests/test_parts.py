@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starling.operators import clustering, features, regression, silhouette, sparse
+from starling.operators import clustering, features, growth, regression, silhouette, sparse
 from starling.operators.regression import SgdConfig
+from starling.operators.tree import TreeConfig
 from starling.plans import experiments
 from starling.session import measured_bytes, scratch
 from starling.sources import files
@@ -188,3 +189,78 @@ def test_cluster_runs_rank_by_plain_distances(spark, tables):
     small = [type(c)(c.name, c.features, c.k, n_init=2) for c in grid]
     rows = experiments.cluster_grid(experiments.profile(tables), small, plain=True).collect()
     assert len(rows) == 2 and rows[0].silhouette >= rows[1].silhouette and all(-1 <= r.silhouette <= 1 for r in rows)
+
+
+def grown_by_hand(x, y, weight, used, entropy, min_leaf, min_split, max_depth, path="", depth=0):
+    """Nodes by path: (rows, label, feature, threshold), every midpoint tried, equal gains to the first feature and value."""
+    known = sorted(weight)
+
+    def impurity(part):
+        mass = np.array([(part == k).sum() * weight[k] for k in known])
+        p = mass[mass > 0] / mass.sum()
+        return (-(p * np.log2(p)).sum() if entropy else 1 - (p * p).sum()) if len(part) else 0.0
+
+    heavy = lambda part: sum((part == k).sum() * weight[k] for k in known)
+    label = max(known, key=lambda k: (round((y == k).sum() * weight[k], 9), -known.index(k)))
+    out, best = {path: (len(y), label, None, None)}, None
+    if impurity(y) > 0 and len(y) >= min_split and (max_depth is None or depth < max_depth):
+        for f in used:
+            values = np.unique(x[:, f])
+            for low, high in zip(values, values[1:]):
+                left = x[:, f] <= low
+                if min(left.sum(), (~left).sum()) >= min_leaf:
+                    after = (heavy(y[left]) * impurity(y[left]) + heavy(y[~left]) * impurity(y[~left])) / heavy(y)
+                    way = (-round(impurity(y) - after, 10), f, low / 2 + high / 2)
+                    if way[0] < 0 and (best is None or way < best):
+                        best = way
+    if best:
+        _, f, threshold = best
+        out[path] = (len(y), label, f, threshold)
+        left = x[:, f] <= threshold
+        for side, rows in (("L", left), ("R", ~left)):
+            out |= grown_by_hand(x[rows], y[rows], weight, used, entropy, min_leaf, min_split, max_depth, path + side, depth + 1)
+    return out
+
+
+def test_trees_grow_exactly_and_score_by_joins(spark):
+    draw = np.random.default_rng(11)
+    n = 240
+    x = np.column_stack([draw.normal(size=n), draw.integers(0, 5, n), draw.integers(0, 2, n) * 1.0])
+    y = np.array([("a", "b", "c")[int(v)] for v in (x[:, 0] > 0).astype(int) + (draw.uniform(size=n) > 0.8)])
+    df = spark.createDataFrame([(i, *map(float, r), str(c)) for i, (r, c) in enumerate(zip(x, y))], "id long, u double, `v.w` double, z double, y string")
+    names = ("u", "v.w", "z")
+    runs = [
+        TreeConfig("deep", names), TreeConfig("entropy", names, 4, criterion="entropy"), TreeConfig("leaf", names, 5, 30, 12),
+        TreeConfig("balanced", names, 3, class_weight="balanced"), TreeConfig("few", ("v.w", "z"), 3),
+    ]
+    size = {k: (y == k).sum() for k in "abc"}
+    with scratch(spark) as keep:
+        nodes = growth.grow(df.repartition(5), names, "y", runs, keep)
+        found = {(r.run, r.node): (r.rows, r.label, r.feature, r.threshold) for r in nodes.collect()}
+        guesses = {}
+        for limits in ({}, {"max_depth": 2}, {"min_split": 40}):
+            got = growth.predict(df, "id", nodes, keep, **limits).collect()
+            assert len(got) == n * len(runs)
+            guesses[str(limits)] = {(r.run, r.id): r.label for r in got}
+    expected = {}
+    for r in runs:
+        weight = {k: n / (3 * size[k]) if r.class_weight else 1.0 for k in "abc"}
+        by_hand = grown_by_hand(x, y, weight, [names.index(f) for f in r.features], r.criterion == "entropy", r.min_samples_leaf, r.min_samples_split, r.max_depth)
+        for path, (rows, label, f, threshold) in by_hand.items():
+            expected[r.name, path] = (rows, label, None if f is None else names[f], threshold)
+        for key, depth, split in (("{}", 99, 0), ("{'max_depth': 2}", 2, 0), ("{'min_split': 40}", 99, 40)):
+            for i in range(n):
+                path = ""
+                while by_hand[path][2] is not None and len(path) < depth and by_hand[path][0] >= split:
+                    path += "L" if x[i, by_hand[path][2]] <= by_hand[path][3] else "R"
+                assert guesses[key][r.name, i] == by_hand[path][1]
+    assert found.keys() == expected.keys() and max(len(p) for _, p in found) > 6
+    for key, (rows, label, feature, threshold) in expected.items():
+        assert found[key][:3] == (rows, label, feature) and found[key][3] == (threshold if threshold is None else pytest.approx(threshold))
+
+
+def test_trees_of_nothing(spark):
+    df = spark.createDataFrame([], "id long, u double, y string")
+    with scratch(spark) as keep:
+        nodes = growth.grow(df, ("u",), "y", [TreeConfig("r", ("u",))], keep)
+        assert nodes.count() == 0 and growth.predict(df, "id", nodes, keep).count() == 0
