@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starling.llm import text as T
-from starling.session import broadcast_if_small
+from starling.session import broadcast_if_small, scratch
 
 BROADCAST_BYTES = 64 << 20
 SLICE = 512 << 10  # bytes of text that anchors are sought in at once
@@ -296,7 +296,7 @@ def _digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
-def _hot_ranges(texts: DataFrame, config: Config) -> DataFrame:
+def _hot_ranges(texts: DataFrame, config: Config, keep) -> DataFrame:
     """``(key, start, end)``: repeated strings anchored at ``hot_places`` of ``texts(key, text, copied, hot_places)``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,15 +332,15 @@ def _hot_ranges(texts: DataFrame, config: Config) -> DataFrame:
                 ], names=["string", "whole", "n", "at"])
 
     source = texts.select("key", "text", "copied", "hot_places")
-    found = T.staged(source.mapInArrow(cut, "key string, copied boolean, start long, whole binary, around binary"), "hot")
+    found = keep(source.mapInArrow(cut, "key string, copied boolean, start long, whole binary, around binary"))
     wholes = found.groupBy("whole").agg(F.count("*").alias("n"), F.any_value("around").alias("around"))
-    single = T.staged(wholes.mapInArrow(strings, "string binary, whole binary, n long, at long"), "hot-strings")
+    single = keep(wholes.mapInArrow(strings, "string binary, whole binary, n long, at long"))
     # one that stands for several counts as often; equal strings inside one stretch are two places
     twice = single.groupBy("string").agg(F.sum("n").alias("n")).filter("n > 1").select("string")
-    twice = T.staged(twice, "hot-twice")
+    twice = keep(twice)
     # the strings of one anchor overlap: from the first that occurs twice to the last, all goes
     hits = single.join(broadcast_if_small(twice, twice), "string").groupBy("whole").agg(F.min("at").alias("low"), F.max("at").alias("high"))
-    hits = T.staged(hits, "hot-hits")
+    hits = keep(hits)
     wanted = found.filter("not copied").select("key", "start", "whole").join(broadcast_if_small(hits, hits), "whole")
     low, high = F.col("start") + F.col("low"), F.col("start") + F.col("high") + config.length
     return wanted.select("key", low.alias("start"), high.alias("end"))
@@ -348,6 +348,11 @@ def _hot_ranges(texts: DataFrame, config: Config) -> DataFrame:
 
 def repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config = Config()) -> DataFrame:
     """``(key, ranges)``: disjoint byte ranges of the texts without copies that occur twice; staged."""
+    with scratch(documents.sparkSession) as keep:
+        return T.staged(_repeated_ranges(documents, copies, config, keep), "ranges")
+
+
+def _repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config, keep) -> DataFrame:
     spark = documents.sparkSession
     keyed = _keyed(documents).filter(F.octet_length("text") >= config.length)
     kept = keyed.join(broadcast_if_small(copies.withColumn("copied", F.lit(True)), copies), "key", "left")
@@ -363,15 +368,15 @@ def repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config = Co
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (places.astype(np.int32), hashes.view(np.int64))]
                 yield pa.RecordBatch.from_arrays([keys.slice(i, j - i), *lists], names=["key", "places", "hashes"])
 
-    found = T.staged(kept.select("key", "text").mapInArrow(find, "key string, places array<int>, hashes array<long>"), "anchors")
+    found = keep(kept.select("key", "text").mapInArrow(find, "key string, places array<int>, hashes array<long>"))
     often = found.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
-    often = T.staged(often.select("hash", (F.col("n") > config.hot).alias("hot")), "grams")
+    often = keep(often.select("hash", (F.col("n") > config.hot).alias("hot")))
     spots = found.select("key", F.explode(F.arrays_zip("places", "hashes")).alias("a")).select("key", F.col("a.places").alias("place"), F.col("a.hashes").alias("hash"))
     spots = spots.join(broadcast_if_small(often, often), "hash").groupBy("key").agg(
         F.collect_set(F.when(~F.col("hot"), F.col("place"))).alias("places"),
         F.collect_set(F.when(F.col("hot"), F.col("place"))).alias("hot_places"),
     )
-    spots = T.staged(spots, "spots")
+    spots = keep(spots)
     sums = [F.coalesce(F.sum(F.size(c)), F.lit(0)) for c in ("places", "hot_places")]
     total, hot, texts = spots.agg(*sums, F.count("*")).first()
     parts = max(T.partitions(spark), -(-total // config.entries))
@@ -411,7 +416,7 @@ def repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config = Co
     exchanged = kept.join(side, "key").select("key", "text", "copied", "places").mapInArrow(runs, RUN_TYPES)
     ranges = exchanged.repartition(parts, "part").groupBy("part").applyInArrow(merge, "key string, start long, end long")
     if hot:
-        ranges = ranges.unionByName(_hot_ranges(kept.join(side, "key").filter(F.size("hot_places") > 0), config))
+        ranges = ranges.unionByName(_hot_ranges(kept.join(side, "key").filter(F.size("hot_places") > 0), config, keep))
     grouped = ranges.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,7 +427,7 @@ def repeated_ranges(documents: DataFrame, copies: DataFrame, config: Config = Co
             yield pa.RecordBatch.from_arrays([batch.column(0), united], names=["key", "ranges"])
 
     # strings through neighbouring anchors overlap: a text is left with few ranges
-    return T.staged(grouped.mapInArrow(unite, "key string, ranges array<struct<start:long,end:long>>"), "ranges")
+    return grouped.mapInArrow(unite, "key string, ranges array<struct<start:long,end:long>>")
 
 
 def removed(documents: DataFrame, config: Config = Config(), with_bytes: bool = True) -> DataFrame:
