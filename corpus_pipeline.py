@@ -2,7 +2,10 @@
 
 A stage takes ``(spark, docs, sf_dir)``. All but the last return documents with the columns
 they came with; the last returns the packed pieces. ``run`` writes what each stage returns
-into the shared folder and reads it again for the next.
+into the shared folder and reads it again for the next; only the pieces stay there.
+
+The stages are operators of ``starling.llm``: without that subpackage this module cannot be
+imported, and the entry file leaves it out.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from pyspark.sql import functions as F
 from starling.llm import decontaminate, pii_bootstrap, ssq_packing, vp_simhash, zstd_quality
 from starling.llm import text as T
 from starling.llm.queries import vocabulary
+from starling.session import scratch
 from starling.sources.files import read_table
 
 
@@ -53,6 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = T.staged(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with scratch(spark) as keep:
+        for _, stage in STAGES[:-1]:
+            docs = keep(stage(spark, docs, sf_dir))
+        return T.staged(STAGES[-1][1](spark, docs, sf_dir), "pieces")
