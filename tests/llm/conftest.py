@@ -20,11 +20,14 @@ def texts(documents):
 @pytest.fixture(scope="session")
 def make(spark):
     """Documents from (id, text) rows, with extra columns named like the operators' own."""
+    names = (
+        "key hash score fp root word words label base marks leaky chosen_id chosen_key _marks _marks_key _new id merged new check "
+        "row_key text_key first ids n_tokens decoded copied ranges"
+    ).split()
     schema = T.StructType([
-        T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
-        *(T.StructField(c, T.StringType()) for c in "key hash score fp root word words label base marks".split()),
+        T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), *(T.StructField(c, T.StringType()) for c in names),
     ])
-    return lambda rows: spark.createDataFrame([(i, t, *["x"] * 10) for i, t in rows], schema)
+    return lambda rows: spark.createDataFrame([(i, t, *["x"] * len(names)) for i, t in rows], schema)
 
 
 @pytest.fixture(scope="session")
