@@ -18,8 +18,7 @@ def _final_counts(store: Store, log: RunLog) -> None:
     for target in store.schemas:
         def count(target: str = target) -> None:
             rows = store.count(target)
-            log.add("EINDCONTROLE", "OK" if rows else "WARNING", "eindaantal gecontroleerd" if rows else
-                    "tabel heeft 0 rijen", doel_tabel=target, actie="count", aantal_doel_na=rows)
+            log.add("EINDCONTROLE", "OK" if rows else "WARNING", f"{target}: {rows}", doel_tabel=target, actie="count", aantal_doel_na=rows)
 
         run_step(count, lambda e, target=target: log.add(
             "EINDCONTROLE", "ERROR", str(e), doel_tabel=target, actie="count"))
@@ -28,7 +27,7 @@ def _final_counts(store: Store, log: RunLog) -> None:
 def _refresh(spark: SparkSession, folder: str, name: str, target: str, store: Store, log: RunLog) -> None:
     where = {"bron_database": folder, "bron_tabel": name, "doel_tabel": target}
     if not exists(spark, f"{folder}/{name}.parquet"):
-        log.add("EXTRACT", "ERROR", "brontabel bestaat niet", actie="select", **where)
+        log.add("EXTRACT", "ERROR", f"no {folder}/{name}.parquet", actie="select", **where)
         return
 
     def load() -> None:
@@ -39,7 +38,7 @@ def _refresh(spark: SparkSession, folder: str, name: str, target: str, store: St
         after = store.count(target)
         fits = after == delivered
         log.add("LOAD", "OK" if fits else "WARNING",
-                "aantal geladen rijen klopt" if fits else "aantal geladen rijen wijkt af", actie="insert",
+                f"{after} of {delivered} rows", actie="insert",
                 aantal_bron=delivered, aantal_verwerkt=after, aantal_doel_na=after, **where)
 
     run_step(load, lambda e: log.add("LOAD", "ERROR", str(e), actie="insert", **where))
@@ -54,18 +53,18 @@ def load_staging(
     only when its load is complete; until then readers keep the previous one.
     """
     log = RunLog("SDM", STAGING_COLUMNS, run_ts)
-    log.add("START", melding="SDM pipeline gestart", actie="start_pipeline")
+    log.add("START", melding=f"{len(folders)} sources", actie="start_pipeline")
     present = {s: f for s, f in folders.items() if exists(spark, f)}
     for source in SOURCES:
         if source not in present:
-            log.add("CONNECT", "ERROR", "bronbestand bestaat niet", bron_database=folders.get(source, source),
+            log.add("CONNECT", "ERROR", f"no folder for {source}", bron_database=folders.get(source, source),
                     actie="open_database")
     loads = [(present[s], name, target) for s, tables in SOURCES.items() if s in present for name, target in tables]
     start = len(log.rows)
     run_together([lambda one=one: _refresh(spark, *one, store, log) for one in loads], workers)
     log.sort_since(start, "doel_tabel", [target for _, _, target in loads])
     _final_counts(store, log)
-    log.add("EINDE", melding="SDM pipeline afgerond", actie="end_pipeline")
+    log.add("EINDE", melding=f"{len(log.rows)} entries", actie="end_pipeline")
     return log
 
 
@@ -85,10 +84,10 @@ def load_unified(
         found = [p for p in paths.values() if exists(spark, p)]
         missing = [s for s in systems if s not in paths or not exists(spark, paths[s])]
         for system in missing:
-            log.add("EXTRACT", "ERROR", "brontabel bestaat niet", bron_database=system, bron_tabel=target,
+            log.add("EXTRACT", "ERROR", f"no {target} in {system}", bron_database=system, bron_tabel=target,
                     doel_tabel=target, actie="select")
         if not found or missing and not allow_missing:
-            raise FileNotFoundError(f"geen volledige bron voor {target}")
+            raise FileNotFoundError(f"{target} lacks {', '.join(missing) or 'every source'}")
         frames = [align(spark.read.parquet(p), store.schemas[target]) for p in found]
         before = store.count(target)
         store.append(target, consolidate(frames, store.read(target), [key]), log.run_id)

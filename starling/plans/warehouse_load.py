@@ -190,7 +190,7 @@ class WarehouseLoad:
         skipped = delivered - inserts if self.refresh else actions["aantal_skip"]
         self.log.add(
             f"SCD{dim.kind}", tabel=dim.table, actie="refresh" if self.refresh else "merge",
-            melding=f"{dim.table} verwerkt", aantal_sdm=delivered, aantal_dwh_voor=0 if self.refresh else before,
+            melding=f"{delivered} rows of {dim.table}", aantal_sdm=delivered, aantal_dwh_voor=0 if self.refresh else before,
             aantal_insert=inserts, aantal_update=actions["aantal_update"], aantal_skipped=skipped,
             aantal_dwh_na=self.star.count(dim.table),
         )
@@ -205,7 +205,7 @@ class WarehouseLoad:
         after = self.star.count(table)
         inserted = after - before
         self.log.add(
-            "DIM", tabel=table, actie="refresh" if self.refresh else "insert", melding=f"{table} verwerkt",
+            "DIM", tabel=table, actie="refresh" if self.refresh else "insert", melding=f"{delivered} rows of {table}",
             aantal_sdm=delivered, aantal_dwh_voor=before, aantal_insert=inserted,
             aantal_skipped=(delivered if self.refresh else distinct) - inserted, aantal_dwh_na=after,
         )
@@ -293,7 +293,7 @@ class WarehouseLoad:
         after = self.star.count(table)
         self.log.add(
             "FACT", tabel=table, actie="refresh" if self.refresh else "insert_incremental",
-            melding=f"{table} verwerkt", aantal_sdm=delivered, aantal_dwh_voor=before, aantal_insert=after - before,
+            melding=f"{delivered} rows of {table}", aantal_sdm=delivered, aantal_dwh_voor=before, aantal_insert=after - before,
             aantal_skipped=skipped, aantal_dwh_na=after,
         )
 
@@ -361,19 +361,19 @@ class WarehouseLoad:
 
         A refresh with a failed step leaves all tables as they were.
         """
-        self.log.add("START", melding="DWH pipeline gestart", actie="start_pipeline")
+        self.log.add("START", melding=f"{self.keys} keys", actie="start_pipeline")
         start, steps = len(self.log.rows), self.steps()
         names = {table: step for step, table, _, _ in steps}
         run_graph(
             [Step(table, lambda w=work: self._scratched(w), needs) for _, table, work, needs in steps], workers,
             lambda s, e: self.log.add(names[s.name], "ERROR", str(e), tabel=s.name, actie="load", aantal_error=1),
-            lambda s, lost: self.log.add(names[s.name], "SKIPPED", f"niet geladen: {', '.join(lost)}", tabel=s.name, actie="skip"),
+            lambda s, lost: self.log.add(names[s.name], "SKIPPED", f"needs {', '.join(lost)}", tabel=s.name, actie="skip"),
         )
         self.log.sort_since(start, "tabel", list(names))
         failed = any(r["status"] == "ERROR" for r in self.log.rows)
         if self.refresh and failed:
             files.delete(self.spark, self.star.root)
-            self.log.add("PUBLISH", "ERROR", "refresh niet gepubliceerd, vorige stand blijft staan", actie="publish", aantal_error=1)
+            self.log.add("PUBLISH", "ERROR", f"generation of {self.log.run_id} dropped", actie="publish", aantal_error=1)
         elif self.refresh:
             self.published.switch(self.star)
         self.star = self.published
@@ -382,7 +382,7 @@ class WarehouseLoad:
                 self.star.vacuum(table)
             rows = self.star.count(table)
             self.log.add("EINDCONTROLE", "OK" if rows else "WARNING",
-                         "eindaantal gecontroleerd" if rows else "tabel heeft 0 rijen",
+                         f"{table}: {rows}",
                          tabel=table, actie="count", aantal_dwh_na=rows)
-        self.log.add("EINDE", melding="DWH pipeline afgerond", actie="end_pipeline")
+        self.log.add("EINDE", melding=f"{len(self.log.rows)} entries", actie="end_pipeline")
         return self.log
