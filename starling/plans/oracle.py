@@ -400,14 +400,14 @@ ORACLES |= {
     "ridge_levels": f"""WITH g AS (SELECT CAST(l_partkey AS VARCHAR) AS value, count(*) AS n, avg(l_extendedprice) AS y FROM lineitem GROUP BY 1),
         l AS (SELECT {_RIDGE} * sum(n) AS l FROM g),
         b AS (SELECT sum(n * l / (n + l) * y) / sum(n * l / (n + l)) AS b FROM g, l)
-        SELECT '(intercept)' AS feature, NULL AS value, round(b, 4) AS coefficient FROM b
-        UNION ALL SELECT 'l_partkey', value, round(n * (y - b) / (n + l), 4) FROM g, l, b""",
+        SELECT '(intercept)' AS feature, NULL AS value, round(b, 2) AS coefficient FROM b
+        UNION ALL SELECT 'l_partkey', value, round(n * (y - b) / (n + l), 2) FROM g, l, b""",
     "ridge_pair": f"""WITH m AS (SELECT avg(l_quantity) AS a, avg(l_discount) AS b, avg(l_extendedprice) AS y, var_pop(l_quantity) + {_RIDGE} AS aa,
           var_pop(l_discount) + {_RIDGE} AS bb, covar_pop(l_quantity, l_discount) AS ab, covar_pop(l_quantity, l_extendedprice) AS ay,
           covar_pop(l_discount, l_extendedprice) AS byy FROM lineitem),
         w AS (SELECT *, (bb * ay - ab * byy) / (aa * bb - ab * ab) AS u, (aa * byy - ab * ay) / (aa * bb - ab * ab) AS v FROM m)
-        SELECT '(intercept)' AS feature, round(y - u * a - v * b, 4) AS coefficient FROM w
-        UNION ALL SELECT 'l_quantity', round(u, 4) FROM w UNION ALL SELECT 'l_discount', round(v, 4) FROM w""",
+        SELECT '(intercept)' AS feature, round(y - u * a - v * b, 2) AS coefficient FROM w
+        UNION ALL SELECT 'l_quantity', round(u, 2) FROM w UNION ALL SELECT 'l_discount', round(v, 2) FROM w""",
     "descent_steps": """WITH RECURSIVE s AS (
           SELECT avg(x) AS mx, avg(x * x) AS mxx, avg(y) AS my, avg(x * y) AS mxy, avg(y * y) AS myy
           FROM (SELECT l_quantity / 50 AS x, l_extendedprice / 50000 AS y FROM lineitem)),
@@ -428,13 +428,13 @@ ORACLES |= {
         a AS (SELECT *, atan2(2 * ab, aa - bb) / 2 AS t FROM m),
         v AS (SELECT *, cos(t) AS c, sin(t) AS s, CASE WHEN abs(cos(t)) >= abs(sin(t)) THEN sign(cos(t)) ELSE sign(sin(t)) END AS f,
           CASE WHEN abs(sin(t)) >= abs(cos(t)) THEN sign(-sin(t)) ELSE sign(cos(t)) END AS g FROM a)
-        SELECT p_partkey, round(f * ((p_size - ma) * c + (p_retailprice - mb) * s), 4) AS pc1,
-          round(g * ((p_retailprice - mb) * c - (p_size - ma) * s), 4) AS pc2 FROM part, v""",
+        SELECT p_partkey, round(f * ((p_size - ma) * c + (p_retailprice - mb) * s), 4) + 0.0 AS pc1,
+          round(g * ((p_retailprice - mb) * c - (p_size - ma) * s), 4) + 0.0 AS pc2 FROM part, v""",
     "preprocessed_rows": f"""WITH {LINES}, fit AS (SELECT median(quantity) AS q,
           (SELECT flag FROM train WHERE flag IS NOT NULL GROUP BY flag ORDER BY count(*) DESC, flag LIMIT 1) AS f FROM train),
         s AS (SELECT avg(coalesce(quantity, q)) AS mq, stddev_pop(coalesce(quantity, q)) AS sq, avg(l_extendedprice) AS mp,
           stddev_pop(l_extendedprice) AS sp FROM train, fit)
-        SELECT {LINE}, l_tax, round((coalesce(quantity, q) - mq) / sq, 4) AS quantity, round((l_extendedprice - mp) / sp, 4) AS price,
+        SELECT {LINE}, l_tax, round((coalesce(quantity, q) - mq) / sq, 4) + 0.0 AS quantity, round((l_extendedprice - mp) / sp, 4) + 0.0 AS price,
           CAST(coalesce(flag, f) = 'A' AS INT) AS flag_a, CAST(coalesce(flag, f) = 'N' AS INT) AS flag_n, CAST(coalesce(flag, f) = 'R' AS INT) AS flag_r
         FROM mixed, fit, s""",
     "sheet_rejects": """WITH o AS (SELECT *, o_orderstatus = 'P' OR starts_with(o_orderpriority, '1') AS bad FROM orders)

@@ -565,7 +565,7 @@ def ridge_levels(t: Tables) -> DataFrame:
         levels = sparse.fit_levels(lines, [], ["l_partkey"], keep)
         encoded = keep(sparse.encode(lines, [], ["l_partkey"], levels, "l_extendedprice"))
         found = sparse.ridge(encoded, "l_extendedprice", levels, RIDGE, keep)
-        return stage(found.select("feature", "value", F.round("coefficient", 4).alias("coefficient")))
+        return stage(found.select("feature", "value", F.round("coefficient", 2).alias("coefficient")))
 
 
 @query
@@ -576,7 +576,7 @@ def ridge_pair(t: Tables) -> DataFrame:
         levels = sparse.fit_levels(lines, ["l_quantity", "l_discount"], [], keep)
         encoded = sparse.encode(lines, ["l_quantity", "l_discount"], [], levels, "l_extendedprice")
         found = sparse.ridge(keep(encoded), "l_extendedprice", levels, RIDGE, keep)
-        return stage(found.select("feature", F.round("coefficient", 4).alias("coefficient")))
+        return stage(found.select("feature", F.round("coefficient", 2).alias("coefficient")))
 
 
 @query
@@ -628,7 +628,7 @@ def lloyd_steps(t: Tables) -> DataFrame:
 def pca_pair(t: Tables) -> DataFrame:
     """Parts on the two components of size and price."""
     found = clustering.principal_components(t.part, "p_partkey", ["p_size", "p_retailprice"])
-    return found.select("p_partkey", F.round("pc1", 4).alias("pc1"), F.round("pc2", 4).alias("pc2"))
+    return found.select("p_partkey", *[(F.round(c, 4) + 0.0).alias(c) for c in ("pc1", "pc2")])
 
 
 @query
@@ -639,7 +639,7 @@ def preprocessed_rows(t: Tables) -> DataFrame:
     ready = features.Prepared.read(stage(fitted.table(t.spark)))
     found = ready.transform(lines, [*LINE_ID, "l_tax"])
     flags = [F.col(f"`flag={v}`").cast("int").alias(f"flag_{v.lower()}") for v in ready.levels["flag"]]
-    return found.select(*LINE_ID, "l_tax", F.round("quantity", 4).alias("quantity"), F.round("l_extendedprice", 4).alias("price"), *flags)
+    return found.select(*LINE_ID, "l_tax", *[(F.round(c, 4) + 0.0).alias(n) for c, n in (("quantity", "quantity"), ("l_extendedprice", "price"))], *flags)
 
 
 @query
@@ -651,7 +651,7 @@ def ranked_results(t: Tables) -> DataFrame:
     first = score("steep", 2000, 1000).unionByName(score("flat", 500, 30000))
     second = score("middle", 1500, 0).unionByName(score("level", 0, 38000))
     both = grids.combine([first, second], "rmse")
-    return both.withColumn("place", F.row_number().over(Window.orderBy("rmse", "experiment")))
+    return both.withColumn("place", F.row_number().over(Window.orderBy("rmse", "experiment")).cast("long"))
 
 
 @query
