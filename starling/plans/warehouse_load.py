@@ -26,7 +26,7 @@ from starling.operators.facts import integer_keys, lookup, new_rows, reject_miss
 from starling.operators.keys import dense_keys, first_per_key
 from starling.operators.quality import Step, run_graph
 from starling.operators.staging import conform, union_branches
-from starling.session import broadcast_if_small, scratch
+from starling.session import SENT_ROWS, broadcast_if_few, scratch, sent_if_few
 from starling.sources import files
 from starling.sources.runlog import WAREHOUSE_COLUMNS, RunLog
 from starling.sources.store import Store
@@ -104,6 +104,9 @@ class WarehouseLoad:
             raise FileNotFoundError(f"no such table: {name}")
         return self.staging.read(name)
 
+    def _makers(self, system: str) -> int:
+        return self.staging.count(f"{system}_{'Leverancier' if is_accessory(system) else 'Fabrikant'}")
+
     def _union(self, frames: Sequence[DataFrame]) -> DataFrame:
         return union_branches(frames, number="_branch")
 
@@ -142,7 +145,7 @@ class WarehouseLoad:
                 "type": "type", "kleur": "kleur", "maker": "fabrikant"})
         names = self._maker(system).select(F.col("leveranciernr").alias("maker"), F.col("naam").alias("fabrikant"))
         key = self._key("Product", system, "productnr", "product_type", "productnr")
-        return own.join(names, "maker", "left").drop("maker").withColumn("business_key", key)
+        return own.join(sent_if_few(names, self._makers(system)), "maker", "left").drop("maker").withColumn("business_key", key)
 
     def product(self) -> DataFrame:
         return self._union([self._products(s) for s in self.product_systems])
@@ -176,6 +179,8 @@ class WarehouseLoad:
         else:
             # closed versions are neither read nor written again
             stored = self.star.read(dim.table, OPEN if dim.kind == 2 else None)
+        most = max(delivered, before)
+        stored, incoming = sent_if_few(stored, most), sent_if_few(incoming, most)
         actions = scd.count_actions(scd.classify(stored, incoming, "business_key", dim.tracked, dim.sk)).first()
         # an unchanged dimension keeps its version
         if self.refresh or actions["aantal_insert"] or actions["aantal_update"]:
@@ -231,7 +236,7 @@ class WarehouseLoad:
     def _look_up(self, rows: DataFrame, *dims: str) -> DataFrame:
         for name in dims:
             dim = self.star.read(name)
-            dim = scd.current(dim) if DIMENSIONS[name].kind == 2 else dim
+            dim = sent_if_few(scd.current(dim) if DIMENSIONS[name].kind == 2 else dim, self.star.count(name))
             short = "lev" if name == "Leverancier" else name.lower()
             rows = lookup(rows, dim, f"{short}_bk", DIMENSIONS[name].sk)
         return rows
@@ -251,11 +256,11 @@ class WarehouseLoad:
                 F.col("filiaalnr").alias("filiaal"),
                 self._key("Filiaal", system, "filiaalnr", "adres").alias("filiaal_bk"),
             )
-            workers = workers.join(branches, "filiaal")
+            workers = workers.join(sent_if_few(branches, self.staging.count(f"{system}_Filiaal")), "filiaal")
         else:
             workers = workers.withColumn("filiaal_bk", self._key("Filiaal", system, "filiaal"))
         keyed = self._look_up(workers, "Monteur", "Filiaal").drop("filiaal", "monteur_bk", "filiaal_bk")
-        return broadcast_if_small(keyed, self._staged(f"{system}_Monteur"))
+        return broadcast_if_few(keyed, self.staging.count(f"{system}_Monteur"))
 
     def _sales(self, system: str, number: int) -> DataFrame:
         kind = "accessoire" if is_accessory(system) else "fiets"
@@ -268,7 +273,7 @@ class WarehouseLoad:
             customers = self._staged(f"{system}_Klant").select(
                 F.col("klantnr").alias("klant"), business_key("naam", "geboortedatum").alias("klant_bk"))
             keyed = self._look_up(customers, "Klant").drop("klant_bk")
-            sold = sold.join(broadcast_if_small(keyed, self._staged(f"{system}_Klant")), "klant")
+            sold = sold.join(broadcast_if_few(keyed, self.staging.count(f"{system}_Klant")), "klant")
         else:
             sold = self._look_up(sold.withColumn("klant_bk", self._key("Klant", system, "klant")), "Klant")
         return sold.join(self._people(system).drop("uurloon"), "monteur")
@@ -284,7 +289,12 @@ class WarehouseLoad:
         # row count and highest key stand beside the version; of the history only the batch's own bands are read
         before, start = (0, 0) if self.refresh else (self.star.count(table), self.star.highest(table))
         # numbering reads its input twice; the anti join should run once
-        fresh = complete if self.refresh else stage(new_rows(complete, self.star.near(table, complete), grain, batch))
+        # without history every complete row is new
+        if not before:
+            fresh = complete
+        else:
+            few = delivered <= SENT_ROWS
+            fresh = stage(new_rows(complete, sent_if_few(self.star.near(table, complete), max(before, delivered)), grain, batch if few else None))
         numbered = dense_keys(fresh, grain, sk, start, digits=4)
         if self.refresh:
             self.star.publish(table, numbered, self.log.run_id)
@@ -316,12 +326,13 @@ class WarehouseLoad:
         kind, maker = ("accessoire", "leverancier") if is_accessory(system) else ("fiets", "fabrikant")
         goods = self._staged(f"{system}_{kind.capitalize()}").select(
             F.col(f"{kind}nr").alias(kind), F.col(maker).alias("maker"), "inkoopprijs")
-        bought = self._staged(system).join(goods, kind)
+        rows = self.staging.count(f"{system}_{kind.capitalize()}")
+        bought = self._staged(system).join(sent_if_few(goods, rows), kind)
         if self.natural:
             makers = self._maker(system).select(
                 F.col("leveranciernr").alias("maker"), business_key("naam", "adres").alias("lev_bk"))
             keyed = self._look_up(makers, "Leverancier").drop("lev_bk")
-            bought = bought.join(broadcast_if_small(keyed, makers), "maker")
+            bought = bought.join(broadcast_if_few(keyed, self._makers(system)), "maker")
         else:
             named = bought.withColumn("lev_bk", self._key("Leverancier", system, "maker"))
             bought = self._look_up(named, "Leverancier")

@@ -102,6 +102,24 @@ def broadcast_if_small(df: DataFrame, base: DataFrame, max_bytes: int = BROADCAS
     return F.broadcast(df) if fits_broadcast(df, base, max_bytes) else df
 
 
+# rows of a join side that may pass through the driver where the optimizer wants it, and of one made of numbers only
+SENT_ROWS, SENT_NUMBERS = 100_000, 500_000
+
+
+def sent_if_few(df: DataFrame, rows: int) -> DataFrame:
+    """A join side of at most ``rows`` rows: left to the optimizer when few, never broadcast when many.
+
+    The optimizer goes by the size of compressed files, which say little of the rows they hold, and a load
+    of many joins would send most of its dimensions through the driver. Joins of sorted sides get hot keys split.
+    """
+    return df if rows <= SENT_ROWS else df.hint("merge")
+
+
+def broadcast_if_few(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a join side of at most ``rows`` rows of numbers when these are few, never when they are many."""
+    return F.broadcast(df) if rows <= SENT_NUMBERS else df.hint("merge")
+
+
 def stage(df: DataFrame, spread: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -129,5 +147,5 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
 
 def _written(df: DataFrame, folder: str | None = None) -> DataFrame:
     path = f"{folder or shared_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", files.CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

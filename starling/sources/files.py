@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# of the tables that loads and steps write: fewer bytes than the default for little more work
+CODEC = "zstd"
+
 
 def _fs(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
