@@ -23,7 +23,8 @@ from starling.plans.staging_load import load_staging
 from starling.plans.tables import FIRST_SEGMENTS, ONLY_FIRST_SEGMENTS, Tables
 from starling.plans.warehouse_load import WarehouseLoad
 from starling.schemas import SOURCES, STAGING, STAR, STAR_BANDS
-from starling.session import shared_dir
+from starling.session import scratch, sent_if_few, shared_dir
+from starling.sources.files import CODEC
 from starling.sources.runlog import NOTEBOOK_COLUMNS, STAGING_COLUMNS, WAREHOUSE_COLUMNS, read_log, read_mixed_logs
 from starling.sources.store import Store
 
@@ -33,11 +34,22 @@ FIRST_ORDERS_BEFORE = "1998-01-01"
 FIRST_EVENTS_WITHOUT = "error"
 
 
+def orders_with_lines(t: Tables) -> DataFrame:
+    """Orders with what the sales and purchases take from their lines; both systems and all runs share it."""
+    lines = t.lineitem.groupBy("l_orderkey").agg(
+        F.min("l_partkey").alias("sold"), F.max("l_partkey").alias("bought"), F.min("l_suppkey").alias("monteur"),
+        F.sum("l_quantity").cast("long").alias("aantal"), F.max("l_shipdate").alias("last"),
+    )
+    heads = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    return heads.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey")
+
+
 class Sources:
-    """The source tables as one run finds them."""
+    """The source tables as one run finds them; ``orders`` holds the stored :func:`orders_with_lines`."""
 
-    def __init__(self, t: Tables, first: bool):
+    def __init__(self, t: Tables, first: bool, orders: DataFrame | None = None):
         self.t, self.first = t, first
+        self.orders = orders_with_lines(t) if orders is None else orders
 
     def klant(self, system: str) -> DataFrame:
         segment = F.col("c_mktsegment")
@@ -81,13 +93,8 @@ class Sources:
 
     def _orders(self, system: str) -> DataFrame:
         own = F.coalesce(F.col("o_orderstatus") == "O", F.lit(False))
-        found = self.t.orders.filter(own if system.startswith("Fiets") else ~own)
-        found = found.filter(F.col("o_orderdate") < FIRST_ORDERS_BEFORE) if self.first else found
-        lines = self.t.lineitem.groupBy("l_orderkey").agg(
-            F.min("l_partkey").alias("sold"), F.max("l_partkey").alias("bought"), F.min("l_suppkey").alias("monteur"),
-            F.sum("l_quantity").cast("long").alias("aantal"), F.max("l_shipdate").alias("last"),
-        )
-        return found.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+        found = self.orders.filter(own if system.startswith("Fiets") else ~own)
+        return found.filter(F.col("o_orderdate") < FIRST_ORDERS_BEFORE) if self.first else found
 
     def verkoop(self, system: str) -> DataFrame:
         return self._orders(system).select(
@@ -125,7 +132,7 @@ class Sources:
         """Write all source tables but one."""
         folders = {system: f"{root}/{system}" for system in SOURCES}
         run_together([
-            lambda s=system, n=name: self.table(s, n).write.parquet(f"{folders[s]}/{n}.parquet")
+            lambda s=system, n=name: self.table(s, n).write.option("compression", CODEC).parquet(f"{folders[s]}/{n}.parquet")
             for system, tables in SOURCES.items() for name, _ in tables if (system, name) != without
         ], 4)
         return folders
@@ -158,11 +165,13 @@ def loaded(t: Tables, series: str = "increments") -> tuple[Store, str]:
         root = f"{shared_dir(spark)}/loads-{uuid.uuid4().hex}"
         staging, star = Store(spark, f"{root}/staging", STAGING), Store(spark, f"{root}/star", STAR, STAR_BANDS)
         sources: dict[bool, dict[str, str]] = {}
-        for moment, run in zip(RUNS, SERIES[series]):
-            if run.first not in sources:
-                sources[run.first] = Sources(t, run.first).write(f"{root}/source-{moment:%Y%m%d}", run.without)
-            load_staging(spark, sources[run.first], staging, moment).write(spark, f"{root}/log-staging")
-            WarehouseLoad(spark, staging, star, moment, run.mode, run.keys).run().write(spark, f"{root}/log-star")
+        with scratch(spark) as keep:
+            orders = keep(orders_with_lines(t))
+            for moment, run in zip(RUNS, SERIES[series]):
+                if run.first not in sources:
+                    sources[run.first] = Sources(t, run.first, orders).write(f"{root}/source-{moment:%Y%m%d}", run.without)
+                load_staging(spark, sources[run.first], staging, moment).write(spark, f"{root}/log-staging")
+                WarehouseLoad(spark, staging, star, moment, run.mode, run.keys).run().write(spark, f"{root}/log-star")
         _done[key] = star, root
     return _done[key]
 
@@ -170,7 +179,7 @@ def loaded(t: Tables, series: str = "increments") -> tuple[Store, str]:
 def _named(fact: DataFrame, star: Store, table: str, key: str, *columns: Column) -> DataFrame:
     """Business key, and more columns, of the member that a fact's surrogate key points at."""
     member = star.read(table).select(key, F.col("business_key").alias(table.lower()), *columns)
-    return fact.join(member, key, "left").drop(key)
+    return fact.join(sent_if_few(member, star.count(table)), key, "left").drop(key)
 
 
 def _sales(star: Store) -> DataFrame:
@@ -211,8 +220,9 @@ def star_maintenance(t: Tables) -> DataFrame:
 
 def star_workers(t: Tables) -> DataFrame:
     """Versions of every worker, and whether a version is the open one."""
-    versions = loaded(t)[0].read("Monteur")
-    opened = current(versions).select("monteur_key", F.lit(True).alias("open"))
+    star, _ = loaded(t)
+    versions = star.read("Monteur")
+    opened = sent_if_few(current(versions).select("monteur_key", F.lit(True).alias("open")), star.count("Monteur"))
     return versions.join(opened, "monteur_key", "left").select(
         "business_key", F.round("uurloon", 2).alias("uurloon"), "begin_tijd", "eind_tijd",
         F.coalesce("open", F.lit(False)).alias("open"),

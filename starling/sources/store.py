@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starling.sources import files
+from starling.sources.files import CODEC
 
 BAND = "_band"
 MOST_BANDS = 10_000  # beyond so many a history is read whole
@@ -162,9 +163,11 @@ class Store:
         name = f"_load={load_id}-{part}-{uuid.uuid4().hex[:8]}"
         path, key = f"{self._folder(table)}/{name}", self.schemas[table].fields[0]
         if table in self.bands:
-            df.withColumn(BAND, self._band(table)).repartition(BAND, F.pmod(F.xxhash64(self.bands[table][0]), F.lit(16))).write.partitionBy(BAND).parquet(path)
+            # the rows stay in the tasks that numbered them: a file per task and band, and no shuffle
+            banded = df.withColumn(BAND, self._band(table)).sortWithinPartitions(BAND, self.bands[table][0])
+            banded.write.option("compression", CODEC).partitionBy(BAND).parquet(path)
         else:
-            df.write.parquet(path)
+            df.write.option("compression", CODEC).parquet(path)
         whole = isinstance(key.dataType, T.IntegralType)
         written = self.spark.read.schema(self._stored(table)).option("basePath", self._folder(table)).parquet(path)
         rows, highest = written.agg(F.count("*"), F.max(key.name) if whole else F.lit(None)).first()
