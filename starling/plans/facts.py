@@ -11,7 +11,7 @@ from starling.operators.dims import period_dim
 from starling.operators.facts import integer_keys, lookup, reject_missing
 from starling.operators.scd import current
 from starling.plans.tables import LINE_ID, Tables
-from starling.session import BROADCAST_BYTES, broadcast_if_small, stage
+from starling.session import BROADCAST_BYTES, broadcast_if_small, fits_broadcast, stage
 
 GRAIN = ["source_id", *LINE_ID]
 SALES_KEYS = ["klant_key", "monteur_key", "product_key", "filiaal_key", "datum_key"]
@@ -66,7 +66,8 @@ def sales_with_keys(t: Tables) -> DataFrame:
     heads = t.orders.select("o_orderkey", "o_custkey", day_key("o_orderdate").alias("datum_key"))
     # customers meet the orders first: fewer rows move than with the lines
     bought = heads.join(_buyers(t), "o_custkey").drop("o_custkey")
-    bought = broadcast_if_small(bought, t.orders)
+    # beyond that, tables of the fewer orders take a part of the memory that sorting the lines does; hot keys are split all the same
+    bought = F.broadcast(bought) if fits_broadcast(bought, t.orders) else bought.hint("shuffle_hash")
     joined = (
         lines.join(bought, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
         .join(_people(t).drop("uurloon"), F.col("l_suppkey") == F.col("monteurnr")).drop("monteurnr")
