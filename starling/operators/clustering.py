@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,25 +156,60 @@ def fit_kmeans(
     return out
 
 
+CHUNK = 1024  # rows whose distances to all centres are held at once
+
+
+def _add_chunk(total: np.ndarray, x: np.ndarray, centres: np.ndarray, spans: Sequence[tuple[int, int]]) -> None:
+    """Add rows to ``total``: per centre, the number, coordinate sums, cost and squared norms of the rows nearest to it.
+
+    ``centres`` holds those of many runs, ``spans`` where each run's begin and end; a row counts once per run.
+    """
+    norms = (x * x).sum(axis=1)
+    distance = centres @ x.T
+    distance *= -2.0
+    distance += norms
+    distance += (centres * centres).sum(axis=1)[:, None]
+    member = np.empty_like(distance)
+    for low, high in spans:
+        nearest, label = distance[low].copy(), np.zeros(len(x), dtype=np.int64)
+        for k in range(low + 1, high):
+            closer = distance[k] < nearest
+            label[closer] = k - low
+            np.minimum(nearest, distance[k], out=nearest)
+        for k in range(low, high):
+            member[k] = label == k - low
+        total[low:high, -2] += np.bincount(label, np.maximum(nearest, 0.0), high - low)
+    sums = member @ np.column_stack([np.ones(len(x)), x, norms])
+    total[:, :-2] += sums[:, :-1]
+    total[:, -1] += sums[:, -1]
+
+
 def _assign_sums(slim: DataFrame, runs: dict, with_norms: bool = False) -> dict:
-    """Per run: rows per cluster, coordinate sums per cluster, cost (and sums of squared norms)."""
+    """Per run: rows per cluster, coordinate sums per cluster, cost (and sums of squared norms).
+
+    Runs over the same columns share one product of rows and centres.
+    """
     names = list(runs)
+    alike: dict[tuple[int, ...], list[int]] = {}
+    for i, name in enumerate(names):
+        alike.setdefault(tuple(runs[name][0]), []).append(i)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = [0.0] * len(names)
+        groups = []
+        for used, members in alike.items():
+            ends = np.cumsum([0, *(len(runs[names[i]][1]) for i in members)])
+            total = np.zeros((ends[-1], len(used) + 3))
+            groups.append((list(used), members, np.concatenate([runs[names[i]][1] for i in members]), list(zip(ends, ends[1:])), total))
+        seen = False
         for pdf in batches:
             values = matrix(pdf)
-            for i, name in enumerate(names):
-                used, centre = runs[name]
-                x = values[:, used]
-                label, distance = _nearest(x, centre)
-                member = np.zeros((len(x), len(centre)))
-                member[np.arange(len(x)), label] = 1.0
-                row = np.column_stack([np.ones(len(x)), x, distance, (x * x).sum(axis=1)])
-                totals[i] = totals[i] + member.T @ row
-        if len(names) and not np.isscalar(totals[0]):
+            seen = seen or len(values) > 0
+            for at in range(0, len(values), CHUNK):
+                for used, _, centres, spans, total in groups:
+                    _add_chunk(total, np.ascontiguousarray(values[at : at + CHUNK, used]), centres, spans)
+        if groups and seen:
             frame = lambda i, t: pd.DataFrame({"run": i, "cell": np.arange(t.size), "total": t.ravel()})
-            yield pd.concat([frame(i, t) for i, t in enumerate(totals)])
+            yield pd.concat([frame(i, total[low:high]) for _, members, _, spans, total in groups for i, (low, high) in zip(members, spans)])
 
     cells = slim.mapInPandas(partial, "run int, cell int, total double")
     table = cells.groupBy("run", "cell").agg(F.sum("total").alias("total")).toArrow().to_pandas()
@@ -250,15 +287,46 @@ def covariances(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.n
     Tasks keep counts, means and centred co-moments, which are merged; raw products, which
     cancel where a mean is far larger than a deviation, are never formed.
     """
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    row = df.agg(
-        *[F.avg(named(c).cast("double")) for c in columns],
-        *[F.covar_pop(named(columns[i]).cast("double"), named(columns[j]).cast("double")) for i, j in pairs],
-    ).first()
-    matrix = np.zeros((len(columns), len(columns)))
-    for (i, j), value in zip(pairs, row[len(columns) :]):
-        matrix[i, j] = matrix[j, i] = np.nan if value is None else value
-    return np.array([np.nan if m is None else m for m in row[: len(columns)]]), matrix
+    width, names = len(columns), ("n", "mean", "moment")
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = None
+        for batch in batches:
+            if batch.num_rows:
+                own = _moments(batch)
+                found = own if found is None else _merged(found, own)
+        if found is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([m.ravel()], pa.list_(pa.float64())) for m in found], names=names)
+
+    parts = df.select(*numbered(columns)).mapInArrow(partial, ", ".join(f"{n} array<double>" for n in names)).collect()
+    if not parts:
+        return np.full(width, np.nan), np.full((width, width), np.nan)
+    n, mean, moment = reduce(_merged, [tuple(np.array(m).reshape(width, width) for m in part) for part in parts])
+    some = np.maximum(n, 1)
+    return np.where(n > 0, mean, np.nan).diagonal().copy(), np.where(n > 0, moment / some, np.nan)
+
+
+Moments = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _moments(batch: pa.RecordBatch) -> Moments:
+    """Of the rows that have both columns of a pair: their number, the first column's mean, and the centred co-moment."""
+    given = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns])
+    x = np.where(given, np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]), 0.0)
+    valid = given.astype(float)
+    n = valid.T @ valid
+    some = np.maximum(n, 1)
+    centre = x.sum(axis=0) / some.diagonal()
+    apart = np.where(given, x - centre, 0.0)
+    beside = apart.T @ valid
+    return n, centre[:, None] + beside / some, apart.T @ apart - beside * beside.T / some
+
+
+def _merged(a: Moments, b: Moments) -> Moments:
+    (n, mean, moment), (m, other, more) = a, b
+    total = np.maximum(n + m, 1)
+    gap = np.where((n > 0) & (m > 0), other - mean, 0.0)
+    return n + m, np.where(n > 0, mean, other) + gap * m / total, moment + more + gap * gap.T * n * m / total
 
 
 def loadings(covariance: np.ndarray, k: int) -> np.ndarray:
