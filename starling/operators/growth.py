@@ -76,6 +76,15 @@ def _best_splits(counts: DataFrame, known: int) -> DataFrame:
     return best.select("run", "node", F.col("best.f").alias("f"), F.col("best.threshold").alias("threshold"), (-F.col("best.order")).alias("gain"))
 
 
+def _counted(base: DataFrame, keep: Keep) -> DataFrame:
+    """The rows with ``w``, how many rows each stands for: equal ones become one row where that halves their number."""
+    columns = base.columns
+    rows, kinds = base.agg(F.count("*"), F.approx_count_distinct(F.xxhash64(*columns))).first()
+    if 2 * kinds > rows:
+        return base.withColumn("w", F.lit(1).cast("long"))
+    return keep(base.groupBy(*columns).agg(F.count("*").alias("w")))
+
+
 def grow(df: DataFrame, features: Sequence[str], label: str, runs: Sequence[TreeConfig], keep: Keep) -> DataFrame:
     """The nodes of one tree per run, as ``NODES``; ``feature`` is null at a leaf.
 
@@ -100,21 +109,21 @@ def grow(df: DataFrame, features: Sequence[str], label: str, runs: Sequence[Tree
     cells = F.array(*[named(f).cast("double") for f in features])
     base = df.filter(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("label"), cells.alias("x"))
     # a copy per run of the stated list
-    state = base.withColumn("s", F.explode(F.array(*map(setting, runs)))).select("label", "x", "s.*", F.lit("").alias("node"))
+    state = _counted(base, keep).withColumn("s", F.explode(F.array(*map(setting, runs)))).select("label", "x", "w", "s.*", F.lit("").alias("node"))
     nodes, depth = [], 0
     while True:
         state = keep(state)
         weight = lambda k: F.when(F.col("balanced"), F.lit(heavy[known[k]])).otherwise(F.lit(1.0))
-        count = lambda k: F.sum(F.when(number == known[k], weight(k)).otherwise(0.0)).alias(f"c{k}")
-        held = state.groupBy("run", "node").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in fixed], *[count(k) for k in range(len(known))])
+        count = lambda k: F.sum(F.when(number == known[k], weight(k) * F.col("w")).otherwise(0.0)).alias(f"c{k}")
+        held = state.groupBy("run", "node").agg(F.sum("w").alias("n"), *[F.first(c).alias(c) for c in fixed], *[count(k) for k in range(len(known))])
         counts_of = [F.col(f"c{k}") for k in range(len(known))]
         held = keep(held.withColumn("impurity", _impurity(counts_of, F.col("entropy"))))
         open_ = held.filter((F.col("impurity") > 0) & (F.col("n") >= F.col("min_split")) & (F.col("max_depth").isNull() | (F.col("max_depth") > depth)))
         open_ = keep(open_.select("run", "node"))
         each = state.join(broadcast_if_small(open_, open_), ["run", "node"])
-        each = each.select("run", "node", "label", "entropy", "min_leaf", "balanced", F.explode(F.transform("used", lambda i: F.struct(i.alias("f"), F.get("x", i).alias("value")))).alias("c"))
+        each = each.select("run", "node", "label", "w", "entropy", "min_leaf", "balanced", F.explode(F.transform("used", lambda i: F.struct(i.alias("f"), F.get("x", i).alias("value")))).alias("c"))
         counts = each.groupBy("run", "node", F.col("c.f").alias("f"), F.col("c.value").alias("value")).agg(
-            F.count("*").alias("n"), F.first("entropy").alias("entropy"), F.first("min_leaf").alias("min_leaf"), *[count(k) for k in range(len(known))])
+            F.sum("w").alias("n"), F.first("entropy").alias("entropy"), F.first("min_leaf").alias("min_leaf"), *[count(k) for k in range(len(known))])
         splits = keep(_best_splits(keep(counts), len(known)))
         # of equal classes the first; balanced weights make them equal but for rounding
         most = F.array_max(F.array(*[F.struct(F.round(f"c{k}", DIGITS - 1).alias("c"), F.lit(-k).alias("k"), F.lit(v).alias("v")) for k, v in enumerate(known)]))["v"]
