@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _value(df: DataFrame) -> DataFrame:
@@ -80,70 +84,146 @@ def silhouette_squared(df: DataFrame, row_id: str, features: str, cluster: str)
     return _value(scored).select("id", "cluster", "silhouette")
 
 
-# rows of a block that meet another block at once: bounds a task's distance matrix
-_CHUNK = 1024
+# points on either side of the distances held at once: they stay in the cache of a core
+_TILE = 256
+# numbers of a block's vectors, and clusters of a block: they bound a task's memory
+_BLOCK_NUMBERS, _BLOCK_CLUSTERS = 2**21, 128
+# blocks of fewer rows are not worth a task; groups of clusters that are laid out one after the other; tasks at most
+_FEW_ROWS, _GROUPS, _TASKS = 1024, 1024, 4096
 
 
-def distance_sums(x: np.ndarray, y: np.ndarray, x_of: np.ndarray, y_of: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+def _tiles(points: np.ndarray, starts: np.ndarray) -> list[tuple[slice, np.ndarray, slice, np.ndarray]]:
+    """Per tile its rows, their points, the clusters they are of, and where among them each of these begins."""
+    out = []
+    for low in range(0, len(points), _TILE):
+        high = min(low + _TILE, len(points))
+        first, last = np.searchsorted(starts, low, "right") - 1, np.searchsorted(starts, high, "left")
+        out.append((slice(low, high), points[low:high], slice(first, last), np.maximum(starts[first:last] - low, 0)))
+    return out
+
+
+def distance_sums(x: np.ndarray, y: np.ndarray, x_starts: np.ndarray, y_starts: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Sums of the distances of each x to the y of every cluster, and of each y to the x of every cluster.
 
-    ``x_of`` and ``y_of`` hold a row per point and a column per cluster, 1 for its own. One product gives all
-    distances; points are moved next to zero first, where squares lose least. ``same``: both are one block.
+    Points are sorted by cluster, ``x_starts`` and ``y_starts`` tell where each begins. One product gives a tile of
+    distances; points are moved next to zero first, where squares lose least. ``same``: both are one block, whose
+    pairs meet once too.
     """
     middle = x.mean(axis=0)
     x, y = x - middle, y - middle
-    squares = (y * y).sum(axis=1)
-    to_y, to_x = np.zeros((len(x), y_of.shape[1])), np.zeros((len(y), x_of.shape[1]))
-    for i in range(0, len(x), _CHUNK):
-        part = x[i : i + _CHUNK]
-        distance = np.sqrt(np.maximum((part * part).sum(axis=1)[:, None] + squares - 2 * part @ y.T, 0.0))
-        if same:
-            distance[np.arange(len(part)), np.arange(i, i + len(part))] = 0.0
-        to_y[i : i + _CHUNK] = distance @ y_of
-        to_x += distance.T @ x_of[i : i + _CHUNK]
-    return to_y, to_x
-
-
-def silhouette_exact(df: DataFrame, row_id: str, features: str, cluster: str, block_rows: int = 8192) -> DataFrame:
+    # (-2x, x², 1) times (y, 1, y²) is the squared distance
+    left = np.column_stack([-2 * x, (x * x).sum(axis=1), np.ones(len(x))])
+    right = np.column_stack([y, np.ones(len(y)), (y * y).sum(axis=1)])
+    to_y, to_x = np.zeros((len(x), len(y_starts))), np.zeros((len(x_starts), len(y)))
+    held, ones = np.empty((_TILE, _TILE)), np.ones(_TILE)
+    across = _tiles(right, y_starts)
+    for i, (rows, part, own, begins) in enumerate(_tiles(left, x_starts)):
+        ends = [*begins[1:], len(part)]
+        for columns, points, others, starts in across[i:] if same else across:
+            distance = np.matmul(part, points.T, out=held[: len(part), : len(points)])
+            np.sqrt(np.maximum(distance, 0.0, out=distance), out=distance)
+            diagonal = same and rows == columns
+            if diagonal:
+                np.fill_diagonal(distance, 0.0)
+            to_y[rows, others] += np.add.reduceat(distance, starts, axis=1)
+            if not diagonal:
+                for cluster, low, high in zip(range(own.start, own.stop), begins, ends):
+                    to_x[cluster, columns] += ones[: high - low] @ distance[low:high]
+    return (to_y + to_x.T,) * 2 if same else (to_y, to_x.T)
+
+
+class _Block:
+    """Rows of a block by cluster; those without a vector or a cluster are counted and have no distances."""
+
+    def __init__(self, rows: pa.Table):
+        coded = rows["cluster"].combine_chunks().dictionary_encode("encode")
+        codes, vectors = coded.indices.to_numpy(), rows["x"].combine_chunks()
+        self.rows, self.labels = rows.select(["id", "cluster"]), coded.dictionary
+        self.counts = np.bincount(codes, minlength=len(self.labels))
+        known = np.flatnonzero(pc.and_(vectors.is_valid(), rows["cluster"].combine_chunks().is_valid()))
+        self.known = known[np.argsort(codes[known], kind="stable")]
+        self.present, self.starts = np.unique(codes[self.known], return_index=True)
+        vectors = vectors.take(pa.array(self.known))
+        if len(pc.unique(pc.list_value_length(vectors))) > 1:
+            raise ValueError("vectors differ in length")
+        self.x = vectors.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(self.known), -1 if len(self.known) else 0)
+
+    def sums(self, totals: np.ndarray, other: _Block) -> pa.Table:
+        """A row per row and cluster of the other block; ``totals`` are those of known rows and present clusters."""
+        shape = self.rows.num_rows, len(other.labels)
+        spots = np.ix_(self.known, other.present)
+        every, none = np.zeros(shape), np.ones(shape, dtype=bool)
+        every[spots], none[spots] = totals, False
+        rows = self.rows.take(pa.array(np.repeat(np.arange(shape[0]), shape[1])))
+        return pa.table({
+            "id": rows["id"], "cluster": rows["cluster"],
+            "other_cluster": other.labels.take(pa.array(np.tile(np.arange(shape[1]), shape[0]))),
+            "total": pa.array(every.ravel(), mask=none.ravel()), "n": np.tile(other.counts, shape[0]),
+        })
+
+
+def _meet(key: tuple, rows: pa.Table) -> pa.Table:
+    """Distance sums of two blocks that meet, in both directions, or of one that meets itself."""
+    pair = key[1].as_py()
+    second = (math.isqrt(8 * pair + 1) - 1) // 2
+    first = pair - second * (second + 1) // 2
+    home = rows["home"].to_numpy()
+    a, b = (_Block(rows.filter(pa.array(home == block))) for block in ((first, first) if first == second else (first, second)))
+    if len(a.known) and len(b.known):
+        to_b, to_a = distance_sums(a.x, b.x, a.starts, b.starts, first == second)
+    else:
+        to_b, to_a = np.zeros((len(a.known), len(b.present))), np.zeros((len(b.known), len(a.present)))
+    return a.sums(to_b, b) if first == second else pa.concat_tables([a.sums(to_b, b), b.sums(to_a, a)])
+
+
+def _laid_out(slim: DataFrame, block_rows: int) -> tuple[Column, int]:
+    """The block of a row, and the number of blocks: clusters lie one after the other and are cut into equal parts.
+
+    So a block meets few clusters of another, and what it emits grows with blocks plus clusters, not with their
+    product. A cluster takes some room of its own, or many small ones would share a block. The driver sees one row
+    per group of clusters. Inside its group a row's place is a hash of its id.
+    """
+    group = F.pmod(F.xxhash64("cluster"), F.lit(_GROUPS)).cast("int")
+    clusters = slim.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("width"))
+    found = clusters.groupBy(group.alias("group")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("clusters"), F.max("width").alias("width")).collect()
+    rows, width = sum(r["n"] for r in found), max((r["width"] or 0 for r in found), default=0)
+    most = max(1, min(block_rows, _BLOCK_NUMBERS // max(width, 1)))
+    room = np.zeros(_GROUPS)
+    for r in found:
+        room[r["group"]] = r["n"] + r["clusters"] * most / _BLOCK_CLUSTERS
+    cores = slim.sparkSession.sparkContext.defaultParallelism
+    # fewer rows still make several pairs a core
+    blocks = max(1, math.ceil(room.sum() / most), min(-(-rows // _FEW_ROWS), int((8 * cores) ** 0.5 + 1)))
+    ends = np.cumsum(room)
+    constant = lambda values: F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast("array<double>")
+    share = F.shiftrightunsigned(F.xxhash64("id"), 11) * F.lit(2.0**-53)
+    place = F.get(constant(ends - room), group) + share * F.get(constant(room), group)
+    return F.least(F.floor(place * F.lit(blocks / max(ends[-1], 1.0))), F.lit(blocks - 1)).cast("int"), blocks
+
+
+def silhouette_exact(df: DataFrame, row_id: str, features: str, cluster: str, block_rows: int = 32768) -> DataFrame:
     """Silhouette per row on plain distances, exact.
 
-    Every row must meet every other, so the work is quadratic. Rows are spread
-    over blocks by id; each pair of blocks meets once, in a task-sized group that
-    emits distance sums per row and cluster in both directions, never pairs. No
-    cluster is gathered anywhere, whatever its share of the rows.
+    Every row must meet every other, so the work is quadratic. Rows are laid
+    out over blocks by cluster and id; each pair of blocks meets once, in a task
+    of its own that emits distance sums per row and cluster in both directions,
+    never pairs. No cluster is gathered anywhere, whatever its share of the rows.
     """
+    kind = df.select(features).schema[0].dataType
+    exact = "array<float>" if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else "array<double>"
     slim = df.select(
-        F.col(row_id).alias("id"), F.col(cluster).cast("int").alias("cluster"),
-        F.col(features).cast("array<double>").alias("x"),
+        F.col(row_id).cast("long").alias("id"), F.col(cluster).cast("int").alias("cluster"),
+        F.col(features).cast(exact).alias("x"),  # floats become doubles in the tasks
     )
-    rows = slim.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # few rows still make a group per core
-    blocks = max(1, -(-rows // block_rows), min(rows, int((2 * cores) ** 0.5 + 1)))
-    placed = slim.withColumn("home", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    left = placed.withColumn("first", F.col("home")).withColumn("second", F.explode(F.sequence("home", F.lit(blocks - 1))))
-    right = placed.withColumn("second", F.col("home")).withColumn("first", F.explode(F.sequence(F.lit(0), "home")))
-
-    def meet(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        frames = [pd.DataFrame({"id": [], "cluster": [], "other_cluster": [], "total": [], "n": []})]
-        if len(a) and len(b):
-            # one order on both sides: a block meets itself row by row on the diagonal
-            a, b = (f.sort_values("id", kind="stable") for f in (a, b))
-            x, y = (np.stack(f["x"].to_numpy()).astype(float) for f in (a, b))
-            labels = [np.unique(f["cluster"].to_numpy()) for f in (a, b)]
-            x_of, y_of = ((f["cluster"].to_numpy()[:, None] == own).astype(float) for f, own in zip((a, b), labels))
-            same = key[0] == key[1]
-            sums = distance_sums(x, y, x_of, y_of, same)
-            for frame, totals, other, counts in ((a, sums[0], labels[1], y_of.sum(axis=0)), (b, sums[1], labels[0], x_of.sum(axis=0)))[: 1 if same else 2]:
-                frames.append(pd.DataFrame({
-                    "id": np.repeat(frame["id"].to_numpy(), len(other)), "cluster": np.repeat(frame["cluster"].to_numpy(), len(other)),
-                    "other_cluster": np.tile(other, len(frame)), "total": totals.ravel(), "n": np.tile(counts, len(frame)),
-                }))
-        return pd.concat(frames)
-
+    home, blocks = _laid_out(slim, block_rows)
+    pairs = blocks * (blocks + 1) // 2
+    copies = slim.withColumn("home", home).withColumn("partner", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    second = F.greatest("home", "partner").cast("long")
+    dealt = copies.withColumn("pair", F.shiftright(second * (second + 1), 1) + F.least("home", "partner")).drop("partner")
+    tasks = min(pairs, _TASKS)
     sums = (
-        left.groupBy("first", "second").cogroup(right.groupBy("first", "second"))
-        .applyInPandas(meet, "id long, cluster int, other_cluster int, total double, n long")
+        dealt.withColumn("task", F.pmod("pair", F.lit(tasks)).cast("int")).repartitionById(tasks, "task")
+        .groupBy("task", "pair").applyInArrow(_meet, "id long, cluster int, other_cluster int, total double, n long")
         .groupBy("id", "cluster", "other_cluster")
         .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     )

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from shop import shop, write_shop
 
 from starling import session
-from starling.operators import clustering, growth
+from starling.operators import clustering, growth, silhouette
 from starling.operators.tree import TreeConfig
 from starling.plans import facts, registry, sample_loads, warehouse_load
+from starling.plans.oracle import ORACLES
 from starling.plans.staging_load import load_staging
+from starling.plans.tables import Tables
 from starling.schemas import STAGING, STAR, STAR_BANDS
 from starling.session import scratch
 from starling.sources.store import Store
@@ -141,3 +144,62 @@ def test_rows_stand_for_as_many_as_were_alike(spark, copies):
     with scratch(spark) as keep:
         found = growth._counted(df.crossJoin(spark.range(copies).withColumnRenamed("id", "copy")).drop("copy"), keep)
         assert {(r.w) for r in found.collect()} == {copies} and found.count() == 50
+
+
+def rows_from_python(df):
+    """Rows that the Python functions of ``df`` returned."""
+    df.collect()
+    nodes, found = [df._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        else:
+            metric = node.metrics().get("pythonNumRowsReceived")
+            found += metric.get().value() if metric.isDefined() else 0
+            nodes.extend(node.children().apply(i) for i in range(node.children().size()))
+    return found
+
+
+def test_plain_silhouettes_emit_blocks_plus_clusters(spark):
+    """Sums leave the tasks per row and cluster of the block it meets: never all clusters for every block."""
+    draw = np.random.default_rng(9)
+    rows, clusters, block_rows = 1200, 8, 100
+    df = spark.createDataFrame([(i, draw.normal(size=2).tolist(), int(draw.integers(0, clusters))) for i in range(rows)], "id long, f array<double>, c int")
+    found = rows_from_python(silhouette.silhouette_exact(df, "id", "f", "c", block_rows))
+    blocks = rows // block_rows + 1
+    assert rows * blocks <= found <= rows * (blocks + clusters + 4)
+
+
+@pytest.mark.parametrize("dims", [2, 64])
+def test_distance_sums_over_tiles(dims):
+    draw = np.random.default_rng(10)
+    x, y = draw.normal(size=(700, dims)) + 50, draw.normal(size=(530, dims)) + 50
+    x_starts, y_starts = np.array([0, 1, 256, 600]), np.array([0, 255, 256, 257, 500, 529])
+    far = lambda a, b: np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2))
+    to_y, to_x = silhouette.distance_sums(x, y, x_starts, y_starts, False)
+    assert np.allclose(to_y, np.add.reduceat(far(x, y), y_starts, axis=1), rtol=1e-11)
+    assert np.allclose(to_x, np.add.reduceat(far(y, x), x_starts, axis=1), rtol=1e-11)
+    to_x = silhouette.distance_sums(x, x, x_starts, x_starts, True)[0]
+    assert np.allclose(to_x, np.add.reduceat(far(x, x), x_starts, axis=1), rtol=1e-11)
+
+
+def test_plain_silhouettes_of_rows_without_vector_or_cluster(spark, tmp_path):
+    """As in SQL: they are counted with their cluster, and score 0; keys may repeat."""
+    draw = np.random.default_rng(11)
+    rows = [(i % 190, draw.normal(size=3).astype("float32").tolist() if i % 9 else None, i % 4 if i % 13 else None) for i in range(200)]
+    rows += [(300 + i, None, 7) for i in range(3)] + [(310, [0.5, 1.0, 2.0], 8), (None, [0.5, 1.5, 2.0], 1), (None, [4.5, 1.5, 2.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    df.coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    with duckdb.connect() as sql:
+        sql.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+        expected = sorted(sql.execute(ORACLES["silhouette_small"]).fetchall(), key=str)
+    assert sorted(map(tuple, registry.silhouette_small(Tables(spark, str(tmp_path))).collect()), key=str) == expected
+    blocked = silhouette.silhouette_exact(df, "vec_id", "embedding", "label", 20)
+    assert sorted((r.id, r.cluster, round(r.silhouette, 6)) for r in blocked.na.fill(-1).collect()) == sorted((-1 if i is None else i, -1 if c is None else c, v) for i, c, v in expected)
+    assert silhouette.silhouette_exact(df.filter("false"), "vec_id", "embedding", "label").count() == 0
+    with pytest.raises(Exception, match="differ in length"):
+        silhouette.silhouette_exact(df.withColumn("embedding", F.slice("embedding", 1, F.col("label") + 1)), "vec_id", "embedding", "label").collect()
